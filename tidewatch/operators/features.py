@@ -47,11 +47,11 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
     if cfg.strategy == "frame":
         return _entity_frame(df, cfg, key, time, amount, tiebreak)
     scale = 10 ** cfg.amount_scale
-    d = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
+    d, chunked = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
     units = F.round(F.col(amount) * F.lit(scale)).cast("bigint")
     present = F.col(amount).isNotNull().cast("bigint")
     if cfg.history == "lagged":
-        d = fr.previous_values(d, key, [amount])
+        d = fr.previous_values(d, key, [amount], chunked=chunked)
         hv = F.col("_prev_" + amount)
     else:
         hv = F.col(amount)
@@ -65,7 +65,7 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
         ("_sh", cfg.win_7d, hunits.cast("bigint")),
         ("_qh", cfg.win_7d, hunits * hunits),
     ]
-    d = fr.sliding_sums(d, key, time, specs)
+    d = fr.sliding_sums(d, key, time, specs, chunked=chunked)
     if cfg.history == "strict":   # drop my own contribution: rows strictly before me
         own = F.coalesce(units, F.lit(0))
         d = (d.withColumn("_ch", F.col("_ch") - present)
@@ -87,7 +87,7 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
 
 
 def _entity_frame(df, cfg, key, time, amount, tiebreak):
-    d = fr.with_order(df, key, time, tiebreak, target_rows=None, repartition=False)
+    d, _ = fr.with_order(df, key, time, tiebreak, target_rows=None, repartition=False)
     w = Window.partitionBy(key).orderBy(fr.ORD)
 
     def frame(sec, upper=0):
@@ -119,16 +119,16 @@ def add_fingerprint_time_features(df: DataFrame, cfg: FeatureConfig = FeatureCon
     require_columns(df, [key, time, id_col], "fingerprint features")
     present = F.col(id_col).isNotNull().cast("bigint")
     if cfg.strategy == "frame":
-        d = fr.with_order(df, key, time, tiebreak, target_rows=None, repartition=False)
+        d, _ = fr.with_order(df, key, time, tiebreak, target_rows=None, repartition=False)
         w = Window.partitionBy(key).orderBy(fr.ORD)
         d = (d.withColumn("fp_cnt_24h", F.count(id_col).over(
                 w.rangeBetween(-fr.frame_lower(cfg.win_24h), 0)).cast("int"))
              .withColumn("fp_cnt_72h", F.count(id_col).over(
                  w.rangeBetween(-fr.frame_lower(cfg.win_72h), 0)).cast("int")))
     else:
-        d = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
+        d, chunked = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
         d = fr.sliding_sums(d, key, time, [("_f24", cfg.win_24h, present),
-                                           ("_f72", cfg.win_72h, present)])
+                                           ("_f72", cfg.win_72h, present)], chunked=chunked)
         d = (d.withColumn("fp_cnt_24h", F.col("_f24").cast("int"))
              .withColumn("fp_cnt_72h", F.col("_f72").cast("int")).drop("_f24", "_f72"))
     d = d.withColumn("fp_growth_ratio_24h_over_72h",

@@ -49,6 +49,11 @@ CLEN = "_clen"
 def clen_col(key: str) -> str:
     """Name of the carried chunk-length column of a key (see :func:`prepare_hot_keys`)."""
     return f"_clen__{key}"
+
+
+def nohot_col(key: str) -> str:
+    """Marker column: the key was checked and has no hot values."""
+    return f"_clen__nohot__{key}"
 BROADCAST_HOT_KEYS = 200_000   # rows of the hot-key table we are willing to broadcast
 
 
@@ -74,7 +79,7 @@ def assign_chunk_length(df: DataFrame, key: str, time: str, target_rows: int | N
     ``target_rows=None`` disables chunking; ``0`` chunks every key (tests).
     """
     if target_rows is None:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
+        return df.withColumn(out, F.lit(None).cast("bigint")), False
     stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_t0"),
                                  F.max(time).alias("_t1"))
              .filter(F.col("_n") > F.lit(target_rows)))
@@ -84,28 +89,49 @@ def assign_chunk_length(df: DataFrame, key: str, time: str, target_rows: int | N
     hot = stats.select(key, clen.alias(out))
     n_hot = hot.count()
     if n_hot == 0:
-        return df.withColumn(out, F.lit(None).cast("bigint"))
+        return df.withColumn(out, F.lit(None).cast("bigint")), False
     if n_hot <= BROADCAST_HOT_KEYS:
         hot = F.broadcast(hot)
-    return df.join(hot, key, "left")
+    return df.join(hot, key, "left"), True
 
 
 def prepare_hot_keys(df: DataFrame, keys: Sequence[str], time: str,
                      target_rows: int | None = 1 << 21) -> DataFrame:
     """Compute every key's chunk length once, on the cheap keyed input, and carry it.
 
-    Later operators on the same keys reuse the column instead of re-running the
-    hot-key aggregate over their (expensive) inputs.
+    One aggregate job covers all keys (unpivoted key columns); later operators
+    on the same keys reuse the column instead of re-running the hot-key
+    aggregate over their (expensive) inputs.
     """
-    for k in keys:
-        df = assign_chunk_length(df, k, time, target_rows, out=clen_col(k))
+    keys = list(keys)
+    if target_rows is None:
+        return df.select("*", *[F.lit(None).cast("bigint").alias(nohot_col(k)) for k in keys])
+    arr = F.array(*[F.struct(F.lit(i).alias("_kid"), F.col(k).cast("string").alias("_k")) for i, k in enumerate(keys)])
+    long = df.select(F.col(time).alias("_t"), F.inline(arr))
+    stats = (long.groupBy("_kid", "_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"),
+                                            F.max("_t").alias("_t1"))
+             .filter(F.col("_n") > F.lit(target_rows)))
+    span = F.greatest(F.col("_t1") - F.col("_t0") + 1, F.lit(1)).cast("double")
+    want = F.greatest(span * F.lit(float(max(target_rows, 1))) / F.col("_n"), F.lit(1.0))
+    hot = stats.select("_kid", "_k", F.pow(F.lit(2.0), F.floor(F.log2(want))).cast("bigint").alias("_cl"))
+    rows = hot.count()            # bounded by len(keys) * rows / target_rows
+    for i, k in enumerate(keys):
+        if rows == 0:       # marker: no hot key, single-chunk plan (no chunk-edge joins)
+            df = df.withColumn(nohot_col(k), F.lit(None).cast("bigint"))
+            continue
+        h = hot.filter(F.col("_kid") == i).select(F.col("_k").alias("_hk"), F.col("_cl").alias(clen_col(k)))
+        if rows <= BROADCAST_HOT_KEYS:
+            h = F.broadcast(h)
+        df = df.join(h, F.col(k).cast("string") == F.col("_hk"), "left").drop("_hk")
     return df
 
 
 def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
-               target_rows: int | None = 1 << 21, repartition: bool = True) -> DataFrame:
+               target_rows: int | None = 1 << 21, repartition: bool = True) -> tuple[DataFrame, bool]:
     """Add ``_clen``/``_chunk`` (time chunk) and ``_ord`` (tie-exact composite order).
 
+    Returns ``(df, chunked)``; ``chunked`` is False when no key is hot, and the
+    helpers below then skip the chunk-edge summaries (each key is one chunk).
     With ``target_rows=None`` no key is chunked (plain per-key layout, used by
     the ``frame`` strategy).
     """
@@ -114,21 +140,26 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
         .otherwise(t).cast("bigint")
     d = df.withColumn(time, checked_t)
     if clen_col(key) in d.columns:          # precomputed once upstream, reuse it
-        d = d.withColumn(CLEN, F.col(clen_col(key)))
+        d, chunked = d.withColumn(CLEN, F.col(clen_col(key))), True
+    elif nohot_col(key) in d.columns:
+        d, chunked = d.withColumn(CLEN, F.lit(None).cast("bigint")), False
     else:
-        d = assign_chunk_length(d, key, time, target_rows)
+        d, chunked = assign_chunk_length(d, key, time, target_rows)
     d = d.withColumn(CHUNK, F.coalesce(F.floor(F.col(time) / F.col(CLEN)), F.lit(0)).cast("bigint"))
     if repartition:
         d = d.repartition(key, CHUNK)
     w = Window.partitionBy(key, CHUNK, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
     seq = F.row_number().over(w) - 1
     guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^19 rows share one (key, time)")))
-    return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq))
+    return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq)), chunked
 
 
-def previous_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_prev_") -> DataFrame:
+def previous_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_prev_",
+                    chunked: bool = True) -> DataFrame:
     """``lag(c)`` over the whole key series for each column (needs ``with_order``)."""
     w = Window.partitionBy(key, CHUNK).orderBy(ORD)
+    if not chunked:
+        return d.select("*", *[F.lag(c).over(w).alias(prefix + c) for c in cols])
     d = d.withColumn("_first_in_chunk", F.lag(ORD).over(w).isNull())
     for c in cols:
         d = d.withColumn(prefix + c, F.lag(c).over(w))
@@ -142,9 +173,12 @@ def previous_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "
                              .otherwise(F.col(prefix + c)).alias(prefix + c) for c in cols])
 
 
-def next_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_next_") -> DataFrame:
+def next_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_next_",
+                chunked: bool = True) -> DataFrame:
     """``lead(c)`` over the whole key series for each column (needs ``with_order``)."""
     w = Window.partitionBy(key, CHUNK).orderBy(ORD)
+    if not chunked:
+        return d.select("*", *[F.lead(c).over(w).alias(prefix + c) for c in cols])
     d = d.withColumn("_last_in_chunk", F.lead(ORD).over(w).isNull())
     for c in cols:
         d = d.withColumn(prefix + c, F.lead(c).over(w))
@@ -158,7 +192,8 @@ def next_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_nex
                              .otherwise(F.col(prefix + c)).alias(prefix + c) for c in cols])
 
 
-def next_time_where(d: DataFrame, key: str, time: str, cond: Column, out: str) -> DataFrame:
+def next_time_where(d: DataFrame, key: str, time: str, cond: Column, out: str,
+                    chunked: bool = True) -> DataFrame:
     """Earliest time ``> t`` of a row of the same key where ``cond`` holds (null if none).
 
     A growing frame over descending time inside the chunk (O(n)), plus the
@@ -168,6 +203,8 @@ def next_time_where(d: DataFrame, key: str, time: str, cond: Column, out: str) -
     w = (Window.partitionBy(key, CHUNK).orderBy((-F.col(time)).alias("_neg_t"))
          .rangeBetween(Window.unboundedPreceding, -1))
     d = d.withColumn(out, F.min(hit).over(w))
+    if not chunked:
+        return d
     summ = d.groupBy(key, CHUNK).agg(F.min(hit).alias("_cmin"))
     ws = Window.partitionBy(key).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
     summ = summ.select(key, CHUNK, F.min("_cmin").over(ws).alias("_later"))
@@ -175,7 +212,7 @@ def next_time_where(d: DataFrame, key: str, time: str, cond: Column, out: str) -
     return d.withColumn(out, F.coalesce(F.col(out), F.col("_later"))).drop("_later")
 
 
-def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple]) -> DataFrame:
+def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple], chunked: bool = True) -> DataFrame:
     """Window sums over ``(t - w, t]`` (tie-exact) via chunked event deltas.
 
     ``specs``: ``(out_name, window_seconds, value_column)`` with integer-valued
@@ -205,6 +242,11 @@ def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple]) -> D
     payload = [f.name for f in payload]
     ev = d.select(F.inline(F.array(*events)))
     ev = ev.repartition(key, "_echunk")
+    wrun = (Window.partitionBy(key, "_echunk").orderBy("_eord")
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    if not chunked:             # one chunk per key: the running sum is the window sum
+        ev = ev.select(key, *payload, "_is_row", *[F.sum(n).over(wrun).alias(n) for n in names])
+        return ev.filter("_is_row").select(key, *payload, *names)
     # per-chunk totals -> offsets = prefix sum over the key's earlier chunks (one row per chunk)
     tot = ev.groupBy(key, "_echunk").agg(*[F.sum(n).alias(n) for n in names])
     wo = Window.partitionBy(key).orderBy("_echunk").rowsBetween(Window.unboundedPreceding, -1)

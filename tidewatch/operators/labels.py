@@ -37,7 +37,7 @@ def make_early_warning_label(df: DataFrame, cfg: LabelConfig = LabelConfig(), *,
     fraud = F.coalesce(coerce_long(F.col(fraud_col)), F.lit(0)) == 1
     name = cfg.label_name
     if strategy == "frame":
-        d = fr.with_order(df, entity_col, time_col, tiebreak, target_rows=None, repartition=False)
+        d, _ = fr.with_order(df, entity_col, time_col, tiebreak, target_rows=None, repartition=False)
         if cfg.mode == "any_in_horizon":
             w = Window.partitionBy(entity_col).orderBy(time_col).rangeBetween(1, H)
             y = F.coalesce(F.max(fraud.cast("int")).over(w), F.lit(0))
@@ -46,15 +46,15 @@ def make_early_warning_label(df: DataFrame, cfg: LabelConfig = LabelConfig(), *,
             dt = F.lead(time_col).over(w) - F.col(time_col)
             y = F.when(F.lead(fraud).over(w) & (dt > 0) & (dt <= H), 1).otherwise(0)
         return d.withColumn(name, y.cast("byte")).drop(fr.ORD, fr.CHUNK, fr.CLEN)
-    d = fr.with_order(df, entity_col, time_col, tiebreak, cfg.hot_key_rows)
+    d, chunked = fr.with_order(df, entity_col, time_col, tiebreak, cfg.hot_key_rows)
     if cfg.mode == "any_in_horizon":
-        d = fr.next_time_where(d, entity_col, time_col, fraud, "_next_fraud_t")
+        d = fr.next_time_where(d, entity_col, time_col, fraud, "_next_fraud_t", chunked=chunked)
         dt = F.col("_next_fraud_t") - F.col(time_col)
         y = F.when(dt <= H, 1).otherwise(0)
         d = d.withColumn(name, y.cast("byte")).drop("_next_fraud_t")
     elif cfg.mode == "next_event":
         d = d.withColumn("_is_fraud", fraud)
-        d = fr.next_values(d, entity_col, [time_col, "_is_fraud"])
+        d = fr.next_values(d, entity_col, [time_col, "_is_fraud"], chunked=chunked)
         dt = F.col("_next_" + time_col) - F.col(time_col)
         y = F.when(F.col("_next__is_fraud") & (dt > 0) & (dt <= H), 1).otherwise(0)
         d = d.withColumn(name, y.cast("byte")).drop("_is_fraud", "_next__is_fraud", "_next_" + time_col)

@@ -21,8 +21,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TARGET_BUCKET_ROWS = 2_000_000
-MAX_BUCKETS = 4096
+N_BUCKETS = 1024          # static: ~n/1024 distinct values per task, no sizing job needed
+EDGE_ACCURACY = 40000     # percentile_approx accuracy, finer than the bucket grid
 BROADCAST_ROWS = 1_000_000
 
 
@@ -34,43 +34,50 @@ def _as_list(x) -> list:
     return list(x)
 
 
-def choose_buckets(df: DataFrame, col: str, group_cols: Sequence[str] = ()) -> int:
-    """Bucket count from an approximate distinct count (one small aggregate job)."""
-    groups = _as_list(group_cols)
-    if groups:
-        n = df.groupBy(*groups).agg(F.approx_count_distinct(col).alias("n")).agg(F.max("n")).first()[0]
-    else:
-        n = df.agg(F.approx_count_distinct(col)).first()[0]
-    return int(max(1, min(MAX_BUCKETS, math.ceil((n or 0) / TARGET_BUCKET_ROWS))))
-
-
 def _small(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a side whose row count is bounded by ``bound`` (checked by the caller)."""
+    """Broadcast a side whose row count is bounded by ``bound`` (known from the call)."""
     return F.broadcast(df) if bound <= BROADCAST_ROWS else df
 
 
-def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: int | None = None,
-                suffix: str = "_cum", descending: bool = False, keep_bucket: bool = False) -> DataFrame:
+def lower_bound(edges: Column, v: Column, steps: int) -> Column:
+    """Number of sorted ``edges`` strictly below ``v``: binary search as a SQL fold,
+    O(log n) per row (``steps`` >= log2(len(edges)) + 1)."""
+    init = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+
+    def step(acc, _i):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        below = F.element_at(edges, mid + 1) < v
+        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
+            F.when(below, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
+            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+
+
+def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: int = N_BUCKETS,
+                suffix: str = "_cum", descending: bool = False, keep_bucket: bool = False,
+                max_groups: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in (``order_cols``) order within each group.
 
     Adds ``<c><suffix>`` (sum over rows at or before this row) and ``<c>_total``.
     ``descending`` orders by the leading column descending (others ascending).
+    The plan is fully lazy (no sizing job). ``max_groups`` bounds the number of
+    groups (default 1 without groups, 64 with) and decides whether the small
+    edge / offset tables are broadcast.
     """
     order_cols, sum_cols, groups = _as_list(order_cols), _as_list(sum_cols), _as_list(group_cols)
     lead = order_cols[0]
-    if n_buckets is None:
-        n_buckets = choose_buckets(df, lead, groups)
-    n_groups_bound = 1
-    if groups:
-        n_groups_bound = df.select(*groups).distinct().count()
+    if max_groups is None:
+        max_groups = 64 if groups else 1
     if n_buckets > 1:
         ps = [i / n_buckets for i in range(1, n_buckets)]
-        edges = df.groupBy(*groups).agg(
-            F.percentile_approx(F.col(lead).cast("double"), ps, 10000).alias("_edges")) if groups else \
-            df.agg(F.percentile_approx(F.col(lead).cast("double"), ps, 10000).alias("_edges"))
-        edges = _small(edges, n_groups_bound)
+        pa = F.array_sort(F.percentile_approx(F.col(lead).cast("double"), ps, EDGE_ACCURACY)).alias("_edges")
+        edges = df.groupBy(*groups).agg(pa) if groups else df.agg(pa)
+        edges = _small(edges, max_groups)
         d = df.join(edges, groups, "left") if groups else df.crossJoin(edges)
-        cnt = F.size(F.filter(F.col("_edges"), lambda e: e < F.col(lead).cast("double")))
+        steps = int(math.ceil(math.log2(n_buckets))) + 1
+        cnt = lower_bound(F.col("_edges"), F.col(lead).cast("double"), steps)
+        cnt = F.when(F.col(lead).isNull(), F.lit(0)).otherwise(cnt)
         bucket = (F.lit(n_buckets - 1) - cnt) if descending else cnt
         d = d.withColumn("_bucket", bucket.cast("int")).drop("_edges")
     else:
@@ -81,7 +88,7 @@ def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: i
     tot = tot.select(*groups, "_bucket",
                      *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias("_off_" + c) for c in sum_cols],
                      *[F.sum(c).over(wt).alias(c + "_total") for c in sum_cols])
-    tot = _small(tot, n_groups_bound * n_buckets)
+    tot = _small(tot, max_groups * n_buckets)
     first = F.col(lead).desc() if descending else F.col(lead).asc()
     wr = (Window.partitionBy(*groups, "_bucket").orderBy(first, *[F.col(c) for c in order_cols[1:]])
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -110,7 +117,7 @@ def next_value(cum: DataFrame, value: str, group_cols=(), out: str = "_next") ->
 
 
 def value_counts_cum(df: DataFrame, col: str, group_cols=(), weight: Column | None = None,
-                     n_buckets: int | None = None) -> DataFrame:
+                     n_buckets: int = N_BUCKETS) -> DataFrame:
     """Distinct values with count and inclusive cumulative count (ascending)."""
     groups = _as_list(group_cols)
     w = weight if weight is not None else F.lit(1)
@@ -126,7 +133,7 @@ def element_at_rank(cum: DataFrame, col: str, rank: Column, group_cols=()) -> Da
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear",
-                    group_cols=(), n_buckets: int | None = None) -> DataFrame:
+                    group_cols=(), n_buckets: int = N_BUCKETS) -> DataFrame:
     """Exact quantiles of non-null ``col`` per group, one row per (group, q).
 
     ``linear``: pandas / numpy default, position ``q*(n-1)`` interpolated.
@@ -135,10 +142,10 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation:
     """
     groups = _as_list(group_cols)
     cum = value_counts_cum(df, col, groups, n_buckets=n_buckets)
-    qdf = df.sparkSession.createDataFrame([(float(q),) for q in qs], "q double")
     pos = F.col("q") * (F.col("n_total") - 1)
     lo_rank, hi_rank = F.floor(pos) + 1, F.ceil(pos) + 1
-    x = cum.crossJoin(F.broadcast(qdf))      # qs is a fixed, tiny list
+    # qs is a fixed, tiny list: one copy of each distinct-value row per q
+    x = cum.select("*", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
     agg = x.groupBy(*groups, "q").agg(
         F.min(F.when(F.col("n_cum") >= lo_rank, F.col(col))).alias("_lo"),
         F.min(F.when(F.col("n_cum") >= hi_rank, F.col(col))).alias("_hi"),

@@ -7,6 +7,7 @@ evaluation, banding and monitoring all re-read it.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ from tidewatch.operators import frames as fr
 from tidewatch.operators import labels as lab
 from tidewatch.operators import profile as prof
 from tidewatch.operators import split as spl
+from tidewatch.session import materialize
 from tidewatch.sources.standins import events_transactions
 
 
@@ -29,19 +31,24 @@ class PipelineConfig:
     split: SplitConfig = field(default_factory=SplitConfig)
 
 
-def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig()) -> DataFrame:
-    """Stages 03-06: clean -> features -> label -> split (lazy).
+def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(),
+                  checkpoint: bool = True) -> DataFrame:
+    """Stages 03-06: clean -> features -> label -> split.
 
     The hot-key chunk lengths are computed once on the keyed input and reused
-    by the entity features, the fingerprint features and the label.
+    by the entity features, the fingerprint features and the label. The
+    labelled feature table is written once to the shared checkpoint folder
+    (``spark.checkpoint.dir``) before the split, whose quantile reads it again.
     """
     clean = prof.clean_merged_dataset(transactions, cfg.cleaning)
     f = feat.build_features(clean, cfg.features, keep_chunking=True)
     lcfg = cfg.label
-    if fr.clen_col("entity_key") in f.columns and lcfg.hot_key_rows != cfg.features.hot_key_rows:
-        f = f.drop(fr.clen_col("entity_key"))
+    if lcfg.hot_key_rows != cfg.features.hot_key_rows:
+        f = f.drop(fr.clen_col("entity_key"), fr.nohot_col("entity_key"))
     y = lab.make_early_warning_label(f, lcfg)
     y = feat.drop_internal(y)
+    if checkpoint:
+        y = materialize(y, f"labelled_{uuid.uuid4().hex[:12]}")
     return spl.time_split(y, cfg.split)
 
 
