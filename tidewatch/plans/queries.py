@@ -250,3 +250,147 @@ def q_split_report(spark, sf_dir):
     d = spl.time_split(_tx(spark, sf_dir, "events"))
     r = spl.split_report(d, "split", "isFraud")
     return r.select("split", "count", "positive", fixed4(F.col("positive_rate_pct")).alias("positive_rate_pct"))
+
+
+# ---------------------------------------------------------------------------
+# J1-J2, D1-D2, A1-A10 data stage
+# ---------------------------------------------------------------------------
+from tidewatch.operators import profile as prof  # noqa: E402
+
+_J1_SQL = """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
+
+
+def _docs_labels(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").drop("text")
+    return prof.merge_on_transaction_id(docs, table(spark, sf_dir, "labels"), key="doc_id")
+
+
+@register("left_join_partial_right", _J1_SQL)
+def q_join(spark, sf_dir):
+    """Left equi-join with partial right coverage (documents ⟕ labels)."""
+    return _docs_labels(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+
+
+@register("join_coverage", f"""SELECT {f4('avg(CAST(coalesce(quality, toxic) IS NOT NULL AS DOUBLE)) * 100.0')}
+       AS rows_with_any_identity_pct FROM ({_J1_SQL}) j""")
+def q_coverage(spark, sf_dir):
+    """% of rows with any right-side column present."""
+    c = prof.identity_coverage(_docs_labels(spark, sf_dir), cols=("quality", "toxic"))
+    return c.select(fixed4(F.col("rows_with_any_identity_pct")).alias("rows_with_any_identity_pct"))
+
+
+@register("missing_pct", f"""WITH j AS ({_J1_SQL})
+SELECT column_name AS "column", {f4('missing_pct')} AS missing_pct FROM (
+  SELECT 'doc_id' AS column_name, avg(CAST(doc_id IS NULL AS DOUBLE)) * 100.0 AS missing_pct FROM j UNION ALL
+  SELECT 'lang', avg(CAST(lang IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'source', avg(CAST(source IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'n_chars', avg(CAST(n_chars IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'quality', avg(CAST(quality IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'toxic', avg(CAST(toxic IS NULL AS DOUBLE)) * 100.0 FROM j) t""")
+def q_missing(spark, sf_dir):
+    """A1: missing % of every column of the joined table in one aggregate."""
+    m = prof.missing_pct(_docs_labels(spark, sf_dir).select("doc_id", "lang", "source", "n_chars",
+                                                            "quality", "toxic"))
+    return m.select("column", fixed4(F.col("missing_pct")).alias("missing_pct"))
+
+
+@register("top_missing_columns", f"""WITH j AS ({_J1_SQL}), m AS (
+  SELECT 'doc_id' AS c, avg(CAST(doc_id IS NULL AS DOUBLE)) * 100.0 AS v FROM j UNION ALL
+  SELECT 'lang', avg(CAST(lang IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'source', avg(CAST(source IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'n_chars', avg(CAST(n_chars IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'quality', avg(CAST(quality IS NULL AS DOUBLE)) * 100.0 FROM j UNION ALL
+  SELECT 'toxic', avg(CAST(toxic IS NULL AS DOUBLE)) * 100.0 FROM j)
+SELECT c AS "column", {f4('v')} AS missing_pct FROM m ORDER BY v DESC, c LIMIT 3""")
+def q_top_missing(spark, sf_dir):
+    """A2: top-n missing columns (a top-n report; n = 3 here)."""
+    t = prof.top_missing_columns(_docs_labels(spark, sf_dir).select("doc_id", "lang", "source", "n_chars",
+                                                                    "quality", "toxic"), n=3)
+    return t.select("column", fixed4(F.col("missing_pct")).alias("missing_pct"))
+
+
+@register("time_coverage", f"""WITH tx AS ({EVENTS_TX_SQL})
+SELECT min(TransactionDT) AS transaction_dt_min, max(TransactionDT) AS transaction_dt_max,
+       {f4('avg(CAST(TransactionDT IS NULL AS DOUBLE)) * 100.0')} AS transaction_dt_missing_pct FROM tx""")
+def q_time_cov(spark, sf_dir):
+    """A4: min / max / missing % of the event time."""
+    t = prof.time_coverage(_tx(spark, sf_dir, "events"))
+    return t.select("transaction_dt_min", "transaction_dt_max",
+                    fixed4(F.col("transaction_dt_missing_pct")).alias("transaction_dt_missing_pct"))
+
+
+@register("label_value_counts", f"""WITH tx AS ({EVENTS_TX_SQL})
+SELECT isFraud AS value, count(*) AS count FROM tx GROUP BY isFraud""")
+def q_label_counts(spark, sf_dir):
+    """A5: label value counts including null."""
+    return prof.label_distribution(_tx(spark, sf_dir, "events"))[1]
+
+
+@register("label_rate", f"""WITH tx AS ({EVENTS_TX_SQL})
+SELECT {f4('avg(CAST(isFraud IS NULL AS DOUBLE)) * 100.0')} AS isFraud_missing_pct,
+       {f4('avg(CAST(isFraud AS DOUBLE)) * 100.0')} AS isFraud_rate_pct FROM tx""")
+def q_label_rate(spark, sf_dir):
+    """A5: missing % and positive rate % (missing ignored)."""
+    s = prof.label_distribution(_tx(spark, sf_dir, "events"))[0]
+    return s.select(*[fixed4(F.col(c)).alias(c) for c in s.columns])
+
+
+_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("numeric_sanity", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {f4(f'avg(CAST({c} IS NULL AS DOUBLE)) * 100.0')} AS missing_pct,
+       {f4(f'min({c})')} AS min, {f4(f'max({c})')} AS max, {f4(f'quantile_cont({c}, 0.5)')} AS p50,
+       {f4(f'quantile_cont({c}, 0.95)')} AS p95, {f4(f'quantile_cont({c}, 0.99)')} AS p99 FROM lineitem"""
+    for c in _NUM))
+def q_numeric(spark, sf_dir):
+    """Min / max / exact linear p50 / p95 / p99 per numeric column (distributed prefix counts)."""
+    n = prof.numeric_sanity(table(spark, sf_dir, "lineitem"), _NUM)
+    return n.select("column", *[fixed4(F.col(c)).alias(c) for c in ("missing_pct", "min", "max", "p50", "p95", "p99")])
+
+
+@register("top_categories", """WITH l AS (
+  SELECT 'event_type' AS "column", coalesce(CAST(event_type AS VARCHAR), '<NA>') AS value FROM events UNION ALL
+  SELECT 'props', coalesce(CAST(props AS VARCHAR), '<NA>') FROM events),
+c AS (SELECT "column", value, count(*) AS count FROM l GROUP BY ALL)
+SELECT "column", value, count, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY "column" ORDER BY count DESC, value) AS rank FROM c) t
+WHERE rank <= 10""")
+def q_topcat(spark, sf_dir):
+    """Top-10 values per categorical column with an explicit tie rule."""
+    t = prof.top_categories(table(spark, sf_dir, "events"), ("event_type", "props"), top_n=10)
+    return t.select("column", "value", "count", F.col("rank").cast("int").alias("rank"))
+
+
+@register("duplicate_key_count", """SELECT count(*) - count(DISTINCT l_orderkey)
+       - max(CAST(l_orderkey IS NULL AS INTEGER)) AS duplicate_rows FROM lineitem""")
+def q_dupcount(spark, sf_dir):
+    """Rows beyond the first per key."""
+    return prof.duplicate_count(table(spark, sf_dir, "lineitem"), "l_orderkey")
+
+
+@register("dedup_keep_first", """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS rn
+  FROM lineitem) t
+WHERE rn = 1""")
+def q_dedup(spark, sf_dir):
+    """Keep the first row per key by an explicit order (aggregate form, skew-proof)."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    return prof.drop_duplicates_keep_first(li, "l_orderkey", ("l_linenumber", "l_partkey", "l_quantity"))
+
+
+@register("cleaning_metrics", f"""WITH tx AS ({EVENTS_TX_SQL})
+SELECT count(*) AS rows_before, 7 AS cols_before, count(DISTINCT TransactionID) AS rows_after, 7 AS cols_after,
+       0.0 AS missing_TransactionID_pct, 0.0 AS missing_TransactionDT_pct, 0.0 AS missing_TransactionAmt_pct,
+       0.0 AS missing_isFraud_pct, {f4('avg(CAST(isFraud AS DOUBLE)) * 100.0')} AS label_rate_pct,
+       min(TransactionDT) AS transaction_dt_min, max(TransactionDT) AS transaction_dt_max FROM tx""")
+def q_clean(spark, sf_dir):
+    """A10: keep-first de-duplication + coercion, with the cleaning metrics."""
+    tx = _tx(spark, sf_dir, "events")
+    m = prof.cleaning_metrics(tx, prof.clean_merged_dataset(tx))
+    return m.select("rows_before", F.col("cols_before").cast("int").alias("cols_before"), "rows_after",
+                    F.col("cols_after").cast("int").alias("cols_after"),
+                    *[fixed4(F.col(c)).alias(c) for c in m.columns if c.startswith("missing_")],
+                    fixed4(F.col("label_rate_pct")).alias("label_rate_pct"),
+                    "transaction_dt_min", "transaction_dt_max")
