@@ -53,29 +53,31 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig()) -
     feats = _present(ref, cur, cfg.features)
     e = ecdf_table(ref, cur, feats)
     gap = F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
-    ks = e.groupBy("feature").agg(F.max(gap).alias("ks_statistic"), F.first("r_total").alias("n_ref"),
+    ks = e.groupBy("feature").agg(F.max(gap).alias("_d"), F.first("r_total").alias("n_ref"),
                                   F.first("c_total").alias("n_cur"),
-                                  (F.sum(F.col("value") * F.col("r")) / F.first("r_total")).alias("ref_mean"),
-                                  (F.sum(F.col("value") * F.col("c")) / F.first("c_total")).alias("current_mean"))
+                                  (F.sum(F.col("value") * F.col("r")) / F.first("r_total")).alias("_rm"),
+                                  (F.sum(F.col("value") * F.col("c")) / F.first("c_total")).alias("_cm"))
     ks = ks.filter((F.col("n_ref") >= cfg.min_rows) & (F.col("n_cur") >= cfg.min_rows))
-    p = _ks_pvalue(F.col("ks_statistic"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
-    change = F.abs(F.col("current_mean") - F.col("ref_mean")) / (F.abs(F.col("ref_mean")) + F.lit(1e-9)) * 100.0
-    return ks.select("feature", F.round("ks_statistic", 4).alias("ks_statistic"), F.round(p, 4).alias("p_value"),
-                     (p < cfg.p_threshold).alias("drift_detected"), F.round("ref_mean", 4).alias("ref_mean"),
-                     F.round("current_mean", 4).alias("current_mean"), F.round(change, 2).alias("mean_change_pct"),
+    # unrounded inputs carry private names: a select-list alias must never shadow them
+    p = _ks_pvalue(F.col("_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    change = F.abs(F.col("_cm") - F.col("_rm")) / (F.abs(F.col("_rm")) + F.lit(1e-9)) * 100.0
+    return ks.select("feature", F.round("_d", 4).alias("ks_statistic"), F.round(p, 4).alias("p_value"),
+                     (p < cfg.p_threshold).alias("drift_detected"), F.round("_rm", 4).alias("ref_mean"),
+                     F.round("_cm", 4).alias("current_mean"), F.round(change, 2).alias("mean_change_pct"),
                      "n_ref", "n_cur")
 
 
 def score_shift(cur: DataFrame, ref: DataFrame | None = None, cfg: DriftConfig = DriftConfig(),
                 score: str = "score") -> DataFrame:
     """DR3: reference mean (parameter, else the reference score mean) vs current mean."""
-    cur_m = cur.agg(F.avg(nan_to_null(F.col(score))).alias("current_mean_score"))
+    cur_m = cur.agg(F.avg(nan_to_null(F.col(score))).alias("_cur"))
     if cfg.reference_score_mean is not None:
-        ref_m = cur.sparkSession.range(1).select(F.lit(float(cfg.reference_score_mean)).alias("reference_mean_score"))
+        ref_m = cur.sparkSession.range(1).select(F.lit(float(cfg.reference_score_mean)).alias("_ref"))
     else:
-        ref_m = ref.agg(F.avg(nan_to_null(F.col(score))).alias("reference_mean_score"))
-    shift = F.abs(F.col("current_mean_score") - F.col("reference_mean_score"))
-    return ref_m.crossJoin(cur_m).select("reference_mean_score", F.round("current_mean_score", 4).alias("current_mean_score"),
+        ref_m = ref.agg(F.avg(nan_to_null(F.col(score))).alias("_ref"))
+    shift = F.abs(F.col("_cur") - F.col("_ref"))
+    return ref_m.crossJoin(cur_m).select(F.col("_ref").alias("reference_mean_score"),
+                                         F.round("_cur", 4).alias("current_mean_score"),
                                          F.round(shift, 4).alias("absolute_shift"),
                                          (shift > cfg.score_mean_change_alert).alias("alert"))
 
@@ -94,12 +96,11 @@ def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Data
 
 def label_drift(ref: DataFrame, cur: DataFrame, label: str = "y_ew_72h") -> DataFrame:
     """DR5: positive-rate shift."""
-    r = ref.agg(F.avg(F.col(label).cast("double")).alias("reference_positive_rate"))
-    c = cur.agg(F.avg(F.col(label).cast("double")).alias("current_positive_rate"))
-    return r.crossJoin(c).select(F.round("reference_positive_rate", 4).alias("reference_positive_rate"),
-                                 F.round("current_positive_rate", 4).alias("current_positive_rate"),
-                                 F.round(F.abs(F.col("current_positive_rate") - F.col("reference_positive_rate")), 4)
-                                 .alias("absolute_shift"))
+    r = ref.agg(F.avg(F.col(label).cast("double")).alias("_r"))
+    c = cur.agg(F.avg(F.col(label).cast("double")).alias("_c"))
+    return r.crossJoin(c).select(F.round("_r", 4).alias("reference_positive_rate"),
+                                 F.round("_c", 4).alias("current_positive_rate"),
+                                 F.round(F.abs(F.col("_c") - F.col("_r")), 4).alias("absolute_shift"))
 
 
 def drift_summary(ks: DataFrame, ref: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:

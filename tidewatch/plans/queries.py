@@ -394,3 +394,367 @@ def q_clean(spark, sf_dir):
                     *[fixed4(F.col(c)).alias(c) for c in m.columns if c.startswith("missing_")],
                     fixed4(F.col("label_rate_pct")).alias("label_rate_pct"),
                     "transaction_dt_min", "transaction_dt_max")
+
+
+# ---------------------------------------------------------------------------
+# E1-E7 metrics, B1-B4/B6/B7 bands (score = logistic of the event value)
+# ---------------------------------------------------------------------------
+from tidewatch.config import BandPolicy, DriftConfig  # noqa: E402
+from tidewatch.operators import bands as bnd  # noqa: E402
+from tidewatch.operators import calibrate as cal  # noqa: E402
+from tidewatch.operators import drift as drf  # noqa: E402
+from tidewatch.operators import metrics as met  # noqa: E402
+from tidewatch.operators import prep  # noqa: E402
+
+_SCORED_SQL = """SELECT event_id AS id, CAST(event_type = 'error' AS INTEGER) AS y,
+       (value - 50.0) / 40.0 AS logit, 1.0 / (1.0 + exp(-((value - 50.0) / 40.0))) AS p FROM events"""
+
+
+def _scored(spark, sf_dir):
+    """Score table: id, label y (event is an error), logit and probability of a fixed scorer."""
+    e = table(spark, sf_dir, "events")
+    z = (F.col("value") - F.lit(50.0)) / F.lit(40.0)
+    return e.select(F.col("event_id").alias("id"), (F.col("event_type") == "error").cast("int").alias("y"),
+                    z.alias("logit"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("p"))
+
+
+_CURVE_SQL = f"""WITH s AS ({_SCORED_SQL}),
+g AS (SELECT p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, sum(CASE WHEN y = 1 THEN 0 ELSE 1 END) AS neg
+      FROM s WHERE p IS NOT NULL GROUP BY p),
+c AS (SELECT *, sum(pos) OVER (ORDER BY p ROWS UNBOUNDED PRECEDING) AS pos_cum,
+                sum(neg) OVER (ORDER BY p ROWS UNBOUNDED PRECEDING) AS neg_cum,
+                sum(pos) OVER () AS tot_pos, sum(neg) OVER () AS tot_neg FROM g),
+k AS (SELECT *, tot_pos - (pos_cum - pos) AS tp, tot_neg - (neg_cum - neg) AS fp FROM c)"""
+
+
+@register("binary_metrics", f"""{_CURVE_SQL}
+SELECT {f4('sum(pos * (neg_cum - neg + neg / 2.0)) / (max(tot_pos) * max(tot_neg))')} AS auc_roc,
+       {f4('sum(CASE WHEN pos > 0 THEN pos / tot_pos * tp / (tp + fp) END)')} AS avg_precision,
+       (SELECT {f4('avg(power(p - y, 2))')} FROM s) AS brier FROM k""")
+def q_binary(spark, sf_dir):
+    """E1 + E5: tie-exact AUC (ties = 1/2), step-sum average precision, Brier."""
+    m = met.binary_metrics(_scored(spark, sf_dir))
+    return m.select(*[fixed4(F.col(c)).alias(c) for c in ("auc_roc", "avg_precision", "brier")])
+
+
+@register("pr_curve", f"""{_CURVE_SQL}
+SELECT {f4('p')} AS threshold, {f4('tp / (tp + fp)')} AS precision, {f4('tp / tot_pos')} AS recall,
+       {f4('tot_pos / (tot_pos + tot_neg)')} AS base_rate FROM k""")
+def q_pr(spark, sf_dir):
+    """Precision / recall per distinct threshold."""
+    c = met.pr_curve(_scored(spark, sf_dir))
+    return c.select(*[fixed4(F.col(x)).alias(x) for x in ("threshold", "precision", "recall", "base_rate")])
+
+
+@register("best_f1_threshold", f"""{_CURVE_SQL},
+cand AS (SELECT *, 2 * (tp / (tp + fp)) * (tp / tot_pos) / ((tp / (tp + fp)) + (tp / tot_pos) + 1e-12) AS f1 FROM k
+         WHERE p >= (SELECT min(p) FROM k WHERE pos > 0))
+SELECT {f4('p')} AS best_threshold, {f4('f1')} AS best_f1, {f4('tp / (tp + fp)')} AS precision_at_best,
+       {f4('tp / tot_pos')} AS recall_at_best FROM cand ORDER BY f1 DESC, p LIMIT 1""")
+def q_f1(spark, sf_dir):
+    """The F1-optimal threshold (true optimum; compat mode gives the previous one)."""
+    b = met.best_f1_threshold(_scored(spark, sf_dir))
+    return b.select(*[fixed4(F.col(c)).alias(c) for c in b.columns])
+
+
+@register("lift_at_k", f"""WITH s AS ({_SCORED_SQL}),
+r AS (SELECT y, row_number() OVER (ORDER BY p DESC, id) AS rn FROM s),
+t AS (SELECT count(*) AS n, sum(y) AS P FROM s),
+k AS (SELECT pct, greatest(1, CAST(floor(n * pct / 100.0) AS BIGINT)) AS k, n, P
+      FROM (VALUES (1.0), (3.0), (8.0)) v(pct), t)
+SELECT pct AS top_pct, k.k AS k, {f4('sum(r.y) / k.k')} AS precision, {f4('sum(r.y) / greatest(max(P), 1)')} AS recall,
+       {f4('(sum(r.y) / k.k) / greatest(max(P) / max(n), 1e-12)')} AS lift
+FROM k JOIN r ON r.rn <= k.k GROUP BY pct, k.k""")
+def q_lift(spark, sf_dir):
+    """Precision / recall / lift of the top 1 / 3 / 8 % (score desc, id asc)."""
+    lf = met.lift_at_k(_scored(spark, sf_dir), (1, 3, 8))
+    return lf.select("top_pct", "k", *[fixed4(F.col(c)).alias(c) for c in ("precision", "recall", "lift")])
+
+
+@register("log_loss", f"""WITH s AS ({_SCORED_SQL})
+SELECT {f4('avg(-(y * ln(least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) + (1 - y) * ln(1 - least(greatest(p, 2.220446049250313e-16), 1 - 2.220446049250313e-16))))')} AS log_loss FROM s""")
+def q_logloss(spark, sf_dir):
+    """Clipped binary log-loss."""
+    return met.log_loss(_scored(spark, sf_dir)).select(fixed4(F.col("log_loss")).alias("log_loss"))
+
+
+@register("reliability_curve", f"""WITH s AS ({_SCORED_SQL}),
+e AS (SELECT quantile_cont(p, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM s),
+b AS (SELECT y, p, CAST(len(list_filter(edges, lambda x: x < p)) AS INTEGER) AS bin FROM s, e)
+SELECT bin, {f4('avg(CAST(y AS DOUBLE))')} AS prob_true, {f4('avg(p)')} AS prob_pred, count(*) AS count
+FROM b GROUP BY bin""")
+def q_reliability(spark, sf_dir):
+    """10 quantile bins, mean label vs mean score."""
+    r = met.reliability_curve(_scored(spark, sf_dir), 10)
+    return r.select(F.col("bin").cast("int").alias("bin"), fixed4(F.col("prob_true")).alias("prob_true"),
+                    fixed4(F.col("prob_pred")).alias("prob_pred"), "count")
+
+
+_CUTS_SQL = f"""SELECT quantile_cont(p, 0.99) AS critical, quantile_cont(p, 0.97) AS high,
+       quantile_cont(p, 0.92) AS medium FROM ({_SCORED_SQL}) s"""
+_BANDED_SQL = f"""SELECT s.*, CASE WHEN p IS NULL OR isnan(p) THEN 'low' WHEN p >= critical THEN 'critical'
+                   WHEN p >= high THEN 'high' WHEN p >= medium THEN 'medium' ELSE 'low' END AS risk_band
+FROM ({_SCORED_SQL}) s, ({_CUTS_SQL}) c"""
+
+
+def _banded(spark, sf_dir):
+    s = _scored(spark, sf_dir).withColumnRenamed("p", "score")
+    return bnd.assign_risk_band(s, bnd.band_cutoffs(s, BandPolicy()))
+
+
+@register("band_cutoffs", f"""SELECT {f4('critical')} AS critical, {f4('high')} AS high, {f4('medium')} AS medium
+FROM ({_CUTS_SQL}) c""")
+def q_cutoffs_b(spark, sf_dir):
+    """B1: capacity cutoffs = exact linear quantiles at 99 / 97 / 92 %."""
+    s = _scored(spark, sf_dir).withColumnRenamed("p", "score")
+    c = bnd.band_cutoffs(s, BandPolicy())
+    return c.select(*[fixed4(F.col(x)).alias(x) for x in ("critical", "high", "medium")])
+
+
+@register("risk_bands", f"SELECT id, risk_band FROM ({_BANDED_SQL}) b")
+def q_bands(spark, sf_dir):
+    """B2: band per row (NaN / null -> low)."""
+    return _banded(spark, sf_dir).select("id", "risk_band")
+
+
+@register("band_summary", f"""WITH b AS ({_BANDED_SQL}),
+o AS (SELECT * FROM (VALUES ('critical', 0), ('high', 1), ('medium', 2), ('low', 3)) v(risk_band, band_rank)),
+per AS (SELECT risk_band, count(*) AS cnt, sum(y) AS positives FROM b GROUP BY risk_band),
+d AS (SELECT o.risk_band, o.band_rank, per.cnt, per.positives FROM o LEFT JOIN per USING (risk_band)),
+c AS (SELECT *, sum(coalesce(cnt, 0)) OVER (ORDER BY band_rank) AS cum_rows,
+                sum(coalesce(positives, 0)) OVER (ORDER BY band_rank) AS cum_pos,
+                sum(coalesce(cnt, 0)) OVER () AS total_rows, sum(coalesce(positives, 0)) OVER () AS total_pos FROM d)
+SELECT risk_band, CAST(band_rank AS INTEGER) AS band_rank, cnt AS count, CAST(positives AS BIGINT) AS positives,
+       {f4('positives / cnt')} AS precision, CAST(cum_rows AS BIGINT) AS cum_rows,
+       CAST(cum_pos AS BIGINT) AS cum_captured_pos, {f4('100.0 * cum_rows / total_rows')} AS cum_rows_pct,
+       {f4('cum_pos / total_pos')} AS cum_recall, {f4('cum_pos / cum_rows')} AS cum_precision FROM c""")
+def q_band_summary(spark, sf_dir):
+    """B4 (A14 + A15): per-band precision and the cumulative review funnel."""
+    s = bnd.band_summary(_banded(spark, sf_dir), label_col="y")
+    return s.select("risk_band", F.col("band_rank").cast("int").alias("band_rank"), "count", "positives",
+                    fixed4(F.col("precision")).alias("precision"), "cum_rows", "cum_captured_pos",
+                    *[fixed4(F.col(c)).alias(c) for c in ("cum_rows_pct", "cum_recall", "cum_precision")])
+
+
+@register("exact_capacity_bands", f"""WITH s AS ({_SCORED_SQL}),
+r AS (SELECT id, row_number() OVER (ORDER BY p DESC, id) AS rk, count(*) OVER () AS n FROM s)
+SELECT id, CASE WHEN rk <= CAST(floor(n * 0.01) AS BIGINT) THEN 'critical'
+                WHEN rk <= CAST(floor(n * 0.03) AS BIGINT) THEN 'high'
+                WHEN rk <= CAST(floor(n * 0.08) AS BIGINT) THEN 'medium' ELSE 'low' END AS risk_band FROM r""")
+def q_exact_bands(spark, sf_dir):
+    """Exactly int(n * pct) rows in the cumulative top bands (rank by score desc, id)."""
+    s = _scored(spark, sf_dir).withColumnRenamed("p", "score")
+    return bnd.exact_capacity_bands(s, BandPolicy(policy="exact_k"), "score", "id").select("id", "risk_band")
+
+
+@register("serving_bands", f"""WITH s AS ({_SCORED_SQL}), t AS (SELECT *, 1.0 / (1.0 + exp(-logit / 1.5)) AS cp FROM s)
+SELECT id, round(p, 6) AS raw_fraud_probability, round(cp, 6) AS calibrated_fraud_probability,
+       CASE WHEN cp >= 0.9528 THEN 'critical' WHEN cp >= 0.9121 THEN 'high' WHEN cp >= 0.7430 THEN 'medium'
+            ELSE 'low' END AS risk_band,
+       CASE WHEN cp >= 0.9528 THEN 'BLOCK_AND_REVIEW — Immediate manual review required'
+            WHEN cp >= 0.9121 THEN 'STEP_UP_AUTH — Request additional authentication'
+            WHEN cp >= 0.7430 THEN 'MONITOR — Flag for delayed review; apply additional rules'
+            ELSE 'APPROVE — Auto-approve with standard monitoring' END AS recommended_action FROM t""")
+def q_serving(spark, sf_dir):
+    """B6 + B7 + M11: temperature-scaled score, frozen cutoffs, band and action per row."""
+    s = cal.apply_temperature(_scored(spark, sf_dir), 1.5, "logit", "score").withColumnRenamed("p", "raw_score")
+    b = bnd.serving_bands(s, "raw_score", "score")
+    return b.select("id", "raw_fraud_probability", "calibrated_fraud_probability", "risk_band", "recommended_action")
+
+
+# ---------------------------------------------------------------------------
+# DR1-DR8 drift: lineitem shipped before 1998 (reference) vs from 1998 (current)
+# ---------------------------------------------------------------------------
+_DRIFT_FEATS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+_REF_SQL = "SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'"
+_CUR_SQL = "SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-01-01'"
+
+
+def _ref_cur(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
+    return li.filter(F.col("l_shipdate") < cut), li.filter(F.col("l_shipdate") >= cut)
+
+
+def _long_sql(src: str, side: int) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, {side} AS side FROM ({src}) x"
+                              for c in _DRIFT_FEATS)
+
+
+_ECDF_SQL = f"""l AS ({_long_sql(_REF_SQL, 0)} UNION ALL {_long_sql(_CUR_SQL, 1)}),
+g AS (SELECT feature, value, sum(CASE WHEN side = 0 THEN 1 ELSE 0 END) AS r,
+             sum(CASE WHEN side = 1 THEN 1 ELSE 0 END) AS c FROM l WHERE value IS NOT NULL GROUP BY feature, value),
+e AS (SELECT *, sum(r) OVER w AS r_cum, sum(c) OVER w AS c_cum, sum(r) OVER (PARTITION BY feature) AS r_total,
+             sum(c) OVER (PARTITION BY feature) AS c_total, lead(value) OVER (PARTITION BY feature ORDER BY value) AS nxt
+      FROM g WINDOW w AS (PARTITION BY feature ORDER BY value ROWS UNBOUNDED PRECEDING))"""
+
+
+@register("ks_drift", f"""WITH {_ECDF_SQL},
+k AS (SELECT feature, max(abs(r_cum / r_total - c_cum / c_total)) AS d, max(r_total) AS n, max(c_total) AS m,
+             sum(value * r) / max(r_total) AS ref_mean, sum(value * c) / max(c_total) AS cur_mean FROM e GROUP BY feature),
+lam AS (SELECT *, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * d AS lam FROM k),
+p AS (SELECT feature, CASE WHEN lam < 1e-3 THEN 1.0 ELSE
+        least(greatest(2.0 * (SELECT sum(power(-1.0, i - 1) * exp(-2.0 * i * i * lam * lam)) FROM range(1, 101) t(i)), 0.0), 1.0)
+        END AS pv FROM lam)
+SELECT k.feature, round(d, 4) AS ks_statistic, round(pv, 4) AS p_value, pv < 0.05 AS drift_detected,
+       round(ref_mean, 4) AS ref_mean, round(cur_mean, 4) AS current_mean,
+       round(abs(cur_mean - ref_mean) / (abs(ref_mean) + 1e-9) * 100.0, 2) AS mean_change_pct,
+       n AS n_ref, m AS n_cur FROM k JOIN p USING (feature)""")
+def q_ks(spark, sf_dir):
+    """DR1 + DR2: two-sample KS (D, asymptotic p), drift flag, mean shift, all features in one plan."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS))
+
+
+@register("wasserstein_drift", f"""WITH {_ECDF_SQL},
+sd AS (SELECT feature, stddev_pop(value) AS sd FROM ({_long_sql(_REF_SQL, 0)}) x GROUP BY feature),
+w AS (SELECT feature, sum(coalesce(abs(r_cum / r_total - c_cum / c_total) * (nxt - value), 0.0)) AS w FROM e GROUP BY feature)
+SELECT feature, {f4('w')} AS wasserstein, {f4('w / nullif(sd, 0)')} AS wasserstein_norm FROM w JOIN sd USING (feature)""")
+def q_wasserstein(spark, sf_dir):
+    """DR4: 1-Wasserstein distance per feature, raw and reference-std normalised."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    w = drf.wasserstein(ref, cur, _DRIFT_FEATS)
+    return w.select("feature", fixed4(F.col("wasserstein")).alias("wasserstein"),
+                    fixed4(F.col("wasserstein_norm")).alias("wasserstein_norm"))
+
+
+@register("drift_summary", None)
+def q_drift_summary(spark, sf_dir):
+    """DR6: share of drifted features and the global alert (over DR1's table)."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    cfg = DriftConfig(features=_DRIFT_FEATS)
+    return drf.drift_summary(drf.ks_drift(ref, cur, cfg), ref, cfg).drop("drifted_features")
+
+
+@register("psi_js_drift", f"""WITH r AS ({_long_sql(_REF_SQL, 0)}), c AS ({_long_sql(_CUR_SQL, 1)}),
+e AS (SELECT feature, quantile_cont(value, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM r
+      WHERE value IS NOT NULL GROUP BY feature),
+b AS (SELECT x.feature, side, len(list_filter(edges, lambda t: t < value)) AS bin
+      FROM (SELECT * FROM r UNION ALL SELECT * FROM c) x JOIN e USING (feature) WHERE value IS NOT NULL),
+h AS (SELECT feature, bin, sum(CASE WHEN side = 0 THEN 1.0 ELSE 0.0 END) AS rr,
+             sum(CASE WHEN side = 1 THEN 1.0 ELSE 0.0 END) AS cc FROM b GROUP BY feature, bin),
+p AS (SELECT feature, rr / sum(rr) OVER (PARTITION BY feature) + 1e-6 AS pr,
+             cc / sum(cc) OVER (PARTITION BY feature) + 1e-6 AS pc FROM h)
+SELECT feature, {f4('sum((pc - pr) * ln(pc / pr))')} AS psi,
+       {f4('0.5 * sum(pr * ln(pr / ((pr + pc) / 2))) + 0.5 * sum(pc * ln(pc / ((pr + pc) / 2)))')} AS js_divergence
+FROM p GROUP BY feature""")
+def q_psi(spark, sf_dir):
+    """DR7: PSI and Jensen-Shannon divergence on reference-decile bins."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    p = drf.psi_js(ref, cur, _DRIFT_FEATS)
+    return p.select("feature", fixed4(F.col("psi")).alias("psi"), fixed4(F.col("js_divergence")).alias("js_divergence"))
+
+
+@register("data_quality", f"""WITH l AS ({_long_sql(_REF_SQL, 0)} UNION ALL {_long_sql(_CUR_SQL, 1)})
+SELECT feature, CASE WHEN side = 0 THEN 'reference' ELSE 'current' END AS side, count(*) AS count,
+       CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
+       {f4('min(value)')} AS min, {f4('max(value)')} AS max, {f4('avg(value)')} AS mean, {f4('stddev_samp(value)')} AS std,
+       {f4('quantile_cont(value, 0.25)')} AS p25, {f4('quantile_cont(value, 0.5)')} AS p50,
+       {f4('quantile_cont(value, 0.75)')} AS p75 FROM l GROUP BY feature, side""")
+def q_quality(spark, sf_dir):
+    """DR8: per feature and side: count, missing, min/max/mean/std and quartiles."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    q = drf.data_quality(ref, cur, _DRIFT_FEATS)
+    return q.select("feature", "side", "count", "missing",
+                    *[fixed4(F.col(c)).alias(c) for c in ("min", "max", "mean", "std", "p25", "p50", "p75")])
+
+
+@register("score_and_label_drift", f"""WITH s AS ({_SCORED_SQL}), t AS (SELECT s.*, e.ts FROM s JOIN events e ON e.event_id = s.id),
+r AS (SELECT avg(p) AS rs, avg(CAST(y AS DOUBLE)) AS ry FROM t WHERE ts < TIMESTAMP '2024-01-21'),
+c AS (SELECT avg(p) AS cs, avg(CAST(y AS DOUBLE)) AS cy FROM t WHERE ts >= TIMESTAMP '2024-01-21')
+SELECT {f4('rs')} AS reference_mean_score, {f4('cs')} AS current_mean_score, {f4('abs(cs - rs)')} AS score_shift,
+       abs(cs - rs) > 0.05 AS score_alert, {f4('ry')} AS reference_positive_rate, {f4('cy')} AS current_positive_rate,
+       {f4('abs(cy - ry)')} AS label_shift FROM r, c""")
+def q_score_label_drift(spark, sf_dir):
+    """DR3 + DR5: mean-score shift (reference mean from the data) and positive-rate shift."""
+    s = _scored(spark, sf_dir).join(table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts"), "id")
+    cut = F.lit("2024-01-21 00:00:00").cast("timestamp_ntz")
+    ref, cur = s.filter(F.col("ts") < cut).withColumnRenamed("p", "score"), s.filter(F.col("ts") >= cut).withColumnRenamed("p", "score")
+    sc = drf.score_shift(cur, ref, DriftConfig())
+    # unrounded means for the shared rounding rule
+    sc = ref.agg(F.avg("score").alias("rs")).crossJoin(cur.agg(F.avg("score").alias("cs"))).crossJoin(sc.select("alert"))
+    lb = drf.label_drift(ref, cur, "y")
+    ry = ref.agg(F.avg(F.col("y").cast("double")).alias("ry")).crossJoin(cur.agg(F.avg(F.col("y").cast("double")).alias("cy")))
+    out = sc.crossJoin(ry).crossJoin(lb.select(F.lit(1).alias("_k")))
+    return out.select(fixed4(F.col("rs")).alias("reference_mean_score"), fixed4(F.col("cs")).alias("current_mean_score"),
+                      fixed4(F.abs(F.col("cs") - F.col("rs"))).alias("score_shift"), F.col("alert").alias("score_alert"),
+                      fixed4(F.col("ry")).alias("reference_positive_rate"), fixed4(F.col("cy")).alias("current_positive_rate"),
+                      fixed4(F.abs(F.col("cy") - F.col("ry"))).alias("label_shift"))
+
+
+# ---------------------------------------------------------------------------
+# M1, M2, M4, M5, M9 preprocessing; M12 calibration report
+# ---------------------------------------------------------------------------
+@register("standardizer_fit", "SELECT " + ", ".join(
+    f"{f4(f'avg({c})')} AS {c}__mean, {f4(f'coalesce(nullif(stddev_pop({c}), 0), 1.0)')} AS {c}__std"
+    for c in _DRIFT_FEATS) + " FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01'")
+def q_std_fit(spark, sf_dir):
+    """M1: train-only mean / population std (std 0 -> 1)."""
+    ref, _ = _ref_cur(spark, sf_dir)
+    st = prep.fit_standardizer(ref, _DRIFT_FEATS)
+    return st.select(*[fixed4(F.col(c)).alias(c) for c in st.columns])
+
+
+@register("standardize_transform", "WITH s AS (SELECT " + ", ".join(
+    f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1.0) AS s_{c}" for c in _DRIFT_FEATS)
+    + " FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01') SELECT l_orderkey, l_linenumber, l_partkey, "
+    + ", ".join(f"{f4(f'CAST(CAST(coalesce(({c} - m_{c}) / s_{c}, 0.0) AS FLOAT) AS DOUBLE)')} AS {c}"
+                for c in _DRIFT_FEATS) + " FROM lineitem, s WHERE l_shipdate >= TIMESTAMP '1998-01-01'")
+def q_std_apply(spark, sf_dir):
+    """M2: scale current rows with train statistics; missing -> 0 after scaling; float32."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    t = prep.transform_numeric(cur.select("l_orderkey", "l_linenumber", "l_partkey", *_DRIFT_FEATS),
+                               prep.fit_standardizer(ref, _DRIFT_FEATS), _DRIFT_FEATS)
+    return t.select("l_orderkey", "l_linenumber", "l_partkey",
+                    *[fixed4(F.col(c).cast("double")).alias(c) for c in _DRIFT_FEATS])
+
+
+@register("median_scaler_fit", " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, {f4(f'quantile_cont({c}, 0.5)')} AS median,
+       {f4(f'coalesce(nullif(stddev_pop(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM lineitem))), 0), 1.0)')}
+       AS scale FROM lineitem""" for c in _DRIFT_FEATS))
+def q_median(spark, sf_dir):
+    """M4: exact median for imputation and population std of the imputed column."""
+    m = prep.fit_median_scaler(table(spark, sf_dir, "lineitem"), _DRIFT_FEATS)
+    return m.select("feature", fixed4(F.col("median")).alias("median"), fixed4(F.col("scale")).alias("scale"))
+
+
+@register("category_modes", """WITH l AS (SELECT 'l_returnflag' AS feature, l_returnflag AS value FROM lineitem UNION ALL
+  SELECT 'l_linestatus', l_linestatus FROM lineitem UNION ALL SELECT 'o_orderpriority', NULL WHERE false),
+c AS (SELECT feature, value, count(*) AS n FROM l WHERE value IS NOT NULL GROUP BY ALL)
+SELECT feature, min(value) AS mode FROM c WHERE n = (SELECT max(n) FROM c c2 WHERE c2.feature = c.feature)
+GROUP BY feature""")
+def q_modes(spark, sf_dir):
+    """M5: most frequent value per categorical column (ties -> smallest)."""
+    return prep.fit_modes(table(spark, sf_dir, "lineitem"), ("l_returnflag", "l_linestatus"))
+
+
+@register("class_weights", f"""WITH tx AS ({EVENTS_TX_SQL}),
+a AS (SELECT count(*) AS n, sum(CASE WHEN isFraud = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN isFraud = 1 THEN 0 ELSE 1 END) AS neg FROM tx)
+SELECT n, CAST(pos AS BIGINT) AS pos, CAST(neg AS BIGINT) AS neg, {f4('neg / greatest(pos, 1)')} AS pos_weight,
+       {f4('n / (2.0 * pos)')} AS w_pos, {f4('n / (2.0 * neg)')} AS w_neg FROM a""")
+def q_weights(spark, sf_dir):
+    """M9: neg/pos weight and balanced class weights."""
+    w = prep.class_weights(_tx(spark, sf_dir, "events"), "isFraud")
+    return w.select("n", "pos", "neg", *[fixed4(F.col(c)).alias(c) for c in ("pos_weight", "w_pos", "w_neg")])
+
+
+@register("calibration_report", f"""WITH s AS ({_SCORED_SQL}),
+t AS (SELECT y, 1.0 / (1.0 + exp(-logit)) AS p0, 1.0 / (1.0 + exp(-logit / 1.5)) AS p1 FROM s)
+SELECT 1.5 AS temperature, {f4('avg(power(p0 - y, 2))')} AS brier_before, {f4('avg(power(p1 - y, 2))')} AS brier_after,
+       {f4('avg(-(y * ln(least(greatest(p0, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) + (1 - y) * ln(1 - least(greatest(p0, 2.220446049250313e-16), 1 - 2.220446049250313e-16))))')} AS logloss_before,
+       {f4('avg(-(y * ln(least(greatest(p1, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) + (1 - y) * ln(1 - least(greatest(p1, 2.220446049250313e-16), 1 - 2.220446049250313e-16))))')} AS logloss_after
+FROM t""")
+def q_calrep(spark, sf_dir):
+    """M11 + M12: Brier and log-loss before / after a temperature (T = 1.5)."""
+    r = cal.calibration_report(_scored(spark, sf_dir), 1.5, "logit", "y")
+    return r.select(*[fixed4(F.col(c)).alias(c) for c in r.columns])
+
+
+@register("temperature_fit", None)
+def q_tfit(spark, sf_dir):
+    """Fit T on the events score (iterative grid zoom; no SQL form)."""
+    s = _scored(spark, sf_dir)
+    t = cal.fit_temperature(s, "logit", "y")
+    return cal.calibration_report(s, t, "logit", "y")
