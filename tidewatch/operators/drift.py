@@ -14,14 +14,21 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DriftConfig
 from tidewatch.functions.exprs import nan_to_null
-from tidewatch.operators.quantiles import exact_quantiles, next_value, prefix_sums
+from tidewatch.operators.quantiles import bucketize, exact_quantiles, next_value, prefix_sums
 
 
 def _long(df: DataFrame, features: Sequence[str], side: int) -> DataFrame:
-    arr = F.array(*[F.struct(F.lit(c).alias("feature"), nan_to_null(F.col(c)).alias("value")) for c in features])
+    """Long form ``(feature, value, side)``; ``feature`` is a small int id while
+    the data is grouped (cheaper keys), mapped back to names at the end."""
+    arr = F.array(*[F.struct(F.lit(i).alias("feature"), nan_to_null(F.col(c)).alias("value"))
+                    for i, c in enumerate(features)])
     return df.select(F.inline(arr)).withColumn("side", F.lit(side))
 
 
+def _name(features: Sequence[str], col: str = "feature"):
+    return F.element_at(F.array(*[F.lit(c) for c in features]), F.col(col) + 1)
+
+
 def _present(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> list[str]:
     return [c for c in features if c in ref.columns and c in cur.columns]
 
@@ -61,7 +68,7 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig()) -
     # unrounded inputs carry private names: a select-list alias must never shadow them
     p = _ks_pvalue(F.col("_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
     change = F.abs(F.col("_cm") - F.col("_rm")) / (F.abs(F.col("_rm")) + F.lit(1e-9)) * 100.0
-    return ks.select("feature", F.round("_d", 4).alias("ks_statistic"), F.round(p, 4).alias("p_value"),
+    return ks.select(_name(feats).alias("feature"), F.round("_d", 4).alias("ks_statistic"), F.round(p, 4).alias("p_value"),
                      (p < cfg.p_threshold).alias("drift_detected"), F.round("_rm", 4).alias("ref_mean"),
                      F.round("_cm", 4).alias("current_mean"), F.round(change, 2).alias("mean_change_pct"),
                      "n_ref", "n_cur")
@@ -91,7 +98,7 @@ def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Data
     dist = e.groupBy("feature").agg(F.sum(F.coalesce(gap * (F.col("_next") - F.col("value")), F.lit(0.0))).alias("wasserstein"))
     std = _long(ref, feats, 0).groupBy("feature").agg(F.stddev_pop("value").alias("_sd"))
     return dist.join(std, "feature", "left").select(
-        "feature", "wasserstein", (F.col("wasserstein") / F.nullif(F.col("_sd"), F.lit(0.0))).alias("wasserstein_norm"))
+        _name(feats).alias("feature"), "wasserstein", (F.col("wasserstein") / F.nullif(F.col("_sd"), F.lit(0.0))).alias("wasserstein_norm"))
 
 
 def label_drift(ref: DataFrame, cur: DataFrame, label: str = "y_ew_72h") -> DataFrame:
@@ -123,18 +130,19 @@ def psi_js(ref: DataFrame, cur: DataFrame, features: Sequence[str], n_bins: int
     qs = [i / n_bins for i in range(1, n_bins)]
     rl = _long(ref, feats, 0).filter(F.col("value").isNotNull())
     cl = _long(cur, feats, 1).filter(F.col("value").isNotNull())
-    edges = exact_quantiles(rl, "value", qs, "linear", group_cols=["feature"])
-    edges = edges.groupBy("feature").agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("_e")) \
-        .select("feature", F.transform("_e", lambda x: x["value"]).alias("_edges"))
-    both = rl.unionByName(cl).join(F.broadcast(edges), "feature")     # features x (n_bins-1) values
-    b = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("value")))
-    h = both.groupBy("feature", b.alias("bin")).agg(F.sum((F.col("side") == 0).cast("double")).alias("r"),
+    eq = exact_quantiles(rl, "value", qs, "linear", group_cols=["feature"]).collect()  # features x (n_bins-1)
+    edges = {}
+    for r in sorted(eq, key=lambda r: (r["feature"], r["q"])):
+        edges.setdefault((r["feature"],), []).append(r["value"])
+    both = bucketize(rl.unionByName(cl), F.col("value"), edges, ["feature"], "bin", dedupe=False)
+    both = both.filter(F.col("feature").isin([k[0] for k in edges]))
+    h = both.groupBy("feature", "bin").agg(F.sum((F.col("side") == 0).cast("double")).alias("r"),
                                                      F.sum((F.col("side") == 1).cast("double")).alias("c"))
     wf = Window.partitionBy("feature")
     h = h.select("feature", "bin", (F.col("r") / F.sum("r").over(wf) + eps).alias("pr"),
                  (F.col("c") / F.sum("c").over(wf) + eps).alias("pc"))
     m = (F.col("pr") + F.col("pc")) / 2
-    return h.groupBy("feature").agg(
+    return h.groupBy(_name(feats).alias("feature")).agg(
         F.sum((F.col("pc") - F.col("pr")) * F.log(F.col("pc") / F.col("pr"))).alias("psi"),
         (0.5 * F.sum(F.col("pr") * F.log(F.col("pr") / m)) + 0.5 * F.sum(F.col("pc") * F.log(F.col("pc") / m)))
         .alias("js_divergence"))
@@ -152,4 +160,5 @@ def data_quality(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Dat
     piv = q.groupBy("feature", "side").agg(*[F.max(F.when(F.col("q") == x, F.col("value"))).alias(n)
                                             for x, n in [(0.25, "p25"), (0.5, "p50"), (0.75, "p75")]])
     return base.join(piv, ["feature", "side"], "left") \
-        .withColumn("side", F.when(F.col("side") == 0, "reference").otherwise("current"))
+        .withColumn("side", F.when(F.col("side") == 0, "reference").otherwise("current")) \
+        .withColumn("feature", _name(feats))

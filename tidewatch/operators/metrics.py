@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import nan_to_null
-from tidewatch.operators.quantiles import exact_quantiles, prefix_sums
+from tidewatch.operators.quantiles import bucketize, exact_quantiles, prefix_sums
 
 LOGLOSS_EPS = 2.220446049250313e-16   # float64 machine epsilon, the clip used for log-loss
 
@@ -134,12 +134,10 @@ def reliability_curve(scored: DataFrame, n_bins: int = 10, y: str = "y", p: str
     Edges are exact linear quantiles of p; bin = number of inner edges < p.
     """
     qs = [i / n_bins for i in range(1, n_bins)]
-    edges = exact_quantiles(scored.select(F.col(p).alias("_p")), "_p", qs, "linear")
-    arr = edges.agg(F.array_sort(F.collect_list(F.struct("q", "value"))).alias("_e")) \
-        .select(F.transform("_e", lambda x: x["value"]).alias("_edges"))
-    d = scored.crossJoin(F.broadcast(arr))     # n_bins - 1 values
-    b = F.size(F.filter(F.col("_edges"), lambda e: e < F.col(p)))
-    return (d.groupBy(b.alias("bin")).agg(F.avg(F.col(y).cast("double")).alias("prob_true"),
+    edges = [r["value"] for r in exact_quantiles(scored.select(F.col(p).alias("_p")), "_p", qs, "linear")
+             .orderBy("q").collect()]                    # n_bins - 1 values
+    d = bucketize(scored, F.col(p), {(): edges}, (), "bin", dedupe=False)
+    return (d.groupBy("bin").agg(F.avg(F.col(y).cast("double")).alias("prob_true"),
                                           F.avg(F.col(p)).alias("prob_pred"),
                                           F.count(F.lit(1)).alias("count")))
 

@@ -21,8 +21,9 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-N_BUCKETS = 1024          # static: ~n/1024 distinct values per task, no sizing job needed
-EDGE_ACCURACY = 40000     # percentile_approx accuracy, finer than the bucket grid
+MAX_BUCKETS = 512         # per group; keeps the constant search tree small
+TARGET_BUCKET_ROWS = 1_000_000
+EDGE_ACCURACY = 20000     # percentile_approx accuracy, finer than the bucket grid
 BROADCAST_ROWS = 1_000_000
 
 
@@ -39,47 +40,94 @@ def _small(df: DataFrame, bound: int) -> DataFrame:
     return F.broadcast(df) if bound <= BROADCAST_ROWS else df
 
 
-def lower_bound(edges: Column, v: Column, steps: int) -> Column:
-    """Number of sorted ``edges`` strictly below ``v``: binary search as a SQL fold,
-    O(log n) per row (``steps`` >= log2(len(edges)) + 1)."""
-    init = F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi"))
+def _search_tree(v: Column, edges: list, lo: int, hi: int) -> Column:
+    """Balanced comparison tree giving #edges < v, known to lie in [lo, hi]."""
+    if lo >= hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(v > F.lit(edges[mid]), _search_tree(v, edges, mid + 1, hi)).otherwise(
+        _search_tree(v, edges, lo, mid))
 
-    def step(acc, _i):
-        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
-        below = F.element_at(edges, mid + 1) < v
-        return F.when(acc["lo"] >= acc["hi"], acc).otherwise(
-            F.when(below, F.struct((mid + 1).alias("lo"), acc["hi"].alias("hi")))
-            .otherwise(F.struct(acc["lo"].alias("lo"), mid.alias("hi"))))
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), init, step)["lo"]
+def bucketize(d: DataFrame, value: Column, edges_by_group: dict, group_cols, out: str,
+              dedupe: bool = True) -> DataFrame:
+    """Add ``out`` = number of a group's sorted edges strictly below ``value``.
 
-
-def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: int = N_BUCKETS,
+    The edges are a small, bounded summary (``#groups x n_buckets`` doubles)
+    known on the driver, so the search is a balanced tree of constant
+    comparisons (about 2 nodes per edge, depth log2): no per-row array, only
+    log2(n_buckets) comparisons evaluated per row. With ``dedupe=False``
+    repeated edges are kept (bin numbers then match "count of edges < v").
+    """
+    groups = _as_list(group_cols)
+    v = value.cast("double")
+    expr = None
+    for g, es in edges_by_group.items():
+        es = sorted({float(e) for e in es if e is not None}) if dedupe else sorted(float(e) for e in es if e is not None)
+        t = _search_tree(v, es, 0, len(es))
+        if not groups:
+            expr = t
+            break
+        cond = None
+        for c, gv in zip(groups, g):
+            e = F.col(c).isNull() if gv is None else (F.col(c) == F.lit(gv))
+            cond = e if cond is None else cond & e
+        expr = F.when(cond, t) if expr is None else expr.when(cond, t)
+    if expr is None:
+        expr = F.lit(0)
+    expr = F.when(v.isNull(), F.lit(0)).otherwise(expr)
+    return d.withColumn(out, expr.cast("int"))
+
+
+def group_edges(df: DataFrame, col: str, group_cols, max_groups: int, n_buckets: int | None = None,
+                target_rows: int = TARGET_BUCKET_ROWS) -> dict:
+    """Approximate-quantile edges per group, sized by the group's row count.
+
+    One small job returns, per group, the count and a fine grid of
+    ``MAX_BUCKETS - 1`` approximate quantiles; the driver keeps every k-th edge
+    so a bucket holds about ``target_rows`` rows (``n_buckets`` forces a size).
+    Collected data is bounded: ``max_groups x MAX_BUCKETS`` doubles.
+    """
+    groups = _as_list(group_cols)
+    grid = n_buckets if n_buckets else MAX_BUCKETS
+    ps = [i / grid for i in range(1, grid)]
+    aggs = [F.percentile_approx(F.col(col).cast("double"), ps, EDGE_ACCURACY).alias("_edges"),
+            F.count(F.col(col)).alias("_n")]
+    rows = (df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)).limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups; pass a larger max_groups")
+    out = {}
+    for r in rows:
+        es = r["_edges"] or []
+        if not n_buckets:
+            nb = int(min(MAX_BUCKETS, max(1, math.ceil((r["_n"] or 0) / target_rows))))
+            step = grid // nb if nb > 1 else grid
+            es = [es[i - 1] for i in range(step, grid, step)] if nb > 1 else []
+        out[tuple(r[g] for g in groups)] = es
+    return out
+
+
+def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: int | None = None,
                 suffix: str = "_cum", descending: bool = False, keep_bucket: bool = False,
                 max_groups: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in (``order_cols``) order within each group.
 
     Adds ``<c><suffix>`` (sum over rows at or before this row) and ``<c>_total``.
     ``descending`` orders by the leading column descending (others ascending).
-    The plan is fully lazy (no sizing job). ``max_groups`` bounds the number of
-    groups (default 1 without groups, 64 with) and decides whether the small
-    edge / offset tables are broadcast.
+    The bucket edges are one small job (approximate quantiles, collected:
+    at most ``max_groups x n_buckets`` doubles); ``max_groups`` (default 1
+    without groups, 64 with) also decides whether the offset table is broadcast.
     """
     order_cols, sum_cols, groups = _as_list(order_cols), _as_list(sum_cols), _as_list(group_cols)
     lead = order_cols[0]
     if max_groups is None:
         max_groups = 64 if groups else 1
-    if n_buckets > 1:
-        ps = [i / n_buckets for i in range(1, n_buckets)]
-        pa = F.array_sort(F.percentile_approx(F.col(lead).cast("double"), ps, EDGE_ACCURACY)).alias("_edges")
-        edges = df.groupBy(*groups).agg(pa) if groups else df.agg(pa)
-        edges = _small(edges, max_groups)
-        d = df.join(edges, groups, "left") if groups else df.crossJoin(edges)
-        steps = int(math.ceil(math.log2(n_buckets))) + 1
-        cnt = lower_bound(F.col("_edges"), F.col(lead).cast("double"), steps)
-        cnt = F.when(F.col(lead).isNull(), F.lit(0)).otherwise(cnt)
-        bucket = (F.lit(n_buckets - 1) - cnt) if descending else cnt
-        d = d.withColumn("_bucket", bucket.cast("int")).drop("_edges")
+    if n_buckets is None or n_buckets > 1:
+        eg = group_edges(df, lead, groups, max_groups, n_buckets)
+        top = max([len(e) for e in eg.values()] + [0])
+        d = bucketize(df, F.col(lead), eg, groups, "_cnt")
+        bucket = (F.lit(top) - F.col("_cnt")) if descending else F.col("_cnt")
+        d = d.withColumn("_bucket", bucket.cast("int")).drop("_cnt")
     else:
         d = df.withColumn("_bucket", F.lit(0))
     tot = d.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
@@ -88,7 +136,7 @@ def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: i
     tot = tot.select(*groups, "_bucket",
                      *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias("_off_" + c) for c in sum_cols],
                      *[F.sum(c).over(wt).alias(c + "_total") for c in sum_cols])
-    tot = _small(tot, max_groups * n_buckets)
+    tot = _small(tot, max_groups * MAX_BUCKETS)
     first = F.col(lead).desc() if descending else F.col(lead).asc()
     wr = (Window.partitionBy(*groups, "_bucket").orderBy(first, *[F.col(c) for c in order_cols[1:]])
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -117,7 +165,7 @@ def next_value(cum: DataFrame, value: str, group_cols=(), out: str = "_next") ->
 
 
 def value_counts_cum(df: DataFrame, col: str, group_cols=(), weight: Column | None = None,
-                     n_buckets: int = N_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = None) -> DataFrame:
     """Distinct values with count and inclusive cumulative count (ascending)."""
     groups = _as_list(group_cols)
     w = weight if weight is not None else F.lit(1)
@@ -133,7 +181,7 @@ def element_at_rank(cum: DataFrame, col: str, rank: Column, group_cols=()) -> Da
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear",
-                    group_cols=(), n_buckets: int = N_BUCKETS) -> DataFrame:
+                    group_cols=(), n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles of non-null ``col`` per group, one row per (group, q).
 
     ``linear``: pandas / numpy default, position ``q*(n-1)`` interpolated.
