@@ -758,3 +758,61 @@ def q_tfit(spark, sf_dir):
     s = _scored(spark, sf_dir)
     t = cal.fit_temperature(s, "logit", "y")
     return cal.calibration_report(s, t, "logit", "y")
+
+
+# ---------------------------------------------------------------------------
+# ST1-ST4 Structured Streaming (file stream over the driver table, availableNow)
+# ---------------------------------------------------------------------------
+from tidewatch.streaming import online as st  # noqa: E402
+
+
+@register("online_scoring_stream", f"""WITH s AS ({_SCORED_SQL}), t AS (SELECT *, 1.0 / (1.0 + exp(-logit / 1.5)) AS cp FROM s)
+SELECT id, {f4('cp')} AS score,
+       CASE WHEN cp >= 0.9528 THEN 'critical' WHEN cp >= 0.9121 THEN 'high' WHEN cp >= 0.7430 THEN 'medium'
+            ELSE 'low' END AS risk_band FROM t""")
+def q_stream_score(spark, sf_dir):
+    """ST1: stream of events -> temperature-scaled score -> frozen cutoffs -> band."""
+    ev = st.stream_table(spark, sf_dir, "events")
+
+    def scorer(d):
+        z = (F.col("value") - F.lit(50.0)) / F.lit(40.0)
+        return cal.apply_temperature(d.withColumn("logit", z), 1.5, "logit", "score")
+
+    s = st.score_stream(ev, scorer)
+    out = st.run_to_table(s.select(F.col("event_id").alias("id"), "score", "risk_band"), "st1")
+    return out.select("id", fixed4(F.col("score")).alias("score"), "risk_band")
+
+
+@register("online_velocity_stream", entity_features_sql(EVENTS_TX_SQL))
+def q_stream_velocity(spark, sf_dir):
+    """ST2: stateful per-key velocity features over the event stream (equals batch on in-order input)."""
+    ev = st.stream_table(spark, sf_dir, "events")
+    v = st.velocity_stream(ev, "user_id", "ts", "event_id", "value")
+    out = st.run_to_table(v, "st2")
+    return out.filter(~F.col("late")).select(
+        F.col("id").alias("TransactionID"), "cnt_1h", fixed4(F.col("sum_amt_1h")).alias("sum_amt_1h"), "cnt_24h",
+        *[fixed4(F.col(c)).alias(c) for c in ("avg_amt_24h", "mean_amt_7d_hist", "std_amt_7d_hist", "z_amt_vs_7d")])
+
+
+@register("dedup_stream", "SELECT DISTINCT l_orderkey FROM lineitem")
+def q_stream_dedup(spark, sf_dir):
+    """ST3: drop repeated order keys within the watermark (lineitem stream)."""
+    li = st.stream_table(spark, sf_dir, "lineitem").withColumn("_ts", F.col("l_shipdate").cast("timestamp"))
+    d = st.dedup_stream(li, "l_orderkey", "_ts", "3650 days")
+    return st.run_to_table(d.select("l_orderkey"), "st3")
+
+
+@register("band_traffic_stream", None)
+def q_stream_traffic(spark, sf_dir):
+    """ST4: hourly sliding-window traffic and positives per band on the scored stream (append mode)."""
+    ev = st.stream_table(spark, sf_dir, "events")
+
+    def scorer(d):
+        z = (F.col("value") - F.lit(50.0)) / F.lit(40.0)
+        return cal.apply_temperature(d.withColumn("logit", z), 1.5, "logit", "score")
+
+    s = st.score_stream(ev, scorer).withColumn("_ts", F.col("ts").cast("timestamp")) \
+        .withColumn("y", (F.col("event_type") == "error").cast("int"))
+    t = st.band_traffic(s, "_ts", "y", "1 hour", "10 minutes", "0 seconds")
+    out = st.run_to_table(t, "st4")
+    return out.select(F.col("window.start").cast("string").alias("window_start"), "risk_band", "rows", "positives")

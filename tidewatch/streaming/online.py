@@ -23,7 +23,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidewatch.config import SERVING_CUTOFFS, FeatureConfig
 from tidewatch.operators.bands import band_action, band_expr
-from tidewatch.operators.schema import SCORING_CONSTRAINTS, check_constraints
+from tidewatch.operators.schema import check_constraints
 
 
 def score_stream(events: DataFrame, scorer: Callable[[DataFrame], DataFrame],
@@ -63,15 +63,41 @@ VELOCITY_SCHEMA = ("key string, id long, t long, amount double, cnt_1h int, sum_
 STATE_SCHEMA = "ts array<long>, ids array<long>, amts array<double>, late_rows long"
 
 
-def _window_stats(t: np.ndarray, a: np.ndarray, start: int, w: int):
-    """Count / sum of non-null amounts in (t_i - w, t_i] up to row i, for rows >= start
-    of time-sorted arrays (prefix sums + binary search, no per-row loops)."""
-    present = ~np.isnan(a)
-    cs_n = np.concatenate([[0], np.cumsum(present)])
-    cs_s = np.concatenate([[0.0], np.cumsum(np.where(present, a, 0.0))])
+SCALE = 10 ** 6    # amounts as integer micro-units: window sums are exact
+
+
+def _bounds(t: np.ndarray, start: int, w: int):
     idx = np.arange(start, len(t))
-    lo = np.searchsorted(t, t[idx] - w, side="right")
-    return cs_n[idx + 1] - cs_n[lo], cs_s[idx + 1] - cs_s[lo]
+    return idx, np.searchsorted(t, t[idx] - w, side="right")
+
+
+def _window_sums(a: np.ndarray, idx: np.ndarray, lo: np.ndarray):
+    """Count and exact sum (micro-units) of non-null amounts over rows lo..idx."""
+    present = ~np.isnan(a)
+    u = np.where(present, np.round(np.nan_to_num(a) * SCALE), 0).astype(np.int64)
+    cs_n = np.concatenate([[0], np.cumsum(present, dtype=np.int64)])
+    cs_u = np.concatenate([[0], np.cumsum(u, dtype=np.int64)])
+    return cs_n[idx + 1] - cs_n[lo], cs_u[idx + 1] - cs_u[lo]
+
+
+def _window_var(a: np.ndarray, idx: np.ndarray, lo: np.ndarray, n: np.ndarray, s_u: np.ndarray):
+    """Population variance over rows lo..idx; exactly 0 when every present value is equal
+    (counted via value changes between consecutive present values)."""
+    present = ~np.isnan(a)
+    x = np.where(present, np.nan_to_num(a), 0.0)
+    cs_q = np.concatenate([[0.0], np.cumsum(x * x)])
+    pv = a[present]
+    change = np.concatenate([[0], (pv[1:] != pv[:-1]).astype(np.int64)]) if len(pv) else np.zeros(0, np.int64)
+    cs_c = np.concatenate([[0], np.cumsum(change)])
+    # present-subsequence range of the window: (#present before lo) .. (#present up to idx) - 1
+    cnt_before = np.concatenate([[0], np.cumsum(present)])
+    pa, pb = cnt_before[lo], cnt_before[idx + 1] - 1
+    changes = np.where(pb > pa, cs_c[np.maximum(pb, 0) + 1] - cs_c[np.minimum(pa, len(pv) - 1) + 1], 0) \
+        if len(pv) else np.zeros(len(idx), np.int64)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        mean = np.where(n > 0, s_u / SCALE / np.maximum(n, 1), 0.0)
+        var = np.where(n > 0, np.maximum((cs_q[idx + 1] - cs_q[lo]) / np.maximum(n, 1) - mean * mean, 0.0), 0.0)
+    return mean, np.where(changes > 0, var, 0.0)
 
 
 def _velocity_fn(cfg: FeatureConfig):
@@ -87,45 +113,42 @@ def _velocity_fn(cfg: FeatureConfig):
         else:
             ts, ids, amts, late = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0)
         new = pd.concat(list(pdfs), ignore_index=True)
-        wm = state.getCurrentWatermarkMs() // 1000 if state.getCurrentWatermarkMs() > 0 else None
-        is_late = np.zeros(len(new), dtype=bool)
-        if wm is not None:
-            is_late = new["t"].to_numpy() < wm
+        wm_ms = state.getCurrentWatermarkMs()
+        is_late = (new["t"].to_numpy() < wm_ms // 1000) if wm_ms > 0 else np.zeros(len(new), dtype=bool)
         late += int(is_late.sum())
         ok = new[~is_late].sort_values(["t", "id"], kind="mergesort")
         n_old = len(ts)
         t = np.concatenate([ts, ok["t"].to_numpy(np.int64)])
         i_ = np.concatenate([ids, ok["id"].to_numpy(np.int64)])
         a = np.concatenate([amts, ok["amount"].to_numpy(np.float64)])
-        c1, s1 = _window_stats(t, a, n_old, cfg.win_1h)
-        c24, s24 = _window_stats(t, a, n_old, cfg.win_24h)
+        idx, lo1 = _bounds(t, n_old, cfg.win_1h)
+        c1, s1 = _window_sums(a, idx, lo1)
+        _, lo24 = _bounds(t, n_old, cfg.win_24h)
+        c24, s24 = _window_sums(a, idx, lo24)
         prev = np.concatenate([[np.nan], a[:-1]])          # lagged amount (previous row, however old)
-        pc, psum = _window_stats(t, prev, n_old, cfg.win_7d)
-        present = ~np.isnan(prev)
-        cs_q = np.concatenate([[0.0], np.cumsum(np.where(present, prev * prev, 0.0))])
-        idx = np.arange(n_old, len(t))
-        lo = np.searchsorted(t, t[idx] - cfg.win_7d, side="right")
-        q = cs_q[idx + 1] - cs_q[lo]
+        _, lo7 = _bounds(t, n_old, cfg.win_7d)
+        pc, ps = _window_sums(prev, idx, lo7)
+        mean, var = _window_var(prev, idx, lo7, pc, ps)
+        std = np.sqrt(var)
         with np.errstate(invalid="ignore", divide="ignore"):
-            mean = np.where(pc > 0, psum / np.maximum(pc, 1), 0.0)
-            var = np.where(pc > 0, np.maximum(q / np.maximum(pc, 1) - mean * mean, 0.0), 0.0)
-            std = np.sqrt(var)
             z = np.where(std > 0, (a[n_old:] - mean) / np.where(std > 0, std, 1.0), np.nan)
+            avg24 = np.where(c24 > 0, s24 / SCALE / np.maximum(c24, 1), 0.0)
         out = pd.DataFrame({"key": k, "id": i_[n_old:], "t": t[n_old:], "amount": a[n_old:],
-                            "cnt_1h": c1.astype("int32"), "sum_amt_1h": s1, "cnt_24h": c24.astype("int32"),
-                            "avg_amt_24h": np.where(c24 > 0, s24 / np.maximum(c24, 1), 0.0),
-                            "mean_amt_7d_hist": mean, "std_amt_7d_hist": std, "z_amt_vs_7d": z, "late": False})
+                            "cnt_1h": c1.astype("int32"), "sum_amt_1h": s1 / SCALE, "cnt_24h": c24.astype("int32"),
+                            "avg_amt_24h": avg24, "mean_amt_7d_hist": mean, "std_amt_7d_hist": std,
+                            "z_amt_vs_7d": z, "late": False})
         lat = new[is_late]
         if len(lat):
-            out = pd.concat([out, pd.DataFrame({"key": k, "id": lat["id"], "t": lat["t"], "amount": lat["amount"],
-                                                "late": True})], ignore_index=True)
+            out = pd.concat([out, pd.DataFrame({"key": k, "id": lat["id"].to_numpy(), "t": lat["t"].to_numpy(),
+                                                "amount": lat["amount"].to_numpy(), "late": True})],
+                            ignore_index=True)
         # keep the last 7 days plus the row before them (its amount is the next row's lag)
         if len(t):
             keep_from = max(0, int(np.searchsorted(t, t[-1] - cfg.win_7d, side="right")) - 1)
             t, i_, a = t[keep_from:], i_[keep_from:], a[keep_from:]
-        state.update((t.tolist(), i_.tolist(), [None if np.isnan(v) else float(v) for v in a], late))
-        state.setTimeoutTimestamp(int((t[-1] + cfg.win_7d) * 1000) if len(t) else state.getCurrentWatermarkMs() + 1)
-        yield out.replace({np.nan: None})
+            state.update((t.tolist(), i_.tolist(), [None if np.isnan(v) else float(v) for v in a], late))
+            state.setTimeoutTimestamp(int((t[-1] + cfg.win_7d) * 1000))
+        yield out.astype({"cnt_1h": "Int32", "cnt_24h": "Int32"}).replace({np.nan: None})
     return fn
 
 
@@ -141,3 +164,27 @@ def velocity_stream(events: DataFrame, key: str, time_ts: str, id_col: str, amou
     return (d.withWatermark("_ts", delay).groupBy("key")
             .applyInPandasWithState(_velocity_fn(cfg), VELOCITY_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
+
+
+def run_to_table(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
+    """Drive a streaming query over everything available (``availableNow``) into a
+    Parquet table under the shared checkpoint folder, then read it back."""
+    import os
+    import uuid
+    from tidewatch.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(stream.sparkSession), "streams", f"{name}_{uuid.uuid4().hex[:10]}")
+    q = (stream.writeStream.format("parquet").outputMode(output_mode)
+         .option("path", os.path.join(base, "out")).option("checkpointLocation", os.path.join(base, "ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(os.path.join(base, "out"))
+
+
+def stream_table(spark, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """A driver table read as a file stream (schema taken from the batch read)."""
+    import os
+    schema = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")).schema
+    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files:
+        r = r.option("maxFilesPerTrigger", max_files)
+    return r.parquet(sf_dir)
