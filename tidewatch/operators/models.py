@@ -85,24 +85,33 @@ def fit_baseline(train: DataFrame, y: str, numeric: Sequence[str], categorical:
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     stages.append(LogisticRegression(featuresCol="features", labelCol=y, weightCol="_w",
                                      regParam=1.0 / (cfg.C * sw), elasticNetParam=0.0, standardization=False,
-                                     maxIter=min(cfg.max_iter, 200), tol=1e-6))
+                                     maxIter=cfg.max_iter, tol=1e-6))
     model = Pipeline(stages=stages).fit(d.withColumn(y, F.col(y).cast("double")))
     return BaselineModel(numeric, categorical, keys, scaler, modes, model)
 
 
 def fit_nonlinear(train: DataFrame, valid: DataFrame, y: str, numeric: Sequence[str],
                   grid: Sequence[Mapping] = ({"maxDepth": 3}, {"maxDepth": 5}), seed: int = 42):
-    """M8 re-aim: class-weighted gradient-boosted trees; the grid point with the best
-    validation average precision wins. Returns ``(model, best_params, best_ap)``."""
+    """M8 re-aim: class-weighted gradient-boosted trees on median-imputed numerics; the
+    grid point with the best validation average precision wins.
+
+    Returns ``(model, best_params, best_ap, prepare)`` where ``prepare(df)``
+    applies the train-fitted imputation before ``model.transform``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
     from tidewatch.operators.metrics import binary_metrics
     from pyspark.ml.functions import vector_to_array
     numeric = list(numeric)
+    scaler = prep.fit_median_scaler(train, numeric)
+
+    def prepare(df):
+        return prep.apply_median_scaler(df, scaler, numeric)
+
     weights = prep.class_weights(train, y)
-    tr = prep.with_balanced_weight(train, weights, y, "_w").withColumn(y, F.col(y).cast("double"))
-    best = (None, None, -1.0)
+    tr = prep.with_balanced_weight(prepare(train), weights, y, "_w").withColumn(y, F.col(y).cast("double"))
+    valid = prepare(valid)
+    best = (None, None, -1.0, prepare)
     for params in grid:
         pipe = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep"),
                                 GBTClassifier(featuresCol="features", labelCol=y, weightCol="_w", seed=seed,
@@ -111,7 +120,7 @@ def fit_nonlinear(train: DataFrame, valid: DataFrame, y: str, numeric: Sequence[
         sc = m.transform(valid).withColumn("p", vector_to_array("probability")[1])
         ap = binary_metrics(sc.withColumn("_y", F.col(y).cast("int")), "_y", "p").first().avg_precision or 0.0
         if ap > best[2]:
-            best = (m, dict(params), ap)
+            best = (m, dict(params), ap, prepare)
     return best
 
 
@@ -129,9 +138,27 @@ def embedding_lookup(df: DataFrame, key: str, table: DataFrame, buckets: int, ou
     return d.join(t, b, "left").drop(b)
 
 
+def mlp_weights_from_spark(model, layers: Sequence[int]) -> list:
+    """Unpack a fitted ``MultilayerPerceptronClassificationModel``: per layer a row-major
+    (n_in x n_out) matrix followed by its biases."""
+    w = np.asarray(model.weights.toArray(), dtype=np.float64)
+    out, off = [], 0
+    for a, b in zip(layers[:-1], layers[1:]):
+        W = w[off: off + a * b].reshape((a, b))
+        off += a * b
+        out.append((W, w[off: off + b]))
+        off += b
+    return out
+
+
 def mlp_logits(df: DataFrame, input_cols: Sequence[str], weights: Sequence[tuple[np.ndarray, np.ndarray]],
-               widths: Mapping[str, int] | None = None, out: str = "logit") -> DataFrame:
-    """M7 dense part: ``concat(inputs) -> [ReLU(xW + b)]* -> xW + b`` per Arrow batch.
+               widths: Mapping[str, int] | None = None, out: str = "logit", activation: str = "relu",
+               output: str = "single") -> DataFrame:
+    """M7 dense part: ``concat(inputs) -> [act(xW + b)]* -> xW + b`` per Arrow batch.
+
+    ``activation``: ``relu`` (the reference network) or ``sigmoid`` (Spark ML's
+    MLP). ``output``: ``single`` (one logit) or ``softmax2`` (two class scores,
+    logit = z1 - z0).
 
     ``input_cols`` are numeric columns or ``array<float>`` columns (embeddings,
     width given in ``widths``), concatenated in order; a missing value or
@@ -144,24 +171,45 @@ def mlp_logits(df: DataFrame, input_cols: Sequence[str], weights: Sequence[tuple
     for c in input_cols:
         if isinstance(df.schema[c].dataType, T.ArrayType):
             w = widths[c]
-            parts.append(F.coalesce(F.col(c).cast("array<float>"), F.array_repeat(F.lit(0.0).cast("float"), w)))
+            et = "double" if activation == "sigmoid" else "float"
+            parts.append(F.coalesce(F.col(c).cast(f"array<{et}>"), F.array_repeat(F.lit(0.0).cast(et), w)))
             n_in += w
         else:
-            parts.append(F.array(F.coalesce(F.col(c).cast("float"), F.lit(0.0).cast("float"))))
+            et = "double" if activation == "sigmoid" else "float"
+            parts.append(F.array(F.coalesce(F.col(c).cast(et), F.lit(0.0).cast(et))))
             n_in += 1
     if layers[0][0].shape[0] != n_in:
         raise ValueError(f"first layer expects {layers[0][0].shape[0]} inputs, got {n_in}")
+    if activation == "sigmoid":       # Spark ML MLP: keep float64 to reproduce it exactly
+        layers = [(np.asarray(W, dtype=np.float64), np.asarray(b, dtype=np.float64)) for W, b in weights]
     bc = spark.sparkContext.broadcast(layers)
+    dt = layers[0][0].dtype
 
     @F.pandas_udf(T.DoubleType())
     def _forward(x: pd.Series) -> pd.Series:
-        h = np.vstack(x.values).astype(np.float32, copy=False) if len(x) else np.zeros((0, n_in), np.float32)
+        h = np.vstack(x.values).astype(dt, copy=False) if len(x) else np.zeros((0, n_in), dt)
         ls = bc.value
         for j, (W, b) in enumerate(ls):
             h = h @ W + b
             if j < len(ls) - 1:
-                h = np.maximum(h, 0.0)
-        return pd.Series(h[:, 0].astype(np.float64))
+                h = np.maximum(h, 0.0) if activation == "relu" else 1.0 / (1.0 + np.exp(-h))
+        z = h[:, 1] - h[:, 0] if output == "softmax2" else h[:, 0]
+        return pd.Series(z.astype(np.float64))
 
     flat = F.concat(*parts) if len(parts) > 1 else parts[0]
     return df.withColumn(out, _forward(flat))
+
+
+def fit_embedding_mlp(train: DataFrame, y: str, numeric: Sequence[str], emb_col: str, emb_dim: int,
+                      hidden: int = 16, seed: int = 42, max_iter: int = 100):
+    """M8-style training of a small network on [numerics || looked-up embedding] with
+    Spark ML's distributed MLP; returns ``(layers, weights)`` for :func:`mlp_logits`."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    from pyspark.ml.functions import array_to_vector
+    numeric = list(numeric)
+    vec = F.concat(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]),
+                   F.coalesce(F.col(emb_col).cast("array<double>"), F.array_repeat(F.lit(0.0), emb_dim)))
+    d = train.select(array_to_vector(vec).alias("features"), F.col(y).cast("double").alias("label"))
+    layers = [len(numeric) + emb_dim, hidden, 2]
+    m = MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed).fit(d)
+    return layers, mlp_weights_from_spark(m, layers), m

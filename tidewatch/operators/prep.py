@@ -15,6 +15,12 @@ from tidewatch.functions.exprs import nan_to_null
 from tidewatch.operators.quantiles import exact_quantiles
 
 
+def freeze(fitted: DataFrame) -> DataFrame:
+    """Fitted statistics are tiny (one row, or one row per feature): compute them
+    once and keep them as a local table, so transforms never re-run the fit."""
+    return fitted.sparkSession.createDataFrame(fitted.collect(), fitted.schema)
+
+
 def fit_standardizer(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """M1: mean and population std per column (missing skipped); std 0 / undefined -> 1."""
     aggs = []
@@ -22,7 +28,7 @@ def fit_standardizer(train: DataFrame, cols: Sequence[str]) -> DataFrame:
         x = nan_to_null(F.col(c))
         aggs += [F.avg(x).alias(f"{c}__mean"),
                  F.coalesce(F.nullif(F.stddev_pop(x), F.lit(0.0)), F.lit(1.0)).alias(f"{c}__std")]
-    return train.agg(*aggs)
+    return freeze(train.agg(*aggs))
 
 
 def transform_numeric(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
@@ -43,7 +49,7 @@ def fit_median_scaler(train: DataFrame, cols: Sequence[str]) -> DataFrame:
         .select("feature", F.col("value").alias("median"))
     filled = long.join(F.broadcast(med), "feature").select("feature", F.coalesce("value", "median").alias("v"))
     sd = filled.groupBy("feature").agg(F.coalesce(F.nullif(F.stddev_pop("v"), F.lit(0.0)), F.lit(1.0)).alias("scale"))
-    return med.join(sd, "feature")
+    return freeze(med.join(sd, "feature"))
 
 
 def apply_median_scaler(df: DataFrame, fitted: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -66,8 +72,8 @@ def fit_modes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
                                            for c in cols]))).filter(F.col("value").isNotNull())
     cnt = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     top = cnt.groupBy("feature").agg(F.max("n").alias("_max"))
-    return (cnt.join(F.broadcast(top), "feature").filter(F.col("n") == F.col("_max"))
-            .groupBy("feature").agg(F.min("value").alias("mode")))
+    return freeze(cnt.join(F.broadcast(top), "feature").filter(F.col("n") == F.col("_max"))
+                  .groupBy("feature").agg(F.min("value").alias("mode")))
 
 
 def one_hot_pipeline(cols: Sequence[str]):
@@ -89,12 +95,12 @@ def impute_modes(df: DataFrame, modes: DataFrame, cols: Sequence[str]) -> DataFr
 
 def class_weights(train: DataFrame, y: str) -> DataFrame:
     """M9: ``pos_weight = neg / max(pos, 1)`` and balanced weights ``n / (2 n_c)``."""
-    return train.agg(
+    return freeze(train.agg(
         F.count(F.lit(1)).alias("n"),
         F.sum((F.col(y) == 1).cast("bigint")).alias("pos"),
         F.sum((F.col(y) != 1).cast("bigint")).alias("neg"),
     ).select("*", (F.col("neg") / F.greatest(F.col("pos"), F.lit(1))).alias("pos_weight"),
-             (F.col("n") / (2.0 * F.col("pos"))).alias("w_pos"), (F.col("n") / (2.0 * F.col("neg"))).alias("w_neg"))
+             (F.col("n") / (2.0 * F.col("pos"))).alias("w_pos"), (F.col("n") / (2.0 * F.col("neg"))).alias("w_neg")))
 
 
 def with_balanced_weight(df: DataFrame, weights: DataFrame, y: str, out: str = "w") -> DataFrame:

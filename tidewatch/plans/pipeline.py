@@ -38,7 +38,8 @@ def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(
     The hot-key chunk lengths are computed once on the keyed input and reused
     by the entity features, the fingerprint features and the label. The
     labelled feature table is written once to the shared checkpoint folder
-    (``spark.checkpoint.dir``) before the split, whose quantile reads it again.
+    (``spark.checkpoint.dir``) before the split (whose quantile reads it
+    again), and the split dataset once more, since every later stage re-reads it.
     """
     clean = prof.clean_merged_dataset(transactions, cfg.cleaning)
     f = feat.build_features(clean, cfg.features, keep_chunking=True)
@@ -47,9 +48,12 @@ def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(
         f = f.drop(fr.clen_col("entity_key"), fr.nohot_col("entity_key"))
     y = lab.make_early_warning_label(f, lcfg)
     y = feat.drop_internal(y)
-    if checkpoint:
-        y = materialize(y, f"labelled_{uuid.uuid4().hex[:12]}")
-    return spl.time_split(y, cfg.split)
+    if not checkpoint:
+        return spl.time_split(y, cfg.split)
+    run = uuid.uuid4().hex[:12]
+    y = materialize(y, f"labelled_{run}")
+    # the split dataset is re-read by training, evaluation, banding and monitoring
+    return materialize(spl.time_split(y, cfg.split), f"dataset_{run}")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -816,3 +816,91 @@ def q_stream_traffic(spark, sf_dir):
     t = st.band_traffic(s, "_ts", "y", "1 hour", "10 minutes", "0 seconds")
     out = st.run_to_table(t, "st4")
     return out.select(F.col("window.start").cast("string").alias("window_start"), "risk_band", "rows", "positives")
+
+
+# ---------------------------------------------------------------------------
+# J4, M6-M8, E8, E9 models on the labelled, split events dataset
+# ---------------------------------------------------------------------------
+from tidewatch.config import NUMERIC_FEATURES, LogisticConfig  # noqa: E402
+from tidewatch.operators import models as mdl  # noqa: E402
+
+
+def _dataset(spark, sf_dir):
+    from tidewatch.plans.pipeline import build_dataset
+    return build_dataset(events_transactions(spark, sf_dir))
+
+
+def _numeric(ds):
+    return [c for c in NUMERIC_FEATURES if c in ds.columns]
+
+
+@register("embedding_lookup_join", f"""WITH {keyed_sql(EVENTS_TX_SQL)},
+b AS (SELECT TransactionID, CAST(('0x' || right(md5(entity_key), 5))::BIGINT % 512 AS INTEGER) AS bucket FROM keyed)
+SELECT TransactionID, {f4('list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)))')} AS emb_sum,
+       CAST(len(embedding) AS INTEGER) AS emb_dim
+FROM b LEFT JOIN embeddings e ON e.vec_id = b.bucket""")
+def q_emb(spark, sf_dir):
+    """Hashed entity bucket (512) -> embedding vector via an equi-join."""
+    tx = feat.add_keys(_tx(spark, sf_dir, "events"))
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vec"))
+    j = mdl.embedding_lookup(tx, "entity_key", emb, 512, "emb")
+    return j.select("TransactionID",
+                    fixed4(F.aggregate(F.col("emb"), F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("emb_sum"),
+                    F.size("emb").cast("int").alias("emb_dim")).withColumn(
+        "emb_dim", F.when(F.col("emb_dim") < 0, F.lit(None)).otherwise(F.col("emb_dim")))
+
+
+@register("baseline_model_comparison", None)
+def q_lr(spark, sf_dir):
+    """M4 + M5 + K4 + M9 + M6 + E8: balanced L2 logistic regression on the train split,
+    AUC / AP / Brier on valid and test."""
+    ds = _dataset(spark, sf_dir)
+    tr = ds.filter(F.col("split") == "train")
+    m = mdl.fit_baseline(tr, "y_ew_72h", _numeric(ds), ["P_emaildomain"], ["entity_key", "fingerprint_key"],
+                         LogisticConfig(max_iter=50))
+    by = {s: m.transform(ds.filter(F.col("split") == s)).select(F.col("y_ew_72h").cast("int").alias("y"),
+                                                                 F.col("score").alias("p")) for s in ("valid", "test")}
+    return met.model_comparison({"logistic": by})
+
+
+@register("linear_attributions", None)
+def q_shap(spark, sf_dir):
+    """Mean |beta_j (x_j - E_train x_j)| over the whole test split, numeric slice."""
+    ds = _dataset(spark, sf_dir)
+    num = _numeric(ds)
+    tr, te = ds.filter(F.col("split") == "train"), ds.filter(F.col("split") == "test")
+    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig(max_iter=50))
+    sc = prep.fit_median_scaler(tr, num)
+    return met.linear_attributions(prep.apply_median_scaler(te, sc, num), prep.apply_median_scaler(tr, sc, num),
+                                   m.coefficients())
+
+
+@register("nonlinear_model_selection", None)
+def q_gbt(spark, sf_dir):
+    """M8 re-aim + M9: class-weighted boosted trees, grid point chosen by validation AP."""
+    ds = _dataset(spark, sf_dir)
+    num = _numeric(ds)
+    model, params, ap, prepare = mdl.fit_nonlinear(ds.filter(F.col("split") == "train"),
+                                                   ds.filter(F.col("split") == "valid"), "y_ew_72h", num)
+    from pyspark.ml.functions import vector_to_array
+    te = model.transform(prepare(ds.filter(F.col("split") == "test"))).select(
+        F.col("y_ew_72h").cast("int").alias("y"), vector_to_array("probability")[1].alias("p"))
+    return met.model_comparison({f"gbt_depth{params['maxDepth']}": {"test": te}})
+
+
+@register("embedding_network_scores", None)
+def q_mlp(spark, sf_dir):
+    """M1 + M2 + J4 + M7: standardised numerics and the entity embedding feed a trained
+    network; test rows are scored by the Arrow-batched forward pass, then banded (B1/B2)."""
+    ds = _dataset(spark, sf_dir)
+    num = _numeric(ds)
+    tr = ds.filter(F.col("split") == "train")
+    st_ = prep.fit_standardizer(tr, num)
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vec"))
+    x = mdl.embedding_lookup(prep.transform_numeric(ds, st_, num), "entity_key", emb, 512, "emb")
+    layers, weights, _ = mdl.fit_embedding_mlp(x.filter(F.col("split") == "train"), "y_ew_72h", num, "emb", 64)
+    te = mdl.mlp_logits(x.filter(F.col("split") == "test"), [*num, "emb"], weights, {"emb": 64},
+                        activation="sigmoid", output="softmax2")
+    te = cal.apply_temperature(te, None, "logit", "score")
+    banded = bnd.assign_risk_band(te, bnd.band_cutoffs(te, BandPolicy()))
+    return banded.select("TransactionID", fixed4(F.col("score")).alias("score"), "risk_band")
