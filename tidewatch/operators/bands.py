@@ -107,3 +107,22 @@ def serving_bands(df: DataFrame, raw: str = "raw_score", calibrated: str = "scor
     d = d.withColumn("risk_band", band_expr(F.col(calibrated), cutoffs["critical"], cutoffs["high"],
                                             cutoffs["medium"]))
     return d.withColumn("recommended_action", band_action(F.col("risk_band")))
+
+
+def review_queue(scored: DataFrame, band_col: str = "risk_band", score: str = "score", id_col: str = "id") -> DataFrame:
+    """O2: rows in review order: band rank (critical first), score desc, id (global sort)."""
+    rank = F.array_position(F.array(*[F.lit(b) for b in BAND_ORDER]), F.col(band_col))
+    return scored.orderBy(rank, F.desc(score), F.asc(id_col))
+
+
+def top_k(scored: DataFrame, k: int, score: str = "score", id_col: str = "id") -> DataFrame:
+    """O3: the k highest scores (ties by id); a top-k report, planned as a per-partition
+    top-k merged in one task (k rows), never a global sort."""
+    return scored.orderBy(F.desc(score), F.asc(id_col)).limit(k)
+
+
+def head_sample(df: DataFrame, n: int, order_cols, seed: int | None = None, fraction: float | None = None) -> DataFrame:
+    """The first n rows by an explicit order, or a seeded Bernoulli sample."""
+    if fraction is not None:
+        return df.sample(fraction=fraction, seed=seed)
+    return df.orderBy(*order_cols).limit(n)

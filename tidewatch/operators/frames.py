@@ -147,7 +147,9 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
         d, chunked = assign_chunk_length(d, key, time, target_rows)
     d = d.withColumn(CHUNK, F.coalesce(F.floor(F.col(time) / F.col(CLEN)), F.lit(0)).cast("bigint"))
     if repartition:
-        d = d.repartition(key, CHUNK)
+        # hash on the key alone when nothing is chunked: every later window
+        # (key,t), (key), (key, chunk=const) is then satisfied without a new exchange
+        d = d.repartition(key, CHUNK) if chunked else d.repartition(key)
     w = Window.partitionBy(key, CHUNK, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
     seq = F.row_number().over(w) - 1
     guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^19 rows share one (key, time)")))
@@ -225,28 +227,30 @@ def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple], chun
     zero = {n: F.lit(0).cast(types[n].dataType) for n in names}
     vals = {s[0]: F.coalesce(s[2], F.lit(0)).cast(types[s[0]].dataType) for s in specs}
     payload = [f for f in d.schema.fields if f.name != key]
-    # One row in -> 1 + (#distinct windows) events, in a single pass over d. Every output
-    # column comes out of the generator (key and payload inside the structs); expiry
+    # One row in -> 1 + (#distinct windows) events, in a single pass over d; expiry
     # events carry null payload, so the shuffle only moves the deltas for them.
-    events = [F.struct(F.col(key).alias(key), *[F.col(f.name).alias(f.name) for f in payload],
+    events = [F.struct(*[F.col(f.name).alias(f.name) for f in payload],
                        F.col(ORD).alias("_eord"), F.col(CHUNK).alias("_echunk"),
                        F.lit(True).alias("_is_row"), *[vals[n].alias(n) for n in names])]
     for w in sorted({s[1] for s in specs}):
         events.append(F.struct(
-            F.col(key).alias(key), *[F.lit(None).cast(f.dataType).alias(f.name) for f in payload],
+            *[F.lit(None).cast(f.dataType).alias(f.name) for f in payload],
             ((F.col(time) + F.lit(w)) * F.lit(K) - F.lit(1)).alias("_eord"),
             F.coalesce(F.floor((F.col(time) + F.lit(w - 1)) / F.col(CLEN)), F.lit(0)).cast("bigint")
             .alias("_echunk"),
             F.lit(False).alias("_is_row"),
             *[(-vals[n] if s[1] == w else zero[n]).alias(n) for n, s in zip(names, specs)]))
     payload = [f.name for f in payload]
-    ev = d.select(F.inline(F.array(*events)))
-    ev = ev.repartition(key, "_echunk")
-    wrun = (Window.partitionBy(key, "_echunk").orderBy("_eord")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    if not chunked:             # one chunk per key: the running sum is the window sum
+    # the key passes through the generator untouched (it is not referenced inside the
+    # structs), so its hash partitioning survives; everything else comes out of the structs
+    ev = d.select(F.col(key), F.inline(F.array(*events)))
+    if not chunked:
+        # one chunk per key: events stay in their key's partition (no shuffle)
+        wrun = (Window.partitionBy(key, "_echunk").orderBy("_eord")
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         ev = ev.select(key, *payload, "_is_row", *[F.sum(n).over(wrun).alias(n) for n in names])
         return ev.filter("_is_row").select(key, *payload, *names)
+    ev = ev.repartition(key, "_echunk")
     # per-chunk totals -> offsets = prefix sum over the key's earlier chunks (one row per chunk)
     tot = ev.groupBy(key, "_echunk").agg(*[F.sum(n).alias(n) for n in names])
     wo = Window.partitionBy(key).orderBy("_echunk").rowsBetween(Window.unboundedPreceding, -1)

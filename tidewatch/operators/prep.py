@@ -107,3 +107,11 @@ def with_balanced_weight(df: DataFrame, weights: DataFrame, y: str, out: str = "
     """M9 apply: per-row class weight column."""
     d = df.crossJoin(F.broadcast(weights.select("w_pos", "w_neg")))
     return d.withColumn(out, F.when(F.col(y) == 1, F.col("w_pos")).otherwise(F.col("w_neg"))).drop("w_pos", "w_neg")
+
+
+def feature_schema(df: DataFrame, numeric=None, keys=("entity_key", "fingerprint_key")) -> dict:
+    """M3: the model's input contract = fixed numeric list + key columns, filtered by presence."""
+    from tidewatch.config import NUMERIC_FEATURES
+    numeric = NUMERIC_FEATURES if numeric is None else numeric
+    return {"numeric_cols": [c for c in numeric if c in df.columns],
+            "key_cols": [c for c in keys if c in df.columns]}

@@ -112,7 +112,8 @@ def _tx(spark, sf_dir, src):
 
 
 def _entity(spark, sf_dir, src, cfg=FeatureConfig()):
-    d = feat.add_entity_time_features(feat.add_keys(_tx(spark, sf_dir, src)), cfg)
+    tx = feat.add_keys(_tx(spark, sf_dir, src)).select("TransactionID", "TransactionDT", "TransactionAmt", "entity_key")
+    d = feat.add_entity_time_features(tx, cfg)
     return d.select("TransactionID", "cnt_1h", *[fixed4(F.col(c)).alias(c) for c in
                                                   ("sum_amt_1h",)], "cnt_24h",
                     *[fixed4(F.col(c)).alias(c) for c in
@@ -120,13 +121,15 @@ def _entity(spark, sf_dir, src, cfg=FeatureConfig()):
 
 
 def _fingerprint(spark, sf_dir, src, cfg=FeatureConfig()):
-    d = feat.add_fingerprint_time_features(feat.add_keys(_tx(spark, sf_dir, src)), cfg)
+    tx = feat.add_keys(_tx(spark, sf_dir, src)).select("TransactionID", "TransactionDT", "entity_key", "fingerprint_key")
+    d = feat.add_fingerprint_time_features(tx, cfg)
     return d.select("TransactionID", "fp_cnt_24h", "fp_cnt_72h",
                     fixed4(F.col("fp_growth_ratio_24h_over_72h").cast("double")).alias("fp_growth_ratio_24h_over_72h"))
 
 
 def _label(spark, sf_dir, src, mode):
-    d = lab.make_early_warning_label(feat.add_keys(_tx(spark, sf_dir, src)), LabelConfig(mode=mode))
+    tx = feat.add_keys(_tx(spark, sf_dir, src)).select("TransactionID", "TransactionDT", "isFraud", "entity_key")
+    d = lab.make_early_warning_label(tx, LabelConfig(mode=mode))
     return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
 
 
@@ -904,3 +907,65 @@ def q_mlp(spark, sf_dir):
     te = cal.apply_temperature(te, None, "logit", "score")
     banded = bnd.assign_risk_band(te, bnd.band_cutoffs(te, BandPolicy()))
     return banded.select("TransactionID", fixed4(F.col("score")).alias("score"), "risk_band")
+
+
+
+# ---------------------------------------------------------------------------
+# scalable path on real data: every key above a small row target is time-chunked
+# ---------------------------------------------------------------------------
+@register("entity_velocity_features_hotkeys", entity_features_sql(EVENTS_TX_SQL))
+def q_entity_hot(spark, sf_dir):
+    """W1-W8 with hot-key chunking forced (keys over 32 rows split into time chunks)."""
+    return _entity(spark, sf_dir, "events", FeatureConfig(hot_key_rows=32))
+
+
+@register("entity_velocity_features_ties_hotkeys", entity_features_sql(ORDERS_TX_SQL))
+def q_entity_ties_hot(spark, sf_dir):
+    """W1-W8 on tie-heavy orders with every nation series time-chunked."""
+    return _entity(spark, sf_dir, "orders", FeatureConfig(hot_key_rows=32))
+
+
+@register("fingerprint_campaign_features_hotkeys", fingerprint_features_sql(EVENTS_TX_SQL))
+def q_fp_hot(spark, sf_dir):
+    """W9-W10 with hot fingerprints time-chunked."""
+    return _fingerprint(spark, sf_dir, "events", FeatureConfig(hot_key_rows=32))
+
+
+@register("early_warning_label_any_hotkeys", label_any_sql(EVENTS_TX_SQL))
+def q_label_hot(spark, sf_dir):
+    """L1 with hot entities time-chunked (next fraud found across chunk edges)."""
+    tx = feat.add_keys(_tx(spark, sf_dir, "events")).select("TransactionID", "TransactionDT", "isFraud", "entity_key")
+    d = lab.make_early_warning_label(tx, LabelConfig(hot_key_rows=32))
+    return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
+
+
+@register("early_warning_label_next_hotkeys", label_next_sql(ORDERS_TX_SQL))
+def q_label_next_hot(spark, sf_dir):
+    """L2 on tie-heavy orders with chunked series (next row found across chunk edges)."""
+    tx = feat.add_keys(_tx(spark, sf_dir, "orders")).select("TransactionID", "TransactionDT", "isFraud", "entity_key")
+    d = lab.make_early_warning_label(tx, LabelConfig(mode="next_event", hot_key_rows=32))
+    return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
+
+
+@register("feature_missing_report", f"""WITH e AS ({entity_features_sql(EVENTS_TX_SQL)}),
+f AS ({fingerprint_features_sql(EVENTS_TX_SQL)}), j AS (SELECT * FROM e JOIN f USING (TransactionID))
+SELECT count(*) AS rows, {f4('avg(CAST(z_amt_vs_7d IS NULL AS DOUBLE)) * 100.0')} AS z_missing_pct,
+       {f4('avg(CAST(fp_growth_ratio_24h_over_72h IS NULL AS DOUBLE)) * 100.0')} AS growth_missing_pct,
+       {f4('avg(CAST(cnt_1h IS NULL AS DOUBLE)) * 100.0')} AS cnt_1h_missing_pct FROM j""")
+def q_feat_report(spark, sf_dir):
+    """Full feature build (keys, keep-list, entity + campaign features) and its report."""
+    f = feat.build_features(_tx(spark, sf_dir, "events"))
+    r = feat.feature_report(f)
+    wide = r.groupBy("rows").agg(*[F.max(F.when(F.col("column") == c, F.col("missing_pct"))).alias(a) for c, a in
+                                   [("z_amt_vs_7d", "z_missing_pct"),
+                                    ("fp_growth_ratio_24h_over_72h", "growth_missing_pct"),
+                                    ("cnt_1h", "cnt_1h_missing_pct")]])
+    return wide.select("rows", *[fixed4(F.col(c)).alias(c) for c in ("z_missing_pct", "growth_missing_pct",
+                                                                      "cnt_1h_missing_pct")])
+
+
+@register("review_top_k", f"""SELECT id, {f4('p')} AS score FROM ({_SCORED_SQL}) s ORDER BY p DESC, id LIMIT 100""")
+def q_topk(spark, sf_dir):
+    """O3: the 100 highest-scoring events (ties by id) -- a top-k report."""
+    s = _scored(spark, sf_dir).withColumnRenamed("p", "score")
+    return bnd.top_k(s, 100, "score", "id").select("id", fixed4(F.col("score")).alias("score"))
