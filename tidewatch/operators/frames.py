@@ -57,14 +57,6 @@ def nohot_col(key: str) -> str:
 BROADCAST_HOT_KEYS = 200_000   # rows of the hot-key table we are willing to broadcast
 
 
-def _cols(x) -> list:
-    if x is None:
-        return []
-    if isinstance(x, (str, Column)):
-        return [x]
-    return list(x)
-
-
 def frame_lower(window_seconds: int) -> int:
     """RANGE lower offset on ``ord`` for the half-open window ``(t - w, t]``."""
     return window_seconds * K - HALF

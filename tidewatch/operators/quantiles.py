@@ -174,12 +174,6 @@ def value_counts_cum(df: DataFrame, col: str, group_cols=(), weight: Column | No
     return prefix_sums(c, [col], ["n"], groups, n_buckets)
 
 
-def element_at_rank(cum: DataFrame, col: str, rank: Column, group_cols=()) -> DataFrame:
-    """Smallest value whose cumulative count reaches ``rank`` (1-based; may use n_total)."""
-    groups = _as_list(group_cols)
-    return cum.filter(F.col("n_cum") >= rank).groupBy(*groups).agg(F.min(col).alias(col))
-
-
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear",
                     group_cols=(), n_buckets: int | None = None) -> DataFrame:
     """Exact quantiles of non-null ``col`` per group, one row per (group, q).
