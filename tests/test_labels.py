@@ -76,3 +76,21 @@ def test_random_positive_rate_and_chunked_equal(spark):
     assert sum(a) / len(a) >= sum(r[2] for r in data) / len(data)
     n1 = _lab(spark, data, 259200, "next_event")
     assert n1 == _lab(spark, data, 259200, "next_event", hot=50)
+
+
+@pytest.mark.parametrize("mode", ["any_in_horizon", "next_event"])
+def test_label_fused_into_feature_pass(spark, mode):
+    from tidewatch.config import FeatureConfig
+    from tidewatch.operators.features import add_entity_time_features
+    rng = random.Random(9)
+    rows = [(i, rng.randint(0, 10 * 86400), float(rng.randint(1, 9)), int(rng.random() < 0.2), rng.choice("AB"))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "TransactionID long, TransactionDT long, TransactionAmt double, isFraud int, "
+                                     "entity_key string")
+    for hot in (1 << 21, 20):
+        cfg = LabelConfig(mode=mode, hot_key_rows=hot)
+        fused = add_entity_time_features(df, FeatureConfig(hot_key_rows=hot), label=cfg)
+        alone = make_early_warning_label(df, cfg)
+        a = {r.TransactionID: r.y_ew_72h for r in fused.collect()}
+        b = {r.TransactionID: r.y_ew_72h for r in alone.collect()}
+        assert a == b

@@ -41,13 +41,26 @@ def _exact_std(n, s1, s2, scale: int):
 def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), *,
                              key: str = "entity_key", time: str = "TransactionDT",
                              amount: str = "TransactionAmt",
-                             tiebreak: Sequence[str] = ("TransactionID",)) -> DataFrame:
-    """W1-W8 (+W14): cnt_1h, sum_amt_1h, cnt_24h, avg_amt_24h, mean/std_amt_7d_hist, z."""
+                             tiebreak: Sequence[str] = ("TransactionID",),
+                             label=None, fraud_col: str = "isFraud") -> DataFrame:
+    """W1-W8 (+W14): cnt_1h, sum_amt_1h, cnt_24h, avg_amt_24h, mean/std_amt_7d_hist, z.
+
+    With ``label`` (a :class:`LabelConfig`) the early-warning label is computed
+    in the same ordered pass (same key, same order): no second shuffle.
+    """
     require_columns(df, [key, time, amount, *tiebreak], "entity features")
     if cfg.strategy == "frame":
-        return _entity_frame(df, cfg, key, time, amount, tiebreak)
+        out = _entity_frame(df, cfg, key, time, amount, tiebreak)
+        if label is not None:
+            from tidewatch.operators.labels import make_early_warning_label
+            out = make_early_warning_label(out, label, entity_col=key, time_col=time, fraud_col=fraud_col,
+                                           tiebreak=tiebreak, strategy="frame")
+        return out
     scale = 10 ** cfg.amount_scale
     d, chunked = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
+    if label is not None:
+        from tidewatch.operators.labels import label_ordered
+        d = label_ordered(d, label, key, time, fraud_col, chunked)
     units = F.round(F.col(amount) * F.lit(scale)).cast("bigint")
     present = F.col(amount).isNotNull().cast("bigint")
     if cfg.history == "lagged":
@@ -148,8 +161,8 @@ def keep_feature_columns(df: DataFrame) -> DataFrame:
 
 
 def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
-                   keep_chunking: bool = False) -> DataFrame:
-    """Keys -> keep-list -> entity features -> fingerprint features.
+                   keep_chunking: bool = False, label=None) -> DataFrame:
+    """Keys -> keep-list -> entity features (+ label in the same pass) -> fingerprint features.
 
     ``keep_chunking`` keeps the per-key chunk-length columns for downstream
     operators on the same keys (the label); drop them with :func:`drop_internal`.
@@ -160,7 +173,7 @@ def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     if cfg.strategy == "delta":
         work = fr.prepare_hot_keys(work, ["entity_key", "fingerprint_key"], "TransactionDT",
                                    cfg.hot_key_rows)
-    work = add_entity_time_features(work, cfg)
+    work = add_entity_time_features(work, cfg, label=label)
     work = add_fingerprint_time_features(work, cfg)
     return work if keep_chunking else drop_internal(work)
 

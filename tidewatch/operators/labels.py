@@ -47,20 +47,28 @@ def make_early_warning_label(df: DataFrame, cfg: LabelConfig = LabelConfig(), *,
             y = F.when(F.lead(fraud).over(w) & (dt > 0) & (dt <= H), 1).otherwise(0)
         return d.withColumn(name, y.cast("byte")).drop(fr.ORD, fr.CHUNK, fr.CLEN)
     d, chunked = fr.with_order(df, entity_col, time_col, tiebreak, cfg.hot_key_rows)
+    d = label_ordered(d, cfg, entity_col, time_col, fraud_col, chunked)
+    return d.drop(fr.ORD, fr.CHUNK, fr.CLEN)
+
+
+def label_ordered(d: DataFrame, cfg: LabelConfig, entity_col: str, time_col: str, fraud_col: str,
+                  chunked: bool) -> DataFrame:
+    """The label on a series already ordered by :func:`frames.with_order` (lets the
+    entity-feature pass compute it without another shuffle)."""
+    H = cfg.horizon_seconds
+    fraud = F.coalesce(coerce_long(F.col(fraud_col)), F.lit(0)) == 1
+    name = cfg.label_name
     if cfg.mode == "any_in_horizon":
         d = fr.next_time_where(d, entity_col, time_col, fraud, "_next_fraud_t", chunked=chunked)
         dt = F.col("_next_fraud_t") - F.col(time_col)
-        y = F.when(dt <= H, 1).otherwise(0)
-        d = d.withColumn(name, y.cast("byte")).drop("_next_fraud_t")
-    elif cfg.mode == "next_event":
+        return d.withColumn(name, F.when(dt <= H, 1).otherwise(0).cast("byte")).drop("_next_fraud_t")
+    if cfg.mode == "next_event":
         d = d.withColumn("_is_fraud", fraud)
         d = fr.next_values(d, entity_col, [time_col, "_is_fraud"], chunked=chunked)
         dt = F.col("_next_" + time_col) - F.col(time_col)
         y = F.when(F.col("_next__is_fraud") & (dt > 0) & (dt <= H), 1).otherwise(0)
-        d = d.withColumn(name, y.cast("byte")).drop("_is_fraud", "_next__is_fraud", "_next_" + time_col)
-    else:
-        raise ValueError(f"unknown label mode {cfg.mode!r}")
-    return d.drop(fr.ORD, fr.CHUNK, fr.CLEN)
+        return d.withColumn(name, y.cast("byte")).drop("_is_fraud", "_next__is_fraud", "_next_" + time_col)
+    raise ValueError(f"unknown label mode {cfg.mode!r}")
 
 
 def label_metrics(labeled: DataFrame, cfg: LabelConfig = LabelConfig()) -> DataFrame:

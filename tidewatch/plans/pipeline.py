@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import CleaningConfig, FeatureConfig, LabelConfig, SplitConfig
 from tidewatch.operators import features as feat
-from tidewatch.operators import frames as fr
 from tidewatch.operators import labels as lab
 from tidewatch.operators import profile as prof
 from tidewatch.operators import split as spl
@@ -33,27 +32,27 @@ class PipelineConfig:
 
 def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(),
                   checkpoint: bool = True) -> DataFrame:
-    """Stages 03-06: clean -> features -> label -> split.
+    """Stages 03-06: clean -> features + label -> split.
 
-    The hot-key chunk lengths are computed once on the keyed input and reused
-    by the entity features, the fingerprint features and the label. The
-    labelled feature table is written once to the shared checkpoint folder
-    (``spark.checkpoint.dir``) before the split (whose quantile reads it
-    again), and the split dataset once more, since every later stage re-reads it.
+    * the hot-key chunk lengths are computed once on the keyed input;
+    * the label is computed inside the entity-feature pass (same key and order,
+      so one shuffle serves both);
+    * the split cutoffs only need the cleaned time column, so they come from
+      the cleaned input (a narrow scan) and are applied lazily;
+    * the split dataset is written once to the shared checkpoint folder
+      (``spark.checkpoint.dir``) because every later stage re-reads it.
     """
     clean = prof.clean_merged_dataset(transactions, cfg.cleaning)
-    f = feat.build_features(clean, cfg.features, keep_chunking=True)
-    lcfg = cfg.label
-    if lcfg.hot_key_rows != cfg.features.hot_key_rows:
-        f = f.drop(fr.clen_col("entity_key"), fr.nohot_col("entity_key"))
-    y = lab.make_early_warning_label(f, lcfg)
-    y = feat.drop_internal(y)
+    if cfg.label.hot_key_rows != cfg.features.hot_key_rows:
+        y = lab.make_early_warning_label(feat.build_features(clean, cfg.features), cfg.label)
+    else:
+        y = feat.build_features(clean, cfg.features, label=cfg.label)
+    cut = F.broadcast(spl.cutoffs_frame(clean, cfg.split))     # one row
+    ds = spl.assign_split(y.crossJoin(cut), F.col("train_end"), F.col("valid_end"),
+                          cfg.split.time_col).drop("train_end", "valid_end")
     if not checkpoint:
-        return spl.time_split(y, cfg.split)
-    run = uuid.uuid4().hex[:12]
-    y = materialize(y, f"labelled_{run}")
-    # the split dataset is re-read by training, evaluation, banding and monitoring
-    return materialize(spl.time_split(y, cfg.split), f"dataset_{run}")
+        return ds
+    return materialize(ds, f"dataset_{uuid.uuid4().hex[:12]}")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
