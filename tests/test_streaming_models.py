@@ -117,3 +117,32 @@ def test_baseline_logistic_learns(spark):
     from tidewatch.operators.metrics import binary_metrics
     assert binary_metrics(sc, "y", "score").first().auc_roc > 0.8
     assert set(m.coefficients()) == {"a", "b"}
+
+
+def test_velocity_stream_state_across_batches_equals_batch(spark, tmp_path):
+    import os
+    import shutil
+    import time
+    rows = sorted(_rows(), key=lambda r: r[1])
+    inp = tmp_path / "multi"
+    os.makedirs(inp)
+    for part, chunk in enumerate((rows[:100], rows[100:180], rows[180:])):      # time-ordered micro-batches
+        d = _write(spark, tmp_path, chunk, SCHEMA, f"part{part}")
+        for f in sorted(os.listdir(d)):
+            if f.endswith(".parquet"):
+                shutil.copy(os.path.join(d, f), inp / f"{part}_{f}")
+        time.sleep(1.1)
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(inp))
+    out = st.run_to_table(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="30 days"), "t_multi")
+    got = {r.id: r for r in out.collect()}
+    batch = spark.createDataFrame(rows, SCHEMA).select(
+        F.col("event_id").alias("TransactionID"), F.unix_seconds("ts").alias("TransactionDT"),
+        F.col("value").alias("TransactionAmt"), F.col("user_id").alias("card1"))
+    ref = {r.TransactionID: r for r in feat.add_entity_time_features(feat.add_keys(batch), FeatureConfig()).collect()}
+    assert len(got) == 300 and not any(r.late for r in got.values())
+    for i, r in ref.items():
+        g = got[i]
+        assert (g.cnt_1h, g.cnt_24h) == (r.cnt_1h, r.cnt_24h), i
+        assert g.mean_amt_7d_hist == pytest.approx(r.mean_amt_7d_hist) and \
+            g.std_amt_7d_hist == pytest.approx(r.std_amt_7d_hist, abs=1e-9), i
+        assert (g.z_amt_vs_7d is None) == (r.z_amt_vs_7d is None), i

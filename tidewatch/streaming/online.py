@@ -3,10 +3,11 @@
 * ST1 ``score_stream``: stateless micro-batch scoring with frozen cutoffs
   (validation -> scorer -> temperature -> bands), any stream source/sink.
 * ST2 ``velocity_stream``: per-key online velocity features with
-  ``applyInPandasWithState``; state = the key's rows of the last 7 days (plus
-  the last amount), evicted by event time; rows older than the watermark are
-  dropped and counted. For in-order input per key it equals the batch
-  operator (tie rule: time, then id).
+  ``applyInPandasWithState``; state = per-second aggregates of the last 7 days
+  (at most 604,800 entries per key whatever its row rate) plus the last
+  amount, evicted by event time; rows older than the watermark are flagged
+  late and counted. For in-order input per key it equals the batch operator
+  (tie rule: time, then id).
 * ST3 ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on the id.
 * ST4 ``band_traffic``: sliding-window traffic and alert counts per band.
 """
@@ -60,44 +61,45 @@ def band_traffic(scored: DataFrame, ts_col: str, label_col: str | None = None, w
 VELOCITY_SCHEMA = ("key string, id long, t long, amount double, cnt_1h int, sum_amt_1h double, cnt_24h int, "
                    "avg_amt_24h double, mean_amt_7d_hist double, std_amt_7d_hist double, z_amt_vs_7d double, "
                    "late boolean")
-STATE_SCHEMA = "ts array<long>, ids array<long>, amts array<double>, late_rows long"
-
+# Per key: one entry per distinct second of the last 7 days (not per row), plus the
+# last amount (the next row's lagged value) and the late-row counter.
+STATE_SCHEMA = ("sec array<long>, n_amt array<long>, s_amt array<long>, n_lag array<long>, s_lag array<long>, "
+                "q_lag array<double>, lo_lag array<double>, hi_lag array<double>, last_amt double, "
+                "has_last boolean, late_rows long")
 
 SCALE = 10 ** 6    # amounts as integer micro-units: window sums are exact
 
 
-def _bounds(t: np.ndarray, start: int, w: int):
-    idx = np.arange(start, len(t))
-    return idx, np.searchsorted(t, t[idx] - w, side="right")
-
-
-def _window_sums(a: np.ndarray, idx: np.ndarray, lo: np.ndarray):
-    """Count and exact sum (micro-units) of non-null amounts over rows lo..idx."""
-    present = ~np.isnan(a)
-    u = np.where(present, np.round(np.nan_to_num(a) * SCALE), 0).astype(np.int64)
-    cs_n = np.concatenate([[0], np.cumsum(present, dtype=np.int64)])
-    cs_u = np.concatenate([[0], np.cumsum(u, dtype=np.int64)])
-    return cs_n[idx + 1] - cs_n[lo], cs_u[idx + 1] - cs_u[lo]
-
-
-def _window_var(a: np.ndarray, idx: np.ndarray, lo: np.ndarray, n: np.ndarray, s_u: np.ndarray):
-    """Population variance over rows lo..idx; exactly 0 when every present value is equal
-    (counted via value changes between consecutive present values)."""
-    present = ~np.isnan(a)
-    x = np.where(present, np.nan_to_num(a), 0.0)
-    cs_q = np.concatenate([[0.0], np.cumsum(x * x)])
-    pv = a[present]
-    change = np.concatenate([[0], (pv[1:] != pv[:-1]).astype(np.int64)]) if len(pv) else np.zeros(0, np.int64)
-    cs_c = np.concatenate([[0], np.cumsum(change)])
-    # present-subsequence range of the window: (#present before lo) .. (#present up to idx) - 1
-    cnt_before = np.concatenate([[0], np.cumsum(present)])
-    pa, pb = cnt_before[lo], cnt_before[idx + 1] - 1
-    changes = np.where(pb > pa, cs_c[np.maximum(pb, 0) + 1] - cs_c[np.minimum(pa, len(pv) - 1) + 1], 0) \
-        if len(pv) else np.zeros(len(idx), np.int64)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = np.where(n > 0, s_u / SCALE / np.maximum(n, 1), 0.0)
-        var = np.where(n > 0, np.maximum((cs_q[idx + 1] - cs_q[lo]) / np.maximum(n, 1) - mean * mean, 0.0), 0.0)
-    return mean, np.where(changes > 0, var, 0.0)
+def _units(a: np.ndarray) -> np.ndarray:
+    return np.where(np.isnan(a), 0, np.round(np.nan_to_num(a) * SCALE)).astype(np.int64)
+
+
+def _cum(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(x)])
+
+
+class _Buckets:
+    """Per-second aggregates of the retained history (ascending seconds)."""
+
+    def __init__(self, st=None):
+        names = ("sec", "n_amt", "s_amt", "n_lag", "s_lag", "q_lag", "lo_lag", "hi_lag")
+        if st is None:
+            for n in names:
+                setattr(self, n, np.zeros(0, np.float64 if n in ("q_lag", "lo_lag", "hi_lag") else np.int64))
+            self.last_amt, self.has_last, self.late = np.nan, False, 0
+        else:
+            for i, n in enumerate(names):
+                setattr(self, n, np.asarray(st[i], dtype=np.float64 if n in ("q_lag", "lo_lag", "hi_lag") else np.int64))
+            self.last_amt = np.nan if st[8] is None else st[8]
+            self.has_last, self.late = bool(st[9]), int(st[10])
+
+    def window(self, t: np.ndarray, w: int):
+        """Per query time: bucket range (t - w, ...] = suffix from the first bucket above t - w."""
+        return np.searchsorted(self.sec, t - w, side="right")
+
+
+def _suffix(x: np.ndarray, fn, fill):
+    return np.concatenate([fn.accumulate(x[::-1])[::-1], [fill]]) if len(x) else np.array([fill])
 
 
 def _velocity_fn(cfg: FeatureConfig):
@@ -106,34 +108,64 @@ def _velocity_fn(cfg: FeatureConfig):
         if state.hasTimedOut:
             state.remove()
             return
-        if state.exists:
-            ts, ids, amts, late = state.get
-            ts, ids = np.asarray(ts, dtype=np.int64), np.asarray(ids, dtype=np.int64)
-            amts = np.asarray([np.nan if v is None else v for v in amts], dtype=np.float64)
-        else:
-            ts, ids, amts, late = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0)
+        B = _Buckets(state.get if state.exists else None)
         new = pd.concat(list(pdfs), ignore_index=True)
         wm_ms = state.getCurrentWatermarkMs()
         is_late = (new["t"].to_numpy() < wm_ms // 1000) if wm_ms > 0 else np.zeros(len(new), dtype=bool)
-        late += int(is_late.sum())
+        B.late += int(is_late.sum())
         ok = new[~is_late].sort_values(["t", "id"], kind="mergesort")
-        n_old = len(ts)
-        t = np.concatenate([ts, ok["t"].to_numpy(np.int64)])
-        i_ = np.concatenate([ids, ok["id"].to_numpy(np.int64)])
-        a = np.concatenate([amts, ok["amount"].to_numpy(np.float64)])
-        idx, lo1 = _bounds(t, n_old, cfg.win_1h)
-        c1, s1 = _window_sums(a, idx, lo1)
-        _, lo24 = _bounds(t, n_old, cfg.win_24h)
-        c24, s24 = _window_sums(a, idx, lo24)
-        prev = np.concatenate([[np.nan], a[:-1]])          # lagged amount (previous row, however old)
-        _, lo7 = _bounds(t, n_old, cfg.win_7d)
-        pc, ps = _window_sums(prev, idx, lo7)
-        mean, var = _window_var(prev, idx, lo7, pc, ps)
-        std = np.sqrt(var)
+        t = ok["t"].to_numpy(np.int64)
+        a = ok["amount"].to_numpy(np.float64)
+        # lagged amount: previous row of the key (the state's last amount for the first new row)
+        first_prev = B.last_amt if B.has_last else np.nan
+        prev = np.concatenate([[first_prev], a[:-1]]) if len(a) else a
+        pres, lpres = ~np.isnan(a), ~np.isnan(prev)
+        u, lu = _units(a), _units(prev)
+        lx = np.where(lpres, np.nan_to_num(prev), 0.0)
+        n_new = len(t)
+        idx = np.arange(n_new)
+        cn, cu = _cum(pres.astype(np.int64)), _cum(u)
+        cln, clu, clq = _cum(lpres.astype(np.int64)), _cum(lu), _cum(lx * lx)
+        bn, bu = _cum(B.n_amt), _cum(B.s_amt)
+        bln, blu, blq = _cum(B.n_lag), _cum(B.s_lag), _cum(B.q_lag)
+        smin, smax = _suffix(B.lo_lag, np.minimum, np.inf), _suffix(B.hi_lag, np.maximum, -np.inf)
+        nb = len(B.sec)
+
+        def sums(w, c_new, s_new, c_st, s_st):
+            lo_new = np.searchsorted(t, t - w, side="right")          # new rows in (t - w, t_i]
+            lo_st = B.window(t, w)                                      # state buckets above t - w
+            c = c_new[idx + 1] - c_new[lo_new] + c_st[nb] - c_st[lo_st]
+            sm = s_new[idx + 1] - s_new[lo_new] + s_st[nb] - s_st[lo_st]
+            return c, sm, lo_new, lo_st
+
+        c1, s1, _, _ = sums(cfg.win_1h, cn, cu, bn, bu)
+        c24, s24, _, _ = sums(cfg.win_24h, cn, cu, bn, bu)
+        pc, ps, lo7n, lo7s = sums(cfg.win_7d, cln, clu, bln, blu)
+        pq = clq[idx + 1] - clq[lo7n] + blq[nb] - blq[lo7s]
+        # exact-zero variance: the window's lagged values are all equal iff the new-row part
+        # has no value change (prefix counts over present values), the state part's
+        # min equals its max, and both parts agree
+        pv = prev[lpres]
+        change = np.concatenate([[0], (pv[1:] != pv[:-1]).astype(np.int64)]) if len(pv) else np.zeros(0, np.int64)
+        cs_c = _cum(change)
+        pa, pb = cln[lo7n], cln[idx + 1] - 1                       # present-subsequence range
+        has_new = pb >= pa
+        safe_pa = np.minimum(pa, max(len(pv) - 1, 0))
+        top = len(cs_c) - 1
+        new_changes = np.where(pb > pa, cs_c[np.clip(pb + 1, 0, top)] - cs_c[np.clip(safe_pa + 1, 0, top)], 0)
+        s_lo, s_hi = smin[lo7s], smax[lo7s]
+        has_state = s_lo <= s_hi
+        first_new = pv[safe_pa] if len(pv) else np.zeros(n_new)
+        constant = (new_changes == 0) & (~has_state | (s_lo == s_hi)) & \
+            (~has_state | ~has_new | (s_lo == first_new))
         with np.errstate(invalid="ignore", divide="ignore"):
-            z = np.where(std > 0, (a[n_old:] - mean) / np.where(std > 0, std, 1.0), np.nan)
+            mean = np.where(pc > 0, ps / SCALE / np.maximum(pc, 1), 0.0)
+            var = np.where(pc > 0, np.maximum(pq / np.maximum(pc, 1) - mean * mean, 0.0), 0.0)
+            var = np.where(constant, 0.0, var)
+            std = np.sqrt(var)
+            z = np.where(std > 0, (a - mean) / np.where(std > 0, std, 1.0), np.nan)
             avg24 = np.where(c24 > 0, s24 / SCALE / np.maximum(c24, 1), 0.0)
-        out = pd.DataFrame({"key": k, "id": i_[n_old:], "t": t[n_old:], "amount": a[n_old:],
+        out = pd.DataFrame({"key": k, "id": ok["id"].to_numpy(np.int64), "t": t, "amount": a,
                             "cnt_1h": c1.astype("int32"), "sum_amt_1h": s1 / SCALE, "cnt_24h": c24.astype("int32"),
                             "avg_amt_24h": avg24, "mean_amt_7d_hist": mean, "std_amt_7d_hist": std,
                             "z_amt_vs_7d": z, "late": False})
@@ -142,11 +174,21 @@ def _velocity_fn(cfg: FeatureConfig):
             out = pd.concat([out, pd.DataFrame({"key": k, "id": lat["id"].to_numpy(), "t": lat["t"].to_numpy(),
                                                 "amount": lat["amount"].to_numpy(), "late": True})],
                             ignore_index=True)
-        # keep the last 7 days plus the row before them (its amount is the next row's lag)
-        if len(t):
-            keep_from = max(0, int(np.searchsorted(t, t[-1] - cfg.win_7d, side="right")) - 1)
-            t, i_, a = t[keep_from:], i_[keep_from:], a[keep_from:]
-            state.update((t.tolist(), i_.tolist(), [None if np.isnan(v) else float(v) for v in a], late))
+        # fold the new rows into per-second buckets and keep the last 7 days
+        if n_new:
+            g = pd.DataFrame({"sec": t, "n_amt": pres.astype(np.int64), "s_amt": u, "n_lag": lpres.astype(np.int64),
+                              "s_lag": lu, "q_lag": lx * lx, "lo_lag": np.where(lpres, prev, np.inf),
+                              "hi_lag": np.where(lpres, prev, -np.inf)})
+            old = pd.DataFrame({n: getattr(B, n) for n in ("sec", "n_amt", "s_amt", "n_lag", "s_lag", "q_lag",
+                                                           "lo_lag", "hi_lag")})
+            m = pd.concat([old, g], ignore_index=True).groupby("sec", sort=True).agg(
+                n_amt=("n_amt", "sum"), s_amt=("s_amt", "sum"), n_lag=("n_lag", "sum"), s_lag=("s_lag", "sum"),
+                q_lag=("q_lag", "sum"), lo_lag=("lo_lag", "min"), hi_lag=("hi_lag", "max")).reset_index()
+            m = m[m["sec"] > t[-1] - cfg.win_7d]
+            last = a[-1]
+            state.update((m["sec"].tolist(), m["n_amt"].tolist(), m["s_amt"].tolist(), m["n_lag"].tolist(),
+                          m["s_lag"].tolist(), m["q_lag"].tolist(), m["lo_lag"].tolist(), m["hi_lag"].tolist(),
+                          None if np.isnan(last) else float(last), True, B.late))
             state.setTimeoutTimestamp(int((t[-1] + cfg.win_7d) * 1000))
         yield out.astype({"cnt_1h": "Int32", "cnt_24h": "Int32"}).replace({np.nan: None})
     return fn
