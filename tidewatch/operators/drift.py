@@ -74,19 +74,25 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig()) -
                      "n_ref", "n_cur")
 
 
+def _side_means(ref: DataFrame, cur: DataFrame, col) -> DataFrame:
+    """Mean of ``col`` on each side in one aggregate over the tagged union."""
+    both = ref.select(col.alias("_x"), F.lit(0).alias("_s")).unionByName(cur.select(col.alias("_x"), F.lit(1).alias("_s")))
+    return both.agg(F.avg(F.when(F.col("_s") == 0, F.col("_x"))).alias("_ref"),
+                    F.avg(F.when(F.col("_s") == 1, F.col("_x"))).alias("_cur"))
+
+
 def score_shift(cur: DataFrame, ref: DataFrame | None = None, cfg: DriftConfig = DriftConfig(),
-                score: str = "score") -> DataFrame:
+                score: str = "score", rounded: bool = True) -> DataFrame:
     """DR3: reference mean (parameter, else the reference score mean) vs current mean."""
-    cur_m = cur.agg(F.avg(nan_to_null(F.col(score))).alias("_cur"))
+    x = nan_to_null(F.col(score))
     if cfg.reference_score_mean is not None:
-        ref_m = cur.sparkSession.range(1).select(F.lit(float(cfg.reference_score_mean)).alias("_ref"))
+        m = cur.agg(F.avg(x).alias("_cur")).withColumn("_ref", F.lit(float(cfg.reference_score_mean)))
     else:
-        ref_m = ref.agg(F.avg(nan_to_null(F.col(score))).alias("_ref"))
+        m = _side_means(ref, cur, x)
+    r = (lambda c, n: F.round(c, n)) if rounded else (lambda c, n: c)
     shift = F.abs(F.col("_cur") - F.col("_ref"))
-    return ref_m.crossJoin(cur_m).select(F.col("_ref").alias("reference_mean_score"),
-                                         F.round("_cur", 4).alias("current_mean_score"),
-                                         F.round(shift, 4).alias("absolute_shift"),
-                                         (shift > cfg.score_mean_change_alert).alias("alert"))
+    return m.select(F.col("_ref").alias("reference_mean_score"), r(F.col("_cur"), 4).alias("current_mean_score"),
+                    r(shift, 4).alias("absolute_shift"), (shift > cfg.score_mean_change_alert).alias("alert"))
 
 
 def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -101,13 +107,12 @@ def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> Data
         _name(feats).alias("feature"), "wasserstein", (F.col("wasserstein") / F.nullif(F.col("_sd"), F.lit(0.0))).alias("wasserstein_norm"))
 
 
-def label_drift(ref: DataFrame, cur: DataFrame, label: str = "y_ew_72h") -> DataFrame:
-    """DR5: positive-rate shift."""
-    r = ref.agg(F.avg(F.col(label).cast("double")).alias("_r"))
-    c = cur.agg(F.avg(F.col(label).cast("double")).alias("_c"))
-    return r.crossJoin(c).select(F.round("_r", 4).alias("reference_positive_rate"),
-                                 F.round("_c", 4).alias("current_positive_rate"),
-                                 F.round(F.abs(F.col("_c") - F.col("_r")), 4).alias("absolute_shift"))
+def label_drift(ref: DataFrame, cur: DataFrame, label: str = "y_ew_72h", rounded: bool = True) -> DataFrame:
+    """DR5: positive-rate shift (one aggregate over both sides)."""
+    m = _side_means(ref, cur, F.col(label).cast("double"))
+    r = (lambda c, n: F.round(c, n)) if rounded else (lambda c, n: c)
+    return m.select(r(F.col("_ref"), 4).alias("reference_positive_rate"), r(F.col("_cur"), 4).alias("current_positive_rate"),
+                    r(F.abs(F.col("_cur") - F.col("_ref")), 4).alias("absolute_shift"))
 
 
 def drift_summary(ks: DataFrame, ref: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:

@@ -413,12 +413,13 @@ _SCORED_SQL = """SELECT event_id AS id, CAST(event_type = 'error' AS INTEGER) AS
        (value - 50.0) / 40.0 AS logit, 1.0 / (1.0 + exp(-((value - 50.0) / 40.0))) AS p FROM events"""
 
 
-def _scored(spark, sf_dir):
+def _scored(spark, sf_dir, with_ts: bool = False):
     """Score table: id, label y (event is an error), logit and probability of a fixed scorer."""
     e = table(spark, sf_dir, "events")
     z = (F.col("value") - F.lit(50.0)) / F.lit(40.0)
     return e.select(F.col("event_id").alias("id"), (F.col("event_type") == "error").cast("int").alias("y"),
-                    z.alias("logit"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("p"))
+                    z.alias("logit"), (F.lit(1.0) / (F.lit(1.0) + F.exp(-z))).alias("p"),
+                    *(["ts"] if with_ts else []))
 
 
 _CURVE_SQL = f"""WITH s AS ({_SCORED_SQL}),
@@ -670,19 +671,18 @@ SELECT {f4('rs')} AS reference_mean_score, {f4('cs')} AS current_mean_score, {f4
        {f4('abs(cy - ry)')} AS label_shift FROM r, c""")
 def q_score_label_drift(spark, sf_dir):
     """DR3 + DR5: mean-score shift (reference mean from the data) and positive-rate shift."""
-    s = _scored(spark, sf_dir).join(table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "ts"), "id")
+    s = _scored(spark, sf_dir, with_ts=True).withColumnRenamed("p", "score")
     cut = F.lit("2024-01-21 00:00:00").cast("timestamp_ntz")
-    ref, cur = s.filter(F.col("ts") < cut).withColumnRenamed("p", "score"), s.filter(F.col("ts") >= cut).withColumnRenamed("p", "score")
-    sc = drf.score_shift(cur, ref, DriftConfig())
-    # unrounded means for the shared rounding rule
-    sc = ref.agg(F.avg("score").alias("rs")).crossJoin(cur.agg(F.avg("score").alias("cs"))).crossJoin(sc.select("alert"))
-    lb = drf.label_drift(ref, cur, "y")
-    ry = ref.agg(F.avg(F.col("y").cast("double")).alias("ry")).crossJoin(cur.agg(F.avg(F.col("y").cast("double")).alias("cy")))
-    out = sc.crossJoin(ry).crossJoin(lb.select(F.lit(1).alias("_k")))
-    return out.select(fixed4(F.col("rs")).alias("reference_mean_score"), fixed4(F.col("cs")).alias("current_mean_score"),
-                      fixed4(F.abs(F.col("cs") - F.col("rs"))).alias("score_shift"), F.col("alert").alias("score_alert"),
-                      fixed4(F.col("ry")).alias("reference_positive_rate"), fixed4(F.col("cy")).alias("current_positive_rate"),
-                      fixed4(F.abs(F.col("cy") - F.col("ry"))).alias("label_shift"))
+    ref, cur = s.filter(F.col("ts") < cut), s.filter(F.col("ts") >= cut)
+    sc = drf.score_shift(cur, ref, DriftConfig(), rounded=False)
+    lb = drf.label_drift(ref, cur, "y", rounded=False).withColumnRenamed("absolute_shift", "_label_shift")
+    return sc.crossJoin(lb).select(
+        fixed4(F.col("reference_mean_score")).alias("reference_mean_score"),
+        fixed4(F.col("current_mean_score")).alias("current_mean_score"),
+        fixed4(F.col("absolute_shift")).alias("score_shift"), F.col("alert").alias("score_alert"),
+        fixed4(F.col("reference_positive_rate")).alias("reference_positive_rate"),
+        fixed4(F.col("current_positive_rate")).alias("current_positive_rate"),
+        fixed4(F.col("_label_shift")).alias("label_shift"))
 
 
 # ---------------------------------------------------------------------------
