@@ -5,7 +5,7 @@ a row's window ``(t - w, t]`` holds the rows of its key whose time is inside
 that range *and* that come at or before it in (time, tiebreak) order, so later
 rows that share its timestamp are excluded.
 
-Order encoding: ``ord = t * K + seq`` with ``K = 2^20`` and ``seq`` the rank of
+Order encoding: ``ord = t * K + seq`` with ``K = 2^24`` and ``seq`` the rank of
 the row among rows of the same (key, t). A RANGE frame on ``ord`` with lower
 bound ``w*K - K/2`` then selects exactly ``(t - w, t]`` minus later ties.
 
@@ -38,8 +38,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 1 << 20          # slots per second in the composite order
-HALF = K >> 1        # ties per (key, second) must stay below this
+K = 1 << 24          # slots per second in the composite order (epoch seconds * K < 2^63)
+HALF = K >> 1        # ties per (key, second) must stay below this (8.4M)
 
 ORD = "_ord"
 CHUNK = "_chunk"
@@ -144,7 +144,7 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
         d = d.repartition(key, CHUNK) if chunked else d.repartition(key)
     w = Window.partitionBy(key, CHUNK, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
     seq = F.row_number().over(w) - 1
-    guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^19 rows share one (key, time)")))
+    guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^23 rows share one (key, time)")))
     return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq)), chunked
 
 
