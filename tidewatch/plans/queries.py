@@ -859,8 +859,10 @@ def q_lr(spark, sf_dir):
     AUC / AP / Brier on valid and test."""
     ds = _dataset(spark, sf_dir)
     tr = ds.filter(F.col("split") == "train")
+    # 15 L-BFGS iterations: each one aggregates a 2^18-wide gradient (hashed keys); the
+    # library default keeps the reference's iteration budget
     m = mdl.fit_baseline(tr, "y_ew_72h", _numeric(ds), ["P_emaildomain"], ["entity_key", "fingerprint_key"],
-                         LogisticConfig(max_iter=50))
+                         LogisticConfig(max_iter=15))
     by = {s: m.transform(ds.filter(F.col("split") == s)).select(F.col("y_ew_72h").cast("int").alias("y"),
                                                                  F.col("score").alias("p")) for s in ("valid", "test")}
     return met.model_comparison({"logistic": by})
@@ -872,7 +874,7 @@ def q_shap(spark, sf_dir):
     ds = _dataset(spark, sf_dir)
     num = _numeric(ds)
     tr, te = ds.filter(F.col("split") == "train"), ds.filter(F.col("split") == "test")
-    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig(max_iter=50))
+    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig(max_iter=15))
     sc = prep.fit_median_scaler(tr, num)
     return met.linear_attributions(prep.apply_median_scaler(te, sc, num), prep.apply_median_scaler(tr, sc, num),
                                    m.coefficients())
