@@ -86,3 +86,15 @@ def test_standardizer_and_weights(spark):
     assert w.pos_weight == 3.0 and w.w_pos == 2.0
     const = spark.createDataFrame([(2.0,), (2.0,)], "x double")
     assert prep.fit_standardizer(const, ["x"]).first().x__std == 1.0
+
+
+def test_psi_js_and_quality(spark):
+    rng = random.Random(2)
+    ref = spark.createDataFrame([(rng.random(),) for _ in range(2000)], "f double")
+    same = spark.createDataFrame([(rng.random(),) for _ in range(2000)], "f double")
+    moved = spark.createDataFrame([(rng.random() * 0.5,) for _ in range(2000)], "f double")
+    p0 = drf.psi_js(ref, same, ["f"]).first()
+    p1 = drf.psi_js(ref, moved, ["f"]).first()
+    assert p0.psi < 0.05 < p1.psi and 0 <= p0.js_divergence < p1.js_divergence
+    dq = {r.side: r for r in drf.data_quality(ref, moved, ["f"]).collect()}
+    assert dq["reference"]["count"] == 2000 and dq["current"].max <= 0.5 and dq["reference"].p50 == pytest.approx(0.5, abs=0.05)

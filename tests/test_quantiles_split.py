@@ -52,3 +52,16 @@ def test_split_report(spark):
     df = spark.createDataFrame([("train", 1), ("train", None), ("test", 0)], "split string, y_ew_72h int")
     r = {x.split: x for x in spl.split_report(df).collect()}
     assert r["train"]["count"] == 2 and r["train"].positive == 1 and r["train"].positive_rate_pct == 50.0
+
+
+def test_next_value_across_bucket_edges(spark):
+    rng = random.Random(4)
+    rows = [(g, float(rng.randint(0, 300))) for g in ("a", "b") for _ in range(400)]
+    df = spark.createDataFrame(rows, "g string, v double").groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
+    cum = q.prefix_sums(df, ["v"], ["n"], ["g"], n_buckets=6, keep_bucket=True)
+    assert cum.select("_bucket").distinct().count() > 3
+    got = {(r.g, r.v): r._next for r in q.next_value(cum, "v", ["g"]).collect()}
+    for g in ("a", "b"):
+        vals = sorted({v for gg, v in rows if gg == g})
+        for i, v in enumerate(vals):
+            assert got[(g, v)] == (vals[i + 1] if i + 1 < len(vals) else None)
