@@ -24,8 +24,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def epoch_seconds(c) -> F.Column:
+    """Seconds since 1970-01-01 of a naive (``timestamp_ntz``) value, independent of the
+    session time zone (a cast to ``timestamp`` would shift by the zone's offset)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.unix_seconds(c.cast("timestamp"))
+    return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), c)
 
 
 def events_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,8 +200,13 @@ def velocity_stream(events: DataFrame, key: str, time_ts: str, id_col: str, amou
 
     Rows later than the watermark come out with ``late = true`` and no features.
     """
+    from pyspark.sql import types as T
+    if isinstance(events.schema[time_ts].dataType, T.TimestampNTZType):   # naive: zone-independent seconds
+        t_sec = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_ts))
+    else:
+        t_sec = F.unix_seconds(F.col(time_ts).cast("timestamp"))
     d = events.select(F.col(key).cast("string").alias("key"), F.col(id_col).cast("long").alias("id"),
-                      F.unix_seconds(F.col(time_ts).cast("timestamp")).alias("t"),
+                      t_sec.alias("t"),
                       F.col(amount).cast("double").alias("amount"), F.col(time_ts).cast("timestamp").alias("_ts"))
     return (d.withWatermark("_ts", delay).groupBy("key")
             .applyInPandasWithState(_velocity_fn(cfg), VELOCITY_SCHEMA, STATE_SCHEMA, "append",
