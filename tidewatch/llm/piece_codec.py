@@ -17,6 +17,7 @@ ids kept.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from array import array
@@ -30,7 +31,7 @@ from tidewatch.llm.common import id_and_text, map_arrow
 
 MARK = "▁"
 #: words remembered by a Python worker (two generations of this size at most)
-MEMO_WORDS = 250_000
+MEMO_WORDS = 400_000
 #: longer words are encoded each time, by the heap
 MEMO_CHARS = 48
 #: priority of a pair that isn't on the agenda
@@ -288,6 +289,7 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
+        gc.disable()  # the memo's many entries have no cycles, and walking them over and over takes long
         for b in batches:
             texts = b.column(1).to_pylist()
             at, chars = 0, 0

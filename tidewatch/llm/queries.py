@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewatch.llm import divergence, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -38,5 +39,25 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(COUNT_MODEL), limit=512)
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op7_token_counts)}
-ORACLES: dict[str, str] = {}
+def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the verdict of the divergences for every document."""
+    return divergence.judge(read_table(spark, sf_dir, "documents")).drop("char_js", "word_js")
+
+
+def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in every document."""
+    out = winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    ids = F.sort_array(F.transform("items", lambda i: i.cast("string")))
+    return out.select(
+        "doc_id", "n_words", "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op7_token_counts, op8_quality_divergence, op10_winnowing)}
+ORACLES: dict[str, str] = {
+    "op8_quality_divergence": divergence.oracle_sql(),
+    "op10_winnowing": winnow.oracle_sql(),
+}
