@@ -43,11 +43,17 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster; a scratch one only if unset."""
+    """The shared checkpoint folder named by the cluster.
+
+    Where the setting is absent, a local master gets a scratch folder (tests, bench); any
+    other master raises, as its executors would not see a folder of the driver's machine.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on master {master}")
         d = tempfile.mkdtemp(prefix="tidewatch-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d
