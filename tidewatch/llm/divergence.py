@@ -165,22 +165,18 @@ def oracle_sql(rules: DivergenceRules = DivergenceRules()) -> str:
     words = ", ".join(f"'{w}'" for w in bins())
     return rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents),
-w AS (SELECT doc_id, lang, t, list_filter(string_split_regex(t, '[ 	-
-]+'), x -> x <> '') AS w FROM d),
+w AS (SELECT doc_id, lang, t, [x for x in string_split_regex(t, '[\x20\x09-\x0D]+') if x <> ''] AS w FROM d),
 win AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 again AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, k) > 1),
 rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id),
-lin AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^ 	-
-]') GROUP BY doc_id),
+lin AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS l FROM d) WHERE regexp_matches(l, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 base AS (SELECT w.doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lin.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id)),
 judged AS (SELECT *, (n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_pct} * n_words) AS base_failed FROM base),
 cnt AS (SELECT doc_id, unnest(['space', 'lower', 'upper', 'digit', 'symbol', 'other']) AS bin,
-  unnest([length(t) - length(regexp_replace(t, '[ 	-
-]', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Ll}}', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')), length(t) - length(regexp_replace(t, '[0-9]', '', 'g')), n_symbols,
-  length(regexp_replace(t, '[ 	-
-0-9#*$%&|<>\p{{Ll}}\p{{Lu}}]', '', 'g'))]) AS n, 'c' AS kind FROM base),
+  unnest([length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Ll}}', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')), length(t) - length(regexp_replace(t, '[0-9]', '', 'g')), n_symbols,
+  length(regexp_replace(t, '[\x20\x09-\x0D0-9#*$%&|<>\p{{Ll}}\p{{Lu}}]', '', 'g'))]) AS n, 'c' AS kind FROM base),
 plain AS (SELECT doc_id, x FROM (SELECT doc_id, unnest(string_split_regex(lower(t), '[^\p{{L}}]+')) AS x FROM d) WHERE x <> ''),
 bin AS (SELECT unnest([{words}, '']) AS bin),
 com AS (SELECT doc_id, CASE WHEN x IN ({words}) THEN x ELSE '' END AS bin, count(*) AS n FROM plain GROUP BY ALL),
