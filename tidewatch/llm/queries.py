@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, winnow
+from tidewatch.llm import divergence, language_id, toxicity, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -34,6 +34,22 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; one fold by the id is never learned from."""
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = language_id.remainder("doc_id", 3) == 1
+    model = language_id.fit(docs.filter(~held_out))
+    return language_id.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document; one fold by the id is never learned from."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    held_out = language_id.remainder("doc_id", 5) == 0
+    train = docs.select("doc_id", "text").filter(~held_out).join(labels.select("doc_id", "toxic"), "doc_id")
+    return toxicity.score(docs, toxicity.fit(train)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed a context of 512."""
     return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(COUNT_MODEL), limit=512)
@@ -56,7 +72,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op7_token_counts, op8_quality_divergence, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op10_winnowing)}
 ORACLES: dict[str, str] = {
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),
