@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, language_id, toxicity, winnow
+from tidewatch.llm import divergence, language_id, pii_crf, toxicity, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -46,8 +46,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document; one fold by the id is never learned from."""
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     held_out = language_id.remainder("doc_id", 5) == 0
-    train = docs.select("doc_id", "text").filter(~held_out).join(labels.select("doc_id", "toxic"), "doc_id")
-    return toxicity.score(docs, toxicity.fit(train)).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+    model = toxicity.fit(docs.select("doc_id", "text"), labels.filter(~held_out))
+    return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +60,15 @@ def op8_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.judge(read_table(spark, sf_dir, "documents")).drop("char_js", "word_js")
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and all spans with those that the model adds."""
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii_crf.spans(docs, pii_crf.fit(docs))
+    joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(number(k) for k in pii_crf.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in every document."""
     out = winnow.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
@@ -72,7 +81,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
 ORACLES: dict[str, str] = {
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),

@@ -165,13 +165,15 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 1
     return ToxicityModel((emb @ soft).astype(np.float32), float(bias))
 
 
-def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", n_toxic: int = SAMPLE_TOXIC, n_clean: int = SAMPLE_CLEAN) -> ToxicityModel:
-    """Fit on rows with a text and a label of 0 or 1."""
-    rows = train.select(F.col(id_col).cast("string").alias("key"), F.col(text_col).cast("string").alias("__text"), F.col(label_col).cast("int").alias("label")).filter("__text is not null and label in (0, 1)")
-    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
-    u = F.pmod(F.xxhash64("key", F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", n_toxic: int = SAMPLE_TOXIC, n_clean: int = SAMPLE_CLEAN) -> ToxicityModel:
+    """Fit on documents whose ids ``labels`` marks 0 or 1. The sample is drawn from the labels, so only a
+    bounded table of ids is joined (broadcast) with the texts."""
+    marked = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("label")).filter("__id is not null and label in (0, 1)")
+    sizes = {r[0]: r[1] for r in marked.groupBy("label").count().collect()}
+    u = F.pmod(F.xxhash64(F.col("__id").cast("string"), F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("label") == 1, F.lit(n_toxic / max(1, sizes.get(1, 0)))).otherwise(F.lit(n_clean / max(1, sizes.get(0, 0))))
-    rows = rows.filter(u < share).limit(2 * (n_toxic + n_clean))
+    marked = marked.filter(u < share).limit(2 * (n_toxic + n_clean))
+    rows = id_and_text(docs, id_col, text_col).filter("__text is not null").join(F.broadcast(marked), "__id").select(F.col("__id").cast("string").alias("key"), "__text", "label")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
