@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, language_id, pii_crf, toxicity, winnow
+from tidewatch.llm import divergence, language_id, pii_crf, probminhash, toxicity, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -34,6 +34,11 @@ def op1_sentencepiece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return probminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document; one fold by the id is never learned from."""
     docs = read_table(spark, sf_dir, "documents")
@@ -81,7 +86,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
 ORACLES: dict[str, str] = {
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),
