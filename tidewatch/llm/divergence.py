@@ -20,14 +20,16 @@ from tidewatch.llm.common import stage_table
 # fixed values: the contract's word and symbol classes
 SPACES = r"[\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]+"
+#: what separates the words of the common-word histogram, after lower-casing
+NO_LETTERS = r"[\x00-\x60\x7B-\x7F]+"
 # fixed values: frequent function words of the languages; each is a bin of the histogram
 COMMON_WORDS = {
-    "en": "the of and to in is that for it with as was on are by this be from or an at which not have",
-    "de": "der die und das den von zu mit ist des im dem nicht ein eine als auch auf sich für es an werden aus",
-    "fr": "le la les de des et en un une du que qui est pour dans par sur pas plus au avec ce il sont",
-    "es": "el la los las de del y que en un una es se por con para no su al lo como más pero sus",
+    "en": "the of and to in is that for it with as on",
+    "de": "der die und das den von zu mit ist nicht ein im",
+    "fr": "le la les de et des en un une que qui pour",
+    "es": "el la los de que y en del las por con una",
 }
-CHAR_BINS = ("lower", "upper", "digit", "space", "symbol", "other")
+CHAR_BINS = ("lower", "upper", "digit", "space", "symbol", "beyond ascii", "other")
 
 
 @dataclass(frozen=True)
@@ -38,7 +40,7 @@ class DivergenceRules:
     max_repeat_pct: int = 50
     #: distances above these fail
     max_char_js: float = 0.30
-    max_word_js: float = 0.35
+    max_word_js: float = 0.30
     #: guards: shorter documents aren't compared
     min_chars: int = 200
     min_letter_words: int = 100
@@ -62,11 +64,11 @@ def counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         "*",
         F.array_remove(F.split("__t", SPACES), "").alias("__words"),
         F.filter(F.split("__t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("__lines"),
-        F.filter(F.split(F.lower("__t"), r"[^\p{L}]+"), lambda w: w != "").alias("__plain"),
-        drop(F.col("__t"), r"\p{Ll}+").alias("__c1"),
+        F.array_remove(F.split(F.lower("__t"), NO_LETTERS), "").alias("__plain"),
+        drop(F.col("__t"), r"[a-z]+").alias("__c1"),
     )
-    df = df.withColumn("__c2", drop(F.col("__c1"), r"\p{Lu}+")).withColumn("__c3", drop(F.col("__c2"), r"[0-9]+"))
-    df = df.withColumn("__c4", drop(F.col("__c3"), SPACES)).withColumn("__c5", drop(F.col("__c4"), SYMBOLS))
+    df = df.withColumn("__c2", drop(F.col("__c1"), r"[A-Z]+")).withColumn("__c3", drop(F.col("__c2"), r"[0-9]+"))
+    df = df.withColumn("__c4", drop(F.col("__c3"), SPACES)).withColumn("__c5", drop(F.col("__c4"), SYMBOLS)).withColumn("__c6", drop(F.col("__c5"), r"[^\x00-\x7F]+"))
     words, common = F.col("__words"), bins()
     fewer = lambda a, b: F.length(a).cast("long") - F.length(b)
     df = df.select(
@@ -75,7 +77,7 @@ def counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
         fewer("__c4", "__c5").alias("n_symbols"),
-        F.array(fewer("__t", "__c1"), fewer("__c1", "__c2"), fewer("__c2", "__c3"), fewer("__c3", "__c4"), fewer("__c4", "__c5"), F.length("__c5").cast("long")).alias("chars"),
+        F.array(fewer("__t", "__c1"), fewer("__c1", "__c2"), fewer("__c2", "__c3"), fewer("__c3", "__c4"), fewer("__c4", "__c5"), fewer("__c5", "__c6"), F.length("__c6").cast("long")).alias("chars"),
         F.size("__plain").alias("__n_plain"),
         F.filter("__plain", lambda w: w.isin(common)).alias("__commons"),
         F.transform(
@@ -103,11 +105,15 @@ def _total(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda x, y: x + y.cast("double"))
 
 
-def js_distance(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance, base 2, of two arrays of shares."""
-    part = lambda x, m: F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
-    terms = F.zip_with(p, q, lambda a, b: part(a, (a + b) / 2) + part(b, (a + b) / 2))
-    return F.sqrt(F.greatest(F.lit(0.0), _total(terms) / 2))
+def js_distance(counts: Column, total: Column, q: Column) -> Column:
+    """Jensen-Shannon distance, base 2, of counts (with their positive total) and an array of shares."""
+
+    def term(n: Column, b: Column) -> Column:
+        a = n / total
+        own = F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
+        return own + F.when(b > 0, b * F.log2(2 * b / (a + b))).otherwise(F.lit(0.0))
+
+    return F.sqrt(F.greatest(F.lit(0.0), _total(F.zip_with(counts, q, term)) / 2))
 
 
 def references(staged: DataFrame, rules: DivergenceRules) -> DataFrame:
@@ -141,16 +147,13 @@ def judge(df: DataFrame, rules: DivergenceRules = DivergenceRules(), id_col: str
     """
     staged = stage_table(counts(df, id_col, text_col, lang_col), "divergence-counts")
     refs = references(staged, rules)
-    shares = staged.crossJoin(F.broadcast(refs)).select(
-        "*",
-        F.transform("chars", lambda x: x / F.greatest(_total(F.col("chars")), F.lit(1.0))).alias("__p"),
-        F.transform("commons", lambda x: x / F.greatest(_total(F.col("commons")), F.lit(1.0))).alias("__q"),
-    )
-    p, q = F.col("__p"), F.col("__q")
-    out = shares.select(
+    # the totals are columns of their own: inside the lambdas they would be summed again for every bin
+    sums = staged.crossJoin(F.broadcast(refs)).select("*", _total(F.col("chars")).alias("__nc"), _total(F.col("commons")).alias("__nw"))
+    near = lambda counts, n, name: F.array_min(F.transform("refs", lambda r: js_distance(F.col(counts), F.col(n), r[name])))
+    out = sums.select(
         "*",
-        F.when(_total(F.col("chars")) >= rules.min_chars, F.array_min(F.transform("refs", lambda r: js_distance(p, r["chars"])))).alias("char_js"),
-        F.when(_total(F.col("commons")) >= rules.min_letter_words, F.array_min(F.transform("refs", lambda r: js_distance(q, r["commons"])))).alias("word_js"),
+        F.when(F.col("__nc") >= rules.min_chars, near("chars", "__nc", "chars")).alias("char_js"),
+        F.when(F.col("__nw") >= rules.min_letter_words, near("commons", "__nw", "commons")).alias("word_js"),
         _base_failed(rules).alias("base_failed"),
     )
     far = (F.coalesce("char_js", F.lit(0.0)) > rules.max_char_js) | (F.coalesce("word_js", F.lit(0.0)) > rules.max_word_js)
@@ -174,10 +177,10 @@ base AS (SELECT w.doc_id, lang, t, len(w)::BIGINT AS n_words, length(array_to_st
   length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lin.n, 0)::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN rep USING (doc_id) LEFT JOIN lin USING (doc_id)),
 judged AS (SELECT *, (n_words < {rules.min_words} OR 100 * n_repeat_words > {rules.max_repeat_pct} * n_words) AS base_failed FROM base),
-cnt AS (SELECT doc_id, unnest(['space', 'lower', 'upper', 'digit', 'symbol', 'other']) AS bin,
-  unnest([length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Ll}}', '', 'g')), length(t) - length(regexp_replace(t, '\p{{Lu}}', '', 'g')), length(t) - length(regexp_replace(t, '[0-9]', '', 'g')), n_symbols,
-  length(regexp_replace(t, '[\x20\x09-\x0D0-9#*$%&|<>\p{{Ll}}\p{{Lu}}]', '', 'g'))]) AS n, 'c' AS kind FROM base),
-plain AS (SELECT doc_id, x FROM (SELECT doc_id, unnest(string_split_regex(lower(t), '[^\p{{L}}]+')) AS x FROM d) WHERE x <> ''),
+cnt AS (SELECT doc_id, unnest(['space', 'lower', 'upper', 'digit', 'symbol', 'beyond', 'other']) AS bin,
+  unnest([length(t) - length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')), length(t) - length(regexp_replace(t, '[a-z]', '', 'g')), length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')), length(t) - length(regexp_replace(t, '[0-9]', '', 'g')), n_symbols,
+  length(t) - length(regexp_replace(t, '[^\x00-\x7F]', '', 'g')), length(regexp_replace(t, '[\x20\x09-\x0D0-9#*$%&|<>a-zA-Z]|[^\x00-\x7F]', '', 'g'))]) AS n, 'c' AS kind FROM base),
+plain AS (SELECT doc_id, x FROM (SELECT doc_id, unnest(string_split_regex(lower(t), '[\x00-\x60\x7B-\x7F]+')) AS x FROM d) WHERE x <> ''),
 bin AS (SELECT unnest([{words}, '']) AS bin),
 com AS (SELECT doc_id, CASE WHEN x IN ({words}) THEN x ELSE '' END AS bin, count(*) AS n FROM plain GROUP BY ALL),
 hist AS (SELECT doc_id, kind, bin, n FROM cnt UNION ALL SELECT d.doc_id, 'w', bin.bin, coalesce(com.n, 0) FROM d CROSS JOIN bin LEFT JOIN com ON com.doc_id = d.doc_id AND com.bin = bin.bin),
