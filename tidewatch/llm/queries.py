@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, language_id, pii_crf, probminhash, toxicity, winnow
+from tidewatch.llm import divergence, language_id, page_template, pii_crf, probminhash, toxicity, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -55,6 +55,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_template.main_texts(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, and whether they exceed a context of 512."""
     return count_tokens(read_table(spark, sf_dir, "documents"), tokenizer_path(COUNT_MODEL), limit=512)
@@ -86,7 +91,7 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op6_main_text, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
 ORACLES: dict[str, str] = {
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),
