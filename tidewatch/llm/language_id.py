@@ -212,3 +212,15 @@ def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
 def remainder(id_col: str, modulus: int) -> Column:
     """crc32 of the id's text, modulo ``modulus``: fixes the folds."""
     return F.crc32(F.col(id_col).cast("string")) % modulus
+
+
+def keep_identified(df: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, whose text has a language at a score of at least ``min_score``. No shuffle."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(b.schema.get_field_index(text_col)).to_pylist()
+            got = [model.predict(t) for t in texts]
+            yield b.filter(pa.array([lang != UNKNOWN and score >= min_score for lang, score in got], pa.bool_()))
+
+    return map_arrow(df, run, df.schema)

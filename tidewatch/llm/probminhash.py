@@ -198,6 +198,11 @@ def _sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def stage_sized(df: DataFrame, name: str) -> DataFrame:
+    """A table of keys, written, and broadcast if its counted rows stay under the bound."""
+    return _sized(stage_table(df, name))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Class of every row of ``docs``: ``id_col``, ``class_id`` (the least id in the class), ``copies`` (rows in the
     class) and ``is_first`` (true for one row of each class).
@@ -245,3 +250,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = of_row.join(heads, "c").select(F.col("__id").alias(id_col), F.col("head.__id").alias("class_id"), "copies", (F.col("r") == F.col("head.r")).alias("is_first"))
     alone = every.filter(F.size("bands") == 0).select(F.col("__id").alias(id_col), F.col("__id").alias("class_id"), F.lit(1).cast("long").alias("copies"), F.lit(True).alias("is_first"))
     return out.unionByName(alone)
+
+
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each class, all columns. Ids name documents: rows with the same id and text are one."""
+    found = near_duplicates(docs, id_col, text_col).groupBy(F.col(id_col).alias("__gone")).agg(F.max("is_first").alias("stays"), F.count("*").alias("n"))
+    found = stage_table(found, "kept")
+    gone = _sized(found.filter(~F.col("stays")).select("__gone"))
+    left = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    return left if found.filter("n > 1").isEmpty() else left.dropDuplicates([id_col, text_col])

@@ -3,10 +3,11 @@ with production parameters, over the whole of its table."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, language_id, page_template, pii_crf, probminhash, toxicity, winnow
+from tidewatch.llm import divergence, language_id, licenses, page_template, pii_crf, probminhash, toxicity, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -55,6 +56,20 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+#: a path for a document, in the form that a crate of files has: folders by thousands and hundreds of its source, and
+#: every hundredth file named as a licence file of its folder
+PATH_SQL = (
+    "concat(coalesce(source, 'unknown'), '/', doc_id // 1000, CASE WHEN doc_id % 1000 = 0 THEN '/LICENSE' "
+    "WHEN doc_id % 100 = 0 THEN concat('/', doc_id // 100, '/LICENSE') ELSE concat('/', doc_id // 100, '/', doc_id, '.txt') END)"
+)
+
+
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document, its own or inherited on its path."""
+    docs = read_table(spark, sf_dir, "documents")
+    return licenses.license_scan(docs.select("doc_id", F.expr(PATH_SQL.replace("//", "div")).alias("path"), "text"))
+
+
 def op6_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return page_template.main_texts(read_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
@@ -91,8 +106,9 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op6_main_text, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op5_license_scan, op6_main_text, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {
+    "op5_license_scan": licenses.oracle_sql(PATH_SQL),
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),
 }
