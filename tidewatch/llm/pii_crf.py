@@ -338,7 +338,10 @@ def examples_of(text: str, rng: random.Random) -> list[tuple[Lattice, dict[int,
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> SemiCrf | None:
     """Fit on ``rows`` documents with a trigger, those with the least hashes of their ids. None without any base match."""
     src = id_and_text(df, id_col, text_col).filter(F.col("__text").rlike(r"[0-9]{2}|@"))
-    sample = src.select(F.xxhash64(F.col("__id").cast("string"), F.lit("pii")).alias("h"), "__text").orderBy("h", F.xxhash64("__text")).limit(rows)
+    src = src.select(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit("pii")).alias("h"), "__text")
+    # the hashes alone are sorted, so that no task gathers texts
+    last = src.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    sample = src.filter(F.col("h") <= F.lit(last)).limit(2 * rows)
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

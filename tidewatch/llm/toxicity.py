@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidewatch.llm.common import id_and_text, map_arrow
 
 #: bounds on the labelled rows that the classifier is fitted on
-SAMPLE_TOXIC, SAMPLE_CLEAN = 1200, 1800
+SAMPLE_TOXIC, SAMPLE_CLEAN = 900, 1300
 BUCKETS = 1 << 17
 DIM = 16
 NGRAMS = (3, 4, 5)
@@ -108,8 +108,18 @@ class ToxicityModel:
         return 0.0 if z is None else float(1.0 / (1.0 + np.exp(-np.clip(z, -500, 500))))
 
 
+def grouped(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram buckets of a whole text by window, and how many each window has (windows without any are left out)."""
+    ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for i, w in window_ngrams(text or ""):
+        ids.append(i[np.argsort(w, kind="stable")])
+        n = np.bincount(w)
+        sizes.append(n[n > 0].astype(np.int32))
+    return np.concatenate(ids), np.concatenate(sizes)
+
+
 def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 14, rate: float = 0.5, l2: float = 1e-6, others: int = 3, seed: int = 5) -> ToxicityModel:
-    """Train on (n-gram buckets, window of each, label) of texts; the windows of a text are numbered from 0."""
+    """Train on (n-gram buckets by window, size of each window, label) of texts."""
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     soft = rng.normal(0, 0.5, DIM)
@@ -118,33 +128,26 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 1
     if not texts or len({t[2] for t in texts}) < 2:
         share = float(np.mean([t[2] for t in texts])) if texts else 0.0
         return ToxicityModel(np.zeros(BUCKETS, np.float32), 8.0 if share == 1.0 else -8.0)
-    sizes = [int(t[1].max()) + 1 for t in texts]
-    starts = np.r_[0, np.cumsum(sizes)]
+    starts = np.r_[0, np.cumsum([len(t[1]) for t in texts])]
     ids = np.concatenate([t[0] for t in texts])
-    window = np.concatenate([t[1] + s for t, s in zip(texts, starts[:-1], strict=True)])
-    order = np.argsort(window, kind="stable")
-    ids, window = ids[order], window[order].astype(np.int32)
-    per = np.bincount(window, minlength=starts[-1])
+    per = np.concatenate([t[1] for t in texts]).astype(np.int64)
     edge = np.r_[0, np.cumsum(per)]
     label = np.array([t[2] for t in texts])
-    n_pos, n_neg = max(1, int(label.sum())), max(1, int((1 - label).sum()))
     for r in range(rounds):
-        total = np.bincount(window, weights=(emb @ soft)[ids], minlength=starts[-1])
-        z = np.where(per > 0, total / np.maximum(per, 1), -np.inf)
+        z = np.add.reduceat((emb @ soft).astype(np.float32)[ids], edge[:-1]) / per
         pick, y = [], []
         for k in range(len(texts)):
             a, b = starts[k], starts[k + 1]
             if r == 0:  # nothing is known yet: some windows of each text, with its label
-                got = rng.integers(a, b, 6)
+                got = rng.integers(a, b, 6).tolist()
             elif label[k]:
                 got = [a + int(z[a:b].argmax())]
             else:
                 got = [a + int(z[a:b].argmax()), *rng.integers(a, b, others)]
-            got = [w for w in got if per[w]]
             pick += got
             y += [label[k]] * len(got)
         pick, y = np.array(pick), np.array(y, np.float64)
-        weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y) if r == 0 else np.where(y > 0, 1.0, 1.0)
+        weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y) if r == 0 else np.ones(len(y))
         for part in np.array_split(rng.permutation(len(pick)), max(1, len(pick) // 128)):
             w = pick[part]
             n = per[w]
@@ -179,19 +182,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for b in batches:
             out = []
             for key, text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                ids, where, base = [], [], 0
-                for i, w in window_ngrams(text):
-                    ids.append(i)
-                    where.append((w + base).astype(np.int32))
-                    base += int(w.max()) + 1
-                if ids:
-                    out.append((key, label, np.concatenate(ids), np.concatenate(where)))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2].tobytes() for x in out], pa.binary()), pa.array([x[3].tobytes() for x in out], pa.binary())], names=["key", "label", "ids", "windows"])
-
-    got = map_arrow(rows, features, "key string, label int, ids binary, windows binary").toArrow()
-    got = got.sort_by([("key", "ascending"), ("label", "ascending")])
-    data = zip(got.column("ids").to_pylist(), got.column("windows").to_pylist(), got.column("label").to_pylist(), strict=True)
-    return fit_windows([(np.frombuffer(i, np.int32), np.frombuffer(w, np.int32), y) for i, w, y in data])
+                ids, sizes = grouped(text)
+                out.append((key, label, ids.tobytes(), sizes.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.binary()), pa.array([x[3] for x in out], pa.binary())], names=["key", "label", "ids", "sizes"])
+
+    got = map_arrow(rows, features, "key string, label int, ids binary, sizes binary").toArrow()
+    order = sorted(range(got.num_rows), key=list(zip(got.column("key").to_pylist(), got.column("label").to_pylist(), strict=True)).__getitem__)
+    at = lambda name, k, kind: np.frombuffer(got.column(name)[k].as_buffer(), kind)
+    return fit_windows([(at("ids", k, np.int32), at("sizes", k, np.int32), got.column("label")[k].as_py()) for k in order])
 
 
 def score(df: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
