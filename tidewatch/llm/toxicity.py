@@ -32,7 +32,7 @@ SAMPLE_TOXIC, SAMPLE_CLEAN = 900, 1300
 BUCKETS = 1 << 17
 DIM = 16
 NGRAMS = (3, 4, 5)
-WINDOW_WORDS = 12
+WINDOW_WORDS = 3
 #: a long text is worked on in parts of about so many characters
 PART = 1 << 18
 
@@ -118,8 +118,9 @@ def grouped(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(ids), np.concatenate(sizes)
 
 
-def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 14, rate: float = 0.5, l2: float = 1e-6, others: int = 3, seed: int = 5) -> ToxicityModel:
-    """Train on (n-gram buckets by window, size of each window, label) of texts."""
+def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | None = None, rate: float = 0.5, l2: float = 1e-6, others: int = 3, seed: int = 5) -> ToxicityModel:
+    """Train on (n-gram buckets by window, size of each window, label) of texts. By default there are as many rounds
+    as make about 700 steps, 14 at least and 40 at most."""
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
     soft = rng.normal(0, 0.5, DIM)
@@ -133,6 +134,9 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int = 1
     per = np.concatenate([t[1] for t in texts]).astype(np.int64)
     edge = np.r_[0, np.cumsum(per)]
     label = np.array([t[2] for t in texts])
+    if rounds is None:
+        steps = (label.sum() + (1 + others) * (1 - label).sum()) / 128
+        rounds = int(np.clip(700 / steps, 14, 40))
     for r in range(rounds):
         z = np.add.reduceat((emb @ soft).astype(np.float32)[ids], edge[:-1]) / per
         pick, y = [], []
