@@ -53,6 +53,17 @@ def test_estimator_and_exact_similarity():
     assert abs(np.mean(off)) < 0.03 and np.std(off) < 0.1
 
 
+def test_bound_is_one():
+    r = np.random.default_rng(5)
+    pool = np.sort(r.integers(0, 2**63, 300).astype(np.uint64))
+    pick = lambda: (lambda i: (pool[i], r.integers(1, 6, len(i))))(np.sort(r.choice(300, int(r.integers(50, 300)), replace=False)))
+    a, b = [pick() for _ in range(12)], [pick() for _ in range(9)]
+    b[0] = a[0]
+    got = P.bounds(a, b)
+    exact = np.array([[P.similarity(x, y) for y in b] for x in a])
+    assert (got >= exact - 1e-5).all() and abs(got[0, 0] - 1) < 1e-5
+
+
 def test_classes_equal_brute_force(spark, docs, clashing, empty, texts):
     got = P.near_duplicates(clashing).toPandas()
     by = defaultdict(list)

@@ -8,10 +8,13 @@ little more than one point for each shingle. Two documents agree in a register w
 probability Jaccard similarity of their weighted shingles.
 
 Exact copies are collapsed first. Bands of registers make buckets. In a bucket all members
-are compared with one pivot, then with a second one, and then those that still belong to
-different classes with each other, so a bucket of copies costs a comparison for each
-member and no pair of different texts is left out. Candidates are verified by the exact
-probability Jaccard similarity of their shingles, and verified pairs joined to classes.
+are compared with one pivot, then with a second one, and buckets that still hold different
+classes are compared in blocks: a task gets two blocks of a bucket, bounds the similarity
+of all their pairs by matrix products, verifies the pairs that the bound leaves, and
+returns links only. So a bucket of copies costs a comparison for each member, no pair of
+different classes is left out, and pairs are never rows of a table. Candidates are
+verified by the exact probability Jaccard similarity of their shingles, and verified
+pairs joined to classes.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +34,10 @@ SIMILARITY = 0.8
 #: 25 bands of 5 registers: a pair at the least similarity is missed with probability 5e-5
 BANDS, ROWS = 25, 5
 REGISTERS = BANDS * ROWS
+#: members of an open bucket in a block
+BLOCK = 200
+#: shingles in a matrix product at once
+SLICE = 4096
 #: rows of a table of keys (about 30 bytes each) that may be broadcast
 BROADCAST_ROWS = 2_000_000
 
@@ -170,6 +178,61 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(ok)), b.column(1).filter(pa.array(ok))], names=["a", "b"])
 
 
+def bounds(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """An upper bound of the similarity of each document of ``a`` to each of ``b``.
+
+    With U and V the shares of two documents' weight on shingles that the other lacks, each
+    common shingle adds at most the harmonic mean of its shares over 1 + U and 1 + V, and
+    so all of them at most the harmonic mean of (1 - U) / (1 + U) and (1 - V) / (1 + V)."""
+    docs = [*a, *b]
+    row = np.repeat(np.arange(len(docs)), [len(h) for h, _ in docs])
+    share = np.concatenate([weights(c) / weights(c).sum() for _, c in docs])
+    _, col, often = np.unique(np.concatenate([h for h, _ in docs]), return_inverse=True, return_counts=True)
+    shared = often[col] > 1
+    number = np.cumsum(often > 1) - 1
+    row, share, col = row[shared], share[shared].astype(np.float32), number[col[shared]]
+    order = np.argsort(col, kind="stable")
+    row, share, col = row[order], share[order], col[order]
+    of_a, of_b = np.zeros((len(a), len(b)), np.float32), np.zeros((len(a), len(b)), np.float32)
+    for start in range(0, int(often.size), SLICE):
+        at, end = np.searchsorted(col, [start, start + SLICE])
+        if at == end:
+            break
+        p = np.zeros((len(docs), SLICE), np.float32)
+        p[row[at:end], col[at:end] - start] = share[at:end]
+        has = (p > 0).astype(np.float32)
+        of_a += p[:len(a)] @ has[len(a):].T
+        of_b += has[:len(a)] @ p[len(a):].T
+    x, y = of_a / (2 - of_a), of_b / (2 - of_b)
+    return 2 * x * y / np.maximum(x + y, 1e-9)
+
+
+def _block(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links between different classes in two blocks of a bucket, one for each pair of classes."""
+    first, second = rows.i.iloc[0], rows.j.iloc[0]
+    left = rows[rows.own == first]
+    right = rows[rows.own == second]
+    found: dict[tuple[int, int], tuple[int, int]] = {}
+    if left.c.nunique() + right.c.nunique() > 1 and len(left) and len(right):
+        docs = [[(np.asarray(s, np.int64).view(np.uint64), np.asarray(n, np.int64)) for s, n in zip(part.s, part.n, strict=True)] for part in (left, right)]
+        may = bounds(*docs) >= SIMILARITY - 1e-4
+        may &= left.c.to_numpy()[:, None] != right.c.to_numpy()[None, :]
+        for x, y in zip(*np.nonzero(may), strict=True):
+            key = (left.c.iloc[x], right.c.iloc[y])
+            if key not in found and similarity(docs[0][x], docs[1][y]) >= SIMILARITY:
+                found[key] = (left.r.iloc[x], right.r.iloc[y])
+    return pd.DataFrame({"a": [v[0] for v in found.values()], "b": [v[1] for v in found.values()]}, dtype="int64")
+
+
+def settled(open_: DataFrame, features: DataFrame) -> DataFrame:
+    """Verified links (``a``, ``b``) between all members of open buckets (``band``, ``r``, ``c``) that are in different classes."""
+    blocks = open_.groupBy("band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    each = open_.join(blocks, "band").withColumn("own", F.pmod(F.xxhash64("r", F.lit("block")), F.col("blocks")).cast("int"))
+    each = each.withColumn("with", F.explode_outer(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    each = each.select("band", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "r", "c").join(features, "r")
+    return each.groupBy("band", "i", "j").applyInPandas(_block, "a long, b long")
+
+
 def verified(pairs: DataFrame, features: DataFrame) -> DataFrame:
     """The pairs (``a``, ``b``) whose documents are similar. A hot document on one side is left to adaptive skew joins."""
     one = features.select(F.col("r").alias("a"), F.col("s").alias("sa"), F.col("n").alias("na"))
@@ -231,13 +294,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         else:
             open_ = here.groupBy("band").agg(F.min("c").alias("least"), F.max(F.struct("c", "r")).alias("top")).filter("least <> top.c")
             left = here.select("band", "r", "c").join(open_, "band")
-            if step == "other":
-                pairs = left.filter("c <> top.c").select(F.least("r", "top.r").alias("a"), F.greatest("r", "top.r").alias("b"))
-            else:
-                left = stage_table(left.select("band", "r", "c"), "open")
-                right = left.select("band", F.col("r").alias("b"), F.col("c").alias("cb"))
-                pairs = left.join(right, "band").filter("r < b and c <> cb").select(F.col("r").alias("a"), "b")
-        links = verified(stage_table(pairs.distinct(), "pairs"), features)
+            pairs = left.filter("c <> top.c").select(F.least("r", "top.r").alias("a"), F.greatest("r", "top.r").alias("b"))
+        if step == "rest":
+            links = settled(stage_table(left.select("band", "r", "c"), "open"), features)
+        else:
+            links = verified(stage_table(pairs.distinct(), "pairs"), features)
         ends = classes.select(F.col("r").alias("a"), F.col("c").alias("ca")), classes.select(F.col("r").alias("b"), F.col("c").alias("cb"))
         links = stage_table(links.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).filter("a <> b").distinct(), "links")
         if not links.isEmpty():
