@@ -12,14 +12,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.config import BAND_ACTIONS, BAND_ORDER, SERVING_CUTOFFS, BandPolicy
+from tidewatch.functions.exprs import nan_to_null
+from tidewatch.operators.metrics import boundaries
 from tidewatch.operators.quantiles import exact_quantiles, prefix_sums
 
 
-def band_cutoffs(scored: DataFrame, policy: BandPolicy = BandPolicy(), score: str = "score") -> DataFrame:
-    """B1: one-row ``(critical, high, medium)``: exact linear quantiles at 1 - top%."""
+def band_cutoffs(scored: DataFrame, policy: BandPolicy = BandPolicy(), score: str = "score",
+                 n_buckets: int | None = None) -> DataFrame:
+    """B1: one-row ``(critical, high, medium)``: exact linear quantiles at 1 - top% of the scores that are
+    neither null nor NaN."""
     qs = {"critical": 1 - policy.critical_top_pct / 100.0, "high": 1 - policy.high_top_pct / 100.0,
           "medium": 1 - policy.medium_top_pct / 100.0}
-    q = exact_quantiles(scored.select(F.col(score).alias("_s")), "_s", list(qs.values()), "linear")
+    q = exact_quantiles(scored.select(F.col(score).cast("double").alias("_s")), "_s", list(qs.values()), "linear", n_buckets=n_buckets)
     return q.agg(*[F.max(F.when(F.abs(F.col("q") - F.lit(v)) < 1e-12, F.col("value"))).alias(k)
                    for k, v in qs.items()])
 
@@ -43,20 +47,40 @@ def assign_risk_band(df: DataFrame, cutoffs, score: str = "score", out: str = "r
 
 
 def exact_capacity_bands(df: DataFrame, policy: BandPolicy = BandPolicy(), score: str = "score",
-                         id_col: str = "id", out: str = "risk_band") -> DataFrame:
-    """Exactly ``int(n*pct/100)`` rows in the cumulative top bands.
+                         id_col: str = "id", out: str = "risk_band", n_buckets: int | None = None) -> DataFrame:
+    """Exactly ``int(n*pct/100)`` rows in the cumulative top bands, of the ``n`` rows with a score.
 
-    Rank = position in (score desc, id asc), from the distributed prefix sum.
+    Order: score descending, then id ascending; ids are unique. Rows whose score is null or NaN
+    are ``low`` and don't count. The boundary of each band is a score and, where a tie group
+    straddles it, the last id inside: found on the collapsed scores and on the ids of the
+    boundary groups only. The rows themselves are not shuffled.
     """
-    n = df.count()
-    k = [int(n * policy.critical_top_pct / 100), int(n * policy.high_top_pct / 100),
-         int(n * policy.medium_top_pct / 100)]
-    ranked = prefix_sums(df.withColumn("_one", F.lit(1)), [score, id_col], ["_one"], descending=True)
-    r = F.col("_one_cum")
-    s = F.col(score).cast("double")
-    band = (F.when(s.isNull() | F.isnan(s), "low").when(r <= k[0], "critical").when(r <= k[1], "high")
-            .when(r <= k[2], "medium").otherwise("low"))
-    return ranked.withColumn(out, band).drop("_one", "_one_cum", "_one_total")
+    names = ("critical", "high", "medium")
+    s = df.select(nan_to_null(F.col(score).cast("double")).alias("s"), F.col(id_col).alias("id")).filter(F.col("s").isNotNull())
+    counts = prefix_sums(s.groupBy("s").agg(F.count(F.lit(1)).alias("cnt")), ["s"], ["cnt"], n_buckets=n_buckets, descending=True)
+    n = int(counts.agg(F.first("cnt_total")).first()[0] or 0)
+    ks = [int(n * pct / 100) for pct in (policy.critical_top_pct, policy.high_top_pct, policy.medium_top_pct)]
+    at = boundaries(counts, ks, "cnt_cum", ["s", "cnt"]) if n else [None] * 3
+    rest = [k - (b["cnt_cum"] - b["cnt"]) if b is not None else 0 for b, k in zip(at, ks)]
+    split = [i for i, (b, r) in enumerate(zip(at, rest)) if b is not None and 0 < r < b["cnt"]]
+    last = {}
+    if split:
+        tie = s.filter(F.col("s").isin([at[i]["s"] for i in split])).withColumn("c", F.lit(1))
+        ranked = prefix_sums(tie, ["id"], ["c"], ["s"], n_buckets=n_buckets)
+        last = ranked.agg(*[F.max(F.when((F.col("s") == F.lit(at[i]["s"])) & (F.col("c_cum") <= rest[i]), F.col("id"))).alias(names[i])
+                            for i in split]).first().asDict()
+    x = nan_to_null(F.col(score).cast("double"))
+    band = F.when(x.isNull(), F.lit("low"))
+    for i, name in enumerate(names):
+        if at[i] is None or ks[i] == 0:
+            continue
+        inside = x > F.lit(at[i]["s"])
+        if rest[i] == at[i]["cnt"]:
+            inside = inside | (x == F.lit(at[i]["s"]))
+        elif i in split:
+            inside = inside | ((x == F.lit(at[i]["s"])) & (F.col(id_col) <= F.lit(last[name])))
+        band = band.when(inside, F.lit(name))
+    return df.withColumn(out, band.otherwise("low"))
 
 
 def band_summary(scored: DataFrame, label_col: str = "y_ew_72h", band_col: str = "risk_band") -> DataFrame:

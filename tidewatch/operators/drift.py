@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.config import DriftConfig
 from tidewatch.functions.exprs import nan_to_null
-from tidewatch.operators.quantiles import bucketize, exact_quantiles, next_value, prefix_sums
+from tidewatch.operators.quantiles import assign_bin, exact_quantiles, next_value, prefix_sums
 
 
 def _long(df: DataFrame, features: Sequence[str], side: int) -> DataFrame:
@@ -33,12 +33,13 @@ def _present(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> list[st
     return [c for c in features if c in ref.columns and c in cur.columns]
 
 
-def ecdf_table(ref: DataFrame, cur: DataFrame, features: Sequence[str], keep_bucket: bool = False) -> DataFrame:
+def ecdf_table(ref: DataFrame, cur: DataFrame, features: Sequence[str], keep_bucket: bool = False,
+               n_buckets: int | None = None) -> DataFrame:
     """Per (feature, distinct value): counts and inclusive cumulative counts of each side."""
     long = _long(ref, features, 0).unionByName(_long(cur, features, 1)).filter(F.col("value").isNotNull())
     c = long.groupBy("feature", "value").agg(F.sum((F.col("side") == 0).cast("bigint")).alias("r"),
                                              F.sum((F.col("side") == 1).cast("bigint")).alias("c"))
-    return prefix_sums(c, ["value"], ["r", "c"], group_cols=["feature"], keep_bucket=keep_bucket)
+    return prefix_sums(c, ["value"], ["r", "c"], group_cols=["feature"], n_buckets=n_buckets, keep_bucket=keep_bucket)
 
 
 def _ks_pvalue(d, n, m):
@@ -52,13 +53,13 @@ def _ks_pvalue(d, n, m):
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
-def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig()) -> DataFrame:
+def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig(), n_buckets: int | None = None) -> DataFrame:
     """DR1 + DR2: per feature KS D, p-value, drift flag, means and mean change %.
 
     Features with fewer than ``min_rows`` non-null values on either side are absent.
     """
     feats = _present(ref, cur, cfg.features)
-    e = ecdf_table(ref, cur, feats)
+    e = ecdf_table(ref, cur, feats, n_buckets=n_buckets)
     gap = F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
     ks = e.groupBy("feature").agg(F.max(gap).alias("_d"), F.first("r_total").alias("n_ref"),
                                   F.first("c_total").alias("n_cur"),
@@ -95,11 +96,11 @@ def score_shift(cur: DataFrame, ref: DataFrame | None = None, cfg: DriftConfig =
                     r(shift, 4).alias("absolute_shift"), (shift > cfg.score_mean_change_alert).alias("alert"))
 
 
-def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str]) -> DataFrame:
+def wasserstein(ref: DataFrame, cur: DataFrame, features: Sequence[str], n_buckets: int | None = None) -> DataFrame:
     """DR4: 1-Wasserstein distance ``sum |F_ref - F_cur| * (next_value - value)`` per feature,
     raw and normalised by the reference population std."""
     feats = _present(ref, cur, features)
-    e = next_value(ecdf_table(ref, cur, feats, keep_bucket=True), "value", ["feature"])
+    e = next_value(ecdf_table(ref, cur, feats, keep_bucket=True, n_buckets=n_buckets), "value", ["feature"])
     gap = F.abs(F.col("r_cum") / F.col("r_total") - F.col("c_cum") / F.col("c_total"))
     dist = e.groupBy("feature").agg(F.sum(F.coalesce(gap * (F.col("_next") - F.col("value")), F.lit(0.0))).alias("wasserstein"))
     std = _long(ref, feats, 0).groupBy("feature").agg(F.stddev_pop("value").alias("_sd"))
@@ -135,12 +136,11 @@ def psi_js(ref: DataFrame, cur: DataFrame, features: Sequence[str], n_bins: int
     qs = [i / n_bins for i in range(1, n_bins)]
     rl = _long(ref, feats, 0).filter(F.col("value").isNotNull())
     cl = _long(cur, feats, 1).filter(F.col("value").isNotNull())
-    eq = exact_quantiles(rl, "value", qs, "linear", group_cols=["feature"]).collect()  # features x (n_bins-1)
-    edges = {}
-    for r in sorted(eq, key=lambda r: (r["feature"], r["q"])):
-        edges.setdefault((r["feature"],), []).append(r["value"])
-    both = bucketize(rl.unionByName(cl), F.col("value"), edges, ["feature"], "bin", dedupe=False)
-    both = both.filter(F.col("feature").isin([k[0] for k in edges]))
+    eq = exact_quantiles(rl, "value", qs, "linear", group_cols=["feature"])
+    eq = eq.groupBy(F.col("feature").alias("_f")).agg(*[F.max(F.when(F.col("q") == F.lit(q), F.col("value"))).alias(f"_e{i}") for i, q in enumerate(qs)])
+    # one row of edges per feature of the call; features without a reference value have none
+    both = rl.unionByName(cl).join(F.broadcast(eq), F.col("feature") == F.col("_f"))
+    both = assign_bin(both, F.col("value"), [F.col(f"_e{i}") for i in range(len(qs))], "bin")
     h = both.groupBy("feature", "bin").agg(F.sum((F.col("side") == 0).cast("double")).alias("r"),
                                                      F.sum((F.col("side") == 1).cast("double")).alias("c"))
     wf = Window.partitionBy("feature")

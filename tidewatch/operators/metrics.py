@@ -17,18 +17,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import nan_to_null
-from tidewatch.operators.quantiles import bucketize, exact_quantiles, prefix_sums
+from tidewatch.operators.quantiles import assign_bin, exact_quantiles, prefix_sums
 
 LOGLOSS_EPS = 2.220446049250313e-16   # float64 machine epsilon, the clip used for log-loss
 
 
-def score_table(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+def score_table(scored: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """Distinct scores with pos/neg counts and inclusive ascending cumulative counts."""
     c = (scored.select(nan_to_null(F.col(p)).alias("s"), F.col(y).cast("int").alias("y"))
          .filter(F.col("s").isNotNull())
          .groupBy("s").agg(F.sum((F.col("y") == 1).cast("bigint")).alias("pos"),
                            F.sum((F.col("y") != 1).cast("bigint")).alias("neg")))
-    return prefix_sums(c, ["s"], ["pos", "neg"])
+    return prefix_sums(c, ["s"], ["pos", "neg"], n_buckets=n_buckets)
 
 
 def _curve(st: DataFrame) -> DataFrame:
@@ -40,15 +40,14 @@ def _curve(st: DataFrame) -> DataFrame:
                      (tp / F.nullif(F.col("pos_total"), F.lit(0))).alias("recall"))
 
 
-def binary_metrics(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
+def binary_metrics(scored: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
     """E1 + E5: one row ``(auc_roc, avg_precision, brier)``."""
-    st = _curve(score_table(scored, y, p))
+    st = _curve(score_table(scored, y, p, n_buckets))
     P, N = F.first("pos_total"), F.first("neg_total")
     auc_num = F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.col("neg") / 2.0))
     ap = F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("pos_total") * F.col("precision")))
     curve = st.agg((auc_num / (P * N)).alias("auc_roc"), ap.alias("avg_precision"))
-    brier = scored.agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier"))
-    return curve.crossJoin(brier)
+    return curve.crossJoin(brier(scored, y, p))
 
 
 def pr_curve(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
@@ -81,49 +80,63 @@ def best_f1_threshold(scored: DataFrame, y: str = "y", p: str = "p", compat: boo
     return best.select(F.col("s_best").alias("best_threshold"), "best_f1", "precision_at_best", "recall_at_best")
 
 
+def boundaries(counts: DataFrame, ks: Sequence[int], cum: str, fields: Sequence[str]) -> list:
+    """For each position k, the first row of a cumulative table with ``cum`` >= k (None past its end): one aggregate
+    for all positions, ``len(ks)`` rows to the driver."""
+    if not ks:
+        return []
+    row = F.struct(cum, *fields)
+    got = counts.agg(*[F.min(F.when(F.col(cum) >= int(k), row)).alias(f"b{i}") for i, k in enumerate(ks)]).first()
+    return list(got)
+
+
 def lift_at_k(scored: DataFrame, top_pcts: Sequence[float] = (1, 3, 8), y: str = "y", p: str = "p",
-              id_col: str = "id") -> DataFrame:
+              id_col: str = "id", n_buckets: int | None = None) -> DataFrame:
     """Precision / recall / lift of the top ``k = max(1, int(n*pct/100))`` rows.
 
-    Order: score descending, then ``id_col`` ascending (explicit tie rule). The
-    tie group straddling position k is resolved with a prefix sum over ids, so
-    no group is ever gathered in one task.
+    Order: score descending (rows without a score last), then ``id_col`` ascending. One pass
+    over the collapsed scores finds the boundaries of all k; the tie groups that straddle
+    them are resolved together by one prefix sum over ids, never gathered in one task.
     """
     spark = scored.sparkSession
     s = scored.select(nan_to_null(F.col(p)).alias("s"), F.col(y).cast("int").alias("y"), F.col(id_col).alias("id"))
-    tot = s.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y")).alias("P")).first()
-    n, P = int(tot["n"]), int(tot["P"] or 0)
-    base = P / n if n else 0.0
     desc = (s.groupBy("s").agg(F.count(F.lit(1)).alias("cnt"), F.sum("y").cast("bigint").alias("pos")))
-    desc = prefix_sums(desc, ["s"], ["cnt", "pos"], descending=True)
+    desc = prefix_sums(desc, ["s"], ["cnt", "pos"], n_buckets=n_buckets, descending=True)
+    tot = desc.agg(F.first("cnt_total").alias("n"), F.first("pos_total").alias("P")).first()
+    n, P = int(tot["n"] or 0), int(tot["P"] or 0)
+    base = P / n if n else 0.0
+    ks = [max(1, int(n * pct / 100)) for pct in top_pcts]
+    at = boundaries(desc, ks, "cnt_cum", ["s", "cnt", "pos", "pos_cum"]) if n else []
+    split = [(i, b, k - (b["cnt_cum"] - b["cnt"])) for i, (b, k) in enumerate(zip(at, ks)) if k < b["cnt_cum"]]
+    in_tie = {}
+    if split:
+        cond = None
+        for _, b, _ in split:
+            c = F.col("s").eqNullSafe(F.lit(b["s"]).cast("double"))
+            cond = c if cond is None else cond | c
+        tie = s.filter(cond).select("s", "id", F.lit(1).alias("c"), F.col("y").alias("yy"))
+        ranked = prefix_sums(tie, ["id"], ["c", "yy"], ["s"], n_buckets=n_buckets)
+        got = ranked.agg(*[F.max(F.when(F.col("s").eqNullSafe(F.lit(b["s"]).cast("double")) & (F.col("c_cum") == r), F.col("yy_cum")))
+                           .alias(f"t{i}") for i, b, r in split]).first()
+        in_tie = {i: int(got[f"t{i}"] or 0) for i, _, _ in split}
     rows = []
-    for pct in top_pcts:
-        k = max(1, int(n * pct / 100))
-        b = (desc.filter(F.col("cnt_cum") >= k).orderBy("cnt_cum")
-             .select("s", "cnt", "pos", "cnt_cum", "pos_cum").first())
-        above_cnt = b["cnt_cum"] - b["cnt"]
-        above_pos = b["pos_cum"] - b["pos"]
-        r = k - above_cnt
-        if r == b["cnt"]:
-            tie_pos = b["pos"]
-        else:
-            tie = s.filter(F.col("s") == F.lit(b["s"])) if b["s"] is not None else s.filter(F.col("s").isNull())
-            tp = prefix_sums(tie.select("id", F.lit(1).alias("c"), F.col("y").alias("yy")), ["id"], ["c", "yy"])
-            tie_pos = tp.filter(F.col("c_cum") == r).first()["yy_cum"]
-        pos_k = above_pos + tie_pos
+    for i, (pct, k) in enumerate(zip(top_pcts, ks) if n else ()):
+        b = at[i]
+        pos_k = b["pos_cum"] - b["pos"] + in_tie.get(i, b["pos"]) if b is not None else P
         prec = pos_k / k
         rows.append((float(pct), k, float(prec), float(pos_k / max(P, 1)), float(prec / max(base, 1e-12))))
     return spark.createDataFrame(rows, "top_pct double, k long, precision double, recall double, lift double")
 
 
 def brier(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
-    """E5."""
-    return scored.agg(F.avg(F.pow(F.col(p) - F.col(y), 2)).alias("brier"))
+    """E5, over rows with a score."""
+    return scored.agg(F.avg(F.pow(nan_to_null(F.col(p)) - F.col(y), 2)).alias("brier"))
 
 
 def log_loss(scored: DataFrame, y: str = "y", p: str = "p", eps: float = LOGLOSS_EPS) -> DataFrame:
     """Mean binary cross-entropy with probabilities clipped to [eps, 1-eps]."""
-    q = F.least(F.greatest(F.col(p), F.lit(eps)), F.lit(1 - eps))
+    s = nan_to_null(F.col(p))
+    q = F.when(s.isNotNull(), F.least(F.greatest(s, F.lit(eps)), F.lit(1 - eps)))
     yy = F.col(y).cast("double")
     return scored.agg(F.avg(-(yy * F.log(q) + (1 - yy) * F.log(1 - q))).alias("log_loss"))
 
@@ -134,12 +147,12 @@ def reliability_curve(scored: DataFrame, n_bins: int = 10, y: str = "y", p: str
     Edges are exact linear quantiles of p; bin = number of inner edges < p.
     """
     qs = [i / n_bins for i in range(1, n_bins)]
-    edges = [r["value"] for r in exact_quantiles(scored.select(F.col(p).alias("_p")), "_p", qs, "linear")
-             .orderBy("q").collect()]                    # n_bins - 1 values
-    d = bucketize(scored, F.col(p), {(): edges}, (), "bin", dedupe=False)
+    d = scored.withColumn("_p", nan_to_null(F.col(p).cast("double"))).filter(F.col("_p").isNotNull())
+    edges = [r["value"] for r in exact_quantiles(d.select("_p"), "_p", qs, "linear").orderBy("q").collect()]   # n_bins - 1 values
+    d = assign_bin(d, F.col("_p"), [F.lit(e) for e in edges if e is not None], "bin")
     return (d.groupBy("bin").agg(F.avg(F.col(y).cast("double")).alias("prob_true"),
-                                          F.avg(F.col(p)).alias("prob_pred"),
-                                          F.count(F.lit(1)).alias("count")))
+                                 F.avg("_p").alias("prob_pred"),
+                                 F.count(F.lit(1)).alias("count")))
 
 
 def model_comparison(scored_by_model: Mapping[str, Mapping[str, DataFrame]], y: str = "y", p: str = "p") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidewatch.config import AuditConfig, CleaningConfig
 from tidewatch.functions.exprs import coerce_double, coerce_long
 from tidewatch.functions.keys import na_token
-from tidewatch.operators.quantiles import exact_quantiles, prefix_sums
+from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.operators.schema import coerce_core_types, require_columns
 
 
@@ -98,11 +98,9 @@ def top_categories(df: DataFrame, cols: Sequence[str] = ("ProductCD", "P_emaildo
     cols = [c for c in cols if c in df.columns]
     long = _unpivot(df, cols, "string", lambda c: na_token(F.col(f"`{c}`")))
     counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("count"))
-    # rank = position in (count desc, value asc) per column via the distributed prefix
-    # sum, so a column with millions of distinct values is never ranked in one task
-    ranked = prefix_sums(counts.withColumn("_one", F.lit(1)), ["count", "value"], ["_one"], ["column"],
-                         descending=True, max_groups=max(len(cols), 1))
-    return ranked.select("column", "value", "count", F.col("_one_cum").alias("rank")).filter(F.col("rank") <= top_n)
+    # row_number() <= n: each task keeps its own first n per column before the shuffle
+    w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+    return counts.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= top_n).select("column", "value", "count", "rank")
 
 
 def dtypes_frame(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

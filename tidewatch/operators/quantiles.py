@@ -3,28 +3,28 @@
 A global running sum written as an unpartitioned window runs in one task. The
 prefix sum here instead:
 
-1. buckets rows by approximate-quantile edges of the leading order column
-   (a tiny per-group edge table, broadcast with a checked size);
-2. totals per (group, bucket), prefix-summed over buckets (tiny table);
-3. runs the running sum inside each (group, bucket) and adds the offset.
-
-It is exact whatever the edges are; the edges only balance the work. Rows
-that tie on the leading order column share a bucket, so callers collapse ties
-first (``groupBy(value)``) wherever the semantics allow.
+1. range-partitions the rows on (groups, order columns) and writes them once to
+   the shared checkpoint folder with their partition number as a column;
+2. totals per (group, partition), prefix-summed over a group's partitions (the
+   table has at most one row per partition and group);
+3. runs the running sum inside each (group, partition) and adds the offset.
+
+Any number of groups and partitions works, nothing is collected, and the input
+is computed once (the sample that finds the ranges reuses its shuffle). A row's
+partition is stored, so later steps and lost executors see the same one. Equal
+order keys share a partition, so callers collapse ties first
+(``groupBy(value)``) or order by an id as well.
 """
 
 from __future__ import annotations
 
-import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 512         # per group; keeps the constant search tree small
-TARGET_BUCKET_ROWS = 1_000_000
-EDGE_ACCURACY = 20000     # percentile_approx accuracy, finer than the bucket grid
-BROADCAST_ROWS = 1_000_000
+from tidewatch.functions.exprs import nan_to_null
+from tidewatch.session import scratch_table
 
 
 def _as_list(x) -> list:
@@ -35,113 +35,46 @@ def _as_list(x) -> list:
     return list(x)
 
 
-def _small(df: DataFrame, bound: int) -> DataFrame:
-    """Broadcast a side whose row count is bounded by ``bound`` (known from the call)."""
-    return F.broadcast(df) if bound <= BROADCAST_ROWS else df
-
-
-def _search_tree(v: Column, edges: list, lo: int, hi: int) -> Column:
-    """Balanced comparison tree giving #edges < v, known to lie in [lo, hi]."""
-    if lo >= hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(v > F.lit(edges[mid]), _search_tree(v, edges, mid + 1, hi)).otherwise(
-        _search_tree(v, edges, lo, mid))
-
-
-def bucketize(d: DataFrame, value: Column, edges_by_group: dict, group_cols, out: str,
-              dedupe: bool = True) -> DataFrame:
-    """Add ``out`` = number of a group's sorted edges strictly below ``value``.
-
-    The edges are a small, bounded summary (``#groups x n_buckets`` doubles)
-    known on the driver, so the search is a balanced tree of constant
-    comparisons (about 2 nodes per edge, depth log2): no per-row array, only
-    log2(n_buckets) comparisons evaluated per row. With ``dedupe=False``
-    repeated edges are kept (bin numbers then match "count of edges < v").
-    """
-    groups = _as_list(group_cols)
-    v = value.cast("double")
-    expr = None
-    for g, es in edges_by_group.items():
-        es = sorted({float(e) for e in es if e is not None}) if dedupe else sorted(float(e) for e in es if e is not None)
-        t = _search_tree(v, es, 0, len(es))
-        if not groups:
-            expr = t
-            break
-        cond = None
-        for c, gv in zip(groups, g):
-            e = F.col(c).isNull() if gv is None else (F.col(c) == F.lit(gv))
-            cond = e if cond is None else cond & e
-        expr = F.when(cond, t) if expr is None else expr.when(cond, t)
-    if expr is None:
-        expr = F.lit(0)
-    expr = F.when(v.isNull(), F.lit(0)).otherwise(expr)
-    return d.withColumn(out, expr.cast("int"))
-
-
-def group_edges(df: DataFrame, col: str, group_cols, max_groups: int, n_buckets: int | None = None,
-                target_rows: int = TARGET_BUCKET_ROWS) -> dict:
-    """Approximate-quantile edges per group, sized by the group's row count.
-
-    One small job returns, per group, the count and a fine grid of
-    ``MAX_BUCKETS - 1`` approximate quantiles; the driver keeps every k-th edge
-    so a bucket holds about ``target_rows`` rows (``n_buckets`` forces a size).
-    Collected data is bounded: ``max_groups x MAX_BUCKETS`` doubles.
-    """
-    groups = _as_list(group_cols)
-    grid = n_buckets if n_buckets else MAX_BUCKETS
-    ps = [i / grid for i in range(1, grid)]
-    aggs = [F.percentile_approx(F.col(col).cast("double"), ps, EDGE_ACCURACY).alias("_edges"),
-            F.count(F.col(col)).alias("_n")]
-    rows = (df.groupBy(*groups).agg(*aggs) if groups else df.agg(*aggs)).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"more than {max_groups} groups; pass a larger max_groups")
-    out = {}
-    for r in rows:
-        es = r["_edges"] or []
-        if not n_buckets:
-            nb = int(min(MAX_BUCKETS, max(1, math.ceil((r["_n"] or 0) / target_rows))))
-            step = grid // nb if nb > 1 else grid
-            es = [es[i - 1] for i in range(step, grid, step)] if nb > 1 else []
-        out[tuple(r[g] for g in groups)] = es
-    return out
+def assign_bin(d: DataFrame, value: Column, edges: Sequence[Column], out: str) -> DataFrame:
+    """Add ``out`` = number of ``edges`` (columns or literals, any order) strictly below ``value``; 0 for null."""
+    below = [F.coalesce((value > e).cast("int"), F.lit(0)) for e in edges]
+    total = below[0] if below else F.lit(0)
+    for b in below[1:]:
+        total = total + b
+    return d.withColumn(out, total)
 
 
 def prefix_sums(df: DataFrame, order_cols, sum_cols, group_cols=(), n_buckets: int | None = None,
-                suffix: str = "_cum", descending: bool = False, keep_bucket: bool = False,
-                max_groups: int | None = None) -> DataFrame:
+                suffix: str = "_cum", descending: bool = False, keep_bucket: bool = False) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in (``order_cols``) order within each group.
 
     Adds ``<c><suffix>`` (sum over rows at or before this row) and ``<c>_total``.
     ``descending`` orders by the leading column descending (others ascending).
-    The bucket edges are one small job (approximate quantiles, collected:
-    at most ``max_groups x n_buckets`` doubles); ``max_groups`` (default 1
-    without groups, 64 with) also decides whether the offset table is broadcast.
+    The number of partitions follows the data's size (adaptive execution merges
+    small ones); ``n_buckets`` forces one. Runs the write of the partitioned rows
+    at once; what it returns is lazy.
     """
     order_cols, sum_cols, groups = _as_list(order_cols), _as_list(sum_cols), _as_list(group_cols)
-    lead = order_cols[0]
-    if max_groups is None:
-        max_groups = 64 if groups else 1
-    if n_buckets is None or n_buckets > 1:
-        eg = group_edges(df, lead, groups, max_groups, n_buckets)
-        top = max([len(e) for e in eg.values()] + [0])
-        d = bucketize(df, F.col(lead), eg, groups, "_cnt")
-        bucket = (F.lit(top) - F.col("_cnt")) if descending else F.col("_cnt")
-        d = d.withColumn("_bucket", bucket.cast("int")).drop("_cnt")
-    else:
-        d = df.withColumn("_bucket", F.lit(0))
+    first = F.col(order_cols[0]).desc() if descending else F.col(order_cols[0]).asc()
+    order = [first, *[F.col(c).asc() for c in order_cols[1:]]]
+    keys = [*[F.col(c).asc() for c in groups], *order]
+    d = df.repartitionByRange(n_buckets, *keys) if n_buckets else df.repartitionByRange(*keys)
+    d = scratch_table(d.withColumn("_bucket", F.spark_partition_id()), "prefix")
     tot = d.groupBy(*groups, "_bucket").agg(*[F.sum(c).alias(c) for c in sum_cols])
     wb = Window.partitionBy(*groups).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wt = Window.partitionBy(*groups)
-    tot = tot.select(*groups, "_bucket",
+    # groups may be null: join on null-safe copies of the keys
+    gk = ["_g%d" % i for i in range(len(groups))]
+    tot = tot.select(*[F.col(c).alias(k) for c, k in zip(groups, gk)], F.col("_bucket").alias("_b"),
                      *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias("_off_" + c) for c in sum_cols],
                      *[F.sum(c).over(wt).alias(c + "_total") for c in sum_cols])
-    tot = _small(tot, max_groups * MAX_BUCKETS)
-    first = F.col(lead).desc() if descending else F.col(lead).asc()
-    wr = (Window.partitionBy(*groups, "_bucket").orderBy(first, *[F.col(c) for c in order_cols[1:]])
+    wr = (Window.partitionBy(*groups, "_bucket").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     d = d.select("*", *[F.sum(c).over(wr).alias("_run_" + c) for c in sum_cols])
-    d = d.join(tot, [*groups, "_bucket"], "left")
+    on = F.col("_bucket") == F.col("_b")
+    for c, k in zip(groups, gk):
+        on = on & F.col(c).eqNullSafe(F.col(k))
+    d = d.join(tot, on, "left")
     out = [F.col(c) for c in df.columns]
     out += [(F.col("_run_" + c) + F.col("_off_" + c)).alias(c + suffix) for c in sum_cols]
     out += [F.col(c + "_total") for c in sum_cols]
@@ -160,15 +93,17 @@ def next_value(cum: DataFrame, value: str, group_cols=(), out: str = "_next") ->
     first = cum.groupBy(*groups, "_bucket").agg(F.min(value).alias("_bmin"))
     wb = Window.partitionBy(*groups).orderBy("_bucket")
     first = first.select(*groups, "_bucket", F.lead("_bmin").over(wb).alias("_bnext"))
-    d = d.join(F.broadcast(first) if len(groups) <= 1 else first, [*groups, "_bucket"], "left")
+    d = d.join(first, [*groups, "_bucket"], "left")
     return d.withColumn(out, F.coalesce(F.col(out), F.col("_bnext"))).drop("_bnext")
 
 
 def value_counts_cum(df: DataFrame, col: str, group_cols=(), weight: Column | None = None,
                      n_buckets: int | None = None) -> DataFrame:
-    """Distinct values with count and inclusive cumulative count (ascending)."""
+    """Distinct values (neither null nor NaN) with count and inclusive cumulative count (ascending)."""
     groups = _as_list(group_cols)
     w = weight if weight is not None else F.lit(1)
+    if dict(df.dtypes)[col] in ("double", "float"):
+        df = df.withColumn(col, nan_to_null(F.col(col)))
     c = (df.filter(F.col(col).isNotNull()).groupBy(*groups, col)
          .agg(F.sum(w.cast("bigint")).alias("n")))
     return prefix_sums(c, [col], ["n"], groups, n_buckets)
@@ -176,34 +111,33 @@ def value_counts_cum(df: DataFrame, col: str, group_cols=(), weight: Column | No
 
 def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear",
                     group_cols=(), n_buckets: int | None = None) -> DataFrame:
-    """Exact quantiles of non-null ``col`` per group, one row per (group, q).
+    """Exact quantiles of ``col`` (without nulls and NaN) per group, one row per (group, q).
 
     ``linear``: pandas / numpy default, position ``q*(n-1)`` interpolated.
     ``higher``: element at 0-based ``ceil(q*(n-1))`` (not ``percentile_disc``).
     ``lower``: element at ``floor(q*(n-1))``.
+    One aggregate with two conditional minima per q over the cumulative counts.
     """
+    if interpolation not in ("linear", "higher", "lower"):
+        raise ValueError(interpolation)
     groups = _as_list(group_cols)
     cum = value_counts_cum(df, col, groups, n_buckets=n_buckets)
-    pos = F.col("q") * (F.col("n_total") - 1)
-    lo_rank, hi_rank = F.floor(pos) + 1, F.ceil(pos) + 1
-    # qs is a fixed, tiny list: one copy of each distinct-value row per q
-    x = cum.select("*", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q"))
-    agg = x.groupBy(*groups, "q").agg(
-        F.min(F.when(F.col("n_cum") >= lo_rank, F.col(col))).alias("_lo"),
-        F.min(F.when(F.col("n_cum") >= hi_rank, F.col(col))).alias("_hi"),
-        F.first("n_total").alias("_n"))
-    # the fraction uses the same position expression on the aggregated row
-    frac = F.col("q") * (F.col("_n") - 1) - F.floor(F.col("q") * (F.col("_n") - 1))
-    if interpolation == "linear":
-        v = F.col("_lo").cast("double") + (F.col("_hi").cast("double") - F.col("_lo").cast("double")) * frac
-        v = F.when(F.col("_hi") == F.col("_lo"), F.col("_lo").cast("double")).otherwise(v)
-    elif interpolation == "higher":
-        v = F.col("_hi")
-    elif interpolation == "lower":
-        v = F.col("_lo")
-    else:
-        raise ValueError(interpolation)
-    return agg.select(*groups, "q", v.alias("value"))
+    v, cells = F.col(col), []
+    aggs = [F.first("n_total").alias("_n")]
+    for i, q in enumerate(qs):
+        pos = F.lit(float(q)) * (F.col("n_total") - 1)
+        aggs += [F.min(F.when(F.col("n_cum") >= F.floor(pos) + 1, v)).alias(f"_lo{i}"),
+                 F.min(F.when(F.col("n_cum") >= F.ceil(pos) + 1, v)).alias(f"_hi{i}")]
+        at = F.lit(float(q)) * (F.col("_n") - 1)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        if interpolation == "linear":
+            lo, hi = lo.cast("double"), hi.cast("double")
+            value = F.when(hi == lo, lo).otherwise(lo + (hi - lo) * (at - F.floor(at)))
+        else:
+            value = hi if interpolation == "higher" else lo
+        cells.append(F.struct(F.lit(float(q)).alias("q"), value.alias("value")))
+    agg = cum.groupBy(*groups).agg(*aggs) if groups else cum.agg(*aggs)
+    return agg.select(*groups, F.inline(F.array(*cells)))
 
 
 def quantile_dict(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear") -> dict:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +71,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(checkpoint_dir(df.sparkSession), "tables", name)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+_scratch: list[str] = []
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` under a new name in the checkpoint folder and read it back (lineage ends there)."""
+    spark = df.sparkSession
+    path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    _scratch.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch tables this process has written; call it when no result that reads them is needed
+    any more. Returns how many there were."""
+    jvm = spark.sparkContext._jvm
+    n = len(_scratch)
+    while _scratch:
+        path = jvm.org.apache.hadoop.fs.Path(_scratch.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return n
