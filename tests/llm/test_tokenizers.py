@@ -34,7 +34,7 @@ def test_codec_fuzz_and_agendas_agree():
     assert [g[1] for g in got] == c.lib.decode(want)
     assert not any(g[2] for g in got)
     assert [c.decode(w) for w in want] == c.lib.decode(want)
-    words = [w for s in strings for w in c.words(s) if len(w) <= 48]
+    words = ["▁" + w for s in strings for w in c.words(s) if len(w) < 48]
     assert all(ids is None or ids == c.encode_symbols(w) for w, ids in zip(words, c.encode_many(words)))
 
 

@@ -31,7 +31,7 @@ from tidewatch.llm.common import id_and_text, map_arrow
 
 MARK = "▁"
 #: words remembered by a Python worker (two generations of this size at most)
-MEMO_WORDS = 400_000
+MEMO_WORDS = 350_000
 #: longer words are encoded each time, by the heap
 MEMO_CHARS = 48
 #: priority of a pair that isn't on the agenda
@@ -59,8 +59,11 @@ class PieceCodec:
         self.first_plain = 1 + max([-1, self.unknown, *self.byte_of, *self.control])
         self.cuts = not any(MARK in p.lstrip(MARK) for p in self.rank)
         self.plain = [p.replace(MARK, " ") for p in self.pieces]
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        #: ids (int32 bytes) of words without their mark
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        #: words whose ids decode to another text, as with an unknown piece
+        self.odd: dict[str, str] = {}
         self.pair_table()
 
     def pair_table(self) -> None:
@@ -213,14 +216,14 @@ class PieceCodec:
         return np.frombuffer(ids, np.int32).tolist()
 
     def words(self, text: str) -> list[str]:
-        """The marked text cut where a word mark follows another character."""
+        """The marked text cut where a word mark follows another character; each without its first mark."""
         if not text:
             return []
         if not self.cuts:
-            return [self.symbols(text)]
+            return [self.symbols(text)[1:]]
         if "  " not in text and MARK not in text and text[0] != " " and text[-1] != " ":
-            return [MARK + w for w in text.split(" ")]
-        return re.findall(f"{MARK}+[^{MARK}]*", self.symbols(text))
+            return text.split(" ")
+        return [w[1:] for w in re.findall(f"{MARK}+[^{MARK}]*", self.symbols(text))]
 
     def encode_texts(self, texts: list[str | None]) -> list[tuple[bytes, str, int]]:
         """For each text: ids as int32 bytes, decoded text, words corrected by the check."""
@@ -237,32 +240,40 @@ class PieceCodec:
             fresh = [w for w in fresh if w not in young]
         wrong = self.learn(fresh, later := {})
         ids_of = {w: young[w] if w in young else later[w] for w in every} if later else young
+        odd = self.odd
         out = []
         for ws in cut:
-            found = [ids_of[w] for w in ws]
-            out.append((b"".join([f[0] for f in found]), "".join([f[1] for f in found])[1:], len(wrong.intersection(ws)) if wrong else 0))
+            # each word was found to decode to itself, but for those in odd
+            if odd and not odd.keys().isdisjoint(ws):
+                decoded = "".join([odd[w] if w in odd else " " + w.replace(MARK, " ") for w in ws])[1:]
+            else:
+                decoded = " ".join(ws).replace(MARK, " ")
+            out.append((b"".join([ids_of[w] for w in ws]), decoded, len(wrong.intersection(ws)) if wrong else 0))
         if len(young) > MEMO_WORDS:
             self.old, self.young = young, {}
+            self.odd = {w: t for w, t in odd.items() if w in young}
         return out
 
-    def learn(self, fresh: list[str], later: dict[str, tuple[bytes, str]]) -> set[str]:
-        """Encode new words, check them against the library, and remember them: short ones in the
-        memo, others in ``later``. Returns the words that the check corrected."""
+    def learn(self, fresh: list[str], later: dict[str, bytes]) -> set[str]:
+        """Encode new words, check them against the library, decode them, and remember their ids: short ones
+        in the memo, others in ``later``. Returns the words that the check corrected."""
         if not fresh:
             return set()
         fresh.sort(key=len)
-        short = sum([len(w) <= MEMO_CHARS for w in fresh])
-        many = self.encode_many(fresh[:short]) if short else []
-        many = [self.encode_symbols(w) if ids is None else ids for w, ids in zip(fresh, [*many, *[None] * (len(fresh) - short)], strict=True)]
+        short = sum([len(w) < MEMO_CHARS for w in fresh])
+        many = self.encode_many([MARK + w for w in fresh[:short]]) if short else []
+        many = [self.encode_symbols(MARK + w) if ids is None else ids for w, ids in zip(fresh, [*many, *[None] * (len(fresh) - short)], strict=True)]
         # the library puts the first mark in front itself; it can't be given a lone mark, as an empty text has no ids
-        want = self.lib.encode([w[1:].replace(MARK, " ") for w in fresh], num_threads=1)
-        if MARK in fresh:
-            want[fresh.index(MARK)] = many[fresh.index(MARK)]
+        want = self.lib.encode([w.replace(MARK, " ") for w in fresh], num_threads=1)
+        if not fresh[0]:
+            want[0] = many[0]
         wrong = {w for w, a, b in zip(fresh, many, want, strict=True) if a != b} if many != want else set()
-        plain, first = self.plain, self.first_plain
+        plain, first, young = self.plain, self.first_plain, self.young
         for w, ids in zip(fresh, want, strict=True):
             text = "".join([plain[i] for i in ids]) if min(ids) >= first else self.decode_marked(ids)
-            (self.young if len(w) <= MEMO_CHARS else later)[w] = (array("i", ids).tobytes(), text)
+            if text[1:] != w and text[1:] != w.replace(MARK, " "):
+                self.odd[w] = text
+            (young if len(w) < MEMO_CHARS else later)[w] = array("i", ids).tobytes()
         return wrong
 
 
