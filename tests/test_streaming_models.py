@@ -32,7 +32,7 @@ def test_velocity_stream_equals_batch(spark, tmp_path):
     rows = _rows()
     d = _write(spark, tmp_path, rows, SCHEMA)
     stream = spark.readStream.schema(SCHEMA).parquet(d)
-    out = st.run_to_table(st.velocity_stream(stream, "user_id", "ts", "event_id", "value"), "t_st2")
+    out = st.run_to_latest(st.velocity_stream(stream, "user_id", "ts", "event_id", "value"), "t_st2", ["key", "id"])
     got = {r.id: r for r in out.collect()}
     batch = spark.createDataFrame(rows, SCHEMA).select(
         F.col("event_id").alias("TransactionID"), F.unix_seconds("ts").alias("TransactionDT"),
@@ -64,7 +64,7 @@ def test_velocity_stream_late_rows_flagged(spark, tmp_path):
                 shutil.copy(os.path.join(src, f), inp / f"{tag}_{f}")
                 time.sleep(1.1)          # distinct modification times -> one file per trigger, in order
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(inp))
-    out = st.run_to_table(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="1 day"), "t_late")
+    out = st.run_to_latest(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="1 day"), "t_late", ["key", "id"])
     res = {r.id: r for r in out.collect()}
     assert res[1].late is False and res[3].late is False
     assert res[3].cnt_1h == 1 and res[3].mean_amt_7d_hist == 5.0     # state carried across batches
@@ -133,7 +133,7 @@ def test_velocity_stream_state_across_batches_equals_batch(spark, tmp_path):
                 shutil.copy(os.path.join(d, f), inp / f"{part}_{f}")
         time.sleep(1.1)
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(inp))
-    out = st.run_to_table(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="30 days"), "t_multi")
+    out = st.run_to_latest(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="30 days"), "t_multi", ["key", "id"])
     got = {r.id: r for r in out.collect()}
     batch = spark.createDataFrame(rows, SCHEMA).select(
         F.col("event_id").alias("TransactionID"), F.unix_seconds("ts").alias("TransactionDT"),
@@ -146,3 +146,40 @@ def test_velocity_stream_state_across_batches_equals_batch(spark, tmp_path):
         assert g.mean_amt_7d_hist == pytest.approx(r.mean_amt_7d_hist) and \
             g.std_amt_7d_hist == pytest.approx(r.std_amt_7d_hist, abs=1e-9), i
         assert (g.z_amt_vs_7d is None) == (r.z_amt_vs_7d is None), i
+
+
+def _batches(spark, tmp_path, batches, name):
+    """A stream whose micro-batches are the given lists of rows, in this order."""
+    import os
+    import shutil
+    import time
+    inp = tmp_path / name
+    os.makedirs(inp)
+    for k, rows in enumerate(batches):
+        d = _write(spark, tmp_path, rows, SCHEMA, f"{name}{k}")
+        for f in sorted(os.listdir(d)):
+            if f.endswith(".parquet"):
+                shutil.copy(os.path.join(d, f), inp / f"{k}_{f}")
+        time.sleep(1.1)
+    return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(str(inp))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Los_Angeles"])
+def test_velocity_stream_disorder_and_gap(spark, tmp_path, zone):
+    """A row that comes after a later one gets the features of its place and corrects the later one; a key that was
+    quiet for a month still has its previous amount."""
+    import datetime as dt
+    names = [f.strip().split(" ")[0] for f in SCHEMA.split(",")] if isinstance(SCHEMA, str) else SCHEMA.names
+
+    def row(i, text, amount):
+        return tuple({"event_id": i, "ts": dt.datetime.fromisoformat(text), "user_id": 1, "value": amount}.get(n) for n in names)
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stream = _batches(spark, tmp_path, [[row(1, "2024-01-01 08:00:00", 5.0), row(2, "2024-01-01 10:00:00", 10.0)], [row(3, "2024-01-01 09:30:00", 7.0)], [row(4, "2024-02-10 00:00:00", 3.0)]], "gap")
+        out = st.run_to_latest(st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay="1 day"), "t_gap", ["key", "id"])
+        got = {r.id: (r.cnt_1h, r.mean_amt_7d_hist, r.late) for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == {1: (1, 0.0, False), 3: (1, 5.0, False), 2: (2, 6.0, False), 4: (1, 10.0, False)}

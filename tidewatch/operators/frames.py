@@ -5,7 +5,7 @@ a row's window ``(t - w, t]`` holds the rows of its key whose time is inside
 that range *and* that come at or before it in (time, tiebreak) order, so later
 rows that share its timestamp are excluded.
 
-Order encoding: ``ord = t * K + seq`` with ``K = 2^24`` and ``seq`` the rank of
+Order encoding: ``ord = t * K + seq`` with ``K = 2^31`` and ``seq`` the rank of
 the row among rows of the same (key, t). A RANGE frame on ``ord`` with lower
 bound ``w*K - K/2`` then selects exactly ``(t - w, t]`` minus later ties.
 
@@ -38,8 +38,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K = 1 << 24          # slots per second in the composite order (epoch seconds * K < 2^63)
-HALF = K >> 1        # ties per (key, second) must stay below this (8.4M)
+K = 1 << 31          # slots per second in the composite order (epoch seconds below 2^32, times K, fit a long)
+HALF = K >> 1        # rows that one second of a key can hold (10^9): the frames' lower bounds lie between seconds
 
 ORD = "_ord"
 CHUNK = "_chunk"
@@ -125,12 +125,10 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
     Returns ``(df, chunked)``; ``chunked`` is False when no key is hot, and the
     helpers below then skip the chunk-edge summaries (each key is one chunk).
     With ``target_rows=None`` no key is chunked (plain per-key layout, used by
-    the ``frame`` strategy).
+    the ``frame`` strategy). Rows without a time have no place in a series and are
+    left out; the pipeline quarantines them first.
     """
-    t = F.col(time)
-    checked_t = F.when(t.isNull(), F.raise_error(F.lit(f"null {time}: quarantine rows first"))) \
-        .otherwise(t).cast("bigint")
-    d = df.withColumn(time, checked_t)
+    d = df.withColumn(time, F.col(time).cast("bigint")).filter(F.col(time).isNotNull())
     if clen_col(key) in d.columns:          # precomputed once upstream, reuse it
         d, chunked = d.withColumn(CLEN, F.col(clen_col(key))), True
     elif nohot_col(key) in d.columns:
@@ -144,7 +142,7 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
         d = d.repartition(key, CHUNK) if chunked else d.repartition(key)
     w = Window.partitionBy(key, CHUNK, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
     seq = F.row_number().over(w) - 1
-    guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^23 rows share one (key, time)")))
+    guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^30 rows share one (key, second)")))
     return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq)), chunked
 
 

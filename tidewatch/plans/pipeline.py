@@ -18,7 +18,8 @@ from tidewatch.operators import features as feat
 from tidewatch.operators import labels as lab
 from tidewatch.operators import profile as prof
 from tidewatch.operators import split as spl
-from tidewatch.session import materialize
+from tidewatch.operators.schema import split_valid
+from tidewatch.session import materialize, scratch_table
 from tidewatch.sources.standins import events_transactions
 
 
@@ -30,6 +31,22 @@ class PipelineConfig:
     split: SplitConfig = field(default_factory=SplitConfig)
 
 
+#: a transaction without these can't be placed, keyed or labelled
+TRANSACTION_RULES = {"TransactionID": "required", "TransactionDT": "required"}
+
+
+def clean_and_quarantine(transactions: DataFrame, cfg: CleaningConfig = CleaningConfig()) -> tuple[DataFrame, DataFrame]:
+    """Cleaned transactions, and the rows kept out of them with their ``violations`` (after coercion: a
+    missing or unreadable id or time)."""
+    from dataclasses import replace
+
+    from tidewatch.operators.schema import coerce_core_types, require_columns
+    require_columns(transactions, ["TransactionID", "TransactionDT", "TransactionAmt", "isFraud"], "cleaning")
+    typed = coerce_core_types(transactions) if cfg.cast_types else transactions
+    good, bad = split_valid(typed, TRANSACTION_RULES)
+    return prof.clean_merged_dataset(good, replace(cfg, cast_types=False)), bad
+
+
 def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(),
                   checkpoint: bool = True) -> DataFrame:
     """Stages 03-06: clean -> features + label -> split.
@@ -37,17 +54,20 @@ def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(
     * the hot-key chunk lengths are computed once on the keyed input;
     * the label is computed inside the entity-feature pass (same key and order,
       so one shuffle serves both);
-    * the split cutoffs only need the cleaned time column, so they come from
-      the cleaned input (a narrow scan) and are applied lazily;
+    * the cleaned rows (quarantined ones apart, copies removed) are written once,
+      as the hot-key counts, the features and the cutoffs all read them; the
+      cutoffs scan their time column only;
     * the split dataset is written once to the shared checkpoint folder
       (``spark.checkpoint.dir``) because every later stage re-reads it.
     """
-    clean = prof.clean_merged_dataset(transactions, cfg.cleaning)
+    clean, _ = clean_and_quarantine(transactions, cfg.cleaning)
+    if checkpoint:
+        clean = scratch_table(clean, "clean")
     if cfg.label.hot_key_rows != cfg.features.hot_key_rows:
         y = lab.make_early_warning_label(feat.build_features(clean, cfg.features), cfg.label)
     else:
         y = feat.build_features(clean, cfg.features, label=cfg.label)
-    cut = F.broadcast(spl.cutoffs_frame(clean, cfg.split))     # one row
+    cut = F.broadcast(spl.cutoffs_frame(clean.select(cfg.split.time_col), cfg.split))     # one row
     ds = spl.assign_split(y.crossJoin(cut), F.col("train_end"), F.col("valid_end"),
                           cfg.split.time_col).drop("train_end", "valid_end")
     if not checkpoint:

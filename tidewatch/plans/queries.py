@@ -23,7 +23,7 @@ from tidewatch.functions.keys import stable_hash_bucket
 from tidewatch.operators import features as feat
 from tidewatch.operators import labels as lab
 from tidewatch.operators import split as spl
-from tidewatch.sources.standins import (EVENTS_TX_SQL, ORDERS_TX_SQL, events_transactions,
+from tidewatch.sources.standins import (EVENTS_TX_SQL, ORDERS_TX_SQL, epoch_seconds, events_transactions,
                                         orders_transactions, table)
 
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -260,19 +260,19 @@ def q_split_report(spark, sf_dir):
 # ---------------------------------------------------------------------------
 from tidewatch.operators import profile as prof  # noqa: E402
 
-_J1_SQL = """SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+_J1_SQL = """SELECT d.doc_id, md5(d.text) AS text_md5, d.lang, d.source, d.n_chars, l.quality, l.toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"""
 
 
 def _docs_labels(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").drop("text")
+    docs = table(spark, sf_dir, "documents")
     return prof.merge_on_transaction_id(docs, table(spark, sf_dir, "labels"), key="doc_id")
 
 
 @register("left_join_partial_right", _J1_SQL)
 def q_join(spark, sf_dir):
     """Left equi-join with partial right coverage (documents ⟕ labels)."""
-    return _docs_labels(spark, sf_dir).select("doc_id", "lang", "source", "n_chars", "quality", "toxic")
+    return _docs_labels(spark, sf_dir).select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars", "quality", "toxic")
 
 
 @register("join_coverage", f"""SELECT {f4('avg(CAST(coalesce(quality, toxic) IS NOT NULL AS DOUBLE)) * 100.0')}
@@ -373,14 +373,13 @@ def q_dupcount(spark, sf_dir):
     return prof.duplicate_count(table(spark, sf_dir, "lineitem"), "l_orderkey")
 
 
-@register("dedup_keep_first", """SELECT l_orderkey, l_linenumber, l_partkey, l_quantity FROM (
+@register("dedup_keep_first", """SELECT * EXCLUDE (rn) FROM (
   SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_quantity) AS rn
   FROM lineitem) t
 WHERE rn = 1""")
 def q_dedup(spark, sf_dir):
-    """Keep the first row per key by an explicit order (aggregate form, skew-proof)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
-    return prof.drop_duplicates_keep_first(li, "l_orderkey", ("l_linenumber", "l_partkey", "l_quantity"))
+    """Keep the first whole row per key by an explicit order (aggregate form, skew-proof)."""
+    return prof.drop_duplicates_keep_first(table(spark, sf_dir, "lineitem"), "l_orderkey", ("l_linenumber", "l_partkey", "l_quantity"))
 
 
 @register("cleaning_metrics", f"""WITH tx AS ({EVENTS_TX_SQL})
@@ -622,12 +621,27 @@ def q_wasserstein(spark, sf_dir):
                     fixed4(F.col("wasserstein_norm")).alias("wasserstein_norm"))
 
 
-@register("drift_summary", None)
+_SPLIT_REF, _SPLIT_CUR = "SELECT * FROM lineitem WHERE l_quantity <= 30", "SELECT * FROM lineitem WHERE l_quantity > 30"
+_SPLIT_ECDF_SQL = _ECDF_SQL.replace(_REF_SQL, _SPLIT_REF).replace(_CUR_SQL, _SPLIT_CUR)
+
+
+@register("drift_summary", f"""WITH {_SPLIT_ECDF_SQL},
+k AS (SELECT feature, max(abs(r_cum / r_total - c_cum / c_total)) AS d, max(r_total) AS n, max(c_total) AS m FROM e GROUP BY feature),
+lam AS (SELECT *, (sqrt(n * m / (n + m)) + 0.12 + 0.11 / sqrt(n * m / (n + m))) * d AS lam FROM k),
+p AS (SELECT feature, CASE WHEN lam < 1e-3 THEN 1.0 ELSE
+        least(greatest(2.0 * (SELECT sum(power(-1.0, i - 1) * exp(-2.0 * i * i * lam * lam)) FROM range(1, 101) t(i)), 0.0), 1.0)
+        END AS pv FROM lam)
+SELECT CAST(4 AS INTEGER) AS n_features_monitored, CAST(count(*) FILTER (pv < 0.05) AS BIGINT) AS n_features_drifted,
+       round(count(*) FILTER (pv < 0.05) / 4.0, 3) AS drift_share, string_agg(feature, ',' ORDER BY feature) FILTER (pv < 0.05) AS drifted,
+       {DriftConfig().drift_share_alert} AS alert_drift_threshold, count(*) FILTER (pv < 0.05) / 4.0 > {DriftConfig().drift_share_alert} AS global_alert FROM p""")
 def q_drift_summary(spark, sf_dir):
-    """DR6: share of drifted features and the global alert (over DR1's table)."""
-    ref, cur = _ref_cur(spark, sf_dir)
+    """DR6: share of drifted features and the global alert; small against large quantities, so that some drift and some don't."""
+    li = table(spark, sf_dir, "lineitem")
+    ref, cur = li.filter("l_quantity <= 30"), li.filter("l_quantity > 30")
     cfg = DriftConfig(features=_DRIFT_FEATS)
-    return drf.drift_summary(drf.ks_drift(ref, cur, cfg), ref, cfg).drop("drifted_features")
+    s = drf.drift_summary(drf.ks_drift(ref, cur, cfg), ref, cfg)
+    return s.select("n_features_monitored", "n_features_drifted", "drift_share", F.array_join("drifted_features", ",").alias("drifted"),
+                    "alert_drift_threshold", "global_alert")
 
 
 @register("psi_js_drift", f"""WITH r AS ({_long_sql(_REF_SQL, 0)}), c AS ({_long_sql(_CUR_SQL, 1)}),
@@ -786,17 +800,33 @@ def q_stream_score(spark, sf_dir):
     return out.select("id", fixed4(F.col("score")).alias("score"), "risk_band")
 
 
-@register("online_velocity_stream", entity_features_sql(EVENTS_TX_SQL))
-def q_stream_velocity(spark, sf_dir):
-    """ST2: stateful per-key velocity features over the event stream (equals batch on in-order input)."""
-    ev = st.stream_table(spark, sf_dir, "events")
-    v = st.velocity_stream(ev, "user_id", "ts", "event_id", "value")
-    out = st.run_to_table(v, "st2")
-    return out.filter(~F.col("late")).select(
+def _velocity(stream, name, delay):
+    v = st.velocity_stream(stream, "user_id", "ts", "event_id", "value", delay=delay)
+    return st.run_to_latest(v, name, ["key", "id"]).select(
         F.col("id").alias("TransactionID"), "cnt_1h", fixed4(F.col("sum_amt_1h")).alias("sum_amt_1h"), "cnt_24h",
         *[fixed4(F.col(c)).alias(c) for c in ("avg_amt_24h", "mean_amt_7d_hist", "std_amt_7d_hist", "z_amt_vs_7d")])
 
 
+@register("online_velocity_stream", entity_features_sql(EVENTS_TX_SQL))
+def q_stream_velocity(spark, sf_dir):
+    """ST2: stateful per-key velocity features over the event stream; late rows would differ from the batch SQL."""
+    return _velocity(st.stream_table(spark, sf_dir, "events"), "st2", "1 day")
+
+
+@register("online_velocity_stream_disorder", entity_features_sql(EVENTS_TX_SQL))
+def q_stream_velocity_disorder(spark, sf_dir):
+    """ST2 over six micro-batches that each hold rows of the whole time range: every batch corrects rows that are out already."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(spark), "tables", f"shuffled-{uuid.uuid4().hex}")
+    e = table(spark, sf_dir, "events")
+    e.repartition(6, F.xxhash64("event_id")).write.parquet(base)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(base)
+    return _velocity(stream, "st2-disorder", "60 days")
+
+
 @register("dedup_stream", "SELECT DISTINCT l_orderkey FROM lineitem")
 def q_stream_dedup(spark, sf_dir):
     """ST3: drop repeated order keys within the watermark (lineitem stream)."""
@@ -805,20 +835,26 @@ def q_stream_dedup(spark, sf_dir):
     return st.run_to_table(d.select("l_orderkey"), "st3")
 
 
-@register("band_traffic_stream", None)
+@register("band_traffic_stream", f"""WITH s AS ({_SCORED_SQL}),
+t AS (SELECT e.ts, s.y, 1.0 / (1.0 + exp(-s.logit / 1.5)) AS cp FROM s JOIN events e ON e.event_id = s.id),
+b AS (SELECT ts, y, CASE WHEN cp >= 0.9528 THEN 'critical' WHEN cp >= 0.9121 THEN 'high' WHEN cp >= 0.7430 THEN 'medium'
+             ELSE 'low' END AS risk_band FROM t),
+w AS (SELECT unnest(range(0, 6)) AS k),
+x AS (SELECT risk_band, y, CAST(floor(epoch(ts) / 600) AS BIGINT) * 600 - k * 600 AS start FROM b, w)
+SELECT start AS window_start, risk_band, count(*) AS rows, CAST(sum(y) AS BIGINT) AS positives FROM x GROUP BY ALL""")
 def q_stream_traffic(spark, sf_dir):
-    """ST4: hourly sliding-window traffic and positives per band on the scored stream (append mode)."""
+    """ST4: hourly windows every ten minutes, traffic and positives per band on the scored stream, open windows included."""
     ev = st.stream_table(spark, sf_dir, "events")
 
     def scorer(d):
         z = (F.col("value") - F.lit(50.0)) / F.lit(40.0)
         return cal.apply_temperature(d.withColumn("logit", z), 1.5, "logit", "score")
 
-    s = st.score_stream(ev, scorer).withColumn("_ts", F.col("ts").cast("timestamp")) \
+    s = st.score_stream(ev, scorer).withColumn("_ts", F.timestamp_seconds(epoch_seconds("ts"))) \
         .withColumn("y", (F.col("event_type") == "error").cast("int"))
-    t = st.band_traffic(s, "_ts", "y", "1 hour", "10 minutes", "0 seconds")
-    out = st.run_to_table(t, "st4")
-    return out.select(F.col("window.start").cast("string").alias("window_start"), "risk_band", "rows", "positives")
+    t = st.band_traffic(s, "_ts", "y", "1 hour", "10 minutes", "1 hour")
+    out = st.run_to_latest(t, "st4", ["window", "risk_band"])
+    return out.select(F.unix_seconds(F.col("window.start")).alias("window_start"), "risk_band", "rows", "positives")
 
 
 # ---------------------------------------------------------------------------
@@ -838,15 +874,19 @@ def _numeric(ds):
 
 
 @register("embedding_lookup_join", f"""WITH {keyed_sql(EVENTS_TX_SQL)},
-b AS (SELECT TransactionID, CAST(('0x' || right(md5(entity_key), 5))::BIGINT % 512 AS INTEGER) AS bucket FROM keyed)
+n AS (SELECT max(vec_id) + 1 AS n FROM embeddings),
+h AS (SELECT TransactionID, md5(entity_key) AS h FROM keyed),
+b AS (SELECT TransactionID, ((((CAST('0x' || h[1:8] AS BIGINT) % n) * 4294967296 + CAST('0x' || h[9:16] AS BIGINT)) % n
+      * 4294967296 + CAST('0x' || h[17:24] AS BIGINT)) % n * 4294967296 + CAST('0x' || h[25:32] AS BIGINT)) % n AS bucket FROM h, n)
 SELECT TransactionID, {f4('list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE)))')} AS emb_sum,
        CAST(len(embedding) AS INTEGER) AS emb_dim
 FROM b LEFT JOIN embeddings e ON e.vec_id = b.bucket""")
 def q_emb(spark, sf_dir):
-    """Hashed entity bucket (512) -> embedding vector via an equi-join."""
+    """Entity key hashed over all rows of the table -> embedding vector via an equi-join."""
     tx = feat.add_keys(_tx(spark, sf_dir, "events"))
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vec"))
-    j = mdl.embedding_lookup(tx, "entity_key", emb, 512, "emb")
+    n = int(emb.agg(F.max("bucket")).first()[0]) + 1
+    j = mdl.embedding_lookup(tx, "entity_key", emb, n, "emb")
     return j.select("TransactionID",
                     fixed4(F.aggregate(F.col("emb"), F.lit(0.0), lambda a, x: a + x.cast("double"))).alias("emb_sum"),
                     F.size("emb").cast("int").alias("emb_dim")).withColumn(
@@ -860,7 +900,7 @@ def q_lr(spark, sf_dir):
     ds = _dataset(spark, sf_dir)
     tr = ds.filter(F.col("split") == "train")
     m = mdl.fit_baseline(tr, "y_ew_72h", _numeric(ds), ["P_emaildomain"], ["entity_key", "fingerprint_key"],
-                         LogisticConfig(max_iter=50))
+                         LogisticConfig())
     by = {s: m.transform(ds.filter(F.col("split") == s)).select(F.col("y_ew_72h").cast("int").alias("y"),
                                                                  F.col("score").alias("p")) for s in ("valid", "test")}
     return met.model_comparison({"logistic": by})
@@ -872,7 +912,7 @@ def q_shap(spark, sf_dir):
     ds = _dataset(spark, sf_dir)
     num = _numeric(ds)
     tr, te = ds.filter(F.col("split") == "train"), ds.filter(F.col("split") == "test")
-    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig(max_iter=50))
+    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig())
     sc = prep.fit_median_scaler(tr, num)
     return met.linear_attributions(prep.apply_median_scaler(te, sc, num), prep.apply_median_scaler(tr, sc, num),
                                    m.coefficients())
@@ -969,3 +1009,169 @@ def q_topk(spark, sf_dir):
     """O3: the 100 highest-scoring events (ties by id) -- a top-k report."""
     s = _scored(spark, sf_dir).withColumnRenamed("p", "score")
     return bnd.top_k(s, 100, "score", "id").select("id", fixed4(F.col("score")).alias("score"))
+
+
+# ---------------------------------------------------------------------------
+# the scale path of the prefix sums: at least 64 range partitions, more than 64 groups, missing scores
+# ---------------------------------------------------------------------------
+_MISSING_SQL = f"""SELECT id, y, CASE WHEN id % 11 = 0 THEN CAST('NaN' AS DOUBLE) WHEN id % 13 = 0 THEN NULL ELSE p END AS p FROM ({_SCORED_SQL}) s0"""
+_SEEN_SQL = f"SELECT * FROM ({_MISSING_SQL}) s1 WHERE p IS NOT NULL AND NOT isnan(p)"
+
+
+def _missing(spark, sf_dir):
+    """The scored events with NaN and null scores among them."""
+    p = F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).when(F.col("id") % 13 == 0, F.lit(None)).otherwise(F.col("p"))
+    return _scored(spark, sf_dir).withColumn("p", p)
+
+
+@register("quantiles_many_groups", f"""SELECT user_id, {f4('quantile_cont(value, 0.5)')} AS p50, {f4('quantile_cont(value, 0.95)')} AS p95
+FROM events WHERE value IS NOT NULL GROUP BY user_id""")
+def q_many_groups(spark, sf_dir):
+    """A11 + X1: exact quantiles of every user (more than 64 groups) over 64 range partitions."""
+    from tidewatch.operators.quantiles import exact_quantiles
+    q = exact_quantiles(table(spark, sf_dir, "events"), "value", [0.5, 0.95], "linear", ["user_id"], n_buckets=64)
+    return q.groupBy("user_id").agg(*[fixed4(F.max(F.when(F.col("q") == x, F.col("value")))).alias(n) for x, n in ((0.5, "p50"), (0.95, "p95"))])
+
+
+@register("binary_metrics_missing_scores", f"""{_CURVE_SQL.replace(_SCORED_SQL, _SEEN_SQL)}
+SELECT {f4('sum(pos * (neg_cum - neg + neg / 2.0)) / (max(tot_pos) * max(tot_neg))')} AS auc_roc,
+       {f4('sum(CASE WHEN pos > 0 THEN pos / tot_pos * tp / (tp + fp) END)')} AS avg_precision,
+       (SELECT {f4('avg(power(p - y, 2))')} FROM s) AS brier FROM k""")
+def q_binary_missing(spark, sf_dir):
+    """E1 + E5 + X1: AUC, AP and Brier over the rows with a score, 64 range partitions."""
+    m = met.binary_metrics(_missing(spark, sf_dir), n_buckets=64)
+    return m.select(*[fixed4(F.col(c)).alias(c) for c in ("auc_roc", "avg_precision", "brier")])
+
+
+@register("lift_at_k_buckets", REGISTRY["lift_at_k"][1])
+def q_lift_buckets(spark, sf_dir):
+    """E4 + X1: lift over 64 range partitions."""
+    lf = met.lift_at_k(_scored(spark, sf_dir), (1, 3, 8), n_buckets=64)
+    return lf.select("top_pct", "k", *[fixed4(F.col(c)).alias(c) for c in ("precision", "recall", "lift")])
+
+
+@register("ks_drift_buckets", REGISTRY["ks_drift"][1])
+def q_ks_buckets(spark, sf_dir):
+    """DR1 + X1: KS over 64 range partitions."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS), n_buckets=64)
+
+
+@register("wasserstein_drift_buckets", REGISTRY["wasserstein_drift"][1])
+def q_wasserstein_buckets(spark, sf_dir):
+    """DR4 + X1: Wasserstein over 64 range partitions (next values across their edges)."""
+    ref, cur = _ref_cur(spark, sf_dir)
+    w = drf.wasserstein(ref, cur, _DRIFT_FEATS, n_buckets=64)
+    return w.select("feature", fixed4(F.col("wasserstein")).alias("wasserstein"),
+                    fixed4(F.col("wasserstein_norm")).alias("wasserstein_norm"))
+
+
+@register("band_cutoffs_missing_scores", f"""SELECT {f4('quantile_cont(p, 0.99)')} AS critical, {f4('quantile_cont(p, 0.97)')} AS high,
+       {f4('quantile_cont(p, 0.92)')} AS medium FROM ({_SEEN_SQL}) s""")
+def q_cutoffs_missing(spark, sf_dir):
+    """B1 on a score column with NaN and null, 64 range partitions."""
+    c = bnd.band_cutoffs(_missing(spark, sf_dir).withColumnRenamed("p", "score"), BandPolicy(), n_buckets=64)
+    return c.select(*[fixed4(F.col(x)).alias(x) for x in ("critical", "high", "medium")])
+
+
+@register("exact_capacity_bands_missing_scores", f"""WITH r AS (SELECT id, row_number() OVER (ORDER BY p DESC, id) AS rk, count(*) OVER () AS n FROM ({_SEEN_SQL}) s)
+SELECT a.id, CASE WHEN rk <= CAST(floor(n * 0.01) AS BIGINT) THEN 'critical'
+                WHEN rk <= CAST(floor(n * 0.03) AS BIGINT) THEN 'high'
+                WHEN rk <= CAST(floor(n * 0.08) AS BIGINT) THEN 'medium' ELSE 'low' END AS risk_band
+FROM ({_MISSING_SQL}) a LEFT JOIN r USING (id)""")
+def q_exact_missing(spark, sf_dir):
+    """B3 on a score column with NaN and null: the rows with a score are counted and ranked, the others are low."""
+    s = _missing(spark, sf_dir).withColumnRenamed("p", "score")
+    return bnd.exact_capacity_bands(s, BandPolicy(policy="exact_k"), "score", "id", n_buckets=64).select("id", "risk_band")
+
+
+@register("exact_capacity_bands_ties", """WITH s AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_discount AS p FROM lineitem),
+r AS (SELECT id, row_number() OVER (ORDER BY p DESC, id) AS rk, count(*) OVER () AS n FROM s)
+SELECT id, CASE WHEN rk <= CAST(floor(n * 0.01) AS BIGINT) THEN 'critical'
+                WHEN rk <= CAST(floor(n * 0.03) AS BIGINT) THEN 'high'
+                WHEN rk <= CAST(floor(n * 0.08) AS BIGINT) THEN 'medium' ELSE 'low' END AS risk_band FROM r""")
+def q_exact_ties(spark, sf_dir):
+    """B3 on a score of eleven values: every boundary lies inside a large tie group."""
+    s = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.col("l_discount").alias("score"))
+    return bnd.exact_capacity_bands(s, BandPolicy(policy="exact_k"), "score", "id", n_buckets=64).select("id", "risk_band")
+
+
+@register("reliability_curve_missing_scores", f"""WITH s AS ({_SEEN_SQL}),
+e AS (SELECT quantile_cont(p, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS edges FROM s),
+b AS (SELECT y, p, CAST(len(list_filter(edges, lambda x: x < p)) AS INTEGER) AS bin FROM s, e)
+SELECT bin, {f4('avg(CAST(y AS DOUBLE))')} AS prob_true, {f4('avg(p)')} AS prob_pred, count(*) AS count
+FROM b GROUP BY bin""")
+def q_reliability_missing(spark, sf_dir):
+    """E7 on a score column with NaN and null."""
+    r = met.reliability_curve(_missing(spark, sf_dir), 10)
+    return r.select(F.col("bin").cast("int").alias("bin"), fixed4(F.col("prob_true")).alias("prob_true"),
+                    fixed4(F.col("prob_pred")).alias("prob_pred"), "count")
+
+
+# ---------------------------------------------------------------------------
+# V2 with the pipeline, W14, O2, A3, A8, M4 / M5 transforms, F1 / F2, S1 / S3
+# ---------------------------------------------------------------------------
+_DIRTY_SQL = f"""SELECT CASE WHEN TransactionID % 17 = 0 THEN NULL ELSE CAST(TransactionID AS VARCHAR) END AS TransactionID,
+       CASE WHEN TransactionID % 19 = 0 THEN 'not a time' WHEN TransactionID % 23 = 0 THEN NULL ELSE CAST(TransactionDT AS VARCHAR) END AS TransactionDT,
+       CASE WHEN TransactionID % 29 = 0 THEN 'n/a' ELSE CAST(TransactionAmt AS VARCHAR) END AS TransactionAmt, isFraud FROM ({EVENTS_TX_SQL}) t"""
+
+
+def _dirty(spark, sf_dir):
+    """Events as a CSV reader gives them: text columns, with missing ids and times, unreadable values and repeated rows."""
+    e = _tx(spark, sf_dir, "events").select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud")
+    i = F.col("TransactionID")
+    d = e.select(F.when(i % 17 != 0, i.cast("string")).alias("TransactionID"),
+                 F.when(i % 19 == 0, F.lit("not a time")).when(i % 23 != 0, F.col("TransactionDT").cast("string")).alias("TransactionDT"),
+                 F.when(i % 29 == 0, F.lit("n/a")).otherwise(F.col("TransactionAmt").cast("string")).alias("TransactionAmt"), "isFraud")
+    return d.unionByName(d)
+
+
+@register("clean_with_quarantine", f"""WITH d AS ({_DIRTY_SQL}), c AS (SELECT TransactionID, TRY_CAST(TransactionDT AS BIGINT) AS dt, TRY_CAST(TransactionAmt AS DOUBLE) AS amt, isFraud FROM d)
+SELECT 'clean' AS part, TransactionID, dt AS TransactionDT, {f4('amt')} AS TransactionAmt, CAST(isFraud AS INTEGER) AS isFraud, '' AS violations, 1 AS copies
+FROM c WHERE TransactionID IS NOT NULL AND dt IS NOT NULL
+UNION ALL
+SELECT 'quarantine', TransactionID, dt, {f4('amt')}, CAST(isFraud AS INTEGER), concat_ws(',', CASE WHEN TransactionID IS NULL THEN 'TransactionID:required' END,
+       CASE WHEN dt IS NULL THEN 'TransactionDT:required' END), 1 FROM (SELECT * FROM c UNION ALL SELECT * FROM c) x WHERE TransactionID IS NULL OR dt IS NULL""")
+def q_quarantine(spark, sf_dir):
+    """V2 + P4 + D2 as the pipeline runs them: coerced rows with a broken contract go to quarantine, the rest is de-duplicated."""
+    from tidewatch.plans.pipeline import clean_and_quarantine
+    good, bad = clean_and_quarantine(_dirty(spark, sf_dir))
+    cols = ["TransactionID", "TransactionDT", fixed4(F.col("TransactionAmt")).alias("TransactionAmt"), "isFraud"]
+    return good.select(F.lit("clean").alias("part"), *cols, F.lit("").alias("violations"), F.lit(1).alias("copies")).unionByName(
+        bad.select(F.lit("quarantine").alias("part"), *cols, F.array_join("violations", ",").alias("violations"), F.lit(1).alias("copies")))
+
+
+@register("entity_velocity_strict_history", entity_features_sql(EVENTS_TX_SQL).replace(
+    "avg(prev_amt) OVER w7", "avg(TransactionAmt) OVER p7").replace("stddev_pop(prev_amt) OVER w7", "stddev_pop(TransactionAmt) OVER p7").replace(
+    f"RANGE BETWEEN {_lower(604800)} PRECEDING AND CURRENT ROW))",
+    f"RANGE BETWEEN {_lower(604800)} PRECEDING AND CURRENT ROW),\n             p7 AS (PARTITION BY entity_key ORDER BY ord RANGE BETWEEN {_lower(604800)} PRECEDING AND 1 PRECEDING))"))
+def q_strict(spark, sf_dir):
+    """History strictly before the row, without the lag."""
+    return _entity(spark, sf_dir, "events", FeatureConfig(history="strict"))
+
+
+@register("review_queue", f"""SELECT id, risk_band, row_number() OVER (ORDER BY array_position(['critical', 'high', 'medium', 'low'], risk_band), p DESC, id) AS place
+FROM ({_BANDED_SQL}) b""")
+def q_queue(spark, sf_dir):
+    """O2: the review order: band rank, score, id, with each row's place (from the distributed prefix sum)."""
+    from tidewatch.config import BAND_ORDER
+    from tidewatch.operators.quantiles import prefix_sums
+    q = bnd.review_queue(_banded(spark, sf_dir))
+    rank = F.array_position(F.array(*[F.lit(b) for b in BAND_ORDER]), F.col("risk_band"))
+    ranked = prefix_sums(q.select("id", "risk_band", rank.alias("r"), (-F.col("score")).alias("s"), F.lit(1).alias("one")), ["r", "s", "id"], ["one"], n_buckets=64)
+    return ranked.select("id", "risk_band", F.col("one_cum").alias("place"))
+
+
+@register("csv_round_trip", "SELECT event_id, user_id, event_type, value FROM events")
+def q_csv(spark, sf_dir):
+    """S1 + S3: events written as CSV and as partitioned Parquet, read back with their schema."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.sources import io
+    base = os.path.join(checkpoint_dir(spark), "tables", f"round-{uuid.uuid4().hex}")
+    e = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
+    e.write.option("header", True).csv(os.path.join(base, "csv"))
+    io.write_parquet(io.read_csv(spark, os.path.join(base, "csv"), e.schema), os.path.join(base, "parquet"), ["event_type"])
+    return io.read_parquet(spark, os.path.join(base, "parquet")).select(*e.columns)
