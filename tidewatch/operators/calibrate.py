@@ -31,10 +31,9 @@ def fit_temperature(valid: DataFrame, logit: str = "logit", y: str = "y", passes
     base = valid.select(F.col(logit).cast("double").alias("_z"), F.col(y).cast("double").alias("_y"))
     for _ in range(passes):
         ts = [math.exp(a + (b - a) * i / (grid - 1)) for i in range(grid)]
-        g = base.select("_z", "_y", F.explode(F.array(*[F.lit(t) for t in ts])).alias("_T"))
-        r = (g.groupBy("_T").agg(F.avg(_bce(F.col("_z") / F.col("_T"), F.col("_y"))).alias("nll"))
-             .orderBy("nll", "_T").first())
-        best = float(r["_T"])
+        # one aggregate column for each temperature: a pass reads every row once
+        r = base.agg(*[F.avg(_bce(F.col("_z") / F.lit(t), F.col("_y"))).alias(f"t{i}") for i, t in enumerate(ts)]).first()
+        best = min((r[f"t{i}"], t) for i, t in enumerate(ts))[1]
         step = (b - a) / (grid - 1)
         a, b = math.log(best) - 2 * step, math.log(best) + 2 * step
     return best

@@ -155,15 +155,22 @@ def reliability_curve(scored: DataFrame, n_bins: int = 10, y: str = "y", p: str
                                  F.count(F.lit(1)).alias("count")))
 
 
-def model_comparison(scored_by_model: Mapping[str, Mapping[str, DataFrame]], y: str = "y", p: str = "p") -> DataFrame:
-    """Long table ``(model, split, metric, value)`` for every model x split."""
+def model_comparison(scored_by_model: Mapping[str, Mapping[str, DataFrame]], y: str = "y", p: str = "p",
+                     top_pcts: Sequence[float] = (), id_col: str = "id") -> DataFrame:
+    """Long table ``(model, split, metric, value)`` for every model x split: rows, base rate, AUC, AP, Brier, the
+    best-F1 threshold and its F1, and with ``top_pcts`` (needs ``id_col``) precision, recall and lift of each top share."""
     out = None
     for model, by_split in scored_by_model.items():
         for split, sdf in by_split.items():
-            m = binary_metrics(sdf, y, p)
-            long = m.select(F.lit(model).alias("model"), F.lit(split).alias("split"),
-                            F.expr("stack(3, 'auc_roc', auc_roc, 'avg_precision', avg_precision, "
-                                   "'brier', brier) as (metric, value)"))
+            base = sdf.agg(F.count(F.lit(1)).cast("double").alias("n_rows"), F.avg(F.col(y).cast("double")).alias("base_rate"))
+            m = binary_metrics(sdf, y, p).crossJoin(best_f1_threshold(sdf, y, p).select("best_threshold", "best_f1")).crossJoin(base)
+            names = ("n_rows", "base_rate", "auc_roc", "avg_precision", "brier", "best_threshold", "best_f1")
+            long = m.select(F.expr(f"stack({len(names)}, " + ", ".join(f"'{c}', {c}" for c in names) + ") as (metric, value)"))
+            if top_pcts:
+                cells = [F.struct(F.concat(F.lit(f"{c}_at_"), F.col("top_pct").cast("string"), F.lit("pct")).alias("metric"), F.col(c).alias("value"))
+                         for c in ("precision", "recall", "lift")]
+                long = long.unionByName(lift_at_k(sdf, top_pcts, y, p, id_col).select(F.inline(F.array(*cells))))
+            long = long.select(F.lit(model).alias("model"), F.lit(split).alias("split"), "metric", "value")
             out = long if out is None else out.unionByName(long)
     return out
 

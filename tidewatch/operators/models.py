@@ -200,16 +200,22 @@ def mlp_logits(df: DataFrame, input_cols: Sequence[str], weights: Sequence[tuple
     return df.withColumn(out, _forward(flat))
 
 
-def fit_embedding_mlp(train: DataFrame, y: str, numeric: Sequence[str], emb_col: str, emb_dim: int,
-                      hidden: int = 16, seed: int = 42, max_iter: int = 100):
-    """M8-style training of a small network on [numerics || looked-up embedding] with
-    Spark ML's distributed MLP; returns ``(layers, weights)`` for :func:`mlp_logits`."""
-    from pyspark.ml.classification import MultilayerPerceptronClassifier
+def embedding_features(df: DataFrame, numeric: Sequence[str], emb_col: str, emb_dim: int, out: str = "features") -> DataFrame:
+    """[numerics || looked-up embedding] as one vector; missing parts are zeros."""
     from pyspark.ml.functions import array_to_vector
-    numeric = list(numeric)
     vec = F.concat(F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]),
                    F.coalesce(F.col(emb_col).cast("array<double>"), F.array_repeat(F.lit(0.0), emb_dim)))
-    d = train.select(array_to_vector(vec).alias("features"), F.col(y).cast("double").alias("label"))
-    layers = [len(numeric) + emb_dim, hidden, 2]
+    return df.withColumn(out, array_to_vector(vec))
+
+
+def fit_embedding_mlp(train: DataFrame, y: str, numeric: Sequence[str], emb_col: str, emb_dim: int,
+                      hidden: Sequence[int] = (16,), seed: int = 42, max_iter: int = 100):
+    """M8-style training of a network on [numerics || looked-up embedding] with Spark ML's
+    distributed MLP; returns ``(layers, weights, model)``. Score with ``model.transform`` on
+    :func:`embedding_features`; ``weights`` are for :func:`mlp_logits`."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+    numeric = list(numeric)
+    d = embedding_features(train, numeric, emb_col, emb_dim).select("features", F.col(y).cast("double").alias("label"))
+    layers = [len(numeric) + emb_dim, *hidden, 2]
     m = MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed).fit(d)
     return layers, mlp_weights_from_spark(m, layers), m

@@ -382,14 +382,32 @@ def q_dedup(spark, sf_dir):
     return prof.drop_duplicates_keep_first(table(spark, sf_dir, "lineitem"), "l_orderkey", ("l_linenumber", "l_partkey", "l_quantity"))
 
 
-@register("cleaning_metrics", f"""WITH tx AS ({EVENTS_TX_SQL})
-SELECT count(*) AS rows_before, 7 AS cols_before, count(DISTINCT TransactionID) AS rows_after, 7 AS cols_after,
-       0.0 AS missing_TransactionID_pct, 0.0 AS missing_TransactionDT_pct, 0.0 AS missing_TransactionAmt_pct,
-       0.0 AS missing_isFraud_pct, {f4('avg(CAST(isFraud AS DOUBLE)) * 100.0')} AS label_rate_pct,
-       min(TransactionDT) AS transaction_dt_min, max(TransactionDT) AS transaction_dt_max FROM tx""")
+_DIRTY_SQL = f"""SELECT CASE WHEN TransactionID % 17 = 0 THEN NULL ELSE CAST(TransactionID AS VARCHAR) END AS TransactionID,
+       CASE WHEN TransactionID % 19 = 0 THEN 'not a time' WHEN TransactionID % 23 = 0 THEN NULL ELSE CAST(TransactionDT AS VARCHAR) END AS TransactionDT,
+       CASE WHEN TransactionID % 29 = 0 THEN 'n/a' ELSE CAST(TransactionAmt AS VARCHAR) END AS TransactionAmt, isFraud FROM ({EVENTS_TX_SQL}) t"""
+
+
+def _dirty(spark, sf_dir):
+    """Events as a CSV reader gives them: text columns, with missing ids and times, unreadable values and repeated rows."""
+    e = _tx(spark, sf_dir, "events").select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud")
+    i = F.col("TransactionID")
+    d = e.select(F.when(i % 17 != 0, i.cast("string")).alias("TransactionID"),
+                 F.when(i % 19 == 0, F.lit("not a time")).when(i % 23 != 0, F.col("TransactionDT").cast("string")).alias("TransactionDT"),
+                 F.when(i % 29 == 0, F.lit("n/a")).otherwise(F.col("TransactionAmt").cast("string")).alias("TransactionAmt"), "isFraud")
+    return d.unionByName(d)
+
+
+@register("cleaning_metrics", f"""WITH d AS ({_DIRTY_SQL}), both_ AS (SELECT * FROM d UNION ALL SELECT * FROM d),
+u AS (SELECT * FROM d WHERE TransactionID IS NOT NULL
+      UNION ALL (SELECT * FROM d WHERE TransactionID IS NULL ORDER BY TransactionDT NULLS FIRST, TransactionAmt NULLS FIRST, isFraud NULLS FIRST LIMIT 1)),
+c AS (SELECT TransactionID, TRY_CAST(TransactionDT AS BIGINT) AS dt, TRY_CAST(TransactionAmt AS DOUBLE) AS amt, isFraud FROM u)
+SELECT (SELECT count(*) FROM both_) AS rows_before, 4 AS cols_before, count(*) AS rows_after, 4 AS cols_after,
+       {f4('100.0 * avg(CAST(TransactionID IS NULL AS DOUBLE))')} AS missing_TransactionID_pct, {f4('100.0 * avg(CAST(dt IS NULL AS DOUBLE))')} AS missing_TransactionDT_pct,
+       {f4('100.0 * avg(CAST(amt IS NULL AS DOUBLE))')} AS missing_TransactionAmt_pct, {f4('100.0 * avg(CAST(isFraud IS NULL AS DOUBLE))')} AS missing_isFraud_pct,
+       {f4('avg(CAST(isFraud AS DOUBLE)) * 100.0')} AS label_rate_pct, min(dt) AS transaction_dt_min, max(dt) AS transaction_dt_max FROM c""")
 def q_clean(spark, sf_dir):
-    """A10: keep-first de-duplication + coercion, with the cleaning metrics."""
-    tx = _tx(spark, sf_dir, "events")
+    """A10: keep-first de-duplication + coercion with the cleaning metrics, on rows with repeats, missing and unreadable values."""
+    tx = _dirty(spark, sf_dir)
     m = prof.cleaning_metrics(tx, prof.clean_merged_dataset(tx))
     return m.select("rows_before", F.col("cols_before").cast("int").alias("cols_before"), "rows_after",
                     F.col("cols_after").cast("int").alias("cols_after"),
@@ -769,12 +787,24 @@ def q_calrep(spark, sf_dir):
     return r.select(*[fixed4(F.col(c)).alias(c) for c in r.columns])
 
 
-@register("temperature_fit", None)
+def _temperature_sql(passes: int = 4, grid: int = 33, lo: float = 0.05, hi: float = 20.0) -> str:
+    """The grid zoom of M10 as a chain of tables."""
+    out = f"WITH s AS ({_SCORED_SQL}), r0 AS (SELECT ln({lo}) AS a, ln({hi}) AS b)"
+    for k in range(1, passes + 1):
+        out += f""",
+g{k} AS (SELECT exp(a + (b - a) * i / {grid - 1}.0) AS T, (b - a) / {grid - 1}.0 AS step FROM r{k - 1}, range(0, {grid}) t(i)),
+n{k} AS (SELECT T, step, avg(greatest(logit / T, 0.0) - logit / T * y + ln(1 + exp(-abs(logit / T)))) AS nll FROM g{k}, s GROUP BY T, step),
+b{k} AS (SELECT T, step FROM n{k} ORDER BY nll, T LIMIT 1),
+r{k} AS (SELECT ln(T) - 2 * step AS a, ln(T) + 2 * step AS b FROM b{k})"""
+    return out + f" SELECT {f4('T')} AS temperature FROM b{passes}"
+
+
+@register("temperature_fit", _temperature_sql())
 def q_tfit(spark, sf_dir):
-    """Fit T on the events score (iterative grid zoom; no SQL form)."""
+    """Fit T on the events score by a grid that zooms in."""
     s = _scored(spark, sf_dir)
     t = cal.fit_temperature(s, "logit", "y")
-    return cal.calibration_report(s, t, "logit", "y")
+    return cal.calibration_report(s, t, "logit", "y").select(fixed4(F.col("temperature")).alias("temperature"))
 
 
 # ---------------------------------------------------------------------------
@@ -827,12 +857,18 @@ def q_stream_velocity_disorder(spark, sf_dir):
     return _velocity(stream, "st2-disorder", "60 days")
 
 
-@register("dedup_stream", "SELECT DISTINCT l_orderkey FROM lineitem")
+@register("dedup_stream", "SELECT event_id, user_id, event_type, value FROM events")
 def q_stream_dedup(spark, sf_dir):
-    """ST3: drop repeated order keys within the watermark (lineitem stream)."""
-    li = st.stream_table(spark, sf_dir, "lineitem").withColumn("_ts", F.col("l_shipdate").cast("timestamp"))
-    d = st.dedup_stream(li, "l_orderkey", "_ts", "3650 days")
-    return st.run_to_table(d.select("l_orderkey"), "st3")
+    """ST3: whole rows of a stream in which every event comes twice, kept once within an hour's watermark."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(spark), "tables", f"twice-{uuid.uuid4().hex}")
+    e = table(spark, sf_dir, "events")
+    e.unionByName(e).repartition(4).write.parquet(base)
+    stream = spark.readStream.schema(e.schema).parquet(base).withColumn("_ts", F.timestamp_seconds(epoch_seconds("ts")))
+    return st.run_to_table(st.dedup_stream(stream, "event_id", "_ts", "1 hour").select("event_id", "user_id", "event_type", "value"), "st3")
 
 
 @register("band_traffic_stream", f"""WITH s AS ({_SCORED_SQL}),
@@ -896,14 +932,20 @@ def q_emb(spark, sf_dir):
 @register("baseline_model_comparison", None)
 def q_lr(spark, sf_dir):
     """M4 + M5 + K4 + M9 + M6 + E8: balanced L2 logistic regression on the train split,
-    AUC / AP / Brier on valid and test."""
+    beside boosted trees: base rate, AUC, AP, Brier, best F1 and lift on valid and test."""
     ds = _dataset(spark, sf_dir)
     tr = ds.filter(F.col("split") == "train")
     m = mdl.fit_baseline(tr, "y_ew_72h", _numeric(ds), ["P_emaildomain"], ["entity_key", "fingerprint_key"],
                          LogisticConfig())
-    by = {s: m.transform(ds.filter(F.col("split") == s)).select(F.col("y_ew_72h").cast("int").alias("y"),
-                                                                 F.col("score").alias("p")) for s in ("valid", "test")}
-    return met.model_comparison({"logistic": by})
+    gbt, _, _, prepare = mdl.fit_nonlinear(tr, ds.filter(F.col("split") == "valid"), "y_ew_72h", _numeric(ds), grid=({"maxDepth": 3},))
+    from pyspark.ml.functions import vector_to_array
+    ident = [F.col("TransactionID").alias("id"), F.col("y_ew_72h").cast("int").alias("y")]
+    part = {s: ds.filter(F.col("split") == s) for s in ("valid", "test")}
+    from tidewatch.session import scratch_table     # the scores are read by several metrics: written once
+    return met.model_comparison({
+        "logistic": {s: scratch_table(m.transform(d).select(*ident, F.col("score").alias("p")), "scores") for s, d in part.items()},
+        "boosted_trees": {s: scratch_table(gbt.transform(prepare(d)).select(*ident, vector_to_array("probability")[1].alias("p")), "scores") for s, d in part.items()},
+    }, top_pcts=(1, 3, 8))
 
 
 @register("linear_attributions", None)
@@ -933,18 +975,19 @@ def q_gbt(spark, sf_dir):
 
 @register("embedding_network_scores", None)
 def q_mlp(spark, sf_dir):
-    """M1 + M2 + J4 + M7: standardised numerics and the entity embedding feed a trained
-    network; test rows are scored by the Arrow-batched forward pass, then banded (B1/B2)."""
+    """M1 + M2 + J4 + M8: standardised numerics and the entity embedding feed a network trained and scored
+    by Spark ML; test rows are banded (B1/B2)."""
     ds = _dataset(spark, sf_dir)
     num = _numeric(ds)
     tr = ds.filter(F.col("split") == "train")
     st_ = prep.fit_standardizer(tr, num)
     emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vec"))
-    x = mdl.embedding_lookup(prep.transform_numeric(ds, st_, num), "entity_key", emb, 512, "emb")
-    layers, weights, _ = mdl.fit_embedding_mlp(x.filter(F.col("split") == "train"), "y_ew_72h", num, "emb", 64)
-    te = mdl.mlp_logits(x.filter(F.col("split") == "test"), [*num, "emb"], weights, {"emb": 64},
-                        activation="sigmoid", output="softmax2")
-    te = cal.apply_temperature(te, None, "logit", "score")
+    n = int(emb.agg(F.max("bucket")).first()[0]) + 1
+    x = mdl.embedding_lookup(prep.transform_numeric(ds, st_, num), "entity_key", emb, n, "emb")
+    _, _, net = mdl.fit_embedding_mlp(x.filter(F.col("split") == "train"), "y_ew_72h", num, "emb", 64)
+    from pyspark.ml.functions import vector_to_array
+    te = net.transform(mdl.embedding_features(x.filter(F.col("split") == "test"), num, "emb", 64))
+    te = te.withColumn("score", vector_to_array("probability")[1])
     banded = bnd.assign_risk_band(te, bnd.band_cutoffs(te, BandPolicy()))
     return banded.select("TransactionID", fixed4(F.col("score")).alias("score"), "risk_band")
 
@@ -1111,21 +1154,6 @@ def q_reliability_missing(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # V2 with the pipeline, W14, O2, A3, A8, M4 / M5 transforms, F1 / F2, S1 / S3
 # ---------------------------------------------------------------------------
-_DIRTY_SQL = f"""SELECT CASE WHEN TransactionID % 17 = 0 THEN NULL ELSE CAST(TransactionID AS VARCHAR) END AS TransactionID,
-       CASE WHEN TransactionID % 19 = 0 THEN 'not a time' WHEN TransactionID % 23 = 0 THEN NULL ELSE CAST(TransactionDT AS VARCHAR) END AS TransactionDT,
-       CASE WHEN TransactionID % 29 = 0 THEN 'n/a' ELSE CAST(TransactionAmt AS VARCHAR) END AS TransactionAmt, isFraud FROM ({EVENTS_TX_SQL}) t"""
-
-
-def _dirty(spark, sf_dir):
-    """Events as a CSV reader gives them: text columns, with missing ids and times, unreadable values and repeated rows."""
-    e = _tx(spark, sf_dir, "events").select("TransactionID", "TransactionDT", "TransactionAmt", "isFraud")
-    i = F.col("TransactionID")
-    d = e.select(F.when(i % 17 != 0, i.cast("string")).alias("TransactionID"),
-                 F.when(i % 19 == 0, F.lit("not a time")).when(i % 23 != 0, F.col("TransactionDT").cast("string")).alias("TransactionDT"),
-                 F.when(i % 29 == 0, F.lit("n/a")).otherwise(F.col("TransactionAmt").cast("string")).alias("TransactionAmt"), "isFraud")
-    return d.unionByName(d)
-
-
 @register("clean_with_quarantine", f"""WITH d AS ({_DIRTY_SQL}), c AS (SELECT TransactionID, TRY_CAST(TransactionDT AS BIGINT) AS dt, TRY_CAST(TransactionAmt AS DOUBLE) AS amt, isFraud FROM d)
 SELECT 'clean' AS part, TransactionID, dt AS TransactionDT, {f4('amt')} AS TransactionAmt, CAST(isFraud AS INTEGER) AS isFraud, '' AS violations, 1 AS copies
 FROM c WHERE TransactionID IS NOT NULL AND dt IS NOT NULL
@@ -1175,3 +1203,31 @@ def q_csv(spark, sf_dir):
     e.write.option("header", True).csv(os.path.join(base, "csv"))
     io.write_parquet(io.read_csv(spark, os.path.join(base, "csv"), e.schema), os.path.join(base, "parquet"), ["event_type"])
     return io.read_parquet(spark, os.path.join(base, "parquet")).select(*e.columns)
+
+
+@register("psi_js_drift_shifted", REGISTRY["psi_js_drift"][1].replace(_REF_SQL, _SPLIT_REF).replace(_CUR_SQL, _SPLIT_CUR))
+def q_psi_shifted(spark, sf_dir):
+    """DR7 between small and large quantities: two features that drift far, two that don't."""
+    li = table(spark, sf_dir, "lineitem")
+    p = drf.psi_js(li.filter("l_quantity <= 30"), li.filter("l_quantity > 30"), _DRIFT_FEATS)
+    return p.select("feature", fixed4(F.col("psi")).alias("psi"), fixed4(F.col("js_divergence")).alias("js_divergence"))
+
+
+_NET_IN = ("l_quantity / 50.0", "l_discount * 10.0", "l_tax * 10.0")
+_NET_W = [[[0.5, -0.25, 1.0, -1.0], [0.75, 0.5, -0.5, 0.25], [-1.0, 1.0, 0.5, 0.5]], [[1.0], [-0.5], [0.25], [0.75]]]
+_NET_B = [[0.125, -0.125, 0.0, 0.25], [-0.5]]
+
+
+def _net_sql() -> str:
+    unit = lambda j: "greatest(" + " + ".join(f"({x}) * {_NET_W[0][i][j]}" for i, x in enumerate(_NET_IN)) + f" + {_NET_B[0][j]}, 0.0)"
+    logit = " + ".join(f"{unit(j)} * {_NET_W[1][j][0]}" for j in range(4)) + f" + {_NET_B[1][0]}"
+    return f"SELECT l_orderkey, l_linenumber, l_partkey, CAST(floor(({logit}) * 100 + 0.503) AS BIGINT) AS logit_pct FROM lineitem"
+
+
+@register("relu_network_scores", _net_sql())
+def q_relu(spark, sf_dir):
+    """M7: the forward pass of a network with given ReLU weights, per Arrow batch."""
+    import numpy as np
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *[F.expr(x).alias(f"x{i}") for i, x in enumerate(_NET_IN)])
+    out = mdl.mlp_logits(li, ["x0", "x1", "x2"], [(np.array(w), np.array(b)) for w, b in zip(_NET_W, _NET_B)])
+    return out.select("l_orderkey", "l_linenumber", "l_partkey", F.floor(F.col("logit") * 100 + 0.503).alias("logit_pct"))
