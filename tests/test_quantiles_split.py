@@ -65,3 +65,21 @@ def test_next_value_across_bucket_edges(spark):
         vals = sorted({v for gg, v in rows if gg == g})
         for i, v in enumerate(vals):
             assert got[(g, v)] == (vals[i + 1] if i + 1 < len(vals) else None)
+
+
+def test_many_groups_and_missing_values(spark):
+    """More columns than any former limit, with NaN and null values, over forced partitions."""
+    from tidewatch.operators.profile import numeric_sanity
+    cols = [f"c{i}" for i in range(70)]
+    rows = [tuple(float("nan") if (i + k) % 7 == 0 else None if (i + k) % 11 == 0 else float(i * k % 31) for k in range(70)) for i in range(60)]
+    got = {r.column: r for r in numeric_sanity(spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols)), cols).collect()}
+    assert len(got) == 70
+    for k in (0, 5, 69):
+        vals = [r[k] for r in rows if r[k] is not None and r[k] == r[k]]
+        assert got[f"c{k}"].p50 == pytest.approx(np.quantile(vals, 0.5)) and got[f"c{k}"].p99 == pytest.approx(np.quantile(vals, 0.99))
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    from tidewatch.session import drop_scratch, scratch_table
+    d = scratch_table(spark.range(5).toDF("x"), "t")
+    assert d.count() == 5 and drop_scratch(spark) >= 1 and drop_scratch(spark) == 0

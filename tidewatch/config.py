@@ -38,6 +38,9 @@ ENTITY_BUCKETS = 2 ** 20
 FINGERPRINT_BUCKETS = 2 ** 18
 HASHED_FEATURES = 2 ** 18
 
+# The defaults below (windows, horizon, quantiles, capacity shares, alert limits) are
+# fixed values, too: they must equal the original's for equal results.
+
 
 @dataclass(frozen=True)
 class FeatureConfig:

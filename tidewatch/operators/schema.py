@@ -114,4 +114,4 @@ def split_filter(df: DataFrame, *splits: str, split_col: str = "split") -> DataF
 def require_nonempty(df: DataFrame, what: str) -> None:
     """F1 guard: the reference raises on an empty valid/test split."""
     if df.isEmpty():
-        raise ValueError(f"No {what} rows found. Check your split step.")
+        raise ValueError(f"the {what} part of the split is empty")

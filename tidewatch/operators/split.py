@@ -22,10 +22,10 @@ def compute_cutoffs(df: DataFrame, cfg: SplitConfig = SplitConfig()) -> tuple[in
     """SP1: driver values; raises on no valid times or inverted cutoffs."""
     row = cutoffs_frame(df, cfg).first()
     if row is None or row["train_end"] is None:
-        raise ValueError(f"{cfg.time_col} has no valid numeric values.")
+        raise ValueError(f"no row has a readable {cfg.time_col}, so there are no cutoffs")
     train_end, valid_end = int(row["train_end"]), int(row["valid_end"])
     if valid_end < train_end:
-        raise ValueError("Computed valid_end is earlier than train_end. Check quantiles.")
+        raise ValueError(f"cutoffs out of order: valid_end {valid_end} < train_end {train_end} at quantiles {cfg.train_quantile}, {cfg.valid_quantile}")
     return train_end, valid_end
 
 

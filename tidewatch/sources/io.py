@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import json
 import os
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,11 +85,17 @@ def write_json_report(df: DataFrame, path: str) -> None:
 
 
 def load_temperature(path: str, strict: bool = True) -> float | None:
-    """Absent file -> None; ``strict`` also maps missing / <= 0 to None (else 1.0)."""
-    if not os.path.exists(path):
-        return None if strict else 1.0
-    with open(path, encoding="utf-8") as f:
-        t = json.load(f).get("temperature")
-    if t is None or float(t) <= 0:
+    """Absent file -> None; ``strict`` also maps missing / <= 0 to None (else 1.0). Read by Spark, so that the
+    path can be in any store its executors see."""
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    try:
+        row = spark.read.schema("temperature double").option("multiLine", True).json(path).first()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        row = None
+    t = row["temperature"] if row is not None else None
+    if t is None or t <= 0:
         return None if strict else 1.0
     return float(t)
+
