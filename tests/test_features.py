@@ -146,3 +146,22 @@ def test_feature_report(simple_tx):
     rep = {r.column: r.missing_pct for r in feat.feature_report(feat.build_features(simple_tx)).collect()}
     assert rep["z_amt_vs_7d"] == pytest.approx(200.0 / 3)
     assert rep["cnt_1h"] == 0.0
+
+
+def test_burst_and_heavy_ties_are_cut_finely(spark):
+    """A key whose rows fall in one burst, and one with many rows in a second: no chunk that can be cut stays crowded, and the
+    features are those of the uncut series."""
+    from tidewatch.operators import frames as fr
+    rows = [(i, 40_000_000 if i == 0 else 1000 + i // 4, float(i % 9), "burst") for i in range(900)] + [(1000 + i, 7 * 3600, float(i), "ties") for i in range(300)]
+    df = spark.createDataFrame(rows, "TransactionID long, TransactionDT long, TransactionAmt double, entity_key string")
+    d, chunked = fr.with_order(df, "entity_key", "TransactionDT", ["TransactionID"], target_rows=32)
+    most = {r.entity_key: r["m"] for r in d.groupBy("entity_key", fr.CHUNK).count().groupBy("entity_key").agg(F.max("count").alias("m")).collect()}
+    assert chunked and most["burst"] <= 64 and most["ties"] == 300
+    cut = feat.add_entity_time_features(df, FeatureConfig(hot_key_rows=32)).orderBy("TransactionID").collect()
+    whole = feat.add_entity_time_features(df, FeatureConfig(hot_key_rows=None)).orderBy("TransactionID").collect()
+    assert [r.asDict() for r in cut] == [r.asDict() for r in whole]
+
+
+def test_rows_without_a_time_are_left_out(spark):
+    df = spark.createDataFrame([(1, 5, 1.0, "a"), (2, None, 2.0, "a")], "TransactionID long, TransactionDT long, TransactionAmt double, entity_key string")
+    assert [r.TransactionID for r in feat.add_entity_time_features(df).collect()] == [1]

@@ -12,8 +12,9 @@ bound ``w*K - K/2`` then selects exactly ``(t - w, t]`` minus later ties.
 Scale design. A plain ``Window.partitionBy(key)`` puts a whole key in one task
 and Spark re-aggregates every sliding frame (O(rows x frame)). Here the series
 of a *hot* key (more rows than ``target_rows``) is cut into time chunks
-(``chunk = floor(t / B_key)``, ``B_key`` a power of two sized so a chunk holds
-about ``target_rows`` rows) and work is keyed by ``(key, chunk)``, so a hot key
+(``chunk = floor(t / B_key)``, ``B_key`` a power of two, first sized for the key's
+mean rate, then shortened until no chunk of a burst holds over twice
+``target_rows`` rows or a chunk is one second) and work is keyed by ``(key, chunk)``, so a hot key
 spreads over as many tasks as it has chunks; other keys form a single chunk.
 The hot-key table has at most ``rows / target_rows`` entries, so it is
 broadcast when its checked size is small and shuffle-joined otherwise.
@@ -38,6 +39,8 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.session import scratch_table
+
 K = 1 << 31          # slots per second in the composite order (epoch seconds below 2^32, times K, fit a long)
 HALF = K >> 1        # rows that one second of a key can hold (10^9): the frames' lower bounds lie between seconds
 
@@ -75,16 +78,42 @@ def assign_chunk_length(df: DataFrame, key: str, time: str, target_rows: int | N
     stats = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.min(time).alias("_t0"),
                                  F.max(time).alias("_t1"))
              .filter(F.col("_n") > F.lit(target_rows)))
-    span = F.greatest(F.col("_t1") - F.col("_t0") + 1, F.lit(1)).cast("double")
-    want = F.greatest(span * F.lit(float(max(target_rows, 1))) / F.col("_n"), F.lit(1.0))
-    clen = F.pow(F.lit(2.0), F.floor(F.log2(want))).cast("bigint")
-    hot = stats.select(key, clen.alias(out))
+    hot = stats.select(F.col(key).alias("_k"), _mean_length(target_rows).alias("_cl"))
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn(out, F.lit(None).cast("bigint")), False
-    if n_hot <= BROADCAST_HOT_KEYS:
-        hot = F.broadcast(hot)
-    return df.join(hot, key, "left"), True
+    hot = _refine(df.select(F.col(key).alias("_k"), F.col(time).alias("_t")), hot, n_hot, target_rows)
+    hot = _sized(hot, n_hot).withColumnRenamed("_cl", out)
+    return df.join(hot, F.col(key) == F.col("_k"), "left").drop("_k"), True
+
+
+def _mean_length(target_rows: int):
+    """Chunk length for the mean rate of a key: a power of two of seconds."""
+    span = F.greatest(F.col("_t1") - F.col("_t0") + 1, F.lit(1)).cast("double")
+    want = F.greatest(span * F.lit(float(max(target_rows, 1))) / F.col("_n"), F.lit(1.0))
+    return F.pow(F.lit(2.0), F.floor(F.log2(want))).cast("bigint")
+
+
+def _sized(hot: DataFrame, n_hot: int) -> DataFrame:
+    return F.broadcast(hot) if n_hot <= BROADCAST_HOT_KEYS else hot
+
+
+def _refine(series: DataFrame, hot: DataFrame, n_hot: int, target_rows: int) -> DataFrame:
+    """Shorter chunks for keys whose rows come in bursts: ``hot`` (``_k``, ``_cl``) with lengths such that no chunk has more
+    than twice ``target_rows`` rows, or a chunk is one second. ``series`` has ``_k`` and ``_t``; only hot keys are counted, each
+    pass by a map-side combined count per chunk."""
+    target = float(max(target_rows, 1))
+    hot = scratch_table(hot, "hot-keys")
+    while True:
+        chunk = F.floor(F.col("_t") / F.col("_cl"))
+        most = (series.join(_sized(hot, n_hot), "_k").groupBy("_k", "_cl", chunk.alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
+                .groupBy("_k", "_cl").agg(F.max("_n").alias("_most")))
+        crowded = (F.col("_most") > 2 * target) & (F.col("_cl") > 1)
+        shorter = F.greatest(F.lit(1.0), F.floor(F.col("_cl") / F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_most") / target)))))
+        step = scratch_table(most.select("_k", F.when(crowded, shorter.cast("bigint")).otherwise(F.col("_cl")).alias("_cl"), crowded.alias("_again")), "hot-keys")
+        hot = step.select("_k", "_cl")
+        if step.filter("_again").isEmpty():
+            return hot
 
 
 def prepare_hot_keys(df: DataFrame, keys: Sequence[str], time: str,
@@ -103,17 +132,17 @@ def prepare_hot_keys(df: DataFrame, keys: Sequence[str], time: str,
     stats = (long.groupBy("_kid", "_k").agg(F.count(F.lit(1)).alias("_n"), F.min("_t").alias("_t0"),
                                             F.max("_t").alias("_t1"))
              .filter(F.col("_n") > F.lit(target_rows)))
-    span = F.greatest(F.col("_t1") - F.col("_t0") + 1, F.lit(1)).cast("double")
-    want = F.greatest(span * F.lit(float(max(target_rows, 1))) / F.col("_n"), F.lit(1.0))
-    hot = stats.select("_kid", "_k", F.pow(F.lit(2.0), F.floor(F.log2(want))).cast("bigint").alias("_cl"))
+    hot = stats.select(F.struct("_kid", "_k").alias("_k"), _mean_length(target_rows).alias("_cl"))
     rows = hot.count()            # bounded by len(keys) * rows / target_rows
+    if rows:
+        hot = _refine(long.select(F.struct("_kid", "_k").alias("_k"), "_t"), hot, rows, target_rows)
+        hot = hot.select("_k._kid", "_k._k", "_cl")
     for i, k in enumerate(keys):
         if rows == 0:       # marker: no hot key, single-chunk plan (no chunk-edge joins)
             df = df.withColumn(nohot_col(k), F.lit(None).cast("bigint"))
             continue
         h = hot.filter(F.col("_kid") == i).select(F.col("_k").alias("_hk"), F.col("_cl").alias(clen_col(k)))
-        if rows <= BROADCAST_HOT_KEYS:
-            h = F.broadcast(h)
+        h = _sized(h, rows)
         df = df.join(h, F.col(k).cast("string") == F.col("_hk"), "left").drop("_hk")
     return df
 
