@@ -31,7 +31,7 @@ from tidewatch.llm.common import id_and_text, map_arrow
 
 MARK = "▁"
 #: words remembered by a Python worker (two generations of this size at most)
-MEMO_WORDS = 350_000
+MEMO_WORDS = 250_000
 #: longer words are encoded each time, by the heap
 MEMO_CHARS = 48
 #: priority of a pair that isn't on the agenda
@@ -301,16 +301,19 @@ def encode_decode(df: DataFrame, model_path: str, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         gc.disable()  # the memo's many entries have no cycles, and walking them over and over takes long
-        for b in batches:
-            texts = b.column(1).to_pylist()
-            at, chars = 0, 0
-            for k, t in enumerate(texts, 1):
-                chars += len(t or "")
-                if k == len(texts) or chars > 1_000_000:
-                    got = c.encode_texts(texts[at:k])
-                    ends = np.cumsum([0, *(len(x[0]) // 4 for x in got)]).astype(np.int32)
-                    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([x[0] for x in got]), np.int32)))
-                    yield pa.RecordBatch.from_arrays([b.column(0).slice(at, k - at), ids, pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.int64())], names=[id_col, "ids", "decoded", "n_corrected"])
-                    at, chars = k, 0
+        try:
+            for b in batches:
+                texts = b.column(1).to_pylist()
+                at, chars = 0, 0
+                for k, t in enumerate(texts, 1):
+                    chars += len(t or "")
+                    if k == len(texts) or chars > 1_000_000:
+                        got = c.encode_texts(texts[at:k])
+                        ends = np.cumsum([0, *(len(x[0]) // 4 for x in got)]).astype(np.int32)
+                        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join([x[0] for x in got]), np.int32)))
+                        yield pa.RecordBatch.from_arrays([b.column(0).slice(at, k - at), ids, pa.array([x[1] for x in got], pa.string()), pa.array([x[2] for x in got], pa.int64())], names=[id_col, "ids", "decoded", "n_corrected"])
+                        at, chars = k, 0
+        finally:
+            gc.enable()  # the worker's next task may make cycles
 
     return map_arrow(src, run, SCHEMA.format(id=f"`{id_col}`", id_type=src.schema["__id"].dataType.simpleString()))
