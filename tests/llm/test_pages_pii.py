@@ -51,6 +51,15 @@ def test_markup_and_awkward_pages(spark):
     assert T.main_texts(df.limit(0)).count() == 0
 
 
+def test_class_words_mark_no_article():
+    text = lambda s: T.Page(s).main_text(set())
+    assert text("<div class='content-sidebar-wrap'><main><p>a</p></main></div>") == "a"
+    assert text("<main class='with-sidebar'><p>a</p></main><p>b</p>") == "a"
+    assert text("<article class='post has-banner'><div class='post-header'><h1>t</h1></div><p>a</p></article><p>b</p>") == "t\n\na"
+    assert text("<div class='sidebar'><p>w</p><div id='banner'><article class='comment'><div class='header'>t</div>a<div class='ad'>x</div></article></div></div>") == "t\n\na"
+    assert text("<div class='big sidebar'><p>x</p></div><div class='sidebar'><nav>m</nav></div><p>a</p><nav><article>n</article></nav>") == "a"
+
+
 def plain(x):
     """The contract's patterns as they stand."""
     d = lambda m: re.sub("[^0-9]", "", m[0])

@@ -44,7 +44,7 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 SPACES = frozenset(("br", "td", "th"))
 #: containers that are no part of an article
 NOISE_TAGS = frozenset("head title nav aside footer form menu dialog select button fieldset".split())
-#: words of a class or id that mark a container as no part of an article
+#: classes and ids that mark a container as no part of an article
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 MAIN = frozenset(("article", "main"))
 
@@ -60,40 +60,52 @@ def host_of(url: str | None) -> str:
 
 class Page:
     """Tokens of a page, in order: hash, text (None for a tag), what a tag parts (2: blocks, 1: words, 0: nothing),
-    in an article, in a container that is no part of one."""
+    in an article, number of the container. ``noise`` says of each container whether it is no part of an article, by its
+    tag or a whole class or id, or lies in one that is; a class or id marks no article and no container that holds one."""
 
     def __init__(self, source: str):
-        self.tokens: list[tuple[int, str | None, int, bool, bool]] = []
+        self.tokens: list[tuple[int, str | None, int, bool, int]] = []
+        #: containers in the order that they open: the one around, marked by the tag, marked by a class or id, holds an article
+        around, by_tag, by_class, holds = [0], [False], [False], [False]
         digest = xxhash.xxh64_intdigest
-        #: open containers: name, hash of the path to it, containers on the path that are noise, and that are an article
+        #: open containers: name, hash of the path to it, number, articles on the path
         stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
         opened: Counter = Counter()
         at = 0
         while m := _NEXT.match(source, at):
             at = m.end()
             name = m[2]
-            _, path, noise, main = stack[-1]
+            _, path, box, main = stack[-1]
             if name is None:
                 part = m[0]
                 if part[0] == "<" and len(part) > 1:
                     continue
                 text = part if part.isspace() else html_lib.unescape(part)
-                self.tokens.append((digest(f"{path}|{_SPACE.sub(' ', text).strip()}"), text, 0, main > 0, noise > 0))
+                self.tokens.append((digest(f"{path}|{_SPACE.sub(' ', text).strip()}"), text, 0, main > 0, box))
                 continue
             name = name.lower()
             closing, attrs = bool(m[1]), m[3]
             if name in RAW and not closing:
                 end = re.compile(f"</{re.escape(name)}(?=[\\s/>])[^>]*(?:>|\\Z)|\\Z", re.IGNORECASE).search(source, at)
                 at = end.end()
-                self.tokens.append((digest(f"{path}<{name}>"), None, 0, main > 0, noise > 0))
+                self.tokens.append((digest(f"{path}<{name}>"), None, 0, main > 0, box))
                 continue
-            known = " ".join(sorted(x for a in _ATTR.findall(attrs) for x in re.split(r"[\s_-]+", (a[1] or a[2] or a[3]).lower()))) if attrs and not closing else ""
-            self.tokens.append((digest(f"{path}<{m[1]}{name} {known}>"), None, 2 if name in BLOCKS else int(name in SPACES), main > 0, noise > 0))
+            marks = [(a[1] or a[2] or a[3]).lower() for a in _ATTR.findall(attrs)] if attrs and not closing else []
+            known = " ".join(sorted(x for a in marks for x in re.split(r"[\s_-]+", a)))
+            self.tokens.append((digest(f"{path}<{m[1]}{name} {known}>"), None, 2 if name in BLOCKS else int(name in SPACES), main > 0, box))
             if name not in CONTAINERS or attrs.rstrip().endswith("/"):
                 continue
             if not closing:
-                bad = name in NOISE_TAGS or (name == "header" and not main) or (name not in ("html", "body") and not NOISE_WORDS.isdisjoint(known.split()))
-                stack.append((name, digest(f"{path}/{name}"), noise + bad, main + (name in MAIN)))
+                around.append(box)
+                by_tag.append(name in NOISE_TAGS or (name == "header" and not main))
+                by_class.append(name not in ("html", "body") and any(x in NOISE_WORDS and not (main and x == "header") for a in marks for x in a.split()))
+                holds.append(False)
+                stack.append((name, digest(f"{path}/{name}"), len(around) - 1, main + (name in MAIN)))
+                if name in MAIN:
+                    up = len(around) - 1
+                    while up and not holds[up]:
+                        holds[up] = True
+                        up = around[up]
                 opened[name] += 1
             elif opened[name]:
                 while True:
@@ -101,6 +113,9 @@ class Page:
                     opened[last] -= 1
                     if last == name:
                         break
+        self.noise = [False]
+        for k in range(1, len(around)):
+            self.noise.append(self.noise[around[k]] or by_tag[k] or (by_class[k] and not holds[k]))
 
     def counts(self) -> tuple[Counter, dict[int, int]]:
         """How often each token is there, and where first. Stretches of white space aren't tokens of a template."""
@@ -132,17 +147,17 @@ class Page:
 
     def main_text(self, boilerplate: set[int]) -> str:
         """Slots of the article as blocks. If that leaves nothing, all pages of the host have this article, and it stays."""
-        inside = any(t[3] and not t[4] for t in self.tokens)
+        inside = any(t[3] and not self.noise[t[4]] for t in self.tokens)
         for skip in (boilerplate, ()):
             blocks, block = [], []
-            for h, text, breaks, in_main, in_noise in self.tokens:
+            for h, text, breaks, in_main, box in self.tokens:
                 if text is None:
                     if breaks == 2:
                         blocks.append("".join(block))
                         block = []
                     elif breaks:
                         block.append(" ")
-                elif not in_noise and (in_main or not inside) and h not in skip:
+                elif not self.noise[box] and (in_main or not inside) and h not in skip:
                     block.append(text)
             blocks.append("".join(block))
             done = [b for b in (_SPACE.sub(" ", x).strip() for x in blocks) if b]
