@@ -60,6 +60,17 @@ def test_class_words_mark_no_article():
     assert text("<div class='big sidebar'><p>x</p></div><div class='sidebar'><nav>m</nav></div><p>a</p><nav><article>n</article></nav>") == "a"
 
 
+def test_long_attribute_values():
+    text = lambda s: T.Page(s).main_text(set())
+    for quote, other in ('"\'', "'\""):
+        value = "{" + "x" * 100_000 + f" <p>hidden</p> class={other}ad{other} 1 > 0 }}"
+        assert text(f"<div data-props={quote}{value}{quote}>Visible</div><p>b</p>") == "Visible\n\nb"
+        assert text(f"<div data-props={quote}{value}{quote} class=ad>Visible</div><p>b</p>") == "b"
+        assert text(f"<p {quote}>a</p><p>b</p>") == "a\n\nb"  # never closes
+        assert text(f"<p class={quote}x{quote}{quote}>a{'y' * 5000}</p><p class={quote}z{quote}>b</p>") == f"a{'y' * 5000}\n\nb"  # opens no value
+        assert text(f"<p class={quote}x>a</p><p>b</p>") == "a\n\nb"
+
+
 def plain(x):
     """The contract's patterns as they stand."""
     d = lambda m: re.sub("[^0-9]", "", m[0])

@@ -47,9 +47,11 @@ NOISE_TAGS = frozenset("head title nav aside footer form menu dialog select butt
 #: classes and ids that mark a container as no part of an article
 NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
 MAIN = frozenset(("article", "main"))
+#: attributes that tell containers apart
+MARKS = frozenset(("class", "id", "role"))
 
-_NEXT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]{0,4000}\"|'[^']{0,4000}'|[\"'])*+)(?:>|\Z)|[^<]+|<", re.DOTALL)
-_ATTR = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
+_NEXT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)|[^<]+|<", re.DOTALL)
+_ATTR = re.compile(r"([^\s=\"'/]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
 _SPACE = re.compile(r"\s+")
 
 
@@ -90,7 +92,7 @@ class Page:
                 at = end.end()
                 self.tokens.append((digest(f"{path}<{name}>"), None, 0, main > 0, box))
                 continue
-            marks = [(a[1] or a[2] or a[3]).lower() for a in _ATTR.findall(attrs)] if attrs and not closing else []
+            marks = [(a[1] or a[2] or a[3]).lower() for a in _ATTR.findall(attrs) if a[0].lower() in MARKS] if attrs and not closing else []
             known = " ".join(sorted(x for a in marks for x in re.split(r"[\s_-]+", a)))
             self.tokens.append((digest(f"{path}<{m[1]}{name} {known}>"), None, 2 if name in BLOCKS else int(name in SPACES), main > 0, box))
             if name not in CONTAINERS or attrs.rstrip().endswith("/"):
