@@ -31,6 +31,17 @@ def test_template_text_in_the_article_is_left_out(spark):
     assert got[200] == "T5\n\nShare this story\n\nbody 5 <b>\n\nend 5"  # nothing would be left
 
 
+def test_empty_and_foreign_pages_leave_a_host_its_template(spark):
+    page = "<html><body><div><p>Home of all</p></div><article><h1>T{0}</h1><p>Share this story</p><p>body {0}</p></article><p>Imprint</p></body></html>"
+    for n in (10, 300):
+        rows = [(k, "http://h.example/x", page.format(k)) for k in range(n)] + [(n, "http://h.example/x", None), (n + 1, "http://h.example/x", " "), (n + 2, "http://h.example/x", "<body><section>Share this story<p>other layout</p></section></body>")]
+        got = {r.page_id: r.text for r in T.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()}
+        assert got == {k: f"T{k}\n\nbody {k}" for k in range(n)} | {n: "", n + 1: "", n + 2: "Share this story\n\nother layout"}
+    rows = [(k, "http://h.example/x", page.format(k) if k % 2 else "<body><section>s<p>p</p></section></body>") for k in range(40)]
+    got = {r.page_id: r.text for r in T.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == "T1\n\nShare this story\n\nbody 1" and got[2] == "s\n\np"  # half of the pages make no template
+
+
 def test_classes_must_be_ordered_and_nested():
     p = T.Page("<p>a</p><p>b</p><p>c</p><p>d</p><p>e</p>")
     h = {t[1]: t[0] for t in p.tokens if t[1]}

@@ -3,8 +3,8 @@
 Pages of a host come from one template. A page is read as tokens: tags with the chain of
 containers around them, and stretches of text with theirs. Tokens with the same occurrence
 vector over the pages of a host (as often on each page) form an equivalence class; classes
-of enough tokens that are on every page belong to the template. A class is valid on a page
-if its tokens are there in the class's order, and if it nests: all of it lies in one gap of
+of enough tokens that are on a large share of the pages belong to the template. Pages
+without tokens don't count. A class is valid on a page if its tokens are there in the class's order, and if it nests: all of it lies in one gap of
 each larger class that it meets. Text tokens of valid classes are boilerplate. What is left
 between the tokens of the template are its slots, and the main text is made of the slots in
 the article, outside menus, notices and the like.
@@ -17,6 +17,7 @@ pages.
 from __future__ import annotations
 
 import html as html_lib
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -31,6 +32,8 @@ from tidewatch.llm.common import map_arrow, stage_table
 
 #: hosts with fewer pages show no template
 MIN_PAGES = 10
+#: share of a host's pages that a class must be on
+MIN_SHARE = 0.8
 #: tokens that a class must have
 MIN_CLASS = 3
 #: hosts (a row of the template tokens of each) that may be broadcast
@@ -172,28 +175,39 @@ _HOST = "lower(coalesce(regexp_extract(`__url`, '^\\\\s*(?:[a-zA-Z][a-zA-Z0-9+.-
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each host of a batch: its pages there, and the tokens on all of them (a token that one page lacks is on no template)."""
+    """For each host of a batch: its pages there (as token 0), and its tokens with the pages that have them."""
     for b in batches:
-        found: dict[int, list] = {}
+        found: dict[int, dict[int, list[int]]] = {}
         for row, host, source in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
             n, first = Page(source or "").counts()
-            new = {t: (xxhash.xxh64_intdigest(f"{row}:{k}"), first[t]) for t, k in n.items()}
-            if host not in found:
-                found[host] = [1, new]
-            else:
-                pages, old = found[host]
-                found[host] = [pages + 1, {t: (v[0] ^ new[t][0], v[1] + new[t][1]) for t, v in old.items() if t in new}]
-        rows = [(h & 0xFFFFFFFFFFFFFFFF, t, v, p, pages) for h, (pages, tokens) in found.items() for t, (v, p) in [(0, (0, 0)), *tokens.items()]]
-        cols = [np.array(c, np.uint64).view(np.int64) for c in zip(*rows, strict=True)] if rows else [np.zeros(0, np.int64)] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(np.asarray(c)) for c in cols], names=["host", "token", "vector", "places", "pages"])
+            if not n:
+                continue
+            seen = found.setdefault(host, {0: [0, 0, 0]})
+            seen[0][2] += 1
+            vectors: dict[int, int] = {}
+            for t, k in n.items():
+                if (v := vectors.get(k)) is None:
+                    v = vectors[k] = xxhash.xxh64_intdigest(f"{row}:{k}")
+                if (old := seen.get(t)) is None:
+                    seen[t] = [v, first[t], 1]
+                else:
+                    old[0] ^= v
+                    old[1] += first[t]
+                    old[2] += 1
+        hosts = pa.array(np.repeat(np.array([*found], np.int64), [len(x) for x in found.values()]))
+        tokens = np.array([t for x in found.values() for t in x], np.uint64).view(np.int64)
+        values = np.array([v for x in found.values() for v in x.values()], np.uint64).view(np.int64).reshape(-1, 3)
+        yield pa.RecordBatch.from_arrays([hosts, pa.array(tokens), *(pa.array(np.ascontiguousarray(values[:, k])) for k in range(3))], names=["host", "token", "vector", "places", "pages"])
 
 
 def templates(pages: DataFrame) -> DataFrame:
     """``host``, ``template``: array of (class, order, token) of each host with enough pages. ``pages`` has ``__row``, ``host``, ``__html``."""
     seen = map_arrow(pages.select("__row", "host", "__html"), _tokens, "host long, token long, vector long, places long, pages long")
-    by = stage_table(seen.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("places").alias("places"), F.sum("pages").alias("pages")), "page-tokens")
+    by = seen.groupBy("host", "token").agg(F.bit_xor("vector").alias("vector"), F.sum("places").alias("places"), F.sum("pages").alias("pages"))
+    # a token on fewer pages is in no template of any host
+    by = stage_table(by.filter(F.col("pages") >= math.ceil(MIN_SHARE * MIN_PAGES)), "page-tokens")
     hosts = by.filter("token = 0").filter(F.col("pages") >= MIN_PAGES).select("host", F.col("pages").alias("all_pages"))
-    common = by.filter("token <> 0").join(hosts, "host").filter("pages = all_pages")
+    common = by.filter("token <> 0").join(hosts, "host").filter(F.col("pages") >= MIN_SHARE * F.col("all_pages"))
     classes = common.groupBy("host", "vector").agg(F.count("*").alias("n"), F.collect_list(F.struct("places", "token")).alias("tokens")).filter(F.col("n") >= MIN_CLASS)
     return classes.groupBy("host").agg(F.flatten(F.collect_list(F.transform(F.array_sort("tokens"), lambda t: F.struct(F.col("vector").alias("class"), t["places"].alias("place"), t["token"].alias("token"))))).alias("template"))
 
