@@ -118,6 +118,28 @@ def test_model_adds_spans_and_keeps_base(spark, clashing, empty, texts):
     assert P.redact_text("a +44 20 7946 0958 b", [("phone", 2, 18)]) == "a [PHONE] b" and P.redact_text(None, []) is None
 
 
+def test_regions_cut_no_word():
+    r = random.Random(5)
+    for _ in range(3000):
+        s = "".join(r.choice("ab.@1() \n-") * r.choice((1, 1, 30)) for _ in range(r.randrange(40)))
+        got = list(P.regions(s))
+        assert all(x[1] < y[0] for x, y in zip(got, got[1:]))
+        for a, b in got:
+            assert (a == 0 or s[a - 1].isspace() or s[a].isspace()) and (b == len(s) or s[b].isspace() or s[b - 1].isspace())
+        assert all(any(a <= m.start() and m.end() <= b for a, b in got) for m in P._TRIGGER.finditer(s))
+
+
+def test_long_addresses_are_found_whole(spark):
+    crf = P.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    find = lambda s: [(k, s[a:b]) for k, a, b in P.find(s, crf)[1]]
+    local, host = "maria.magdalena.rodriguez-hernandez.lopez", "mathematics.uni-heidelberg-university.example.de"
+    for at in (" (at) ", "(at)", " [at] ", "[at]"):
+        assert find(f"please write to {local}{at}{host} today") == [("email", f"{local}{at}{host}")]
+        assert find(f"{local}{at}example.com") == [("email", f"{local}{at}example.com")]
+        assert find(f"or joe{at}{host}.") == [("email", f"joe{at}{host}")]
+        assert find(f"mail {'x' * 90}{at}{'y' * 90}.org") == [("email", f"{'x' * 90}{at}{'y' * 90}.org")]
+
+
 def test_likelihood_gradient_fits_training_examples():
     r = random.Random(4)
     text = "see 10.0.0.1 or bob.3@mail.example.com or +1 (269) 555-3296 ok"

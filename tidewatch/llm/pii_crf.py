@@ -33,7 +33,7 @@ from tidewatch.llm.common import id_and_text, map_arrow
 KINDS = ("email", "ip", "card", "phone")
 #: bound on the documents that the model is fitted on
 SAMPLE_ROWS = 200
-#: an entity has at most so many tokens
+#: an entity has at most so many tokens, if it is no whole address
 MAX_TOKENS = 24
 #: characters around a trigger that belong to its region
 REACH = 32
@@ -46,6 +46,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _TRIGGER = re.compile(r"[0-9@]+|[(\[] ?at ?[)\]]", re.IGNORECASE)
+_AT = re.compile(r" ?(?:@|[(\[] ?at[)\]]) ?", re.IGNORECASE)
+_WORD = re.compile(r"[\w.%+-]")
+_HOST = re.compile(r"[\w-]++(?:\.[\w-]++)*")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL)
 
 Span = tuple[str, int, int]
@@ -88,16 +91,20 @@ def base_spans(text: str) -> list[Span]:
 
 
 def regions(text: str) -> Iterator[tuple[int, int]]:
-    """Stretches of a text around its triggers, widened to white space where it is near; they don't overlap."""
+    """Stretches of a text around its triggers, widened to white space or the edge of the text; they don't overlap."""
     start = end = -1
     for m in _TRIGGER.finditer(text):
         a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        if start >= 0 and a <= end:
-            end = max(end, b)
-            continue
-        if start >= 0:
-            yield start, end
-        start, end = max(a, end, 0), b
+        while a > max(end, 0) and not text[a - 1].isspace():
+            a -= 1
+        if start < 0 or a > end:
+            if start >= 0:
+                yield start, end
+            start = a
+        if b > end:
+            while b < len(text) and not text[b - 1].isspace() and not text[b].isspace():
+                b += 1
+            end = b
     if start >= 0:
         yield start, end
 
@@ -149,6 +156,24 @@ def lattice(text: str, start: int, end: int) -> Lattice:
             lat.segments.append((i, j + 1))
             lat.spans.append((a, b))
             lat.features.append(segment_features(s, n, at, text[a - 1:a], text[b:b + 1]))
+    # addresses as wide as their characters go, however many tokens that is
+    seen = set(lat.spans[lat.n:])
+    first, last = {a: k for k, (a, _) in enumerate(tokens)}, {b: k + 1 for k, (_, b) in enumerate(tokens)}
+    for m in _AT.finditer(text, start, end):
+        a = m.start()
+        while a > start and _WORD.match(text, a - 1):
+            a -= 1
+        while a < m.start() and not text[a].isalnum():
+            a += 1
+        host = _HOST.match(text, m.end(), end)
+        b = host.end() if host else m.end()
+        while b > m.end() and not text[b - 1].isalnum():
+            b -= 1
+        if a < m.start() and b > m.end() and (a, b) not in seen and a in first and b in last:
+            s = text[a:b]
+            lat.segments.append((first[a], last[b]))
+            lat.spans.append((a, b))
+            lat.features.append(segment_features(s, sum(digits[first[a]:last[b]]), True, text[max(a - 1, 0):a], text[b:b + 1]))
     return lat
 
 
@@ -182,6 +207,9 @@ class SemiCrf:
             out[k] = self.weights[ids].sum(axis=0)
         out[: lat.n, 1:] = -np.inf  # a single token's own segment is none; entities have segments of theirs
         out[lat.n:, 0] = -np.inf
+        at = np.array([f[1].startswith("at-shape:") for f in lat.features[lat.n:]], bool)  # an address, and nothing else, has an at sign
+        out[lat.n:, 1][~at] = -np.inf
+        out[lat.n:, 2:][at] = -np.inf
         return out
 
     def decode(self, lat: Lattice) -> list[Span]:
