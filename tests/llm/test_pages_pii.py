@@ -140,6 +140,23 @@ def test_long_addresses_are_found_whole(spark):
         assert find(f"mail {'x' * 90}{at}{'y' * 90}.org") == [("email", f"{'x' * 90}{at}{'y' * 90}.org")]
 
 
+def test_sample_has_all_kinds(spark):
+    """Numbers that are no personal data crowd none of it out, and a kind without any match is learnt all the same."""
+    forms = {"call (988) 555-2485 now": [("phone", "(988) 555-2485")], "mail joe.x (at) mail.example.com please": [("email", "joe.x (at) mail.example.com")],
+             "card 4524.1322.6465.2876 ok": [("card", "4524.1322.6465.2876")], "on 2024-01-02 at 12:30:11, version 1.2.3": []}
+    numbers = [(k, f"on 2024-01-{k % 28 + 1:02} at 12:{k % 60:02}:11 paid {k}.50 for version 1.{k}") for k in range(3000)]
+    rare = [(3000, "write to jane.roe@mail.example.com today"), (3001, "from 10.20.30.40 on")]
+    for rows in (numbers + rare, numbers, [(1, "no number here")]):
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        crf = P.fit(docs)
+        for s, want in forms.items():
+            assert [(k, s[a:b]) for k, a, b in P.find(s, crf)[1]] == want
+    src = spark.createDataFrame([(k, t) for k, t in numbers + rare], "h long, __text string")
+    ids = P.sample_ids(src, 10)
+    assert {3000, 3001} < set(ids) and len(set(ids)) == len(ids) == 10
+    assert all(P.base_spans(P.made_up(kind, random.Random(k)))[0][0] == kind for kind in P.KINDS for k in range(50) if kind != "phone")
+
+
 def test_likelihood_gradient_fits_training_examples():
     r = random.Random(4)
     text = "see 10.0.0.1 or bob.3@mail.example.com or +1 (269) 555-3296 ok"

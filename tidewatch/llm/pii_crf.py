@@ -10,29 +10,35 @@ the kinds of neighbouring segments. Dynamic programming over ends and kinds of s
 boundaries and kinds together. Of its spans, those that overlap no base span are added.
 
 Training maximises the penalised likelihood by forward-backward sums over all
-segmentations. It learns from base matches in a bounded sample of documents, from the same
-matches rewritten in forms that the patterns don't know (a phone number without its plus,
+segmentations. It learns from base matches in a bounded sample of documents, drawn for each
+kind from those with a base match of it (and from some without any), from some made-up lines
+of each kind, and from the same matches rewritten in forms that the patterns don't know (a phone number without its plus,
 a card in groups with dots, an address with "(at)"), and from numbers that are no personal
 data (dates, times, versions, prices).
 """
 
 from __future__ import annotations
 
+import heapq
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_and_text, map_arrow
+from tidewatch.llm.common import id_and_text, map_arrow, stage_table
 
 KINDS = ("email", "ip", "card", "phone")
 #: bound on the documents that the model is fitted on
 SAMPLE_ROWS = 200
+#: made-up lines of each kind that the model learns from besides, since the table may have none
+MADE_UP = 20
 #: an entity has at most so many tokens, if it is no whole address
 MAX_TOKENS = 24
 #: characters around a trigger that belong to its region
@@ -363,23 +369,74 @@ def examples_of(text: str, rng: random.Random) -> list[tuple[Lattice, dict[int,
     return out
 
 
+def made_up(kind: str, rng: random.Random) -> str:
+    """A line with a base match of a kind."""
+    r = rng.randint
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwxyz") for _ in range(r(2, 9)))
+    if kind == "email":
+        x = rng.choice([f"{word()}.{word()}", word(), f"{word()}{r(1, 99)}"]) + f"@{word()}.{rng.choice(['com', 'org', 'example.com', 'co.uk'])}"
+    elif kind == "ip":
+        x = ".".join(str(r(0, 255)) for _ in range(4))
+    elif kind == "card":
+        n = r(10**14, 10**15 - 1)
+        x = next(d for k in range(10) if luhn(d := f"{n}{k}"))
+        x = rng.choice(["", " ", "-"]).join(x[k:k + 4] for k in range(0, 16, 4))
+    else:
+        x = rng.choice([f"+{r(1, 99)} ({r(100, 999)}) {r(100, 999)}-{r(1000, 9999)}", f"+{r(1, 99)} {r(100, 999)} {r(100, 999)} {r(1000, 9999)}", f"+{r(10**10, 10**12)}"])
+    return f"{word()} {word()} {x} {word()} {word()}"
+
+
+def sample_ids(src: DataFrame, rows: int) -> list[int]:
+    """Hashes of ``rows`` documents at most: for each kind in turn the least hash of those with a base match of it that is
+    not taken yet, and likewise of those without any. ``src`` has ``h``, ``__text``."""
+    def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[set[int]] = [set() for _ in range(len(KINDS) + 1)]
+        for b in batches:
+            for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                for k in {KINDS.index(x[0]) for x in base_spans(t)} or {len(KINDS)}:
+                    found[k].add(h)
+            found = [set(heapq.nsmallest(rows, x)) if len(x) > rows else x for x in found]
+        out = [(k, h) for k, x in enumerate(found) for h in x]
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int64())], names=["kind", "h"])
+
+    every = stage_table(map_arrow(src, least, "kind int, h long"), "pii-hashes")
+    groups = [every.filter(F.col("kind") == k).distinct().orderBy("h").limit(rows) for k in range(len(KINDS) + 1)]
+    got = reduce(DataFrame.union, groups).collect()
+    queues = [sorted((r["h"] for r in got if r["kind"] == k), reverse=True) for k in range(len(KINDS) + 1)]
+    out: dict[int, None] = {}
+    while any(queues) and len(out) < rows:
+        for q in queues:
+            while q and q[-1] in out:
+                q.pop()
+            if q and len(out) < rows:
+                out[q.pop()] = None
+    return list(out)
+
+
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> SemiCrf | None:
-    """Fit on ``rows`` documents with a trigger, those with the least hashes of their ids. None without any base match."""
+    """Fit on ``rows`` documents with a trigger, drawn evenly for all kinds, by the hashes of their ids. None for an empty table."""
     src = id_and_text(df, id_col, text_col).filter(F.col("__text").rlike(r"[0-9]{2}|@"))
     src = src.select(F.xxhash64(F.coalesce(F.col("__id").cast("string"), F.lit("")), F.lit("pii")).alias("h"), "__text")
-    # the hashes alone are sorted, so that no task gathers texts
-    last = src.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
-    sample = src.filter(F.col("h") <= F.lit(last)).limit(2 * rows)
+    # the hashes alone are gathered, so that no task gathers texts
+    ids = sample_ids(src, rows)
+    if not ids and df.isEmpty():
+        return None
+    sample = src.filter(F.col("h").isin(ids)).limit(2 * rows)
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(h, k, t[a:e]) for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for k, (a, e) in enumerate(regions(t)) if k < 50 and e - a < 500]
+            out = []
+            for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                # first the regions with base matches, then the others
+                starts = sorted(x[1] for x in base_spans(t))
+                near = sorted((x for x in regions(t) if x[1] - x[0] < 500), key=lambda x: bisect_left(starts, x[0]) == bisect_left(starts, x[1]))
+                out += [(h, k, t[a:e]) for k, (a, e) in enumerate(near[:50])]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string())], names=["h", "k", "part"])
 
     got = sorted(map_arrow(sample, snippets, "h long, k long, part string").toArrow().to_pylist(), key=lambda r: (r["h"], r["k"], r["part"]))
     rng = random.Random(1)
     examples = [x for r in got for x in examples_of(r["part"], rng)]
-    return train(examples) if any(true for _, true in examples) else None
+    return train(examples + [x for kind in KINDS for _ in range(MADE_UP) for x in examples_of(made_up(kind, rng), rng)])
 
 
 def find(text: str | None, crf: SemiCrf | None) -> tuple[list[Span], list[Span]]:
