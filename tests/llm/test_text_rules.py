@@ -107,6 +107,54 @@ def test_license_inheritance(spark, clashing, empty):
     assert licenses.license_scan(empty, path_col="source").count() == 0
 
 
+GPL_3 = """ This program is free software: you can redistribute it and/or modify
+ it under the terms of the GNU General Public License as published by
+ the Free Software Foundation, either version 3 of the License, or
+ (at your option) any later version.
+
+ This program is distributed in the hope that it will be useful,
+ but WITHOUT ANY WARRANTY; without even the implied warranty of
+ MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+ GNU General Public License for more details."""
+LGPL_21 = """ This library is free software; you can redistribute it and/or
+ modify it under the terms of the GNU Lesser General Public
+ License as published by the Free Software Foundation; either
+ version 2.1 of the License, or (at your option) any later version."""
+BSD = """ Copyright 2019 X. All rights reserved.
+
+ Redistribution and use in source and binary forms, with or without
+ modification, are permitted provided that the following conditions are
+ met:
+
+ 1. Redistributions of source code must retain the above copyright notice,
+    this list of conditions and the following disclaimer.
+ 2. Redistributions in binary form must reproduce the above copyright
+    notice, this list of conditions and the following disclaimer in the
+    documentation and/or other materials provided with the distribution.
+"""
+APACHE = """ Licensed under the Apache License, Version 2.0 (the "License");
+ you may not use this file except in compliance with
+ the License."""
+MIT = licenses._MIT.replace(", ", ",\n").replace(". ", ".\n\n")
+
+
+def test_wrapped_headers_and_license_files(spark):
+    star = lambda x: "/*\n" + "\n".join(f" *{v}" for v in x.split("\n")) + "\n */\nint main() { return 0; }\n"
+    hashes = lambda x: "#!/bin/sh\n" + "\n".join(f"#{v}" for v in x.split("\n")) + "\necho a\n"
+    bare = lambda x: "/*" + x + "*/\nint x;\n"
+    files = [("top/LICENSE", "Released under the MIT License.", "MIT")]
+    for name, text in (("GPL-3.0", GPL_3), ("GPL-2.0", GPL_3.replace("version 3", "version 2")), ("LGPL-2.1", LGPL_21), ("BSD-2-Clause", BSD), ("Apache-2.0", APACHE), ("MIT", " Copyright (c) 2020 X\n\n" + MIT)):
+        files += [(f"top/{name}-{k}", way(text), name) for k, way in enumerate((star, hashes, bare))]
+    heading = "                    GNU {}GENERAL PUBLIC LICENSE\n                       Version {}\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n"
+    for name, kind, version in (("GPL-3.0", "", "3, 29 June 2007"), ("GPL-2.0", "", "2, June 1991"), ("LGPL-2.1", "LESSER ", "2.1, February 1999"), ("AGPL-3.0", "AFFERO ", "3, 19 November 2007")):
+        files.append((f"{name}/COPYING", heading.format(kind, version), name))
+    files += [("m/LICENSE", "MIT License\n\nCopyright (c) 2020 X\n\n" + MIT, "MIT"), ("b/LICENSE", BSD, "BSD-2-Clause"), ("top/own.c", "// Copyright 2019 X. All rights reserved.\nint x;", "Proprietary"), ("top/none.c", "int x;\nint y;", None)]
+    files += [(f"top/{x}.c", f"/* SPDX-License-Identifier: {x} */\nint x;\n", y) for x, y in (("LGPL-2.1-or-later", "LGPL-2.1"), ("GPL-2.0-only", "GPL-2.0"), ("ISC", "ISC"))]
+    want = {path: own for path, _, own in files}
+    got = {r.path: r.own_license for r in licenses.license_scan(spark.createDataFrame([(k, a, b) for k, (a, b, _) in enumerate(files)], "doc_id int, path string, text string")).collect()}
+    assert {k: (got[k], v) for k, v in want.items() if got[k] != v} == {}
+
+
 def test_top_directory_license(spark):
     files = [(1, "LICENSE", "Licensed under CC BY-NC 4.0."), (2, "x/y/z.txt", ""), (3, "t.txt", "")]
     got = {r.doc_id: (r.license, r.from_dir) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id int, path string, text string")).collect()}

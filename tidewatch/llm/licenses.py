@@ -2,12 +2,15 @@
 directory above with a licence.
 
 Units are the lines of a file that speak of licences (a header or a note may stand anywhere
-in the text) and the whole text of a licence file. The terms of a unit and of the templates
+in the text), the paragraph and the comment block around such a line, and the whole text of
+a licence file. Lines are held against short notices; blocks and whole texts also against
+wrapped headers, headings of licence files and whole texts of short licences. The terms of a unit and of the templates
 are weighted by count times the inverse document frequency over the templates (a term that
 no template has gets the highest), and joined on the term: the dot products are sums over
 joined terms, so no unit is compared with a template that shares no term with it.
 
-A file's own licence is that of its best unit. The licence files of a directory give it a
+A file's own licence is that of its best unit: the one with the highest score, or, of units
+that are nearly equal to a template, the one with the longest. The licence files of a directory give it a
 licence; a file without one of its own takes that of the nearest directory on its path.
 Directories are resolved first (each distinct one once), then files joined on theirs.
 """
@@ -15,14 +18,19 @@ Directories are resolved first (each distinct one once), then files joined on th
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import stage_table
+from tidewatch.llm.common import map_arrow, stage_table
 
 #: least cosine of a unit and a template
 THRESHOLD = 0.55
+#: a unit and a template from this cosine on are nearly equal
+NEAR = 0.9
 #: rows of a table of directories that may be broadcast
 BROADCAST_ROWS = 1_000_000
 # fixed values: names of licence files, words that mark a unit, and notices of common licences
@@ -55,6 +63,70 @@ TEMPLATES = (
     ("CC0-1.0", "To the extent possible under law, the author has dedicated this work to the public domain under CC0 1.0."),
     ("Proprietary", "Copyright. All rights reserved."),
 )
+_MIT_GRANT = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
+_MIT = _MIT_GRANT + ' The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
+_BSD_2 = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+_ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ISC_END = ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'
+_APACHE = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0'
+_APACHE_END = ' Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'
+
+
+def _gnu(name: str, what: str, license: str, version: str, heading: str) -> list[tuple[str, str]]:
+    """First paragraph of the header, the whole header, the heading of the licence file, and the identifiers."""
+    first = f"This {what} is free software; you can redistribute it and/or modify it under the terms of the GNU {license} as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+    rest = f" This {what} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {license} for more details. You should have received a copy of the GNU {license} along with this {what}. If not, see http://www.gnu.org/licenses/."
+    return [(name, first), (name, first + rest), (name, f"GNU {license} Version {version}, {heading}"), *((name, f"SPDX-License-Identifier: {name}{x}") for x in ("", "-only", "-or-later"))]
+
+
+# headers and headings, for units of more lines
+TEXTS = (
+    *TEMPLATES,
+    ("MIT", _MIT_GRANT), ("MIT", _MIT), ("MIT", "MIT License Copyright " + _MIT),
+    ("BSD-2-Clause", _BSD_2), ("BSD-2-Clause", _BSD_2 + _BSD_END), ("BSD-3-Clause", _BSD_2 + _BSD_3), ("BSD-3-Clause", _BSD_2 + _BSD_3 + _BSD_END), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+    ("ISC", _ISC), ("ISC", _ISC + _ISC_END), ("ISC", "SPDX-License-Identifier: ISC"),
+    ("Apache-2.0", _APACHE), ("Apache-2.0", _APACHE + _APACHE_END), ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    *_gnu("GPL-3.0", "program", "General Public License", "3", "29 June 2007"), *_gnu("GPL-2.0", "program", "General Public License", "2", "June 1991"),
+    *_gnu("LGPL-3.0", "library", "Lesser General Public License", "3", "29 June 2007"), *_gnu("LGPL-2.1", "library", "Lesser General Public License", "2.1", "February 1999"),
+    *_gnu("LGPL-2.0", "library", "Library General Public License", "2", "June 1991"), *_gnu("AGPL-3.0", "program", "Affero General Public License", "3", "19 November 2007"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"), ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+)
+_MARKED = re.compile(MARKERS)
+_LEADER = re.compile(r"\s*(?:(//+!?|/\*+!?|\*+/|\*+|#+|--+|;+|%+|<!--|-->|(?:dnl|rem)(?=\s))\s*)?", re.IGNORECASE)
+_TRAILER = re.compile(r"\s*(?:\*+/|-->|\*+|#+)?\s*\Z")
+
+
+def blocks(text: str) -> list[tuple[int, str]]:
+    """Paragraphs and comment blocks of more than a line that have a marker, each with the line of its first marker, and lines with an
+    SPDX identifier. A paragraph
+    ends at a line without words, a comment block (or a stretch without comments) at an empty line; both where comments begin or end."""
+    lines, close = [], None
+    for raw in text.split("\n"):
+        m = _LEADER.match(raw)
+        body = raw[m.end():]
+        lines.append((body[:_TRAILER.search(body).start()] if m[1] or close else body.strip(), bool(m[1] or close), not raw.strip()))
+        if close:
+            close = None if close in raw else close
+        elif m[1]:
+            mark = "*/" if m[1].startswith("/*") else "-->" if m[1] == "<!--" else None
+            close = mark if mark and mark not in body else None
+    out = {(k, k): (k, x[0]) for k, x in enumerate(lines) if "spdx-license-identifier" in x[0].lower()}
+    for ends in (lambda x: not x[0], lambda x: x[2]):
+        start = 0
+        for k in range(len(lines) + 1):
+            if k < len(lines) and not ends(lines[k]) and (k == start or lines[k][1] == lines[k - 1][1]):
+                continue
+            words = [x for x in range(start, k) if lines[x][0]]
+            marker = next((x for x in words if _MARKED.search(lines[x][0])), None)
+            if marker is not None and len(words) > 1:
+                out[words[0], words[-1]] = (marker, " ".join(lines[x][0] for x in words))
+            start = k + 1 if k < len(lines) and ends(lines[k]) else k
+    return list(out.values())
 
 
 def _terms(text: Column) -> Column:
@@ -62,34 +134,55 @@ def _terms(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*)"), 1)
 
 
-def template_weights(spark: SparkSession) -> tuple[DataFrame, float]:
+def template_weights(spark: SparkSession, texts: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[DataFrame, float]:
     """``tpl``, ``license``, ``term``, ``weight`` (scaled to length 1), ``idf``; and the idf of a term that no template has."""
-    base = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(TEMPLATES)], "tpl int, license string, text string")
+    base = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(texts)], "tpl int, license string, text string")
     tf = base.select("tpl", "license", F.explode(_terms(F.col("text"))).alias("term")).groupBy("tpl", "license", "term").agg(F.count("*").alias("tf"))
-    n = len(TEMPLATES)
+    n = len(texts)
     df = tf.groupBy("term").agg((F.log(F.lit(1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
     w = tf.join(F.broadcast(df), "term").withColumn("w", F.col("tf") * F.col("idf"))
     norm = w.groupBy("tpl").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
     return w.join(F.broadcast(norm), "tpl").select("tpl", "license", "term", (F.col("w") / F.col("norm")).alias("weight"), "idf"), math.log(1.0 + n) + 1.0
 
 
+def scores(units: DataFrame, texts: tuple[tuple[str, str], ...]) -> DataFrame:
+    """``row``, ``line``, ``unit``, ``license``, ``score`` and ``size`` (of the template, in terms) of all units and templates that are
+    alike. ``units`` has ``row``, ``line``, ``unit`` (a number), ``text``."""
+    tf = units.select("row", "line", "unit", F.explode(_terms(F.col("text"))).alias("term")).groupBy("row", "line", "unit", "term").agg(F.count("*").alias("tf"))
+    templates, unseen = template_weights(units.sparkSession, texts)
+    idf = templates.select("term", "idf").distinct()
+    # fixed and small: a row for each term of the templates
+    w = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    norm = w.groupBy("row", "line", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    sizes = templates.groupBy("tpl").agg(F.count("*").alias("size"))
+    dot = w.join(F.broadcast(templates.drop("idf").join(F.broadcast(sizes), "tpl")), "term").groupBy("row", "line", "unit", "tpl", "license", "size").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
+    score = dot.join(norm, ["row", "line", "unit"]).select("row", "line", "unit", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score"), "size")
+    return score.filter(F.col("score") >= THRESHOLD)
+
+
 def own_licenses(files: DataFrame) -> DataFrame:
-    """``row``, ``license``, ``score`` and ``line`` (from 0; -1: the whole text) of the best unit of each file that has one.
-    ``files`` has ``row``, ``name``, ``text``."""
+    """``row``, ``license``, ``score`` and ``line`` (from 0, of a block its first marked line; -1: the whole text) of the best unit of
+    each file that has one. ``files`` has ``row``, ``name``, ``text``."""
     marked = files.filter(F.col("text").rlike(MARKERS))
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), lambda u: u["unit"].rlike(MARKERS))
     whole = F.when(F.col("name").rlike(LICENSE_FILE), F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
-    units = marked.select("row", F.explode_outer(F.concat(lines, whole)).alias("u")).filter("u is not null").select("row", "u.line", F.explode(_terms(F.col("u.unit"))).alias("term"))
-    tf = units.groupBy("row", "line", "term").agg(F.count("*").alias("tf"))
-    templates, unseen = template_weights(files.sparkSession)
-    idf = templates.select("term", "idf").distinct()
-    # fixed and small: a row for each term of the templates
-    w = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    norm = w.groupBy("row", "line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    dot = w.join(F.broadcast(templates.drop("idf")), "term").groupBy("row", "line", "tpl", "license").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    score = dot.join(norm, ["row", "line"]).select("row", "line", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score")).filter(F.col("score") >= THRESHOLD)
-    best = score.groupBy("row").agg(F.max(F.struct("score", (-F.col("line")).alias("at"), "license")).alias("b"))
-    return best.select("row", "b.license", "b.score", (-F.col("b.at")).alias("line"))
+    units = marked.select("row", F.explode_outer(F.concat(lines, whole)).alias("u")).filter("u is not null").select("row", "u.line", F.lit(0).alias("unit"), F.col("u.unit").alias("text"))
+    at = (-F.col("line")).alias("at")
+    best = scores(units, TEMPLATES).groupBy("row").agg(F.max(F.struct("score", at, "license", "size")).alias("b")).select("row", F.lit(1).alias("short"), "b.*")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for row, is_license, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
+                out += [(row, line, k, unit) for k, (line, unit) in enumerate([*blocks(text), *([(-1, text)] if is_license else [])])]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["row", "line", "unit", "text"])
+
+    more = map_arrow(marked.select("row", F.col("name").rlike(LICENSE_FILE).alias("is_license"), "text"), run, "row long, line int, unit int, text string")
+    # of a unit the most similar template
+    more = scores(more, TEXTS).groupBy("row", "line", "unit").agg(F.max(F.struct("score", "size", "license")).alias("b"))
+    more = more.select("row", F.lit(0).alias("short"), "b.score", at, "b.license", "b.size")
+    rank = F.struct(F.when(F.col("score") >= NEAR, F.col("size")).otherwise(0).alias("near"), "score", "short", "at", "license")
+    return best.unionByName(more).groupBy("row").agg(F.max(rank).alias("b")).select("row", "b.license", "b.score", (-F.col("b.at")).alias("line"))
 
 
 def _parent(path: Column) -> Column:
