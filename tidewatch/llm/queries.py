@@ -7,7 +7,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import divergence, language_id, licenses, page_template, pii_crf, probminhash, toxicity, winnow
+from tidewatch.llm import divergence, importance, language_id, licenses, multi_index, page_template, pii_crf, probminhash, toxicity, vector_codes, winnow
 from tidewatch.llm.common import read_table
 from tidewatch.llm.piece_codec import encode_decode
 from tidewatch.llm.token_counts import count_tokens
@@ -106,9 +106,28 @@ def op10_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op5_license_scan, op6_main_text, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing)} | {"pipeline": corpus_pipeline.run}
+def op11_embedding_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding."""
+    return multi_index.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and place in the draw of every document, with the benchmark as target."""
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every usable embedding, and a digest of the codebooks."""
+    coded, books = vector_codes.compress(read_table(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_codes.digest(books)).alias("codebooks_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_sentencepiece_codec, op2_near_duplicates, op3_language_id, op4_toxicity, op5_license_scan, op6_main_text, op7_token_counts, op8_quality_divergence, op9_pii, op10_winnowing, op11_embedding_near_duplicates, op12_importance_resampling, op13_vector_codes)} | {"pipeline": corpus_pipeline.run}
 ORACLES: dict[str, str] = {
     "op5_license_scan": licenses.oracle_sql(PATH_SQL),
     "op8_quality_divergence": divergence.oracle_sql(),
     "op10_winnowing": winnow.oracle_sql(),
+    "op11_embedding_near_duplicates": multi_index.oracle_sql(),
+    "op12_importance_resampling": importance.oracle_sql(),
+    "op13_vector_codes": vector_codes.oracle_sql(),
 }
