@@ -183,3 +183,37 @@ def test_velocity_stream_disorder_and_gap(spark, tmp_path, zone):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == {1: (1, 0.0, False), 3: (1, 5.0, False), 2: (2, 6.0, False), 4: (1, 10.0, False)}
+
+
+def _files(spark, tmp_path, batches, schema):
+    """One file for each micro-batch, in order."""
+    import time
+    d = str(tmp_path / "files")
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(d)
+        time.sleep(0.05)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(d)
+
+
+def test_velocity_state_is_evicted_and_last_amount_kept(spark, tmp_path):
+    import datetime as dt
+    base, day = dt.datetime(2024, 3, 1), dt.timedelta(days=1)
+    ties = [(2, base, 1, 3.0), (1, base, 1, 5.0), (9, None, 1, 4.0), (10, base, 1, None)]
+    batches = [ties, [(3, base + 20 * day, 2, 1.0)], [(4, base + 21 * day, 2, 1.0)], [(5, base + 30 * day, 1, 8.0)], [(6, base + 30 * day, 1, 2.0)]]
+    out = st.run_to_latest(st.velocity_stream(_files(spark, tmp_path, batches, SCHEMA), "user_id", "ts", "event_id", "value", delay="1 hour"), "t_evict", ["key", "id"])
+    got = {r.id: r for r in out.collect()}
+    assert (got[1].cnt_1h, got[2].cnt_1h, got[10].cnt_1h) == (1, 2, 2) and got[2].sum_amt_1h == 8.0     # ties in the order of ids
+    assert got[9].late and got[9].t is None and got[9].cnt_1h is None
+    # the first key's rows are gone from the state, but for the amount before the new one (none: the last row had no amount)
+    assert (got[5].cnt_24h, got[5].mean_amt_7d_hist) == (1, 0.0)
+    assert (got[6].cnt_24h, got[6].mean_amt_7d_hist) == (2, 8.0)
+
+
+def test_campaign_stream_counts_ties_in_order(spark, tmp_path):
+    import datetime as dt
+    base = dt.datetime(2024, 3, 1)
+    schema = "event_id long, ts timestamp, fp string, entity string"
+    batches = [[(1, base, "f", "b"), (None, base, "f", "c"), (2, base, "f", "a")], [(3, base - dt.timedelta(hours=30), "f", "z"), (4, base, None, "a")]]
+    out = st.run_to_latest(st.campaign_stream(_files(spark, tmp_path, batches, schema), "fp", "ts", "event_id", "entity", delay="2 days"), "t_camp", ["key", "id"])
+    got = {(r.key, r.id): (r.fp_cnt_24h, r.fp_cnt_72h, r.late) for r in out.collect()}
+    assert got == {("f", 2): (1, 2, False), ("f", 1): (2, 3, False), ("f", None): (2, 3, False), ("f", 3): (1, 1, False), (None, 4): (1, 1, False)}

@@ -843,18 +843,54 @@ def q_stream_velocity(spark, sf_dir):
     return _velocity(st.stream_table(spark, sf_dir, "events"), "st2", "1 day")
 
 
-@register("online_velocity_stream_disorder", entity_features_sql(EVENTS_TX_SQL))
-def q_stream_velocity_disorder(spark, sf_dir):
-    """ST2 over six micro-batches that each hold rows of the whole time range: every batch corrects rows that are out already."""
+_ARRIVAL_DELAY = 216000      # 2.5 days; rows arrive up to four days after their time, in eight files
+_ARRIVED_SQL = f"""SELECT *, max(TransactionDT) OVER (ORDER BY part RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - {_ARRIVAL_DELAY} AS mark FROM (
+  SELECT *, CAST(least(7, floor((TransactionDT - min(TransactionDT) OVER () + TransactionID % 5 * 86400) / 345600.0)) AS INTEGER) AS part FROM ({EVENTS_TX_SQL}) e0) e1"""
+_ON_TIME_SQL = f"SELECT TransactionID, TransactionDT, TransactionAmt, isFraud, card1, DeviceInfo, P_emaildomain FROM ({_ARRIVED_SQL}) e2 WHERE mark IS NULL OR TransactionDT >= mark"
+_LATE_SQL = f"SELECT TransactionID FROM ({_ARRIVED_SQL}) e2 WHERE TransactionDT < mark"
+
+
+def _arriving(spark, sf_dir):
+    """The events as a stream of eight files, one a micro-batch, in the order in which they were written; within and across files rows are out of order."""
     import os
     import uuid
 
     from tidewatch.session import checkpoint_dir
-    base = os.path.join(checkpoint_dir(spark), "tables", f"shuffled-{uuid.uuid4().hex}")
+    base = os.path.join(checkpoint_dir(spark), "tables", f"arriving-{uuid.uuid4().hex}")
     e = table(spark, sf_dir, "events")
-    e.repartition(6, F.xxhash64("event_id")).write.parquet(base)
-    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(base)
-    return _velocity(stream, "st2-disorder", "60 days")
+    t = epoch_seconds("ts")
+    start = e.agg(F.min(t)).first()[0]
+    part = F.least(F.lit(7), F.floor((t - F.lit(start) + F.col("event_id") % 5 * 86400) / 345600.0).cast("int"))
+    for k in range(8):
+        e.filter(part == k).orderBy(F.xxhash64("event_id")).coalesce(1).write.mode("append").parquet(base)
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(base)
+
+
+_VELOCITY_COLUMNS = ("cnt_1h", "sum_amt_1h", "cnt_24h", "avg_amt_24h", "mean_amt_7d_hist", "std_amt_7d_hist", "z_amt_vs_7d")
+_CAMPAIGN_COLUMNS = ("fp_cnt_24h", "fp_cnt_72h", "fp_growth_ratio_24h_over_72h")
+
+
+def _with_late_sql(features: str, columns) -> str:
+    return f"""SELECT TransactionID, {', '.join(columns)}, false AS late FROM ({features}) f
+UNION ALL SELECT TransactionID, {', '.join('NULL' for _ in columns)}, true FROM ({_LATE_SQL}) l"""
+
+
+@register("online_velocity_stream_disorder", _with_late_sql(entity_features_sql(_ON_TIME_SQL), _VELOCITY_COLUMNS))
+def q_stream_velocity_disorder(spark, sf_dir):
+    """ST2, W1-W8 over eight micro-batches out of order: rows behind the watermark come out late, old state is evicted, rows that are out already are corrected."""
+    v = st.velocity_stream(_arriving(spark, sf_dir), "user_id", "ts", "event_id", "value", delay=f"{_ARRIVAL_DELAY} seconds")
+    d = st.run_to_latest(v, "st2-disorder", ["key", "id"])
+    return d.select(F.col("id").alias("TransactionID"), *[F.col(c) if c.startswith("cnt") else fixed4(F.col(c)).alias(c) for c in _VELOCITY_COLUMNS], "late")
+
+
+@register("online_campaign_stream_disorder", _with_late_sql(fingerprint_features_sql(_ON_TIME_SQL), _CAMPAIGN_COLUMNS))
+def q_stream_campaign_disorder(spark, sf_dir):
+    """ST2, W9-W10 per fingerprint over the same eight micro-batches."""
+    e = _arriving(spark, sf_dir).withColumnsRenamed({"user_id": "card1", "event_type": "DeviceInfo", "props": "P_emaildomain"})
+    v = st.campaign_stream(feat.add_keys(e), "fingerprint_key", "ts", "event_id", "entity_key", delay=f"{_ARRIVAL_DELAY} seconds")
+    d = st.run_to_latest(v, "st2-campaign", ["key", "id"])
+    return d.select(F.col("id").alias("TransactionID"), "fp_cnt_24h", "fp_cnt_72h",
+                    fixed4(F.col("fp_growth_ratio_24h_over_72h").cast("double")).alias("fp_growth_ratio_24h_over_72h"), "late")
 
 
 @register("dedup_stream", "SELECT event_id, user_id, event_type, value FROM events")

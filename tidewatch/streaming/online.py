@@ -2,29 +2,22 @@
 
 * ST1 ``score_stream``: stateless micro-batch scoring with frozen cutoffs
   (validation -> scorer -> temperature -> bands), any stream source/sink.
-* ST2 ``velocity_stream``: per-key online velocity features with
-  ``applyInPandasWithState``; state = the key's rows that a row inside the
-  watermark can still see (7 days and the delay), and the last one before them;
-  rows older than the watermark are flagged late. In update mode the last
-  version of every row equals the batch operator, whatever the order of the
-  rows inside the delay (tie rule: time, then id).
+* ST2 ``velocity_stream`` and ``campaign_stream``: see :mod:`tidewatch.streaming.velocity`.
 * ST3 ``dedup_stream``: ``dropDuplicatesWithinWatermark`` on the id.
 * ST4 ``band_traffic``: sliding-window traffic and alert counts per band.
 """
 
 from __future__ import annotations
 
-from typing import Callable, Iterator, Mapping
+from typing import Callable, Mapping
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidewatch.config import SERVING_CUTOFFS, FeatureConfig
+from tidewatch.config import SERVING_CUTOFFS
 from tidewatch.operators.bands import band_action, band_expr
 from tidewatch.operators.schema import check_constraints
+from tidewatch.streaming.velocity import campaign_stream, velocity_stream  # noqa: F401
 
 
 def score_stream(events: DataFrame, scorer: Callable[[DataFrame], DataFrame],
@@ -59,115 +52,6 @@ def band_traffic(scored: DataFrame, ts_col: str, label_col: str | None = None, w
             .groupBy(F.window(ts_col, window, slide).alias("window"), "risk_band").agg(*aggs))
 
 
-VELOCITY_SCHEMA = ("key string, id long, t long, amount double, cnt_1h int, sum_amt_1h double, cnt_24h int, "
-                   "avg_amt_24h double, mean_amt_7d_hist double, std_amt_7d_hist double, z_amt_vs_7d double, "
-                   "late boolean")
-# Per key: the rows that a row inside the watermark can still see (7 days before it), and the last one before them.
-STATE_SCHEMA = "t array<long>, id array<long>, amount array<double>"
-
-SCALE = 10 ** 6    # amounts as integer micro-units: window sums are exact
-
-
-def _cum(x: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(x)])
-
-
-def velocity_features(t: np.ndarray, a: np.ndarray, cfg: FeatureConfig = FeatureConfig()) -> dict[str, np.ndarray]:
-    """W1-W8 of every row of one key's series, sorted by (time, id): running sums and their differences."""
-    n = len(t)
-    at = np.arange(n)
-    prev = np.concatenate([[np.nan], a[:-1]])
-    has, had = ~np.isnan(a), ~np.isnan(prev)
-    units = lambda x: np.round(np.nan_to_num(x) * SCALE).astype(np.int64)
-    first = {w: np.searchsorted(t, t - w, side="right") for w in (cfg.win_1h, cfg.win_24h, cfg.win_7d)}
-
-    def total(x: np.ndarray, w: int) -> np.ndarray:
-        c = _cum(x)
-        return c[at + 1] - c[first[w]]
-
-    c1, s1 = total(has.astype(np.int64), cfg.win_1h), total(units(a), cfg.win_1h)
-    c24, s24 = total(has.astype(np.int64), cfg.win_24h), total(units(a), cfg.win_24h)
-    ch, sh = total(had.astype(np.int64), cfg.win_7d), total(units(prev), cfg.win_7d)
-    middle = float(np.mean(prev[had])) if had.any() else 0.0     # squares around it lose fewer digits
-    off = np.where(had, prev - middle, 0.0)
-    so, qo = total(off, cfg.win_7d), total(off * off, cfg.win_7d)
-    # a window of equal values has a deviation of exactly zero: no change between its present values
-    seen = prev[had]
-    change = _cum(np.concatenate([[0], (seen[1:] != seen[:-1]).astype(np.int64)])) if len(seen) else np.zeros(1, np.int64)
-    number = _cum(had.astype(np.int64))
-    lo, hi = number[first[cfg.win_7d]], number[at + 1]
-    changes = np.where(hi > lo, change[hi] - change[np.minimum(lo + 1, len(change) - 1)], 0)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        mean = np.where(ch > 0, sh / SCALE / np.maximum(ch, 1), 0.0)
-        var = np.where((ch > 0) & (changes > 0), np.maximum(qo / np.maximum(ch, 1) - (so / np.maximum(ch, 1)) ** 2, 0.0), 0.0)
-        std = np.sqrt(var)
-        z = np.where(std > 0, (a - mean) / np.where(std > 0, std, 1.0), np.nan)
-        avg = np.where(c24 > 0, s24 / SCALE / np.maximum(c24, 1), 0.0)
-    return {"cnt_1h": c1, "sum_amt_1h": s1 / SCALE, "cnt_24h": c24, "avg_amt_24h": avg, "mean_amt_7d_hist": mean,
-            "std_amt_7d_hist": std, "z_amt_vs_7d": z}
-
-
-def _velocity_fn(cfg: FeatureConfig):
-    def kept(t: np.ndarray, edge: int) -> int:
-        """Rows from here on stay: those after ``edge``, and the one before them (their first lagged value)."""
-        return max(0, int(np.searchsorted(t, edge, side="right")) - 1)
-
-    def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        old = [np.asarray(x, kind) for x, kind in zip(state.get, (np.int64, np.int64, np.float64))] if state.exists else \
-            [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
-        if state.hasTimedOut:      # nothing in the windows any more; the last amount stays for the next row
-            state.update(tuple(x[-1:].tolist() for x in old))
-            return
-        new = pd.concat(list(pdfs), ignore_index=True)
-        mark = state.getCurrentWatermarkMs() // 1000
-        late = new["t"].to_numpy() < mark if mark > 0 else np.zeros(len(new), bool)
-        fresh = new[~late]
-        t = np.concatenate([old[0], fresh["t"].to_numpy(np.int64)])
-        i = np.concatenate([old[1], fresh["id"].to_numpy(np.int64)])
-        a = np.concatenate([old[2], fresh["amount"].to_numpy(np.float64)])
-        order = np.lexsort((i, t))
-        t, i, a = t[order], i[order], a[order]
-        if len(fresh):
-            # a new row changes those after it, too: the series from the first new row on comes out (again)
-            out = pd.DataFrame({"key": key[0], "id": i, "t": t, "amount": a, **velocity_features(t, a, cfg), "late": False})
-            start = int(np.flatnonzero(order >= len(old[0]))[0])
-            out = out.iloc[start:]
-            start = kept(t, max(mark, 0) - cfg.win_7d)
-            state.update((t[start:].tolist(), i[start:].tolist(), [None if np.isnan(x) else x for x in a[start:].tolist()]))
-            state.setTimeoutTimestamp(int(max(t[-1] + cfg.win_7d, mark + 1) * 1000))
-        else:
-            out = pd.DataFrame(columns=["key", "id", "t", "amount", *velocity_features(t[:0], a[:0], cfg), "late"])
-        if late.any():
-            gone = new[late]
-            out = pd.concat([out, pd.DataFrame({"key": key[0], "id": gone["id"].to_numpy(), "t": gone["t"].to_numpy(),
-                                                "amount": gone["amount"].to_numpy(), "late": True})], ignore_index=True)
-        yield out.astype({"cnt_1h": "Int32", "cnt_24h": "Int32"}).replace({np.nan: None})
-    return fn
-
-
-def velocity_stream(events: DataFrame, key: str, time_ts: str, id_col: str, amount: str,
-                    cfg: FeatureConfig = FeatureConfig(), delay: str = "1 day") -> DataFrame:
-    """ST2: online W1-W8 per key; ``time_ts`` is the event-time column (with or without a zone).
-
-    A row inside the watermark's ``delay`` may come out of order: it gets the features of its
-    place, and the rows after it come out again with theirs corrected (update mode; the
-    last version of a (key, id) holds, see :func:`run_to_latest`). Rows later than the
-    watermark come out with ``late = true`` and no features. Event time and watermark are
-    the same epoch seconds whatever the session's time zone.
-    """
-    from pyspark.sql import types as T
-    if isinstance(events.schema[time_ts].dataType, T.TimestampNTZType):   # naive: zone-independent seconds
-        t_sec = F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(time_ts))
-    else:
-        t_sec = F.unix_seconds(F.col(time_ts).cast("timestamp"))
-    d = events.select(F.col(key).cast("string").alias("key"), F.col(id_col).cast("long").alias("id"),
-                      t_sec.alias("t"), F.col(amount).cast("double").alias("amount"),
-                      F.timestamp_seconds(t_sec).alias("_ts"))
-    return (d.withWatermark("_ts", delay).groupBy("key")
-            .applyInPandasWithState(_velocity_fn(cfg), VELOCITY_SCHEMA, STATE_SCHEMA, "update",
-                                    GroupStateTimeout.EventTimeTimeout))
-
-
 def run_to_table(stream: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
     """Drive a streaming query over everything available (``availableNow``) into a
     Parquet table under the shared checkpoint folder, then read it back."""
