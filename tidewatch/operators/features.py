@@ -42,9 +42,11 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
                              key: str = "entity_key", time: str = "TransactionDT",
                              amount: str = "TransactionAmt",
                              tiebreak: Sequence[str] = ("TransactionID",),
-                             label=None, fraud_col: str = "isFraud") -> DataFrame:
+                             label=None, fraud_col: str = "isFraud", untimed: bool = True) -> DataFrame:
     """W1-W8 (+W14): cnt_1h, sum_amt_1h, cnt_24h, avg_amt_24h, mean/std_amt_7d_hist, z.
 
+    Rows without a time are in no window and come out with null features and label
+    (``untimed=False``: the caller has none, or adds them itself).
     With ``label`` (a :class:`LabelConfig`) the early-warning label is computed
     in the same ordered pass (same key, same order): no second shuffle.
     """
@@ -54,8 +56,8 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
         if label is not None:
             from tidewatch.operators.labels import make_early_warning_label
             out = make_early_warning_label(out, label, entity_col=key, time_col=time, fraud_col=fraud_col,
-                                           tiebreak=tiebreak, strategy="frame")
-        return out
+                                           tiebreak=tiebreak, strategy="frame", untimed=False)
+        return fr.with_untimed(out, df, time) if untimed else out
     scale = 10 ** cfg.amount_scale
     d, chunked = fr.with_order(df, key, time, tiebreak, cfg.hot_key_rows)
     if label is not None:
@@ -95,8 +97,8 @@ def add_entity_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig()
          .withColumn("std_amt_7d_hist", std_h))
     d = d.withColumn("z_amt_vs_7d", (F.col(amount) - F.col("mean_amt_7d_hist"))
                      / F.nullif(F.col("std_amt_7d_hist"), F.lit(0.0)))
-    return d.drop("_c1", "_s1", "_c24", "_s24", "_ch", "_sh", "_qh", "_prev_" + amount,
-                  fr.ORD, fr.CHUNK, fr.CLEN)
+    d = d.drop("_c1", "_s1", "_c24", "_s24", "_ch", "_sh", "_qh", "_prev_" + amount, *fr.INTERNAL)
+    return fr.with_untimed(d, df, time) if untimed else d
 
 
 def _entity_frame(df, cfg, key, time, amount, tiebreak):
@@ -120,14 +122,14 @@ def _entity_frame(df, cfg, key, time, amount, tiebreak):
          .withColumn("std_amt_7d_hist", F.coalesce(F.stddev_pop("_hist").over(hw), F.lit(0.0))))
     d = d.withColumn("z_amt_vs_7d", (F.col(amount) - F.col("mean_amt_7d_hist"))
                      / F.nullif(F.col("std_amt_7d_hist"), F.lit(0.0)))
-    return d.drop("_hist", fr.ORD, fr.CHUNK, fr.CLEN)
+    return d.drop("_hist", *fr.INTERNAL)
 
 
 def add_fingerprint_time_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(), *,
                                   key: str = "fingerprint_key", time: str = "TransactionDT",
                                   id_col: str = "TransactionID",
-                                  tiebreak: Sequence[str] = ("entity_key", "TransactionID")) -> DataFrame:
-    """fp_cnt_24h, fp_cnt_72h (non-null ids), fp_growth_ratio_24h_over_72h (float)."""
+                                  tiebreak: Sequence[str] = ("entity_key", "TransactionID"), untimed: bool = True) -> DataFrame:
+    """fp_cnt_24h, fp_cnt_72h (non-null ids), fp_growth_ratio_24h_over_72h (float); null for rows without a time."""
     tiebreak = [c for c in tiebreak if c in df.columns]
     require_columns(df, [key, time, id_col], "fingerprint features")
     present = F.col(id_col).isNotNull().cast("bigint")
@@ -147,7 +149,8 @@ def add_fingerprint_time_features(df: DataFrame, cfg: FeatureConfig = FeatureCon
     d = d.withColumn("fp_growth_ratio_24h_over_72h",
                      (F.col("fp_cnt_24h").cast("double")
                       / F.nullif(F.col("fp_cnt_72h").cast("double"), F.lit(0.0))).cast("float"))
-    return d.drop(fr.ORD, fr.CHUNK, fr.CLEN)
+    d = d.drop(*fr.INTERNAL)
+    return fr.with_untimed(d, df, time) if untimed else d
 
 
 def add_keys(df: DataFrame) -> DataFrame:
@@ -161,20 +164,24 @@ def keep_feature_columns(df: DataFrame) -> DataFrame:
 
 
 def build_features(df: DataFrame, cfg: FeatureConfig = FeatureConfig(),
-                   keep_chunking: bool = False, label=None) -> DataFrame:
+                   keep_chunking: bool = False, label=None, untimed: bool = True) -> DataFrame:
     """Keys -> keep-list -> entity features (+ label in the same pass) -> fingerprint features.
 
+    Rows without a time come out with null features and label (``untimed=False``: there are none).
+
     ``keep_chunking`` keeps the per-key chunk-length columns for downstream
     operators on the same keys (the label); drop them with :func:`drop_internal`.
     """
     require_columns(df, ["TransactionID", "TransactionDT", "TransactionAmt"], "features",
                     message="Missing required column for features")
-    work = keep_feature_columns(add_keys(df))
+    every = work = keep_feature_columns(add_keys(df))
     if cfg.strategy == "delta":
         work = fr.prepare_hot_keys(work, ["entity_key", "fingerprint_key"], "TransactionDT",
                                    cfg.hot_key_rows)
-    work = add_entity_time_features(work, cfg, label=label)
-    work = add_fingerprint_time_features(work, cfg)
+    work = add_entity_time_features(work, cfg, label=label, untimed=False)
+    work = add_fingerprint_time_features(work, cfg, untimed=False)
+    if untimed:
+        work = fr.with_untimed(work, every, "TransactionDT")
     return work if keep_chunking else drop_internal(work)
 
 

@@ -19,6 +19,11 @@ spreads over as many tasks as it has chunks; other keys form a single chunk.
 The hot-key table has at most ``rows / target_rows`` entries, so it is
 broadcast when its checked size is small and shuffle-joined otherwise.
 
+A *hot second* (more than twice ``target_rows`` rows of one key in one second) is no
+group of any window: its rows get their rank by a range-partitioned prefix sum over the
+tie-break and are cut into slices of ``target_rows`` ranks, each a chunk of its own;
+the seconds before and after it in the time chunk are two more.
+
 * neighbours (previous / next row) are found inside the chunk, and across a
   chunk edge from a small per-(key, chunk) summary table;
 * sliding sums/counts use *event deltas*: every row emits ``+v`` at its own
@@ -26,7 +31,11 @@ broadcast when its checked size is small and shuffle-joined otherwise.
   longer belongs to); a running sum then equals the window sum. Running sums
   are distributed as chunk-local running sums plus per-chunk offsets from a
   prefix sum over the (tiny) chunk-total table. Values are integers (counts,
-  fixed-point amounts), so the cancellation is exact.
+  fixed-point amounts), so the cancellation is exact. All rows of a hot second
+  expire together, as one event with their sum.
+
+Rows without a time have no place in a series; operators give them back with null
+features (:func:`with_untimed`).
 
 The per-chunk summary tables have one row per (key, chunk): they grow with the
 time span, not with the row count of a key.
@@ -39,14 +48,18 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatch.operators.quantiles import prefix_sums
 from tidewatch.session import scratch_table
 
 K = 1 << 31          # slots per second in the composite order (epoch seconds below 2^32, times K, fit a long)
-HALF = K >> 1        # rows that one second of a key can hold (10^9): the frames' lower bounds lie between seconds
+HALF = K >> 1        # a plain RANGE frame is exact up to so many rows of a key in a second; event deltas up to K - 1
 
 ORD = "_ord"
 CHUNK = "_chunk"
 CLEN = "_clen"
+HOTS = "_hots"       # hot seconds of the key, ascending; the column exists only where some key has any
+SLICE = "_slice"     # ranks of a hot second in one chunk
+INTERNAL = (ORD, CHUNK, CLEN, HOTS, SLICE)
 
 
 def clen_col(key: str) -> str:
@@ -57,6 +70,13 @@ def clen_col(key: str) -> str:
 def nohot_col(key: str) -> str:
     """Marker column: the key was checked and has no hot values."""
     return f"_clen__nohot__{key}"
+
+
+def hots_col(key: str) -> str:
+    """Name of the carried column of a key's hot seconds."""
+    return f"_clen__hots__{key}"
+
+
 BROADCAST_HOT_KEYS = 200_000   # rows of the hot-key table we are willing to broadcast
 
 
@@ -82,9 +102,9 @@ def assign_chunk_length(df: DataFrame, key: str, time: str, target_rows: int | N
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn(out, F.lit(None).cast("bigint")), False
-    hot = _refine(df.select(F.col(key).alias("_k"), F.col(time).alias("_t")), hot, n_hot, target_rows)
+    hot, sliced = _refine(df.select(F.col(key).alias("_k"), F.col(time).alias("_t")), hot, n_hot, target_rows)
     hot = _sized(hot, n_hot).withColumnRenamed("_cl", out)
-    return df.join(hot, F.col(key) == F.col("_k"), "left").drop("_k"), True
+    return df.join(hot if sliced else hot.drop(HOTS), F.col(key) == F.col("_k"), "left").drop("_k"), True
 
 
 def _mean_length(target_rows: int):
@@ -98,22 +118,31 @@ def _sized(hot: DataFrame, n_hot: int) -> DataFrame:
     return F.broadcast(hot) if n_hot <= BROADCAST_HOT_KEYS else hot
 
 
-def _refine(series: DataFrame, hot: DataFrame, n_hot: int, target_rows: int) -> DataFrame:
-    """Shorter chunks for keys whose rows come in bursts: ``hot`` (``_k``, ``_cl``) with lengths such that no chunk has more
-    than twice ``target_rows`` rows, or a chunk is one second. ``series`` has ``_k`` and ``_t``; only hot keys are counted, each
-    pass by a map-side combined count per chunk."""
+def _refine(series: DataFrame, hot: DataFrame, n_hot: int, target_rows: int) -> tuple[DataFrame, bool]:
+    """``hot`` (``_k``, ``_cl``) with the hot seconds of each key (``_hots``), and shorter chunks for keys whose rows come in
+    bursts: lengths such that, hot seconds apart, no chunk has more than twice ``target_rows`` rows, or a chunk is one
+    second. Also whether there are hot seconds. ``series`` has ``_k`` and ``_t``; only hot keys are counted, each pass by a
+    map-side combined count."""
     target = float(max(target_rows, 1))
     hot = scratch_table(hot, "hot-keys")
+    crowds = series.join(_sized(hot, n_hot), "_k").groupBy("_k", "_t").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 2 * target)
+    crowds = scratch_table(crowds.select("_k", "_t"), "hot-seconds")     # at most rows / (2 target) of them
+    n_crowds = crowds.count()
+    if n_crowds:
+        series = series.join(_sized(crowds, n_crowds), ["_k", "_t"], "left_anti")
     while True:
         chunk = F.floor(F.col("_t") / F.col("_cl"))
         most = (series.join(_sized(hot, n_hot), "_k").groupBy("_k", "_cl", chunk.alias("_c")).agg(F.count(F.lit(1)).alias("_n"))
                 .groupBy("_k", "_cl").agg(F.max("_n").alias("_most")))
+        most = hot.join(most, ["_k", "_cl"], "left").fillna(0, ["_most"])
         crowded = (F.col("_most") > 2 * target) & (F.col("_cl") > 1)
         shorter = F.greatest(F.lit(1.0), F.floor(F.col("_cl") / F.pow(F.lit(2.0), F.ceil(F.log2(F.col("_most") / target)))))
         step = scratch_table(most.select("_k", F.when(crowded, shorter.cast("bigint")).otherwise(F.col("_cl")).alias("_cl"), crowded.alias("_again")), "hot-keys")
         hot = step.select("_k", "_cl")
         if step.filter("_again").isEmpty():
-            return hot
+            break
+    seconds = crowds.groupBy("_k").agg(F.sort_array(F.collect_list("_t")).alias(HOTS))
+    return hot.join(seconds, "_k", "left"), n_crowds > 0
 
 
 def prepare_hot_keys(df: DataFrame, keys: Sequence[str], time: str,
@@ -135,13 +164,14 @@ def prepare_hot_keys(df: DataFrame, keys: Sequence[str], time: str,
     hot = stats.select(F.struct("_kid", "_k").alias("_k"), _mean_length(target_rows).alias("_cl"))
     rows = hot.count()            # bounded by len(keys) * rows / target_rows
     if rows:
-        hot = _refine(long.select(F.struct("_kid", "_k").alias("_k"), "_t"), hot, rows, target_rows)
-        hot = hot.select("_k._kid", "_k._k", "_cl")
+        hot, sliced = _refine(long.select(F.struct("_kid", "_k").alias("_k"), "_t"), hot, rows, target_rows)
+        hot = hot.select("_k._kid", "_k._k", "_cl", HOTS)
     for i, k in enumerate(keys):
         if rows == 0:       # marker: no hot key, single-chunk plan (no chunk-edge joins)
             df = df.withColumn(nohot_col(k), F.lit(None).cast("bigint"))
             continue
-        h = hot.filter(F.col("_kid") == i).select(F.col("_k").alias("_hk"), F.col("_cl").alias(clen_col(k)))
+        h = hot.filter(F.col("_kid") == i).select(F.col("_k").alias("_hk"), F.col("_cl").alias(clen_col(k)),
+                                                  *([F.col(HOTS).alias(hots_col(k))] if sliced else []))
         h = _sized(h, rows)
         df = df.join(h, F.col(k).cast("string") == F.col("_hk"), "left").drop("_hk")
     return df
@@ -154,25 +184,68 @@ def with_order(df: DataFrame, key: str, time: str, tiebreak: Sequence[str],
     Returns ``(df, chunked)``; ``chunked`` is False when no key is hot, and the
     helpers below then skip the chunk-edge summaries (each key is one chunk).
     With ``target_rows=None`` no key is chunked (plain per-key layout, used by
-    the ``frame`` strategy). Rows without a time have no place in a series and are
-    left out; the pipeline quarantines them first.
+    the ``frame`` strategy). Rows without a time are left out (see :func:`with_untimed`).
     """
     d = df.withColumn(time, F.col(time).cast("bigint")).filter(F.col(time).isNotNull())
     if clen_col(key) in d.columns:          # precomputed once upstream, reuse it
         d, chunked = d.withColumn(CLEN, F.col(clen_col(key))), True
+        if hots_col(key) in d.columns:
+            d = d.withColumn(HOTS, F.col(hots_col(key)))
     elif nohot_col(key) in d.columns:
         d, chunked = d.withColumn(CLEN, F.lit(None).cast("bigint")), False
     else:
         d, chunked = assign_chunk_length(d, key, time, target_rows)
-    d = d.withColumn(CHUNK, F.coalesce(F.floor(F.col(time) / F.col(CLEN)), F.lit(0)).cast("bigint"))
+    if HOTS in d.columns:
+        return _sliced_order(d, key, time, tiebreak, max(target_rows or 1, 1)), True
+    d = d.withColumn(CHUNK, chunk_of(d, F.col(time), None))
     if repartition:
         # hash on the key alone when nothing is chunked: every later window
         # (key,t), (key), (key, chunk=const) is then satisfied without a new exchange
         d = d.repartition(key, CHUNK) if chunked else d.repartition(key)
     w = Window.partitionBy(key, CHUNK, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
-    seq = F.row_number().over(w) - 1
-    guard = F.when(seq >= HALF, F.raise_error(F.lit("more than 2^30 rows share one (key, second)")))
-    return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq)), chunked
+    return _with_ord(d, time, F.row_number().over(w) - 1, HALF if target_rows is None else K - 1), chunked
+
+
+def _with_ord(d: DataFrame, time: str, seq: Column, room: int) -> DataFrame:
+    guard = F.when(seq >= room, F.raise_error(F.lit(f"more than {room} rows share one (key, second)")))
+    return d.withColumn(ORD, F.coalesce(guard.cast("bigint"), F.col(time) * F.lit(K) + seq))
+
+
+def _in_hot_second(time: Column) -> Column:
+    return F.coalesce(F.array_contains(F.col(HOTS), time), F.lit(False))
+
+
+def chunk_of(d: DataFrame, time: Column, seq: Column | None) -> Column:
+    """Chunk of the place (``time``, ``seq``) of a key's series; chunks of a key ascend with its order. A key with hot seconds
+    has its chunks named by their first place."""
+    length = F.floor(time / F.col(CLEN))
+    plain = F.coalesce(length, F.lit(0)).cast("bigint")
+    if HOTS not in d.columns:
+        return plain
+    start = length * F.col(CLEN)
+    after = F.array_max(F.filter(F.col(HOTS), lambda h: (h < time) & (h >= start))) + 1
+    zone = F.greatest(start, F.coalesce(after, start)) * F.lit(K)
+    cut = time * F.lit(K) + F.floor(seq / F.col(SLICE)) * F.col(SLICE)
+    return F.when(F.col(HOTS).isNull(), plain).when(_in_hot_second(time), cut).otherwise(zone).cast("bigint")
+
+
+def _sliced_order(d: DataFrame, key: str, time: str, tiebreak: Sequence[str], target_rows: int) -> DataFrame:
+    """The order where some keys have hot seconds: ranks in these come from a prefix sum over the tie-break, other ranks from a window."""
+    d = d.withColumn(SLICE, F.lit(target_rows).cast("bigint"))
+    hot = _in_hot_second(F.col(time))
+    w = Window.partitionBy(key, time).orderBy(*[F.col(c).asc_nulls_first() for c in tiebreak])
+    few = d.filter(~hot).withColumn("_seq", (F.row_number().over(w) - 1).cast("bigint"))
+    many = prefix_sums(d.filter(hot).withColumn("_one", F.lit(1).cast("bigint")), list(tiebreak), ["_one"], [key, time])
+    many = many.withColumn("_seq", F.col("_one_cum") - 1).drop("_one", "_one_cum", "_one_total")
+    d = _with_ord(few.unionByName(many), time, F.col("_seq"), K - 1)
+    d = d.withColumn(CHUNK, chunk_of(d, F.col(time), F.col("_seq"))).drop("_seq")
+    return d.repartition(key, CHUNK)
+
+
+def with_untimed(out: DataFrame, df: DataFrame, time: str) -> DataFrame:
+    """``out`` and the rows of ``df`` that have no time, whose new columns are null."""
+    t = F.col(time).cast("bigint")
+    return out.unionByName(df.withColumn(time, t).filter(F.col(time).isNull()), allowMissingColumns=True)
 
 
 def previous_values(d: DataFrame, key: str, cols: Sequence[str], prefix: str = "_prev_",
@@ -226,11 +299,14 @@ def next_time_where(d: DataFrame, key: str, time: str, cond: Column, out: str,
     d = d.withColumn(out, F.min(hit).over(w))
     if not chunked:
         return d
-    summ = d.groupBy(key, CHUNK).agg(F.min(hit).alias("_cmin"))
-    ws = Window.partitionBy(key).orderBy(F.col(CHUNK).desc()).rowsBetween(Window.unboundedPreceding, -1)
-    summ = summ.select(key, CHUNK, F.min("_cmin").over(ws).alias("_later"))
-    d = d.join(summ, [key, CHUNK], "left")
-    return d.withColumn(out, F.coalesce(F.col(out), F.col("_later"))).drop("_later")
+    # slices of one second count as one: their rows aren't later than each other
+    zone = F.when(F.col(HOTS).isNotNull(), F.floor(F.col(CHUNK) / K) * K).otherwise(F.col(CHUNK)) if HOTS in d.columns else F.col(CHUNK)
+    d = d.withColumn("_zone", zone)
+    summ = d.groupBy(key, "_zone").agg(F.min(hit).alias("_cmin"))
+    ws = Window.partitionBy(key).orderBy(F.col("_zone").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(key, "_zone", F.min("_cmin").over(ws).alias("_later"))
+    d = d.join(summ, [key, "_zone"], "left")
+    return d.withColumn(out, F.coalesce(F.col(out), F.col("_later"))).drop("_later", "_zone")
 
 
 def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple], chunked: bool = True) -> DataFrame:
@@ -248,21 +324,31 @@ def sliding_sums(d: DataFrame, key: str, time: str, specs: Iterable[tuple], chun
     payload = [f for f in d.schema.fields if f.name != key]
     # One row in -> 1 + (#distinct windows) events, in a single pass over d; expiry
     # events carry null payload, so the shuffle only moves the deltas for them.
-    events = [F.struct(*[F.col(f.name).alias(f.name) for f in payload],
-                       F.col(ORD).alias("_eord"), F.col(CHUNK).alias("_echunk"),
-                       F.lit(True).alias("_is_row"), *[vals[n].alias(n) for n in names])]
-    for w in sorted({s[1] for s in specs}):
-        events.append(F.struct(
+    row = F.struct(*[F.col(f.name).alias(f.name) for f in payload],
+                   F.col(ORD).alias("_eord"), F.col(CHUNK).alias("_echunk"),
+                   F.lit(True).alias("_is_row"), *[vals[n].alias(n) for n in names])
+
+    def expiries(values: dict) -> list[Column]:
+        return [F.struct(
             *[F.lit(None).cast(f.dataType).alias(f.name) for f in payload],
             ((F.col(time) + F.lit(w)) * F.lit(K) - F.lit(1)).alias("_eord"),
-            F.coalesce(F.floor((F.col(time) + F.lit(w - 1)) / F.col(CLEN)), F.lit(0)).cast("bigint")
-            .alias("_echunk"),
+            chunk_of(d, F.col(time) + F.lit(w - 1), F.lit(K - 1)).alias("_echunk"),
             F.lit(False).alias("_is_row"),
-            *[(-vals[n] if s[1] == w else zero[n]).alias(n) for n, s in zip(names, specs)]))
-    payload = [f.name for f in payload]
+            *[(-values[n] if s[1] == w else zero[n]).cast(types[n].dataType).alias(n) for n, s in zip(names, specs)])
+            for w in sorted({s[1] for s in specs})]
+
     # the key passes through the generator untouched (it is not referenced inside the
     # structs), so its hash partitioning survives; everything else comes out of the structs
-    ev = d.select(F.col(key), F.inline(F.array(*events)))
+    every = F.array(row, *expiries(vals))
+    if HOTS in d.columns:
+        # a hot second expires as one event with the sum of its rows
+        hot = _in_hot_second(F.col(time))
+        ev = d.select(F.col(key), F.inline(F.when(hot, F.array(row)).otherwise(every)))
+        total = d.filter(hot).groupBy(key, time).agg(*[F.first(c).alias(c) for c in (CLEN, HOTS, SLICE)], *[F.sum(vals[n]).alias("_sum_" + n) for n in names])
+        ev = ev.unionByName(total.select(F.col(key), F.inline(F.array(*expiries({n: F.col("_sum_" + n) for n in names})))))
+    else:
+        ev = d.select(F.col(key), F.inline(every))
+    payload = [f.name for f in payload]
     if not chunked:
         # one chunk per key: events stay in their key's partition (no shuffle)
         wrun = (Window.partitionBy(key, "_echunk").orderBy("_eord")

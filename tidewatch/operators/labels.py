@@ -28,8 +28,9 @@ def make_early_warning_label(df: DataFrame, cfg: LabelConfig = LabelConfig(), *,
                              entity_col: str = "entity_key", time_col: str = "TransactionDT",
                              fraud_col: str = "isFraud",
                              tiebreak: Sequence[str] = ("TransactionID",),
-                             strategy: str = "chunked") -> DataFrame:
-    """Append ``cfg.label_name`` (ByteType) to every row; no row is dropped or reordered by key."""
+                             strategy: str = "chunked", untimed: bool = True) -> DataFrame:
+    """Append ``cfg.label_name`` (ByteType) to every row; no row is dropped. A row without a time has a null label
+    (``untimed=False``: the caller has none, or adds them itself)."""
     require_columns(df, [entity_col, time_col, fraud_col], "labeling",
                     message="Missing required columns for labeling")
     tiebreak = [c for c in tiebreak if c in df.columns]
@@ -45,10 +46,12 @@ def make_early_warning_label(df: DataFrame, cfg: LabelConfig = LabelConfig(), *,
             w = Window.partitionBy(entity_col).orderBy(fr.ORD)
             dt = F.lead(time_col).over(w) - F.col(time_col)
             y = F.when(F.lead(fraud).over(w) & (dt > 0) & (dt <= H), 1).otherwise(0)
-        return d.withColumn(name, y.cast("byte")).drop(fr.ORD, fr.CHUNK, fr.CLEN)
+        d = d.withColumn(name, y.cast("byte")).drop(*fr.INTERNAL)
+        return fr.with_untimed(d, df, time_col) if untimed else d
     d, chunked = fr.with_order(df, entity_col, time_col, tiebreak, cfg.hot_key_rows)
     d = label_ordered(d, cfg, entity_col, time_col, fraud_col, chunked)
-    return d.drop(fr.ORD, fr.CHUNK, fr.CLEN)
+    d = d.drop(*fr.INTERNAL)
+    return fr.with_untimed(d, df, time_col) if untimed else d
 
 
 def label_ordered(d: DataFrame, cfg: LabelConfig, entity_col: str, time_col: str, fraud_col: str,

@@ -64,9 +64,9 @@ def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(
     if checkpoint:
         clean = scratch_table(clean, "clean")
     if cfg.label.hot_key_rows != cfg.features.hot_key_rows:
-        y = lab.make_early_warning_label(feat.build_features(clean, cfg.features), cfg.label)
+        y = lab.make_early_warning_label(feat.build_features(clean, cfg.features, untimed=False), cfg.label, untimed=False)
     else:
-        y = feat.build_features(clean, cfg.features, label=cfg.label)
+        y = feat.build_features(clean, cfg.features, label=cfg.label, untimed=False)
     cut = F.broadcast(spl.cutoffs_frame(clean.select(cfg.split.time_col), cfg.split))     # one row
     ds = spl.assign_split(y.crossJoin(cut), F.col("train_end"), F.col("valid_end"),
                           cfg.split.time_col).drop("train_end", "valid_end")

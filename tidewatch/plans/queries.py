@@ -1066,6 +1066,71 @@ def q_label_next_hot(spark, sf_dir):
     return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
 
 
+# ---------------------------------------------------------------------------
+# a hot second: one key and second with most rows; and rows without a time
+# ---------------------------------------------------------------------------
+_CROWD_SQL = f"""SELECT TransactionID, CASE WHEN TransactionID % 10 < 6 THEN 1705000000 WHEN TransactionID % 10 = 6 THEN 1705000000 + TransactionID % 3 * 3600
+       WHEN TransactionID % 97 = 9 THEN NULL ELSE TransactionDT END AS TransactionDT, TransactionAmt, isFraud,
+       CASE WHEN TransactionID % 10 < 7 THEN 1 ELSE card1 END AS card1, CASE WHEN TransactionID % 10 < 7 THEN 'd' ELSE DeviceInfo END AS DeviceInfo,
+       CASE WHEN TransactionID % 10 < 7 THEN 'e' ELSE P_emaildomain END AS P_emaildomain FROM ({EVENTS_TX_SQL}) c0"""
+_TIMED_CROWD_SQL = f"SELECT * FROM ({_CROWD_SQL}) c1 WHERE TransactionDT IS NOT NULL /* P_emaildomain */"
+_SLICED = 100       # rows in a chunk: the second with most rows is cut into many
+
+
+def _crowd(spark, sf_dir):
+    """The events, six in ten moved to one second of one key, others around it, some without a time."""
+    i = F.col("TransactionID")
+    moved = F.when(i % 10 < 6, F.lit(1705000000)).when(i % 10 == 6, F.lit(1705000000) + i % 3 * 3600).when(i % 97 == 9, F.lit(None)).otherwise(F.col("TransactionDT"))
+    d = events_transactions(spark, sf_dir).withColumn("TransactionDT", moved.cast("bigint"))
+    for c, v in (("card1", 1), ("DeviceInfo", "d"), ("P_emaildomain", "e")):
+        d = d.withColumn(c, F.when(i % 10 < 7, F.lit(v)).otherwise(F.col(c)))
+    return feat.add_keys(d)
+
+
+def _untimed_sql(timed: str, columns) -> str:
+    return f"""SELECT TransactionID, {', '.join(columns)} FROM ({timed}) t UNION ALL
+SELECT TransactionID, {', '.join('NULL' for _ in columns)} FROM ({_CROWD_SQL}) n WHERE TransactionDT IS NULL"""
+
+
+@register("entity_velocity_features_hot_second", _untimed_sql(entity_features_sql(_TIMED_CROWD_SQL), _VELOCITY_COLUMNS))
+def q_entity_crowd(spark, sf_dir):
+    """W1-W8 where one second of one key has most rows: ranks by a prefix sum, slices of a hundred rows. Rows without a time have null features."""
+    d = feat.add_entity_time_features(_crowd(spark, sf_dir), FeatureConfig(hot_key_rows=_SLICED))
+    return d.select("TransactionID", *[F.col(c) if c.startswith("cnt") else fixed4(F.col(c)).alias(c) for c in _VELOCITY_COLUMNS])
+
+
+@register("fingerprint_campaign_features_hot_second", _untimed_sql(fingerprint_features_sql(_TIMED_CROWD_SQL), _CAMPAIGN_COLUMNS))
+def q_fp_crowd(spark, sf_dir):
+    """W9-W10 where one second of one fingerprint has most rows."""
+    d = feat.add_fingerprint_time_features(_crowd(spark, sf_dir), FeatureConfig(hot_key_rows=_SLICED))
+    return d.select("TransactionID", "fp_cnt_24h", "fp_cnt_72h", fixed4(F.col("fp_growth_ratio_24h_over_72h").cast("double")).alias("fp_growth_ratio_24h_over_72h"))
+
+
+@register("early_warning_label_any_hot_second", _untimed_sql(label_any_sql(_TIMED_CROWD_SQL), ["y_ew_72h"]))
+def q_label_any_crowd(spark, sf_dir):
+    """L1 where one second of one key has most rows (slices of a second aren't later than each other)."""
+    d = lab.make_early_warning_label(_crowd(spark, sf_dir), LabelConfig(hot_key_rows=_SLICED))
+    return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
+
+
+@register("early_warning_label_next_hot_second", _untimed_sql(label_next_sql(_TIMED_CROWD_SQL), ["y_ew_72h"]))
+def q_label_next_crowd(spark, sf_dir):
+    """L2 where one second of one key has most rows (next rows across the edges of its slices)."""
+    d = lab.make_early_warning_label(_crowd(spark, sf_dir), LabelConfig(mode="next_event", hot_key_rows=_SLICED))
+    return d.select("TransactionID", F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
+
+
+@register("features_and_label_hot_second", f"""WITH e AS ({_untimed_sql(entity_features_sql(_TIMED_CROWD_SQL), _VELOCITY_COLUMNS)}),
+f AS ({_untimed_sql(fingerprint_features_sql(_TIMED_CROWD_SQL), _CAMPAIGN_COLUMNS)}), l AS ({_untimed_sql(label_any_sql(_TIMED_CROWD_SQL), ["y_ew_72h"])})
+SELECT * FROM e JOIN f USING (TransactionID) JOIN l USING (TransactionID)""")
+def q_build_crowd(spark, sf_dir):
+    """W13 with the label in one pass, hot seconds found once for both keys."""
+    d = feat.build_features(_crowd(spark, sf_dir), FeatureConfig(hot_key_rows=_SLICED), label=LabelConfig(hot_key_rows=_SLICED))
+    whole = ("cnt_1h", "cnt_24h", "fp_cnt_24h", "fp_cnt_72h")
+    return d.select("TransactionID", *[F.col(c) if c in whole else fixed4(F.col(c).cast("double")).alias(c) for c in (*_VELOCITY_COLUMNS, *_CAMPAIGN_COLUMNS)],
+                    F.col("y_ew_72h").cast("int").alias("y_ew_72h"))
+
+
 @register("feature_missing_report", f"""WITH e AS ({entity_features_sql(EVENTS_TX_SQL)}),
 f AS ({fingerprint_features_sql(EVENTS_TX_SQL)}), j AS (SELECT * FROM e JOIN f USING (TransactionID))
 SELECT count(*) AS rows, {f4('avg(CAST(z_amt_vs_7d IS NULL AS DOUBLE)) * 100.0')} AS z_missing_pct,
