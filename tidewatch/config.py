@@ -37,6 +37,8 @@ SERVING_CUTOFFS = {"critical": 0.9528, "high": 0.9121, "medium": 0.7430}
 ENTITY_BUCKETS = 2 ** 20
 FINGERPRINT_BUCKETS = 2 ** 18
 HASHED_FEATURES = 2 ** 18
+#: columns that readers add: the place of a row in its files, and the text of a row that could not be parsed
+INGEST, CORRUPT = "_ingest", "_corrupt_record"
 
 # The defaults below (windows, horizon, quantiles, capacity shares, alert limits) are
 # fixed values, too: they must equal the original's for equal results.
@@ -78,7 +80,7 @@ class SplitConfig:
 class CleaningConfig:
     enforce_transaction_id_unique: bool = True
     cast_types: bool = True
-    order_cols: tuple = ()   # explicit "file order" for keep-first; default all columns
+    order_cols: tuple = ()   # which row of a repeated id is first; default: ingest order, if the rows carry it
 
 
 @dataclass(frozen=True)
@@ -100,6 +102,9 @@ class DriftConfig:
     features: tuple = NUMERIC_FEATURES
     p_threshold: float = 0.05
     min_rows: int = 10
+    # "auto": exact up to p_exact_rows on both sides, a series beyond; or "limiting" (the limiting distribution)
+    p_method: str = "auto"
+    p_exact_rows: int = 10_000
     drift_share_alert: float = 0.30
     score_mean_change_alert: float = 0.05
     reference_score_mean: float | None = None

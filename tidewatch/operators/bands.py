@@ -6,15 +6,18 @@ mapped to ``low`` explicitly (numpy semantics of the original).
 
 from __future__ import annotations
 
-from typing import Callable, Mapping
+from dataclasses import dataclass
+from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tidewatch.config import BAND_ACTIONS, BAND_ORDER, SERVING_CUTOFFS, BandPolicy
 from tidewatch.functions.exprs import nan_to_null
 from tidewatch.operators.metrics import boundaries
 from tidewatch.operators.quantiles import exact_quantiles, prefix_sums
+from tidewatch.operators.schema import require_columns
+from tidewatch.session import scratch_table
 
 
 def band_cutoffs(scored: DataFrame, policy: BandPolicy = BandPolicy(), score: str = "score",
@@ -123,6 +126,41 @@ def score_batch(df: DataFrame, scorer: Callable[[DataFrame], DataFrame], policy:
     return assign_risk_band(scored, band_cutoffs(scored, policy))
 
 
+@dataclass(frozen=True)
+class BatchReport:
+    """What a batch score job did: where the rows are, the cutoffs it used, and the counts."""
+
+    path: str
+    cutoffs: dict
+    counts: dict
+
+
+def run_batch(df: DataFrame, scorer: Callable[[DataFrame], DataFrame], path: str, required: Sequence[str] = (), policy: BandPolicy = BandPolicy(),
+              id_col: str = "TransactionID", partition_by: Sequence[str] = ("risk_band",)) -> BatchReport:
+    """The batch score job: required columns (raises before any work) -> score -> cutoffs of *this* batch -> bands ->
+    partitioned Parquet at ``path`` -> counts.
+
+    The scorer runs once (its output is written, as the cutoffs read it before the bands can be set); the counts of rows, of
+    rows without a score and of each band are observed while the table is written, without another pass.
+    """
+    require_columns(df, required, "batch scoring")
+    scored = scratch_table(scorer(df), "batch-scores")
+    cutoffs = {}
+    if policy.policy == "exact_k":
+        banded = exact_capacity_bands(scored, policy, "score", id_col)
+    else:
+        cut = band_cutoffs(scored, policy)
+        cutoffs = cut.first().asDict()        # one row
+        # of a batch without any score the cutoffs are null, and all rows are low
+        banded = assign_risk_band(scored, {k: F.lit(v).cast("double") for k, v in cutoffs.items()})
+    seen = Observation("batch")
+    number = lambda c: F.coalesce(F.sum(c.cast("bigint")), F.lit(0).cast("bigint"))
+    banded = banded.observe(seen, F.count(F.lit(1)).alias("rows"), number(nan_to_null(F.col("score").cast("double")).isNull()).alias("without_score"),
+                            *[number(F.col("risk_band") == b).alias(b) for b in BAND_ORDER])
+    banded.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return BatchReport(path, cutoffs, dict(seen.get))
+
+
 def serving_bands(df: DataFrame, raw: str = "raw_score", calibrated: str = "score",
                   cutoffs: Mapping[str, float] = SERVING_CUTOFFS) -> DataFrame:
     """Frozen cutoffs, probabilities rounded to 6, band and action per row."""

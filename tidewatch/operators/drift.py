@@ -7,8 +7,11 @@ and the empirical CDFs come from one grouped distributed prefix sum.
 
 from __future__ import annotations
 
+import math
 from typing import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,10 +56,68 @@ def _ks_pvalue(d, n, m):
     return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
 
 
+def ks_outside(n: int, m: int, d: float) -> float:
+    """Exact P(D >= d) of the two-sample statistic under equal distributions, all orders of the n + m values equally likely.
+
+    Such an order is a random lattice path from (0, 0) to (n, m); D >= d if it leaves the band
+    ``|i / n - j / m| < d``. The probabilities of the points i + j = s that are reached inside the band follow from those
+    of s - 1, and what steps out of it adds up to the result: n + m vectorised steps over the band, no
+    differences of large numbers.
+    """
+    lattice = n * m // math.gcd(n, m)                    # D is a multiple of 1 / lattice
+    least = round(d * lattice)
+    if least <= 0:
+        return 1.0
+    edge, slope = (least - 0.5) / lattice, 1 / n + 1 / m
+    q, first, out = np.ones(1), 0, 0.0                   # q[k]: the point (first + k, s - first - k)
+    for s in range(1, n + m + 1):
+        i = np.arange(first, first + len(q) + 1)
+        left = n + m - s + 1
+        q = (np.r_[q, 0.0] * np.maximum(m - (s - 1 - i), 0) + np.r_[0.0, q] * (n - i + 1)) / left
+        lo, hi = math.ceil((s / m - edge) / slope), math.floor((s / m + edge) / slope)
+        inside = (i >= max(0, s - m, lo)) & (i <= min(n, s, hi))
+        out += float(q[~inside].sum())
+        if not inside.any():
+            return 1.0
+        q, first = q[inside], int(i[inside][0])
+    return min(1.0, out)
+
+
+def ks_series(n: float, d: float) -> float:
+    """P(D >= d) of the one-sample statistic for ``n`` values, by the limiting distribution and its expansion to n^(-3/2)."""
+    z = math.sqrt(n) * d
+    if z <= 0.04:
+        return 1.0
+    if z > 6:
+        return min(1.0, 2.0 * math.exp(-2.0 * z * z))
+    k = np.arange(0, 60)
+    h2 = (math.pi * (k + 0.5)) ** 2
+    eh = np.exp(-h2 / (2 * z * z))
+    k2 = (math.pi * np.arange(1, 60)) ** 2
+    ek = np.exp(-k2 / (2 * z * z))
+    c, z2 = 2 * math.sqrt(math.pi / 2), z * z            # twice: sums over all integers are symmetric
+    k0 = c / z * eh.sum()
+    k1 = c / (6 * z**4) * ((h2 - z2) * eh).sum()
+    k2_ = c / (72 * z**7) * (((6 * z2**3 + 2 * z2**2) + (2 * z2**2 - 5 * z2) * h2 + (1 - 2 * z2) * h2**2) * eh).sum() - c / (36 * z**3) * (k2 * ek).sum()
+    k3 = (c / (6480 * z**10) * (((5 - 30 * z2) * h2**3 + (-60 * z2 + 212 * z2**2) * h2**2 + (135 * z2**2 - 96 * z2**3) * h2 - 30 * z2**3 - 90 * z2**4) * eh).sum()
+          + c / (108 * z**6) * ((-(k2**2) + 3 * k2 * z2) * ek).sum())
+    return float(min(1.0, max(0.0, 1.0 - (k0 + k1 / math.sqrt(n) + k2_ / n + k3 / n**1.5))))
+
+
+def _ks_auto(exact_rows: int):
+    @F.pandas_udf("double")
+    def p(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:      # a row for each feature
+        one = lambda x, a, b: ks_outside(int(a), int(b), x) if max(a, b) <= exact_rows else ks_series(float(round(a * b / (a + b))), x)
+        return pd.Series([one(x, a, b) for x, a, b in zip(d, n, m, strict=True)], dtype="float64")
+    return p
+
+
 def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig(), n_buckets: int | None = None) -> DataFrame:
     """DR1 + DR2: per feature KS D, p-value, drift flag, means and mean change %.
 
-    Features with fewer than ``min_rows`` non-null values on either side are absent.
+    Features with fewer than ``min_rows`` non-null values on either side are absent. The p-value is exact up to
+    ``p_exact_rows`` rows on both sides and a series of the effective size beyond (``p_method="auto"``), or the
+    limiting distribution with a small-sample correction (``"limiting"``).
     """
     feats = _present(ref, cur, cfg.features)
     e = ecdf_table(ref, cur, feats, n_buckets=n_buckets)
@@ -67,7 +128,9 @@ def ks_drift(ref: DataFrame, cur: DataFrame, cfg: DriftConfig = DriftConfig(), n
                                   (F.sum(F.col("value") * F.col("c")) / F.first("c_total")).alias("_cm"))
     ks = ks.filter((F.col("n_ref") >= cfg.min_rows) & (F.col("n_cur") >= cfg.min_rows))
     # unrounded inputs carry private names: a select-list alias must never shadow them
-    p = _ks_pvalue(F.col("_d"), F.col("n_ref").cast("double"), F.col("n_cur").cast("double"))
+    n, m = F.col("n_ref").cast("double"), F.col("n_cur").cast("double")
+    ks = ks.withColumn("_p", _ks_pvalue(F.col("_d"), n, m) if cfg.p_method == "limiting" else _ks_auto(cfg.p_exact_rows)("_d", n, m))
+    p = F.col("_p")
     change = F.abs(F.col("_cm") - F.col("_rm")) / (F.abs(F.col("_rm")) + F.lit(1e-9)) * 100.0
     return ks.select(_name(feats).alias("feature"), F.round("_d", 4).alias("ks_statistic"), F.round(p, 4).alias("p_value"),
                      (p < cfg.p_threshold).alias("drift_detected"), F.round("_rm", 4).alias("ref_mean"),

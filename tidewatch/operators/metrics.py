@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions.exprs import nan_to_null
@@ -22,13 +22,13 @@ from tidewatch.operators.quantiles import assign_bin, exact_quantiles, prefix_su
 LOGLOSS_EPS = 2.220446049250313e-16   # float64 machine epsilon, the clip used for log-loss
 
 
-def score_table(scored: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
-    """Distinct scores with pos/neg counts and inclusive ascending cumulative counts."""
-    c = (scored.select(nan_to_null(F.col(p)).alias("s"), F.col(y).cast("int").alias("y"))
+def score_table(scored: DataFrame, y: str = "y", p: str = "p", n_buckets: int | None = None, groups: Sequence[str] = ()) -> DataFrame:
+    """Distinct scores (per group) with pos/neg counts and inclusive ascending cumulative counts."""
+    c = (scored.select(*groups, nan_to_null(F.col(p)).alias("s"), F.col(y).cast("int").alias("y"))
          .filter(F.col("s").isNotNull())
-         .groupBy("s").agg(F.sum((F.col("y") == 1).cast("bigint")).alias("pos"),
+         .groupBy(*groups, "s").agg(F.sum((F.col("y") == 1).cast("bigint")).alias("pos"),
                            F.sum((F.col("y") != 1).cast("bigint")).alias("neg")))
-    return prefix_sums(c, ["s"], ["pos", "neg"], n_buckets=n_buckets)
+    return prefix_sums(c, ["s"], ["pos", "neg"], groups, n_buckets=n_buckets)
 
 
 def _curve(st: DataFrame) -> DataFrame:
@@ -57,6 +57,29 @@ def pr_curve(scored: DataFrame, y: str = "y", p: str = "p") -> DataFrame:
                      (F.col("pos_total") / (F.col("pos_total") + F.col("neg_total"))).alias("base_rate"))
 
 
+def pr_curve_thinned(scored: DataFrame, n_points: int = 200, y: str = "y", p: str = "p", n_buckets: int | None = None) -> DataFrame:
+    """E2 for reports: at most ``n_points`` points of the curve, from the cumulative counts of the distinct scores.
+
+    Recall is cut into ``n_points - 1`` equal steps (and zero); of the points that end in a step the one
+    with the highest recall, and among these the highest threshold, stays. Average precision changes in a
+    step by no more than ``area_slack``, its width times the range of precision in it, so the thinned
+    curve's differs from the whole curve's by at most the sum of these. Columns: ``step``, ``threshold``,
+    ``precision``, ``recall``, ``base_rate``, ``area`` (the step's share of the thinned average
+    precision), ``area_slack``. A step that a large tie jumps over is absent.
+    """
+    if n_points < 2:
+        raise ValueError("a curve has two points at least")
+    st = _curve(score_table(scored, y, p, n_buckets)).filter(F.col("pos_total") > 0)
+    step = F.ceil(F.col("tp") * (n_points - 1) / F.col("pos_total")).cast("int")
+    point = F.struct("s", "precision", "recall", (F.col("pos_total") / (F.col("pos_total") + F.col("neg_total"))).alias("base_rate"))
+    cells = st.withColumn("step", step).groupBy("step").agg(F.max_by(point, F.struct("tp", -F.col("fp"))).alias("at"),
+                                                           F.min("precision").alias("_least"), F.max("precision").alias("_most"))
+    w = Window.orderBy("step")          # at most n_points rows
+    d = cells.withColumn("_width", F.col("at.recall") - F.coalesce(F.lag("at.recall").over(w), F.lit(0.0)))
+    return d.select("step", F.col("at.s").alias("threshold"), "at.precision", "at.recall", "at.base_rate",
+                    (F.col("_width") * F.col("at.precision")).alias("area"), (F.col("_width") * (F.col("_most") - F.col("_least"))).alias("area_slack"))
+
+
 def best_f1_threshold(scored: DataFrame, y: str = "y", p: str = "p", compat: bool = False) -> DataFrame:
     """Threshold maximising ``F1 = 2PR/(P+R+1e-12)``.
 
@@ -155,24 +178,51 @@ def reliability_curve(scored: DataFrame, n_bins: int = 10, y: str = "y", p: str
                                  F.count(F.lit(1)).alias("count")))
 
 
+def group_metrics(scored: DataFrame, groups: Sequence[str], y: str = "y", p: str = "p", top_pcts: Sequence[float] = (),
+                  id_col: str = "id") -> DataFrame:
+    """E1, E3, E4 and E5 of every group in one plan: long table (``groups``, ``metric``, ``value``) with rows, base rate, AUC, AP,
+    Brier, the best-F1 threshold and its F1, and precision, recall and lift of each top share of the rows (score
+    descending, then id; rows without a score last)."""
+    groups = list(groups)
+    every = scored.select(*groups, F.col(id_col).alias("_id"), F.col(y).cast("int").alias("_y"), nan_to_null(F.col(p).cast("double")).alias("_p"))
+    base = every.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"), F.avg(F.pow(F.col("_p") - F.col("_y"), 2)).alias("brier"))
+    st = _curve(score_table(every, "_y", "_p", groups=groups))
+    f1 = 2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F.lit(1e-12))
+    # at or above the lowest positive score: all scores below it have full recall, too, and no larger F1
+    candidate = F.when(F.col("pos_cum") > 0, F.struct(f1.alias("f"), (-F.col("s")).alias("t")))
+    curve = st.groupBy(*groups).agg(
+        (F.sum(F.col("pos") * (F.col("neg_cum") - F.col("neg") + F.col("neg") / 2.0)) / (F.first("pos_total") * F.first("neg_total"))).alias("auc_roc"),
+        F.sum(F.when(F.col("pos") > 0, F.col("pos") / F.col("pos_total") * F.col("precision"))).alias("avg_precision"), F.max(candidate).alias("_best"))
+    cells = [("n_rows", F.col("_n").cast("double")), ("base_rate", F.col("_pos") / F.col("_n")), ("auc_roc", F.col("auc_roc")), ("avg_precision", F.col("avg_precision")),
+             ("brier", F.col("brier")), ("best_threshold", -F.col("_best.t")), ("best_f1", F.col("_best.f"))]
+    long = lambda d, cs: d.select(*groups, F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("value")) for m, v in cs])))
+    out = long(base.join(curve, groups, "left"), cells)
+    if top_pcts:
+        ranked = prefix_sums(every.withColumn("_one", F.lit(1)), ["_p", "_id"], ["_one"], groups, descending=True)
+        k = [F.greatest(F.lit(1), F.floor(F.col("_one_total") * float(x) / 100)) for x in top_pcts]
+        top = ranked.groupBy(*groups).agg(F.count(F.lit(1)).alias("_n"), F.sum("_y").alias("_pos"),
+                                          *[F.sum(F.when(F.col("_one_cum") <= k[i], F.col("_y"))).alias(f"_hit{i}") for i in range(len(k))])
+        cells = []
+        for i, x in enumerate(top_pcts):
+            size = F.greatest(F.lit(1), F.floor(F.col("_n") * float(x) / 100))
+            precision = F.col(f"_hit{i}") / size
+            cells += [(f"precision_at_{float(x)}pct", precision), (f"recall_at_{float(x)}pct", F.col(f"_hit{i}") / F.greatest(F.col("_pos"), F.lit(1))),
+                      (f"lift_at_{float(x)}pct", precision / F.greatest(F.col("_pos") / F.col("_n"), F.lit(1e-12)))]
+        out = out.unionByName(long(top, cells))
+    return out
+
+
 def model_comparison(scored_by_model: Mapping[str, Mapping[str, DataFrame]], y: str = "y", p: str = "p",
                      top_pcts: Sequence[float] = (), id_col: str = "id") -> DataFrame:
-    """Long table ``(model, split, metric, value)`` for every model x split: rows, base rate, AUC, AP, Brier, the
-    best-F1 threshold and its F1, and with ``top_pcts`` (needs ``id_col``) precision, recall and lift of each top share."""
-    out = None
+    """Long table ``(model, split, metric, value)`` for every model x split, all cells in one plan (see
+    :func:`group_metrics`). ``id_col`` breaks ties of ``top_pcts``."""
+    every = None
     for model, by_split in scored_by_model.items():
         for split, sdf in by_split.items():
-            base = sdf.agg(F.count(F.lit(1)).cast("double").alias("n_rows"), F.avg(F.col(y).cast("double")).alias("base_rate"))
-            m = binary_metrics(sdf, y, p).crossJoin(best_f1_threshold(sdf, y, p).select("best_threshold", "best_f1")).crossJoin(base)
-            names = ("n_rows", "base_rate", "auc_roc", "avg_precision", "brier", "best_threshold", "best_f1")
-            long = m.select(F.expr(f"stack({len(names)}, " + ", ".join(f"'{c}', {c}" for c in names) + ") as (metric, value)"))
-            if top_pcts:
-                cells = [F.struct(F.concat(F.lit(f"{c}_at_"), F.col("top_pct").cast("string"), F.lit("pct")).alias("metric"), F.col(c).alias("value"))
-                         for c in ("precision", "recall", "lift")]
-                long = long.unionByName(lift_at_k(sdf, top_pcts, y, p, id_col).select(F.inline(F.array(*cells))))
-            long = long.select(F.lit(model).alias("model"), F.lit(split).alias("split"), "metric", "value")
-            out = long if out is None else out.unionByName(long)
-    return out
+            rows = sdf.select(F.lit(model).alias("model"), F.lit(split).alias("split"), (F.col(id_col) if id_col in sdf.columns else F.lit(0)).alias("id"),
+                              F.col(y).cast("int").alias("y"), F.col(p).cast("double").alias("p"))
+            every = rows if every is None else every.unionByName(rows)
+    return group_metrics(every, ["model", "split"], "y", "p", top_pcts, "id")
 
 
 def linear_attributions(explain: DataFrame, background: DataFrame, coefs: Mapping[str, float]) -> DataFrame:

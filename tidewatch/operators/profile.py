@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.config import AuditConfig, CleaningConfig
-from tidewatch.functions.exprs import coerce_double, coerce_long
+from tidewatch.config import INGEST, AuditConfig, CleaningConfig
+from tidewatch.functions.exprs import coerce_double, coerce_long, nan_to_null
 from tidewatch.functions.keys import na_token
 from tidewatch.operators.quantiles import exact_quantiles
 from tidewatch.operators.schema import coerce_core_types, require_columns
@@ -79,13 +79,19 @@ def _unpivot(df: DataFrame, cols: Sequence[str], value_type: str, value_expr=Non
 
 
 def numeric_sanity(df: DataFrame, cols: Sequence[str] = ("TransactionAmt", "card1", "card2", "addr1", "addr2"),
-                   qs: Sequence[float] = (0.5, 0.95, 0.99)) -> DataFrame:
-    """Per column missing %, min, max and exact linear p50 / p95 / p99."""
+                   qs: Sequence[float] = (0.5, 0.95, 0.99), exact: bool = True, accuracy: int = 10_000) -> DataFrame:
+    """Per column missing %, min, max and p50 / p95 / p99: exact (linear), or with ``exact=False`` values whose rank is
+    within a part in ``accuracy`` of the rows (one aggregate for everything, no sort)."""
     cols = [c for c in cols if c in df.columns]
     long = _unpivot(df, cols, "double", lambda c: coerce_double(F.col(f"`{c}`")))
     base = long.groupBy("column").agg(
         (F.avg(F.col("value").isNull().cast("double")) * 100.0).alias("missing_pct"),
         F.min("value").alias("min"), F.max("value").alias("max"))
+    if not exact:
+        sketch = F.percentile_approx(nan_to_null(F.col("value")), [float(x) for x in qs], accuracy)
+        both = long.groupBy("column").agg((F.avg(F.col("value").isNull().cast("double")) * 100.0).alias("missing_pct"),
+                                          F.min("value").alias("min"), F.max("value").alias("max"), sketch.alias("_q"))
+        return both.select("column", "missing_pct", "min", "max", *[F.col("_q")[i].alias(f"p{int(round(x * 100))}") for i, x in enumerate(qs)])
     q = exact_quantiles(long, "value", list(qs), "linear", group_cols=["column"])
     piv = q.groupBy("column").agg(*[F.max(F.when(F.col("q") == x, F.col("value"))).alias(
         f"p{int(round(x * 100))}") for x in qs])
@@ -140,13 +146,16 @@ def duplicate_count(df: DataFrame, key: str = "TransactionID") -> DataFrame:
 
 def drop_duplicates_keep_first(df: DataFrame, key: str = "TransactionID",
                                order_cols: Sequence[str] = ()) -> DataFrame:
-    """One row per key, the first by an explicit order (default: all columns).
+    """One row per key, the first by an explicit order, or in ingest order where the rows carry it
+    (``_ingest``, see :func:`tidewatch.sources.io.read_csv`); raises where there is neither.
 
     Written as an aggregate (``min_by`` of the row struct), so map-side partial
     aggregation collapses a key with huge numbers of copies before the shuffle;
     a ``row_number`` window would send all copies of a hot key to one task.
     """
-    order_cols = list(order_cols) or [c for c in df.columns if c != key]
+    order_cols = list(order_cols) or [c for c in (INGEST,) if c in df.columns]
+    if not order_cols:
+        raise ValueError(f"which row of a repeated {key} is first? Give order_cols, or read the rows with their ingest order")
     others = [c for c in df.columns if c != key]
     if not others:
         return df.select(key).distinct()

@@ -140,6 +140,17 @@ def exact_quantiles(df: DataFrame, col: str, qs: Sequence[float], interpolation:
     return agg.select(*groups, F.inline(F.array(*cells)))
 
 
+def approx_quantiles(df: DataFrame, col: str, qs: Sequence[float], group_cols=(), accuracy: int = 10_000) -> DataFrame:
+    """A6 / A11 from mergeable sketches: one row per (group, q), in one aggregate of bounded state, without a sort or a
+    shuffle of values. The answer is a value of the column (neither null nor NaN) whose rank is within
+    ``n / accuracy`` of ``q * n``."""
+    groups = _as_list(group_cols)
+    d = df.select(*groups, nan_to_null(F.col(col).cast("double")).alias("_v")).filter(F.col("_v").isNotNull())
+    agg = F.percentile_approx("_v", [float(q) for q in qs], accuracy).alias("_q")
+    got = d.groupBy(*groups).agg(agg) if groups else d.agg(agg)
+    return got.select(*groups, F.inline(F.arrays_zip(F.array(*[F.lit(float(q)) for q in qs]).alias("q"), F.col("_q").alias("value"))))
+
+
 def quantile_dict(df: DataFrame, col: str, qs: Sequence[float], interpolation: str = "linear") -> dict:
     """Driver-side ``{q: value}`` for a handful of quantiles (the result is tiny)."""
     return {r["q"]: r["value"] for r in exact_quantiles(df, col, qs, interpolation).collect()}

@@ -12,6 +12,7 @@ from typing import Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.config import CORRUPT
 from tidewatch.functions.exprs import coerce_double, coerce_long
 
 
@@ -49,8 +50,8 @@ def _rule(c: str, rule: str) -> Column:
 
 
 def check_constraints(df: DataFrame, rules: Mapping[str, str] = SCORING_CONSTRAINTS) -> DataFrame:
-    """V2: add ``violations array<string>`` (missing column -> ``col:missing``)."""
-    items = []
+    """V2: add ``violations array<string>`` (missing column -> ``col:missing``; a row that its reader could not parse -> ``row:corrupt``)."""
+    items = [F.when(F.col(CORRUPT).isNotNull(), F.lit("row:corrupt"))] if CORRUPT in df.columns else []
     for c, rule in rules.items():
         if c in df.columns:
             items.append(_rule(c, rule))

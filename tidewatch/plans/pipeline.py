@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import CleaningConfig, FeatureConfig, LabelConfig, SplitConfig
+from tidewatch.config import CORRUPT, CleaningConfig, FeatureConfig, LabelConfig, SplitConfig
 from tidewatch.operators import features as feat
 from tidewatch.operators import labels as lab
 from tidewatch.operators import profile as prof
@@ -37,13 +37,15 @@ TRANSACTION_RULES = {"TransactionID": "required", "TransactionDT": "required"}
 
 def clean_and_quarantine(transactions: DataFrame, cfg: CleaningConfig = CleaningConfig()) -> tuple[DataFrame, DataFrame]:
     """Cleaned transactions, and the rows kept out of them with their ``violations`` (after coercion: a
-    missing or unreadable id or time)."""
+    missing or unreadable id or time, or a line that its reader could not parse). Of a repeated id the first row stays,
+    by ``cfg.order_cols`` or the ingest order."""
     from dataclasses import replace
 
     from tidewatch.operators.schema import coerce_core_types, require_columns
     require_columns(transactions, ["TransactionID", "TransactionDT", "TransactionAmt", "isFraud"], "cleaning")
     typed = coerce_core_types(transactions) if cfg.cast_types else transactions
     good, bad = split_valid(typed, TRANSACTION_RULES)
+    good = good.drop(CORRUPT)
     return prof.clean_merged_dataset(good, replace(cfg, cast_types=False)), bad
 
 
@@ -75,9 +77,13 @@ def build_dataset(transactions: DataFrame, cfg: PipelineConfig = PipelineConfig(
     return materialize(ds, f"dataset_{uuid.uuid4().hex[:12]}")
 
 
+#: the events have one row for each id, so any order does
+EVENTS = PipelineConfig(cleaning=CleaningConfig(order_cols=("TransactionDT", "TransactionAmt")))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per split: rows, label positives, fraud rows and mean ``cnt_1h`` / ``fp_cnt_24h``."""
-    ds = build_dataset(events_transactions(spark, sf_dir))
+    ds = build_dataset(events_transactions(spark, sf_dir), EVENTS)
     return (ds.groupBy("split").agg(F.count(F.lit(1)).alias("rows"),
                                     F.sum(F.col("y_ew_72h").cast("bigint")).alias("positives"),
                                     F.sum("isFraud").cast("bigint").alias("fraud_rows"),

@@ -17,7 +17,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.config import FeatureConfig, LabelConfig, SplitConfig
+from tidewatch.config import CleaningConfig, FeatureConfig, LabelConfig, SplitConfig
 from tidewatch.functions.exprs import fixed4, fixed4_sql as f4
 from tidewatch.functions.keys import stable_hash_bucket
 from tidewatch.operators import features as feat
@@ -408,7 +408,7 @@ SELECT (SELECT count(*) FROM both_) AS rows_before, 4 AS cols_before, count(*) A
 def q_clean(spark, sf_dir):
     """A10: keep-first de-duplication + coercion with the cleaning metrics, on rows with repeats, missing and unreadable values."""
     tx = _dirty(spark, sf_dir)
-    m = prof.cleaning_metrics(tx, prof.clean_merged_dataset(tx))
+    m = prof.cleaning_metrics(tx, prof.clean_merged_dataset(tx, CleaningConfig(order_cols=("TransactionDT", "TransactionAmt", "isFraud"))))
     return m.select("rows_before", F.col("cols_before").cast("int").alias("cols_before"), "rows_after",
                     F.col("cols_after").cast("int").alias("cols_after"),
                     *[fixed4(F.col(c)).alias(c) for c in m.columns if c.startswith("missing_")],
@@ -624,7 +624,7 @@ SELECT k.feature, round(d, 4) AS ks_statistic, round(pv, 4) AS p_value, pv < 0.0
 def q_ks(spark, sf_dir):
     """DR1 + DR2: two-sample KS (D, asymptotic p), drift flag, mean shift, all features in one plan."""
     ref, cur = _ref_cur(spark, sf_dir)
-    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS))
+    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS, p_method="limiting"))
 
 
 @register("wasserstein_drift", f"""WITH {_ECDF_SQL},
@@ -656,7 +656,7 @@ def q_drift_summary(spark, sf_dir):
     """DR6: share of drifted features and the global alert; small against large quantities, so that some drift and some don't."""
     li = table(spark, sf_dir, "lineitem")
     ref, cur = li.filter("l_quantity <= 30"), li.filter("l_quantity > 30")
-    cfg = DriftConfig(features=_DRIFT_FEATS)
+    cfg = DriftConfig(features=_DRIFT_FEATS, p_method="limiting")
     s = drf.drift_summary(drf.ks_drift(ref, cur, cfg), ref, cfg)
     return s.select("n_features_monitored", "n_features_drifted", "drift_share", F.array_join("drifted_features", ",").alias("drifted"),
                     "alert_drift_threshold", "global_alert")
@@ -937,8 +937,8 @@ from tidewatch.operators import models as mdl  # noqa: E402
 
 
 def _dataset(spark, sf_dir):
-    from tidewatch.plans.pipeline import build_dataset
-    return build_dataset(events_transactions(spark, sf_dir))
+    from tidewatch.plans.pipeline import EVENTS, build_dataset
+    return build_dataset(events_transactions(spark, sf_dir), EVENTS)
 
 
 def _numeric(ds):
@@ -1198,7 +1198,7 @@ def q_lift_buckets(spark, sf_dir):
 def q_ks_buckets(spark, sf_dir):
     """DR1 + X1: KS over 64 range partitions."""
     ref, cur = _ref_cur(spark, sf_dir)
-    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS), n_buckets=64)
+    return drf.ks_drift(ref, cur, DriftConfig(features=_DRIFT_FEATS, p_method="limiting"), n_buckets=64)
 
 
 @register("wasserstein_drift_buckets", REGISTRY["wasserstein_drift"][1])
@@ -1264,7 +1264,7 @@ SELECT 'quarantine', TransactionID, dt, {f4('amt')}, CAST(isFraud AS INTEGER), c
 def q_quarantine(spark, sf_dir):
     """V2 + P4 + D2 as the pipeline runs them: coerced rows with a broken contract go to quarantine, the rest is de-duplicated."""
     from tidewatch.plans.pipeline import clean_and_quarantine
-    good, bad = clean_and_quarantine(_dirty(spark, sf_dir))
+    good, bad = clean_and_quarantine(_dirty(spark, sf_dir), CleaningConfig(order_cols=("TransactionDT", "TransactionAmt", "isFraud")))
     cols = ["TransactionID", "TransactionDT", fixed4(F.col("TransactionAmt")).alias("TransactionAmt"), "isFraud"]
     return good.select(F.lit("clean").alias("part"), *cols, F.lit("").alias("violations"), F.lit(1).alias("copies")).unionByName(
         bad.select(F.lit("quarantine").alias("part"), *cols, F.array_join("violations", ",").alias("violations"), F.lit(1).alias("copies")))
@@ -1332,3 +1332,177 @@ def q_relu(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", *[F.expr(x).alias(f"x{i}") for i, x in enumerate(_NET_IN)])
     out = mdl.mlp_logits(li, ["x0", "x1", "x2"], [(np.array(w), np.array(b)) for w, b in zip(_NET_W, _NET_B)])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", F.floor(F.col("logit") * 100 + 0.503).alias("logit_pct"))
+
+
+# ---------------------------------------------------------------------------
+# E2 thinned, E8 / E9 with given models, A6 / A11 by sketches, DR1 exact, B5, S1 + D2 in file order
+# ---------------------------------------------------------------------------
+_POINTS = 50
+
+
+@register("pr_curve_thinned", f"""{_CURVE_SQL}, q AS (SELECT p, tp, fp, tp / (tp + fp) AS pr, tp / tot_pos AS rc, tot_pos / (tot_pos + tot_neg) AS base,
+  CAST((tp * {_POINTS - 1} + tot_pos - 1) // tot_pos AS INTEGER) AS step FROM k),
+cell AS (SELECT step, arg_max(struct_pack(p := p, pr := pr, rc := rc, base := base), (tp, -fp)) AS a, min(pr) AS lo, max(pr) AS hi FROM q GROUP BY step),
+w AS (SELECT *, a.rc - coalesce(lag(a.rc) OVER (ORDER BY step), 0) AS width FROM cell)
+SELECT step, {f4('a.p')} AS threshold, {f4('a.pr')} AS precision, {f4('a.rc')} AS recall, {f4('a.base')} AS base_rate, {f4('width * a.pr')} AS area, {f4('width * (hi - lo)')} AS area_slack FROM w""")
+def q_pr_thin(spark, sf_dir):
+    """E2 for reports: at most 50 points of the precision-recall curve."""
+    c = met.pr_curve_thinned(_scored(spark, sf_dir), _POINTS)
+    return c.select("step", *[fixed4(F.col(x)).alias(x) for x in c.columns[1:]])
+
+
+@register("pr_curve_thinned_area", f"""{_CURVE_SQL}
+SELECT {f4('sum(CASE WHEN pos > 0 THEN pos / tot_pos * tp / (tp + fp) END)')} AS area_whole, true AS few_points, true AS within_slack FROM k""")
+def q_pr_area(spark, sf_dir):
+    """The thinned curve's area is that of the whole curve within its stated slack."""
+    s = _scored(spark, sf_dir)
+    thin = met.pr_curve_thinned(s, _POINTS).agg(F.count(F.lit(1)).alias("n"), F.sum("area").alias("a"), F.sum("area_slack").alias("slack"))
+    whole = met.binary_metrics(s).select("avg_precision")
+    return whole.crossJoin(thin).select(fixed4(F.col("avg_precision")).alias("area_whole"), (F.col("n") <= _POINTS).alias("few_points"),
+                                        (F.abs(F.col("avg_precision") - F.col("a")) <= F.col("slack") + 1e-12).alias("within_slack"))
+
+
+_SKETCHED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@register("approx_quantile_ranks", " UNION ALL ".join(f"""SELECT '{c}' AS "column", q, count({c}) AS n, true AS within FROM lineitem, (VALUES (0.5), (0.95), (0.99)) v(q) GROUP BY q""" for c in _SKETCHED))
+def q_approx(spark, sf_dir):
+    """A6 / A11 with sketches: the true rank of every answer, counted, is within n / accuracy (1,000) of q * n."""
+    from tidewatch.operators.quantiles import approx_quantiles
+    long = table(spark, sf_dir, "lineitem").select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in _SKETCHED])))
+    got = approx_quantiles(long, "value", [0.5, 0.95, 0.99], ["column"], accuracy=1000).withColumnRenamed("value", "answer")
+    # a value holds the ranks from those below it to those up to it
+    ranks = long.join(F.broadcast(got), "column").groupBy("column", "q", "answer").agg(
+        F.count("value").alias("n"), F.sum((F.col("value") < F.col("answer")).cast("long")).alias("below"), F.sum((F.col("value") <= F.col("answer")).cast("long")).alias("upto"))
+    want, slack = F.col("q") * F.col("n"), F.col("n") / 1000 + 1
+    return ranks.select("column", "q", "n", ((F.col("below") - slack <= want) & (want <= F.col("upto") + slack)).alias("within"))
+
+
+@register("numeric_sanity_approx", " UNION ALL ".join(f"""SELECT '{c}' AS "column", {f4(f'avg(CAST({c} IS NULL AS DOUBLE)) * 100.0')} AS missing_pct, {f4(f'min({c})')} AS min, {f4(f'max({c})')} AS max, true AS ordered FROM lineitem""" for c in _SKETCHED))
+def q_sanity_approx(spark, sf_dir):
+    """A6 in one aggregate: missing share and range exact, quantiles from sketches."""
+    m = prof.numeric_sanity(table(spark, sf_dir, "lineitem"), _SKETCHED, exact=False)
+    ordered = (F.col("min") <= F.col("p50")) & (F.col("p50") <= F.col("p95")) & (F.col("p95") <= F.col("p99")) & (F.col("p99") <= F.col("max"))
+    return m.select("column", *[fixed4(F.col(c)).alias(c) for c in ("missing_pct", "min", "max")], ordered.alias("ordered"))
+
+
+_KS_FEATURES = ("s_acctbal", "s_nationkey")
+_KS_EXACT_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value, s_suppkey % 3 = 0 AS cur FROM supplier" for c in _KS_FEATURES)
+
+
+@register("ks_drift_exact", f"""WITH RECURSIVE v AS ({_KS_EXACT_SQL}),
+g AS (SELECT feature, value, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM v GROUP BY feature, value),
+e AS (SELECT feature, sum(r) OVER w AS rc, sum(c) OVER w AS cc, sum(r) OVER t AS rt, sum(c) OVER t AS ct FROM g WINDOW w AS (PARTITION BY feature ORDER BY value), t AS (PARTITION BY feature)),
+d AS (SELECT feature, max(abs(rc / rt - cc / ct)) AS d, CAST(max(rt) AS BIGINT) AS n_ref, CAST(max(ct) AS BIGINT) AS n_cur FROM e GROUP BY feature),
+s AS (SELECT *, greatest(n_ref, n_cur) AS n, least(n_ref, n_cur) AS m, d - 0.5 / (n_ref * n_cur) AS edge FROM d),
+p(feature, i, n, m, edge, u) AS (
+  SELECT feature, 0, n, m, edge, list_transform(range(0, m + 1), lambda j: CASE WHEN j / m < edge THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FROM s
+  UNION ALL
+  SELECT feature, i + 1, n, m, edge, list_transform(range(1, m + 2), lambda k: CASE WHEN abs((i + 1) / n - (k - 1) / m) < edge THEN list_sum(list_transform(range(1, k + 1),
+    lambda b: CASE WHEN abs((i + 1) / n - (b - 1) / m) < edge THEN u[b] * (i + 1) / (i + 1 + m) ELSE 0.0::DOUBLE END)) ELSE 0.0::DOUBLE END) FROM p WHERE i < n)
+SELECT feature, {f4('d')} AS ks_statistic, {f4('1 - u[m + 1]')} AS p_value, n_ref, n_cur FROM s JOIN (SELECT feature, u FROM p WHERE i = n) x USING (feature)""")
+def q_ks_exact(spark, sf_dir):
+    """DR1 with the exact null distribution, on two small samples (the second feature is heavily tied)."""
+    d = table(spark, sf_dir, "supplier").select("s_suppkey", *[F.col(c).cast("double").alias(c) for c in _KS_FEATURES])
+    k = drf.ks_drift(d.filter("s_suppkey % 3 <> 0"), d.filter("s_suppkey % 3 = 0"), DriftConfig(features=_KS_FEATURES))
+    return k.select("feature", fixed4(F.col("ks_statistic")).alias("ks_statistic"), fixed4(F.col("p_value")).alias("p_value"), "n_ref", "n_cur")
+
+
+_GIVEN = {"steep": (50.0, 40.0), "flat": (20.0, -90.0)}       # logit = (value - a) / b
+_GIVEN_SQL = " UNION ALL ".join(f"SELECT '{m}' AS model, split, TransactionID AS id, y, 1.0 / (1.0 + exp(-((TransactionAmt - {a}) / ({b})))) AS p FROM parts WHERE split <> 'train'" for m, (a, b) in _GIVEN.items())
+
+
+def _stacked(cells) -> str:
+    return "unnest([" + ", ".join(f"struct_pack(metric := '{m}', value := CAST({v} AS DOUBLE))" for m, v in cells) + "])"
+
+
+_SPLIT_SQL = f"""c AS ({_CUT_SQL}), parts AS (SELECT *, coalesce(isFraud, 0) AS y, CASE WHEN TransactionDT <= train_end THEN 'train' WHEN TransactionDT <= valid_end THEN 'valid' ELSE 'test' END AS split
+  FROM ({EVENTS_TX_SQL}) x, c)"""
+
+
+@register("model_comparison_given", f"""WITH {_SPLIT_SQL}, s AS ({_GIVEN_SQL}),
+g AS (SELECT model, split, p, sum(y) AS pos, count(*) - sum(y) AS neg FROM s WHERE p IS NOT NULL GROUP BY ALL),
+k AS (SELECT *, sum(pos) OVER t AS tot_pos, sum(neg) OVER t AS tot_neg, sum(neg) OVER w AS neg_cum, sum(pos) OVER w AS pos_cum FROM g WINDOW t AS (PARTITION BY model, split), w AS (PARTITION BY model, split ORDER BY p)),
+e AS (SELECT *, tot_pos - pos_cum + pos AS tp, tot_neg - neg_cum + neg AS fp FROM k),
+f AS (SELECT *, 2 * (tp / (tp + fp)) * (tp / tot_pos) / (tp / (tp + fp) + tp / tot_pos + 1e-12) AS f1 FROM e),
+a AS (SELECT model, split, sum(pos * (neg_cum - neg + neg / 2.0)) / (max(tot_pos) * max(tot_neg)) AS auc, sum(CASE WHEN pos > 0 THEN pos / tot_pos * tp / (tp + fp) END) AS ap, max(f1) AS bf,
+      arg_max(p, (f1, -p)) FILTER (pos_cum > 0) AS bt FROM f GROUP BY model, split),
+b AS (SELECT model, split, count(*) AS n, avg(y) AS base, avg(power(p - y, 2)) AS brier, sum(y) AS pos FROM s GROUP BY model, split),
+r AS (SELECT model, split, y, row_number() OVER (PARTITION BY model, split ORDER BY p DESC NULLS LAST, id) AS rn FROM s),
+h AS (SELECT model, split, pct, sum(r.y) AS hit, max(greatest(1, floor(n * pct / 100))) AS k, max(pos) AS pos, max(base) AS base FROM r JOIN b USING (model, split), (VALUES (1.0), (3.0), (8.0)) v(pct)
+      WHERE rn <= greatest(1, floor(n * pct / 100)) GROUP BY ALL),
+o AS (SELECT model, split, {_stacked([("n_rows", "n"), ("base_rate", "base"), ("auc_roc", "auc"), ("avg_precision", "ap"), ("brier", "brier"), ("best_threshold", "bt"), ("best_f1", "bf")])} AS x FROM a JOIN b USING (model, split)
+  UNION ALL SELECT model, split, unnest([struct_pack(metric := 'precision_at_' || pct || 'pct', value := CAST(hit / k AS DOUBLE)), struct_pack(metric := 'recall_at_' || pct || 'pct', value := CAST(hit / greatest(pos, 1) AS DOUBLE)),
+    struct_pack(metric := 'lift_at_' || pct || 'pct', value := CAST(hit / k / greatest(base, 1e-12) AS DOUBLE))]) FROM h)
+SELECT model, split, x.metric AS metric, {f4('x.value')} AS value FROM o""")
+def q_compare_given(spark, sf_dir):
+    """Two given models on the valid and test parts: every metric of every cell, in one plan."""
+    tx = spl.time_split(_tx(spark, sf_dir, "events"))
+    cells = {m: {part: tx.filter(F.col("split") == part).select(F.col("TransactionID").alias("id"), F.col("isFraud").alias("y"),
+                                                               (F.lit(1.0) / (F.lit(1.0) + F.exp(-((F.col("TransactionAmt") - a) / b)))).alias("p")) for part in ("valid", "test")}
+             for m, (a, b) in _GIVEN.items()}
+    c = met.model_comparison(cells, top_pcts=(1, 3, 8))
+    return c.select("model", "split", "metric", fixed4(F.col("value")).alias("value"))
+
+
+_COEFS = {"cnt_1h": 0.5, "cnt_24h": -0.125, "sum_amt_1h": 0.01, "mean_amt_7d_hist": 0.02}
+
+
+@register("linear_attributions_given", f"""WITH f AS ({entity_features_sql(EVENTS_TX_SQL)}), {_SPLIT_SQL},
+d AS (SELECT f.*, split FROM f JOIN parts USING (TransactionID)),
+m AS (SELECT {', '.join(f"avg({c}) AS {c}" for c in _COEFS)} FROM d WHERE split = 'train')
+SELECT x.feature AS feature, {f4('x.value')} AS mean_abs_attribution FROM (SELECT unnest([{', '.join(f"struct_pack(feature := '{c}', value := avg(abs({b} * (d.{c} - m.{c}))))" for c, b in _COEFS.items())}]) AS x
+  FROM d, m WHERE split = 'test') t""")
+def q_attr_given(spark, sf_dir):
+    """E9 with given coefficients: mean absolute linear attribution over the whole test part."""
+    ds = spl.time_split(feat.add_entity_time_features(feat.add_keys(_tx(spark, sf_dir, "events"))))
+    ds = ds.select("split", *[fixed4(F.col(c).cast("double")).alias(c) for c in _COEFS])
+    a = met.linear_attributions(ds.filter("split = 'test'"), ds.filter("split = 'train'"), _COEFS)
+    return a.select("feature", fixed4(F.col("mean_abs_attribution")).alias("mean_abs_attribution"))
+
+
+@register("batch_score_job", f"""WITH b AS ({_BANDED_SQL}), n AS (SELECT count(*) AS rows_all, count(*) FILTER (risk_band = 'critical') AS n_critical, count(*) FILTER (risk_band = 'high') AS n_high,
+  count(*) FILTER (risk_band = 'medium') AS n_medium, count(*) FILTER (risk_band = 'low') AS n_low FROM b)
+SELECT id, {f4('p')} AS score, risk_band, n.*, {', '.join(f4('c.' + x) + ' AS cut_' + x for x in ('critical', 'high', 'medium'))} FROM b, n, ({_CUTS_SQL}) c""")
+def q_batch_job(spark, sf_dir):
+    """The whole job (column check, score, cutoffs of the batch, bands, partitioned table, counts observed in the write), read back."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    path = os.path.join(checkpoint_dir(spark), "tables", f"batch-{uuid.uuid4().hex}")
+    ev = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), "value")
+    report = bnd.run_batch(ev, lambda d: d.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-((F.col("value") - 50.0) / 40.0)))), path, ["id", "value"], id_col="id")
+    n, cut = report.counts, report.cutoffs
+    return spark.read.parquet(path).select("id", fixed4(F.col("score")).alias("score"), "risk_band", F.lit(n["rows"]).alias("rows_all"),
+                                           *[F.lit(n[b]).alias(f"n_{b}") for b in ("critical", "high", "medium", "low")],
+                                           *[fixed4(F.lit(cut[c])).alias(f"cut_{c}") for c in ("critical", "high", "medium")])
+
+
+_LINES_SQL = """SELECT event_id, user_id, event_type, value + 1000 * copy AS value, copy, CASE WHEN copy = 0 THEN event_id % 4 ELSE event_id * 7 % 4 END AS part, event_id * 3 + copy AS pos,
+  event_id % 50 = 0 AND copy = 0 AS bad FROM events, (VALUES (0), (1)) c(copy)"""
+
+
+@register("csv_first_in_file", f"""WITH l AS ({_LINES_SQL})
+SELECT 'kept' AS part, event_id, user_id, event_type, {f4('value')} AS value, '' AS violations FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY part, pos) AS r FROM l WHERE NOT bad) t WHERE r = 1
+UNION ALL SELECT 'quarantine', event_id, NULL, event_type, {f4('value')}, 'row:corrupt' FROM l WHERE bad""")
+def q_first_in_file(spark, sf_dir):
+    """S1 + V2 + D2: text files with every event twice and some bad lines; of the readable ones the first in file order stays, the bad lines go to quarantine."""
+    import os
+    import uuid
+
+    from tidewatch.operators.schema import split_valid
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.sources import io
+    base = os.path.join(checkpoint_dir(spark), "tables", f"lines-{uuid.uuid4().hex}")
+    e = table(spark, sf_dir, "events").withColumn("copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    i, copy = F.col("event_id"), F.col("copy")
+    user = F.when((i % 50 == 0) & (copy == 0), F.lit("no number")).otherwise(F.col("user_id").cast("string"))
+    e = e.select(F.when(copy == 0, i % 4).otherwise(i * 7 % 4).alias("part"), (i * 3 + copy).alias("pos"), F.concat_ws(",", i, user, "event_type", F.col("value") + 1000 * copy).alias("line"))
+    e.repartitionByRange(4, "part").sortWithinPartitions("part", "pos").select("line").write.text(base)
+    rows = io.read_csv(spark, base, spark.createDataFrame([], "event_id long, user_id long, event_type string, value double").schema, ingest_order=True, keep_corrupt=True, header=False)
+    good, bad = split_valid(rows, {})
+    first = prof.drop_duplicates_keep_first(good, "event_id")
+    columns = ["event_id", "user_id", "event_type", fixed4(F.col("value")).alias("value")]
+    return first.select(F.lit("kept").alias("part"), *columns, F.lit("").alias("violations")).unionByName(
+        bad.select(F.lit("quarantine").alias("part"), *columns, F.array_join("violations", ",").alias("violations")))

@@ -10,6 +10,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.config import CORRUPT, INGEST
+
 # Declared schema of the transaction columns the pipeline uses.
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("TransactionID", T.LongType()),
@@ -47,12 +49,30 @@ class DataPaths:
         return os.path.join(getattr(self, area), name)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Header CSV with an explicit schema (no inference pass over the data)."""
-    r = spark.read.option("header", True).option("mode", "PERMISSIVE")
+def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, ingest_order: bool = False,
+             keep_corrupt: bool = False, **options) -> DataFrame:
+    """Header CSV with an explicit schema (no inference pass over the data).
+
+    ``ingest_order`` adds ``_ingest``, see :func:`with_ingest_order`. ``keep_corrupt`` (with a schema) adds
+    ``_corrupt_record``, the text of a line that doesn't parse as the schema says and null otherwise;
+    :func:`tidewatch.operators.schema.split_valid` sends such rows to quarantine. Other ``options`` go to Spark's reader.
+    """
+    r = spark.read.option("header", True).option("mode", "PERMISSIVE").options(**options)
     if schema is not None:
+        if keep_corrupt:
+            schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+            r = r.option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", False)
         r = r.schema(schema)
-    return r.csv(path)
+    df = r.csv(path)
+    return with_ingest_order(df) if ingest_order else df
+
+
+def with_ingest_order(scan: DataFrame) -> DataFrame:
+    """Add ``_ingest`` to a file scan: (file, first byte of the split, row number). The row number ascends within a split, so
+    the struct orders rows as they stand in their files, files by name, without a shuffle. Take it at the scan, before any
+    other operation."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return scan.select("*", place.alias(INGEST))
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
