@@ -6,7 +6,7 @@ becomes ``""``. ``concat_ws`` is not used because it skips nulls.
 
 from __future__ import annotations
 
-from typing import Iterable
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -63,3 +63,69 @@ def stable_hash_bucket(c, buckets: int) -> Column:
         chunk = F.conv(F.substring(h, 1 + 8 * i, 8), 16, 10).cast("bigint")
         r = (r * F.lit(2 ** 32) + chunk) % F.lit(buckets)
     return r.cast("int")
+
+
+_WORD = 0xFFFFFFFF
+
+
+def _let(x: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(x)`` with ``x`` computed once, however often ``f`` uses it."""
+    return F.transform(F.array(x), f)[0]
+
+
+def _times(x: Column, c: int) -> Column:
+    """Low 32 bits of ``x * c`` for 0 <= x < 2^32, without leaving 63 bits."""
+    low, high = c & 0xFFFF, c >> 16
+    return _let(x, lambda v: (v * F.lit(low) + F.shiftleft((v * F.lit(high)).bitwiseAND(F.lit(0xFFFF)), 16)).bitwiseAND(F.lit(_WORD)))
+
+
+def _rotated(x: Column, by: int) -> Column:
+    return _let(x, lambda v: F.shiftleft(v, by).bitwiseAND(F.lit(_WORD)).bitwiseOR(F.shiftright(v, 32 - by)))
+
+
+def _shifted(x: Column, by: int) -> Column:
+    return _let(x, lambda v: v.bitwiseXOR(F.shiftright(v, by)))
+
+
+def murmur3_32(c, seed: int = 0) -> Column:
+    """Signed 32-bit Murmur3 (x86) of a string's UTF-8 bytes, as a long, in column expressions (Spark's own ``hash`` has
+    another seed and treats the last bytes in its own way); null for null."""
+    c = (F.col(c) if isinstance(c, str) else c).cast("string")
+    hexed = F.hex(F.encode(c, "UTF-8"))
+
+    def bytes_at(h: Column, at: Column, n: Column | int) -> Column:
+        """``n`` bytes from byte ``at`` as a little-endian number."""
+        parts = [F.when(F.lit(j) < n, F.substring(h, at * 2 + 1 + 2 * j, F.lit(2))).otherwise(F.lit("")) for j in (3, 2, 1, 0)]
+        return F.conv(F.concat(F.lit("0"), *parts), 16, 10).cast("bigint")
+
+    def mixed(block: Column) -> Column:
+        return _times(_rotated(_times(block, 0xCC9E2D51), 15), 0x1B873593)
+
+    def run(h: Column) -> Column:
+        size = (F.length(h) / 2).cast("int")
+        blocks = F.floor(size / 4).cast("int")
+        starts = F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+        step = lambda acc, i: (_times(_rotated(acc.bitwiseXOR(mixed(bytes_at(h, i * 4, F.lit(4)))), 13), 5) + F.lit(0xE6546B64)).bitwiseAND(F.lit(_WORD))
+        body = F.aggregate(starts, F.lit(seed).cast("bigint"), step)
+        rest = F.when(size > blocks * 4, mixed(bytes_at(h, blocks * 4, size - blocks * 4))).otherwise(F.lit(0).cast("bigint"))
+        out = body.bitwiseXOR(rest).bitwiseXOR(size.cast("bigint"))
+        out = _shifted(_times(_shifted(_times(_shifted(out, 16), 0x85EBCA6B), 13), 0xC2B2AE35), 16)
+        return _let(out, lambda v: F.when(v >= F.lit(1 << 31), v - F.lit(1 << 32)).otherwise(v))
+
+    return _let(hexed, run)
+
+
+def signed_hashes(cols: Sequence[str], buckets: int, names: Sequence[str] | None = None) -> Column:
+    """K4: array of (``index``, ``sign``), one for each of ``cols``: the hash of ``name=value`` modulo ``buckets`` by its
+    size, and its sign. ``names`` stand for the columns' own; a null value is left out."""
+    out = []
+    for c, name in zip(cols, names or cols, strict=True):
+        h = murmur3_32(F.concat(F.lit(f"{name}="), F.col(c).cast("string")))
+        out.append(_let(h, lambda v: F.when(v.isNotNull(), F.struct((F.abs(v) % F.lit(buckets)).cast("int").alias("index"), F.when(v >= 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("sign")))))
+    return F.array_compact(F.array(*out))
+
+
+def summed_hashes(hashes: Column) -> Column:
+    """The entries of a :func:`signed_hashes` array by index, ascending, those of one index added up (to zero where they cancel)."""
+    return F.transform(F.array_sort(F.array_distinct(F.transform(hashes, lambda e: e["index"]))), lambda i: F.struct(
+        i.alias("index"), F.aggregate(hashes, F.lit(0.0), lambda acc, e: acc + F.when(e["index"] == i, e["sign"]).otherwise(F.lit(0.0))).alias("value")))

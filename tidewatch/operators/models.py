@@ -15,20 +15,22 @@ from typing import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.config import HASHED_FEATURES, LogisticConfig
-from tidewatch.functions.keys import stable_hash_bucket
+from tidewatch.functions.keys import signed_hashes, stable_hash_bucket, summed_hashes
 from tidewatch.operators import prep
+from tidewatch.session import scratch_table
 
 
-def key_hasher(key_cols: Sequence[str], out: str = "keys_hashed", num_features: int = HASHED_FEATURES):
-    """K4: ``column=value`` feature hashing of high-cardinality keys into a sparse vector."""
-    from pyspark.ml.feature import FeatureHasher
-    return FeatureHasher(inputCols=list(key_cols), outputCol=out, numFeatures=num_features,
-                         categoricalCols=list(key_cols))
+def sparse_vectors(df: DataFrame, size: int, indices: Column, values: Column, out: str) -> DataFrame:
+    """Written copy of ``df`` with the sparse ML vector ``out`` of ascending ``indices`` and their ``values``. (A vector column
+    made of arrays is declared when the table is read back; no Python takes part.)"""
+    from pyspark.ml.linalg import VectorUDT
+    vec = F.struct(F.lit(0).cast("tinyint").alias("type"), F.lit(int(size)).alias("size"), indices.cast("array<int>").alias("indices"), values.cast("array<double>").alias("values"))
+    return scratch_table(df.withColumn(out, vec), "vectors", lambda schema: T.StructType([T.StructField(f.name, VectorUDT()) if f.name == out else f for f in schema]))
 
 
 @dataclass
@@ -38,31 +40,41 @@ class BaselineModel:
     keys: list
     scaler: DataFrame
     modes: DataFrame
-    pipeline: object          # fitted pyspark.ml PipelineModel
+    encoder: object           # fitted pyspark.ml PipelineModel: numerics and one-hot columns in one vector ``dense``
+    intercept: float
+    weights: np.ndarray       # of the dense part
+    hashed: DataFrame | None  # (index, weight) of the hashed keys, those that aren't zero
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Adds ``logit`` and ``score`` (P(y=1))."""
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """``df`` imputed and scaled, with the array ``_dense`` of its numeric and one-hot inputs."""
         from pyspark.ml.functions import vector_to_array
         d = prep.apply_median_scaler(df, self.scaler, self.numeric) if self.numeric else df
         d = prep.impute_modes(d, self.modes, self.categorical) if self.categorical else d
-        out = self.pipeline.transform(d)
-        raw = vector_to_array(F.col("rawPrediction"))
-        prob = vector_to_array(F.col("probability"))
-        return out.withColumn("logit", raw[1] - raw[0]).withColumn("score", prob[1]) \
-            .drop("features", "rawPrediction", "probability", "prediction",
-                  *[c for c in out.columns if c.endswith("__idx") or c.endswith("__oh")], "keys_hashed")
+        d = self.encoder.transform(d).withColumn("_dense", vector_to_array("dense"))
+        return d.drop("dense", *[c for c in d.columns if c.endswith("__idx") or c.endswith("__oh")])
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Adds ``logit`` and ``score`` (P(y=1)); weights of hashed keys come by joins on their index."""
+        d = self.prepared(df)
+        w = F.array(*[F.lit(float(x)) for x in self.weights])
+        logit = F.lit(self.intercept) + F.aggregate(F.zip_with("_dense", w, lambda x, b: x * b), F.lit(0.0), lambda acc, x: acc + x)
+        for i, k in enumerate(self.keys):
+            h = signed_hashes([k], HASHED_FEATURES)[0]
+            t = self.hashed.select(F.col("index").alias(f"_i{i}"), F.col("weight").alias(f"_w{i}"))
+            d = d.withColumn(f"_h{i}", h).withColumn(f"_i{i}", F.col(f"_h{i}.index")).join(F.broadcast(t), f"_i{i}", "left")   # at most HASHED_FEATURES rows
+            logit = logit + F.coalesce(F.col(f"_h{i}.sign") * F.col(f"_w{i}"), F.lit(0.0))
+        d = d.withColumn("logit", logit).withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit"))))
+        return d.drop("_dense", *[f"_{c}{i}" for c in "hiw" for i in range(len(self.keys))])
 
     def coefficients(self) -> dict:
         """Numeric-slice coefficients (for linear attributions, E9)."""
-        lr = self.pipeline.stages[-1]
-        coef = lr.coefficients.toArray()
-        return {c: float(coef[i]) for i, c in enumerate(self.numeric)}
+        return {c: float(self.weights[i]) for i, c in enumerate(self.numeric)}
 
 
 def fit_baseline(train: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (),
                  keys: Sequence[str] = (), cfg: LogisticConfig = LogisticConfig()) -> BaselineModel:
     """M4 + M5 + K4 + M9 + M6: median/scale numerics, mode/one-hot categoricals,
-    hashed keys, balanced class weights, L2 logistic regression.
+    signed hashed keys, balanced class weights, L2 logistic regression.
 
     The penalty matches ``C * sum(w_i * loss_i) + ||beta||^2 / 2`` by
     ``regParam = 1 / (C * sum(w))`` on Spark's weight-normalised objective.
@@ -70,6 +82,7 @@ def fit_baseline(train: DataFrame, y: str, numeric: Sequence[str], categorical:
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
     numeric, categorical, keys = list(numeric), list(categorical), list(keys)
     scaler = prep.fit_median_scaler(train, numeric) if numeric else None
     modes = prep.fit_modes(train, categorical) if categorical else None
@@ -79,19 +92,29 @@ def fit_baseline(train: DataFrame, y: str, numeric: Sequence[str], categorical:
     d = prep.with_balanced_weight(d, weights, y, "_w")
     sw = d.agg(F.sum("_w")).first()[0]
     stages = prep.one_hot_pipeline(categorical) if categorical else []
+    stages.append(VectorAssembler(inputCols=numeric + [f"{c}__oh" for c in categorical], outputCol="dense", handleInvalid="keep"))
+    encoder = Pipeline(stages=stages).fit(d)
+    d = encoder.transform(d)
+    width = int(d.schema["dense"].metadata["ml_attr"]["num_attrs"])
+    d = d.withColumn(y, F.col(y).cast("double"))
+    if keys:
+        d = d.select(y, "_w", vector_to_array("dense").alias("_dense"), summed_hashes(signed_hashes(keys, HASHED_FEATURES)).alias("_keys"))
+        places = F.concat(F.sequence(F.lit(0), F.lit(width - 1)), F.transform("_keys", lambda e: e["index"] + width))
+        d = sparse_vectors(d, width + HASHED_FEATURES, places, F.concat("_dense", F.transform("_keys", lambda e: e["value"])), "features")
+    else:
+        d = d.select(y, "_w", F.col("dense").alias("features"))
+    lr = LogisticRegression(featuresCol="features", labelCol=y, weightCol="_w", regParam=1.0 / (cfg.C * sw), elasticNetParam=0.0, standardization=False,
+                            maxIter=cfg.max_iter, tol=1e-6).fit(d)
+    beta = lr.coefficients.toArray()
+    hashed = None
     if keys:
-        stages.append(key_hasher(keys))
-    inputs = numeric + [f"{c}__oh" for c in categorical] + (["keys_hashed"] if keys else [])
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    stages.append(LogisticRegression(featuresCol="features", labelCol=y, weightCol="_w",
-                                     regParam=1.0 / (cfg.C * sw), elasticNetParam=0.0, standardization=False,
-                                     maxIter=cfg.max_iter, tol=1e-6))
-    model = Pipeline(stages=stages).fit(d.withColumn(y, F.col(y).cast("double")))
-    return BaselineModel(numeric, categorical, keys, scaler, modes, model)
+        at = np.flatnonzero(beta[width:])
+        hashed = scratch_table(train.sparkSession.createDataFrame([(int(i), float(beta[width + i])) for i in at], "index int, weight double"), "hashed-weights")
+    return BaselineModel(numeric, categorical, keys, scaler, modes, encoder, float(lr.intercept), beta[:width].copy(), hashed)
 
 
 def fit_nonlinear(train: DataFrame, valid: DataFrame, y: str, numeric: Sequence[str],
-                  grid: Sequence[Mapping] = ({"maxDepth": 3}, {"maxDepth": 5}), seed: int = 42):
+                  grid: Sequence[Mapping] = ({"maxDepth": 3}, {"maxDepth": 5}), seed: int = 42, rounds: int = 20):
     """M8 re-aim: class-weighted gradient-boosted trees on median-imputed numerics; the
     grid point with the best validation average precision wins.
 
@@ -115,7 +138,7 @@ def fit_nonlinear(train: DataFrame, valid: DataFrame, y: str, numeric: Sequence[
     for params in grid:
         pipe = Pipeline(stages=[VectorAssembler(inputCols=numeric, outputCol="features", handleInvalid="keep"),
                                 GBTClassifier(featuresCol="features", labelCol=y, weightCol="_w", seed=seed,
-                                              maxIter=20, **params)])
+                                              maxIter=rounds, **params)])
         m = pipe.fit(tr)
         sc = m.transform(valid).withColumn("p", vector_to_array("probability")[1])
         ap = binary_metrics(sc.withColumn("_y", F.col(y).cast("int")), "_y", "p").first().avg_precision or 0.0
@@ -153,9 +176,10 @@ def mlp_weights_from_spark(model, layers: Sequence[int]) -> list:
 
 def mlp_logits(df: DataFrame, input_cols: Sequence[str], weights: Sequence[tuple[np.ndarray, np.ndarray]],
                widths: Mapping[str, int] | None = None, out: str = "logit", activation: str = "relu",
-               output: str = "single") -> DataFrame:
+               output: str = "single", precision: str = "float") -> DataFrame:
     """M7 dense part: ``concat(inputs) -> [act(xW + b)]* -> xW + b`` per Arrow batch.
 
+    ``precision``: ``float`` or ``double`` (always for ``sigmoid``).
     ``activation``: ``relu`` (the reference network) or ``sigmoid`` (Spark ML's
     MLP). ``output``: ``single`` (one logit) or ``softmax2`` (two class scores,
     logit = z1 - z0).
@@ -166,22 +190,20 @@ def mlp_logits(df: DataFrame, input_cols: Sequence[str], weights: Sequence[tuple
     """
     widths = dict(widths or {})
     spark = df.sparkSession
-    layers = [(np.asarray(W, dtype=np.float32), np.asarray(b, dtype=np.float32)) for W, b in weights]
+    double = activation == "sigmoid" or precision == "double"       # Spark ML's MLP: float64 to reproduce it exactly
+    layers = [tuple(np.asarray(v, dtype=np.float64 if double else np.float32) for v in layer) for layer in weights]
+    et = "double" if double else "float"
     parts, n_in = [], 0
     for c in input_cols:
         if isinstance(df.schema[c].dataType, T.ArrayType):
             w = widths[c]
-            et = "double" if activation == "sigmoid" else "float"
             parts.append(F.coalesce(F.col(c).cast(f"array<{et}>"), F.array_repeat(F.lit(0.0).cast(et), w)))
             n_in += w
         else:
-            et = "double" if activation == "sigmoid" else "float"
             parts.append(F.array(F.coalesce(F.col(c).cast(et), F.lit(0.0).cast(et))))
             n_in += 1
     if layers[0][0].shape[0] != n_in:
         raise ValueError(f"first layer expects {layers[0][0].shape[0]} inputs, got {n_in}")
-    if activation == "sigmoid":       # Spark ML MLP: keep float64 to reproduce it exactly
-        layers = [(np.asarray(W, dtype=np.float64), np.asarray(b, dtype=np.float64)) for W, b in weights]
     bc = spark.sparkContext.broadcast(layers)
     dt = layers[0][0].dtype
 

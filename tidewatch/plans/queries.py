@@ -991,8 +991,7 @@ def q_shap(spark, sf_dir):
     num = _numeric(ds)
     tr, te = ds.filter(F.col("split") == "train"), ds.filter(F.col("split") == "test")
     m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig())
-    sc = prep.fit_median_scaler(tr, num)
-    return met.linear_attributions(prep.apply_median_scaler(te, sc, num), prep.apply_median_scaler(tr, sc, num),
+    return met.linear_attributions(prep.apply_median_scaler(te, m.scaler, num), prep.apply_median_scaler(tr, m.scaler, num),
                                    m.coefficients())
 
 
@@ -1506,3 +1505,159 @@ def q_first_in_file(spark, sf_dir):
     columns = ["event_id", "user_id", "event_type", fixed4(F.col("value")).alias("value")]
     return first.select(F.lit("kept").alias("part"), *columns, F.lit("").alias("violations")).unionByName(
         bad.select(F.lit("quarantine").alias("part"), *columns, F.array_join("violations", ",").alias("violations")))
+
+
+# ---------------------------------------------------------------------------
+# K4 signed hashing, M6 at its optimum, M7 from an artefact, M8 learned factors
+# ---------------------------------------------------------------------------
+def _murmur_sql(rows: str) -> str:
+    """``id``, ``h`` (signed Murmur3 of ``s``) for the rows (``id``, ``s``) of a statement."""
+    m, word = 4294967296, lambda h, at, n: f"CAST('0x' || {' || '.join(f'substr({h}, {at} + {2 * j}, 2)' for j in reversed(range(n)))} AS BIGINT)"
+    mix = lambda x: f"list_transform(list_transform({x}, lambda b: CAST(CAST(b AS HUGEINT) * 3432918353 % {m} AS BIGINT)), lambda a: CAST(CAST((a << 15) % {m} | (a >> 17) AS HUGEINT) * 461845907 % {m} AS BIGINT))"
+    rest = " ".join(f"WHEN {r} THEN {word('hx', 'length(hx) - ' + str(2 * r) + ' + 1', r)}" for r in (1, 2, 3))
+    last = "x0"
+    steps = []
+    for shift, factor in ((16, 2246822507), (13, 3266489909)):
+        steps.append(f"(SELECT id, CAST(CAST(xor({last}, {last} >> {shift}) AS HUGEINT) * {factor} % {m} AS BIGINT) AS y FROM ")
+        last = "y"
+    inner = f"""(SELECT id, xor(xor(list_reduce(list_prepend(CAST(0 AS BIGINT), ks), lambda h, k: (((xor(h, k) << 13) % {m} | (xor(h, k) >> 19)) * 5 + 3864292196) % {m}), tail[1]), n) AS x0 FROM (
+  SELECT id, length(hx) // 2 AS n, {mix(f"[{word('hx', '8 * i + 1', 4)} for i in range(length(hx) // 8)]")} AS ks, {mix(f"[CASE length(hx) // 2 % 4 {rest} ELSE 0 END]")} AS tail FROM (SELECT id, hex(encode(s)) AS hx FROM ({rows}) r0) r1) r2) r3"""
+    return f"SELECT id, CASE WHEN xor(y, y >> 16) >= 2147483648 THEN xor(y, y >> 16) - {m} ELSE xor(y, y >> 16) END AS h FROM {steps[1]}{steps[0]}{inner}) r4) r5"
+
+
+@register("signed_key_hashes", f"""WITH {keyed_sql(EVENTS_TX_SQL)},
+e AS ({_murmur_sql("SELECT TransactionID AS id, 'entity_key=' || entity_key AS s FROM keyed")}),
+f AS ({_murmur_sql("SELECT TransactionID AS id, 'fingerprint_key=' || fingerprint_key AS s FROM keyed")}),
+b AS (SELECT id, e.h AS eh, f.h AS fh FROM e JOIN f USING (id))
+SELECT id AS TransactionID, CAST(abs(eh) % 8 AS INTEGER) AS entity_index, CASE WHEN eh >= 0 THEN 1.0 ELSE -1.0 END AS entity_sign, CAST(abs(fh) % 8 AS INTEGER) AS fingerprint_index,
+       CASE WHEN fh >= 0 THEN 1.0 ELSE -1.0 END AS fingerprint_sign, CASE WHEN abs(eh) % 8 = abs(fh) % 8 THEN 1 ELSE 2 END AS n_entries,
+       CASE WHEN abs(eh) % 8 = abs(fh) % 8 THEN (CASE WHEN eh >= 0 THEN 1.0 ELSE -1.0 END) + (CASE WHEN fh >= 0 THEN 1.0 ELSE -1.0 END) ELSE 0.0 END AS collided, eh AS entity_hash FROM b""")
+def q_signed(spark, sf_dir):
+    """K4: signed Murmur3 hashes of both keys; eight buckets, so that many collide and add up."""
+    from tidewatch.functions.keys import murmur3_32, signed_hashes, summed_hashes
+    d = feat.add_keys(_tx(spark, sf_dir, "events"))
+    d = d.select("TransactionID", signed_hashes(["entity_key", "fingerprint_key"], 8).alias("h"), murmur3_32(F.concat(F.lit("entity_key="), "entity_key")).alias("entity_hash"))
+    d = d.withColumn("sums", summed_hashes(F.col("h")))
+    e, f = F.col("h")[0], F.col("h")[1]
+    return d.select("TransactionID", e["index"].alias("entity_index"), e["sign"].alias("entity_sign"), f["index"].alias("fingerprint_index"), f["sign"].alias("fingerprint_sign"),
+                    F.size("sums").alias("n_entries"), F.when(F.size("sums") == 1, F.col("sums")[0]["value"]).otherwise(F.lit(0.0)).alias("collided"), "entity_hash")
+
+
+_NET_NUM = {"TransactionAmt": (50.0, 40.0), "isFraud": (0.25, 0.5), "card1": (64.0, 32.0)}
+_NET_SHAPE = (len(_NET_NUM) + 32 + 16, 256, 128, 1)
+
+
+def _net_layers():
+    """Weights by rule: multiples of 1/512, so that both engines hold the same numbers."""
+    import numpy as np
+    out = []
+    for n, (a, b) in enumerate(zip(_NET_SHAPE, _NET_SHAPE[1:], strict=False)):
+        i, j = np.arange(a)[:, None], np.arange(b)[None, :]
+        out.append((((i * 31 + j * 17 + n * 7 + i * j) % 23 - 11) / 512.0, ((np.arange(b) * 13 + n) % 7 - 3) / 32.0))
+    return out
+
+
+def _net_layer_sql(n: int) -> str:
+    a, b = _NET_SHAPE[n], _NET_SHAPE[n + 1]
+    return (f"w{n} AS (SELECT j, list(((i * 31 + j * 17 + {n * 7} + i * j) % 23 - 11) / 512.0::DOUBLE ORDER BY i) AS w, ((j * 13 + {n}) % 7 - 3) / 32.0::DOUBLE AS b "
+            f"FROM range({a}) x(i), range({b}) y(j) GROUP BY j)")
+
+
+def _bucket_sql(key: str) -> str:
+    h = f"md5({key})"
+    word = lambda at: f"CAST('0x' || substr({h}, {at}, 8) AS BIGINT)"
+    return f"(((({word(1)} % n) * 4294967296 + {word(9)}) % n * 4294967296 + {word(17)}) % n * 4294967296 + {word(25)}) % n"
+
+
+@register("embedding_network_artefact", f"""WITH {keyed_sql(EVENTS_TX_SQL)}, {', '.join(_net_layer_sql(n) for n in range(3))},
+n AS (SELECT max(vec_id) + 1 AS n FROM embeddings), k AS (SELECT *, {_bucket_sql('entity_key')} AS eb, {_bucket_sql('fingerprint_key')} AS fb FROM keyed, n),
+x AS (SELECT TransactionID, list_concat([{', '.join(f"coalesce((CAST({c} AS DOUBLE) - {m}) / {d}, 0.0)" for c, (m, d) in _NET_NUM.items())}], list_concat(
+  coalesce(CAST(e.embedding[1:32] AS DOUBLE[]), [0.0 for z in range(32)]), coalesce(CAST(f.embedding[33:48] AS DOUBLE[]), [0.0 for z in range(16)]))) AS x
+  FROM k LEFT JOIN embeddings e ON e.vec_id = eb LEFT JOIN embeddings f ON f.vec_id = fb),
+a AS (SELECT TransactionID, list(greatest(0.0, list_dot_product(x, w) + b) ORDER BY j) AS x FROM x, w0 GROUP BY TransactionID),
+c AS (SELECT TransactionID, list(greatest(0.0, list_dot_product(x, w) + b) ORDER BY j) AS x FROM a, w1 GROUP BY TransactionID)
+SELECT TransactionID, CAST(floor((list_dot_product(x, w) + b) * 1e6 / 1.5 + 0.5) AS BIGINT) AS logit_micro FROM c, w2""")
+def q_artefact(spark, sf_dir):
+    """M7: an artefact (both lookups of 32 and 16, 256-128-1 layers, standardised numerics) written, read by Spark, and scored with a temperature; logits to 6 digits."""
+    import os
+    import uuid
+
+    from tidewatch.operators.network import load_network, network_from_tables
+    from tidewatch.session import checkpoint_dir
+    emb = table(spark, sf_dir, "embeddings")
+    n = int(emb.agg(F.max("vec_id")).first()[0]) + 1
+    part = lambda at, size: emb.select(F.col("vec_id").alias("bucket"), F.slice("embedding", at, size).alias("vec"))
+    keys = {"entity_key": n, "fingerprint_key": n}
+    net = network_from_tables(list(_NET_NUM), _NET_NUM, keys, {"entity_key": part(1, 32), "fingerprint_key": part(33, 16)}, {"entity_key": 32, "fingerprint_key": 16}, _net_layers())
+    path = os.path.join(checkpoint_dir(spark), "tables", f"network-{uuid.uuid4().hex}")
+    net.save(path)
+    out = load_network(spark, path).logits(feat.add_keys(_tx(spark, sf_dir, "events")), temperature=1.5)
+    return out.select("TransactionID", F.floor(F.col("logit") * 1e6 + 0.5).alias("logit_micro"))
+
+
+def _check_counts(ds):
+    """Rows of each part and their positives."""
+    return ds.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y_ew_72h").cast("long")).alias("positives"))
+
+
+_CHECK_COUNTS_SQL = f"""{_SPLIT_SQL}, y AS ({label_any_sql(EVENTS_TX_SQL)}),
+n AS (SELECT split, count(*) AS n, CAST(sum(y_ew_72h) AS BIGINT) AS positives FROM parts JOIN y USING (TransactionID) GROUP BY split)"""
+
+
+@register("logistic_optimum", f"""WITH {_CHECK_COUNTS_SQL}
+SELECT feature, n, positives, true AS flat FROM n, (VALUES {', '.join(f"('{c}')" for c in ('(intercept)', *_COEFS))}) v(feature) WHERE split = 'train'""")
+def q_optimum(spark, sf_dir):
+    """M4 + M6 + M9: the fitted baseline is the optimum: the derivative of its objective by the intercept and by each coefficient, added up in SQL from its scores, is zero."""
+    ds = _dataset(spark, sf_dir).select("TransactionID", "split", "y_ew_72h", *_COEFS)
+    tr = ds.filter("split = 'train'")
+    m = mdl.fit_baseline(tr, "y_ew_72h", list(_COEFS), cfg=LogisticConfig())
+    w = prep.class_weights(tr, "y_ew_72h")
+    s = prep.with_balanced_weight(m.transform(tr), w, "y_ew_72h", "w")
+    off = F.col("w") * (F.col("score") - F.col("y_ew_72h"))
+    beta = m.coefficients()
+    slopes = [F.struct(F.lit("(intercept)").alias("feature"), (F.sum(off) / F.sum("w")).alias("g"))]
+    slopes += [F.struct(F.lit(c).alias("feature"), ((F.sum(off * F.col(c)) + F.lit(beta[c])) / F.sum("w")).alias("g")) for c in _COEFS]
+    g = s.agg(F.array(*slopes).alias("g")).select(F.inline("g"))
+    return g.crossJoin(_check_counts(tr)).select("feature", "n", "positives", (F.abs("g") < 1e-4).alias("flat"))
+
+
+_LEARNED = ("rows", "auc_roc", "avg_precision", "brier", "lift_3")
+
+
+@register("learned_factors_comparison", f"""WITH {_CHECK_COUNTS_SQL}
+SELECT model, split, metric, n, positives, true AS holds FROM n, (VALUES ('logistic'), ('factors')) a(model), (VALUES {', '.join(f"('{m}')" for m in _LEARNED)}) b(metric) WHERE split <> 'train'
+UNION ALL SELECT 'factors', split, 'gradient', n, positives, true FROM n WHERE split = 'train'""")
+def q_factors(spark, sf_dir):
+    """M8 beside M6 in E8: learned factors of both keys. Each metric of the comparison is computed again from the emitted scores by plain
+    window functions and must agree; the trained model's gradient must be near zero."""
+    from pyspark.sql import Window
+
+    from tidewatch.operators.factors import FactorConfig, fit_factors
+    from tidewatch.session import scratch_table
+    ds = _dataset(spark, sf_dir)
+    tr, va = ds.filter("split = 'train'"), ds.filter("split = 'valid'")
+    num = _numeric(ds)
+    logistic = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig())
+    cfg = FactorConfig(penalty=0.05, max_iter=80, patience=100, factors=4)
+    factors = fit_factors(tr, va, "y_ew_72h", num, cfg=cfg)
+    rest = ds.filter("split <> 'train'")
+    ident = ["split", F.col("TransactionID").alias("id"), F.col("y_ew_72h").cast("int").alias("y"), F.col("score").alias("p")]
+    scores = scratch_table(logistic.transform(rest).select(F.lit("logistic").alias("model"), *ident).unionByName(
+        factors.transform(rest).select(F.lit("factors").alias("model"), *ident)), "learned-scores")
+    cells = {m: {part: scores.filter((F.col("model") == m) & (F.col("split") == part)) for part in ("valid", "test")} for m in ("logistic", "factors")}
+    lib = met.model_comparison(cells, top_pcts=(3,)).replace({"n_rows": "rows", "lift_at_3.0pct": "lift_3"}, subset=["metric"]).filter(F.col("metric").isin(list(_LEARNED)))
+    cell = Window.partitionBy("model", "split")
+    ranked = scores.select("*", F.row_number().over(cell.orderBy(F.desc("p"), "id")).alias("rk"), F.count(F.lit(1)).over(cell).alias("n"), F.sum("y").over(cell).alias("pos"),
+                           F.avg(F.rank().over(cell.orderBy("p"))).over(Window.partitionBy("model", "split", "p")).alias("low"), F.count(F.lit(1)).over(Window.partitionBy("model", "split", "p")).alias("ties"),
+                           F.sum("y").over(cell.orderBy(F.desc("p"))).alias("tp"), F.count(F.lit(1)).over(cell.orderBy(F.desc("p"))).alias("k"))
+    neg = F.col("n") - F.col("pos")
+    again = ranked.groupBy("model", "split", "n", "pos").agg(
+        F.sum(F.when(F.col("y") == 1, F.col("low") + (F.col("ties") - 1) / 2)).alias("ranks"), F.sum(F.when(F.col("y") == 1, F.col("tp") / F.col("k"))).alias("steps"),
+        F.avg(F.pow(F.col("p") - F.col("y"), 2)).alias("brier"), F.sum(F.when(F.col("rk") <= F.floor(F.col("n") * 0.03), F.col("y"))).alias("top"))
+    values = {"rows": F.col("n"), "auc_roc": (F.col("ranks") - F.col("pos") * (F.col("pos") + 1) / 2) / (F.col("pos") * neg), "avg_precision": F.col("steps") / F.col("pos"),
+              "brier": F.col("brier"), "lift_3": F.col("top") / F.floor(F.col("n") * 0.03) / (F.col("pos") / F.col("n"))}
+    again = again.select("model", "split", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.cast("double").alias("again")) for m, v in values.items()])))
+    n = _check_counts(ds)
+    checks = lib.join(again, ["model", "split", "metric"], "left").join(n, "split").select("model", "split", "metric", "n", "positives", F.coalesce(F.abs(F.col("value") - F.col("again")) < 1e-6, F.lit(False)).alias("holds"))
+    gradient = n.filter("split = 'train'").select(F.lit("factors").alias("model"), "split", F.lit("gradient").alias("metric"), "n", "positives", F.lit(factors.gradient_size < 1e-3).alias("holds"))
+    return checks.unionByName(gradient)

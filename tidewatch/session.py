@@ -10,8 +10,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -76,13 +78,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 _scratch: list[str] = []
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under a new name in the checkpoint folder and read it back (lineage ends there)."""
+def scratch_table(df: DataFrame, name: str, declared: Callable[[StructType], StructType] = lambda schema: schema) -> DataFrame:
+    """Write ``df`` under a new name in the checkpoint folder and read it back (lineage ends there), with the schema
+    that ``declared`` makes of its own."""
     spark = df.sparkSession
     path = os.path.join(checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     _scratch.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(declared(df.schema)).parquet(path)
 
 
 def drop_scratch(spark: SparkSession) -> int:
