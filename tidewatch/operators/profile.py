@@ -55,6 +55,13 @@ def shape(df: DataFrame, key_columns: Sequence[str] = ()) -> dict:
             "missing_key_columns": [c for c in key_columns if c not in df.columns]}
 
 
+def shape_frame(df: DataFrame, key_columns: Sequence[str] = ()) -> DataFrame:
+    """A3 as one lazy row: rows, columns, key columns that are present and that are missing."""
+    present = [c for c in key_columns if c in df.columns]
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.lit(len(df.columns)).alias("columns"), F.lit(len(present)).alias("present_keys"),
+                  F.lit(len(key_columns) - len(present)).alias("missing_keys"))
+
+
 def time_coverage(df: DataFrame, time_col: str = "TransactionDT") -> DataFrame:
     """A4: min / max / missing % of the coerced time column."""
     t = coerce_long(F.col(time_col))
@@ -138,6 +145,30 @@ def build_audit_report(df: DataFrame, cfg: AuditConfig = AuditConfig()) -> dict:
     return rep
 
 
+def audit_table(df: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
+    """A9 as one result: ``(section, item, metric, value, text)`` rows of the shape, dtypes (A8), event time, label counts,
+    missingness, coverage, numeric sanity and top categories, all lazy in one plan."""
+    present = [c for c in cfg.key_columns if c in df.columns]
+    summary, counts = label_distribution(df) if "isFraud" in df.columns else (None, None)
+
+    def rows(section: str, frame: DataFrame | None, item: str | None = None, text: str | None = None) -> DataFrame | None:
+        if frame is None:
+            return None
+        cells = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in frame.columns if m not in (item, text)]
+        return frame.select(F.lit(section).alias("section"), (F.col(item).cast("string") if item else F.lit("")).alias("item"),
+                            (F.col(text).cast("string") if text else F.lit(None).cast("string")).alias("text"), F.inline(F.array(*cells)))
+
+    parts = [rows("shape", shape_frame(df, cfg.key_columns)), rows("dtypes", dtypes_frame(df).withColumn("present", F.lit(1)), "column", "dtype"),
+             rows("time", time_coverage(df) if "TransactionDT" in df.columns else None), rows("label", summary), rows("label_counts", counts, "value"),
+             rows("missingness", missing_pct(df, present), "column"), rows("coverage", identity_coverage(df)), rows("numeric", numeric_sanity(df), "column"),
+             rows("categories", top_categories(df, top_n=cfg.top_n), "column", "value")]
+    out = None
+    for p in parts:
+        if p is not None:
+            out = p if out is None else out.unionByName(p)
+    return out.select("section", "item", "metric", "value", "text")
+
+
 def duplicate_count(df: DataFrame, key: str = "TransactionID") -> DataFrame:
     """Rows beyond the first per key (null is one key value)."""
     return df.agg((F.count(F.lit(1)) - F.count_distinct(F.col(key))

@@ -1661,3 +1661,185 @@ def q_factors(spark, sf_dir):
     checks = lib.join(again, ["model", "split", "metric"], "left").join(n, "split").select("model", "split", "metric", "n", "positives", F.coalesce(F.abs(F.col("value") - F.col("again")) < 1e-6, F.lit(False)).alias("holds"))
     gradient = n.filter("split = 'train'").select(F.lit("factors").alias("model"), "split", F.lit("gradient").alias("metric"), "n", "positives", F.lit(factors.gradient_size < 1e-3).alias("holds"))
     return checks.unionByName(gradient)
+
+
+# ---------------------------------------------------------------------------
+# ST1 with quarantine, ST3 and ST4 in several micro-batches
+# ---------------------------------------------------------------------------
+_RULED_SQL = """SELECT event_id AS id, CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 17 = 0 THEN -1.0 ELSE value END AS value, CASE WHEN event_id % 29 = 0 THEN NULL ELSE user_id END AS user_id FROM events"""
+
+
+@register("online_scoring_quarantine", f"""WITH r AS ({_RULED_SQL}), v AS (SELECT *, concat_ws(',', CASE WHEN value IS NULL OR NOT value > 0 THEN 'value:gt0' END, CASE WHEN user_id IS NULL THEN 'user_id:required' END) AS violations,
+  1.0 / (1.0 + exp(-((value - 50.0) / 40.0))) AS p FROM r)
+SELECT id, {f4('p')} AS score, CASE WHEN violations <> '' THEN 'low' WHEN p >= 0.9528 THEN 'critical' WHEN p >= 0.9121 THEN 'high' WHEN p >= 0.7430 THEN 'medium' ELSE 'low' END AS risk_band,
+  violations, CASE WHEN violations = '' THEN 'scored' ELSE 'rejected' END AS part FROM v""")
+def q_stream_quarantine(spark, sf_dir):
+    """ST1 + V2 in eight micro-batches: scored and rejected rows in one write a batch; the sink runs every third batch twice, as after a lost driver: no row is lost or doubled."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    i = F.col("event_id")
+    ev = _arriving(spark, sf_dir).select(i.alias("id"), F.when(i % 13 == 0, F.lit(None)).when(i % 17 == 0, F.lit(-1.0)).otherwise(F.col("value")).alias("value"),
+                                         F.when(i % 29 != 0, F.col("user_id")).alias("user_id"))
+    s = st.score_stream(ev, lambda d: d.withColumn("score", F.lit(1.0) / (F.lit(1.0) + F.exp(-((F.col("value") - 50.0) / 40.0)))), rules={"value": "gt0", "user_id": "required"})
+    base = os.path.join(checkpoint_dir(spark), "streams", f"quarantine-{uuid.uuid4().hex}")
+    once = st.scored_sink(os.path.join(base, "rows"))
+
+    def twice(batch, number):
+        for _ in range(2 if number % 3 == 0 else 1):
+            once(batch, number)
+
+    scored, rejected = st.run_scoring(s, base, twice)
+    columns = ["id", fixed4(F.col("score")).alias("score"), "risk_band", F.array_join("violations", ",").alias("violations")]
+    return scored.select(*columns, F.lit("scored").alias("part")).unionByName(rejected.select(*columns, F.lit("rejected").alias("part")))
+
+
+@register("dedup_stream_batches", "SELECT event_id, user_id, event_type, value FROM events")
+def q_stream_dedup_batches(spark, sf_dir):
+    """ST3 in eight micro-batches: every event comes in two files, one after the other, so that only state kept across batches can drop the repeats."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    base = os.path.join(checkpoint_dir(spark), "tables", f"again-{uuid.uuid4().hex}")
+    e = table(spark, sf_dir, "events")
+    first, last = e.agg(F.min(epoch_seconds("ts")), F.max(epoch_seconds("ts"))).first()
+    part = F.floor((epoch_seconds("ts") - first) * 7 / (last - first + 1)).cast("int")
+    for k in range(8):
+        e.filter(part.isin(k - 1, k)).coalesce(1).write.mode("append").parquet(base)
+    stream = spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(base).withColumn("_ts", F.timestamp_seconds(epoch_seconds("ts")))
+    return st.run_to_table(st.dedup_stream(stream, "event_id", "_ts", "20 days").select("event_id", "user_id", "event_type", "value"), "st3-batches")
+
+
+@register("band_traffic_stream_batches", REGISTRY["band_traffic_stream"][1])
+def q_stream_traffic_batches(spark, sf_dir):
+    """ST4 over eight micro-batches out of order: windows grow from batch to batch, the last state of each is the batch result."""
+    s = st.score_stream(_arriving(spark, sf_dir), lambda d: cal.apply_temperature(d.withColumn("logit", (F.col("value") - 50.0) / 40.0), 1.5, "logit", "score"))
+    s = s.withColumn("_ts", F.timestamp_seconds(epoch_seconds("ts"))).withColumn("y", (F.col("event_type") == "error").cast("int"))
+    out = st.run_to_latest(st.band_traffic(s, "_ts", "y", "1 hour", "10 minutes", "6 days"), "st4-batches", ["window", "risk_band"])
+    return out.select(F.unix_seconds(F.col("window.start")).alias("window_start"), "risk_band", "rows", "positives")
+
+
+# ---------------------------------------------------------------------------
+# A3, A8, A9 audit; S4-S7 reports and artefacts; P3, M3 contracts; F1, F2 parts; O4 head
+# ---------------------------------------------------------------------------
+_AUDIT_NUM = ("TransactionAmt", "card1")
+
+
+def _cells(section: str, item: str, cells, source: str, text: str = "CAST(NULL AS VARCHAR)") -> str:
+    return f"""SELECT '{section}' AS section, {item} AS item, x.metric AS metric, {f4('x.value')} AS value, text FROM (SELECT *, {text} AS text, {_stacked(cells)} AS x FROM {source}) q"""
+
+
+_AUDIT_SQL = f"""WITH tx AS ({EVENTS_TX_SQL}), """ + f"""num AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, avg(CAST({c} IS NULL AS DOUBLE)) * 100.0 AS m, min({c}) AS lo, max({c}) AS hi, quantile_cont(CAST({c} AS DOUBLE), 0.5) AS a, quantile_cont(CAST({c} AS DOUBLE), 0.95) AS b, quantile_cont(CAST({c} AS DOUBLE), 0.99) AS d FROM tx" for c in _AUDIT_NUM)}),
+miss AS ({' UNION ALL '.join(f"SELECT '{c}' AS c, avg(CAST({c} IS NULL AS DOUBLE)) * 100.0 AS m FROM tx" for c in ("TransactionID", "TransactionDT", "TransactionAmt", "isFraud", "card1", "P_emaildomain", "DeviceInfo"))}),
+cat AS (SELECT *, row_number() OVER (ORDER BY n DESC, v) AS r FROM (SELECT coalesce(P_emaildomain, '<NA>') AS v, count(*) AS n FROM tx GROUP BY 1)),
+typ AS (SELECT * FROM (VALUES ('TransactionID', 'bigint'), ('TransactionDT', 'bigint'), ('TransactionAmt', 'double'), ('isFraud', 'int'), ('card1', 'bigint'), ('DeviceInfo', 'string'), ('P_emaildomain', 'string')) v(c, t))
+{_cells('shape', "''", [("rows", "count(*)"), ("columns", "7"), ("present_keys", "7"), ("missing_keys", "8")], 'tx').replace('SELECT *, CAST', 'SELECT CAST')}
+UNION ALL {_cells('dtypes', 'c', [("present", "1")], 'typ', 't')}
+UNION ALL {_cells('time', "''", [("transaction_dt_min", "min(TransactionDT)"), ("transaction_dt_max", "max(TransactionDT)"), ("transaction_dt_missing_pct", "avg(CAST(TransactionDT IS NULL AS DOUBLE)) * 100.0")], 'tx').replace('SELECT *, CAST', 'SELECT CAST')}
+UNION ALL {_cells('label', "''", [("isFraud_missing_pct", "avg(CAST(isFraud IS NULL AS DOUBLE)) * 100.0"), ("isFraud_rate_pct", "avg(isFraud) * 100.0")], 'tx').replace('SELECT *, CAST', 'SELECT CAST')}
+UNION ALL {_cells('label_counts', 'CAST(v AS VARCHAR)', [("count", "n")], '(SELECT isFraud AS v, count(*) AS n FROM tx GROUP BY 1) l')}
+UNION ALL {_cells('missingness', 'c', [("missing_pct", "m")], 'miss')}
+UNION ALL {_cells('coverage', "''", [("rows_with_any_identity_pct", "avg(CAST(DeviceInfo IS NOT NULL AS DOUBLE)) * 100.0")], 'tx').replace('SELECT *, CAST', 'SELECT CAST')}
+UNION ALL {_cells('numeric', 'c', [("missing_pct", "m"), ("min", "lo"), ("max", "hi"), ("p50", "a"), ("p95", "b"), ("p99", "d")], 'num')}
+UNION ALL {_cells('categories', "'P_emaildomain'", [("count", "n"), ("rank", "r")], '(SELECT * FROM cat WHERE r <= 10) t', 'v')}"""
+
+
+@register("audit_report", _AUDIT_SQL)
+def q_audit(spark, sf_dir):
+    """A3 + A8 + A9 (and A1, A4-A7, J2 inside): the audit report as one table."""
+    a = prof.audit_table(_tx(spark, sf_dir, "events"))
+    return a.select("section", "item", "metric", fixed4(F.col("value")).alias("value"), "text")
+
+
+@register("json_report_round_trip", f"""SELECT user_id, count(*) AS n, {f4('avg(value)')} AS mean, CAST(NULL AS DOUBLE) AS endless, CASE WHEN user_id % 2 = 0 THEN {f4('max(value)')} END AS top FROM events GROUP BY user_id""")
+def q_json(spark, sf_dir):
+    """S4 + S5 + S6: a report of every user as JSON at a place of the layout, NaN and infinity as null, read back."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.sources import io
+    paths = io.DataPaths(reports=os.path.join(checkpoint_dir(spark), "tables", f"reports-{uuid.uuid4().hex}"))
+    r = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("mean"), F.lit(float("inf")).alias("endless"),
+                                                             F.when(F.col("user_id") % 2 == 0, F.max("value")).otherwise(F.lit(float("nan"))).alias("top"))
+    io.write_json_report(r, paths.path("reports", "users"))
+    back = spark.read.schema(r.schema).json(paths.path("reports", "users"))
+    return back.select("user_id", "n", fixed4(F.col("mean")).alias("mean"), "endless", fixed4(F.col("top")).alias("top"))
+
+
+@register("temperature_artefact", REGISTRY["calibration_report"][1])
+def q_temperature_artefact(spark, sf_dir):
+    """S7 + M11 + M12: a temperature written as JSON, loaded and applied; an absent or invalid artefact is none."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.sources import io
+    base = os.path.join(checkpoint_dir(spark), "tables", f"temperature-{uuid.uuid4().hex}")
+    for name, t in (("good", 1.5), ("bad", -2.0)):
+        spark.createDataFrame([(t,)], "temperature double").coalesce(1).write.json(os.path.join(base, name))
+    t = io.load_temperature(os.path.join(base, "good"))
+    if io.load_temperature(os.path.join(base, "absent")) is not None or io.load_temperature(os.path.join(base, "bad")) is not None:
+        raise ValueError("an absent or invalid artefact gave a temperature")
+    r = cal.calibration_report(_scored(spark, sf_dir), t, "logit", "y")
+    return r.select(*[fixed4(F.col(c)).alias(c) for c in r.columns])
+
+
+@register("feature_contract", f"""WITH e AS ({entity_features_sql(EVENTS_TX_SQL)}), f AS ({fingerprint_features_sql(EVENTS_TX_SQL)}), j AS (SELECT * FROM e JOIN f USING (TransactionID)), t AS ({EVENTS_TX_SQL})
+SELECT 'numeric' AS kind, 'TransactionAmt' AS "column", count(TransactionAmt) AS present FROM t
+UNION ALL {' UNION ALL '.join(f"SELECT 'numeric', '{c}', count({c}) FROM j" for c in (*_VELOCITY_COLUMNS, *_CAMPAIGN_COLUMNS))}
+UNION ALL SELECT 'key', 'entity_key', count(*) FROM t UNION ALL SELECT 'key', 'fingerprint_key', count(*) FROM t
+UNION ALL SELECT 'other', 'TransactionID', count(TransactionID) FROM t UNION ALL SELECT 'other', 'TransactionDT', count(TransactionDT) FROM t
+UNION ALL SELECT 'other', 'P_emaildomain', count(P_emaildomain) FROM t UNION ALL SELECT 'other', 'DeviceInfo', count(DeviceInfo) FROM t""")
+def q_contract(spark, sf_dir):
+    """P3 + M3: the columns that a model may use and those of its contract, with the rows that have a value."""
+    from tidewatch.operators.schema import feature_columns
+    d = feat.build_features(_tx(spark, sf_dir, "events"))
+    m = prep.feature_schema(d)
+    kind = lambda c: "numeric" if c in m["numeric_cols"] else "key" if c in m["key_cols"] else "other"
+    columns = feature_columns(d)
+    counts = d.agg(*[F.count(c).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(kind(c)).alias("kind"), F.lit(c).alias("column"), F.col(c).alias("present")) for c in columns])))
+
+
+@register("valid_and_test_rows", f"""WITH {_SPLIT_SQL} SELECT TransactionID, split FROM parts WHERE split <> 'train'""")
+def q_parts(spark, sf_dir):
+    """F1 + F2: the rows of the valid and the test part, neither of them empty."""
+    from tidewatch.operators.schema import require_nonempty, split_filter
+    d = spl.time_split(_tx(spark, sf_dir, "events"))
+    for part in ("valid", "test"):
+        require_nonempty(split_filter(d, part), part)
+    return split_filter(d, "valid", "test").select("TransactionID", "split")
+
+
+@register("head_by_time", f"""SELECT TransactionID, TransactionDT FROM ({EVENTS_TX_SQL}) t ORDER BY TransactionDT, TransactionID LIMIT 100""")
+def q_head(spark, sf_dir):
+    """The first hundred rows by time and id -- a head sample."""
+    return bnd.head_sample(_tx(spark, sf_dir, "events").select("TransactionID", "TransactionDT"), 100, ["TransactionDT", "TransactionID"])
+
+
+@register("missing_pct_whole_table", f"""WITH j AS (SELECT d.*, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
+{' UNION ALL '.join(f"""SELECT '{c}' AS "column", {f4(f'avg(CAST({c} IS NULL AS DOUBLE)) * 100.0')} AS missing_pct FROM j""" for c in ("doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"))}""")
+def q_missing_whole(spark, sf_dir):
+    """A1: missing % of every column of the joined table, texts included."""
+    m = prof.missing_pct(_docs_labels(spark, sf_dir))
+    return m.select("column", fixed4(F.col("missing_pct")).alias("missing_pct"))
+
+
+@register("csv_round_trip_texts", "SELECT doc_id, md5(text) AS text_md5, lang, source, n_chars FROM documents")
+def q_csv_texts(spark, sf_dir):
+    """S1 + S3 on whole documents: quotes, line breaks, empty texts and nulls survive CSV and Parquet."""
+    import os
+    import uuid
+
+    from tidewatch.session import checkpoint_dir
+    from tidewatch.sources import io
+    base = os.path.join(checkpoint_dir(spark), "tables", f"texts-{uuid.uuid4().hex}")
+    d = table(spark, sf_dir, "documents")
+    quoting = {"quote": '"', "escape": '"', "nullValue": "\\N", "emptyValue": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    d.write.option("header", True).options(**quoting, lineSep="\n").csv(os.path.join(base, "csv"))
+    rows = io.read_csv(spark, os.path.join(base, "csv"), d.schema, multiLine=True, **quoting)
+    io.write_parquet(rows, os.path.join(base, "parquet"))
+    return io.read_parquet(spark, os.path.join(base, "parquet")).select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")

@@ -36,6 +36,32 @@ def score_stream(events: DataFrame, scorer: Callable[[DataFrame], DataFrame],
     return d.withColumn("risk_band", band).withColumn("recommended_action", band_action(F.col("risk_band")))
 
 
+def scored_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """ST1 sink for ``foreachBatch`` of a :func:`score_stream`: one write a batch, rows that broke a rule apart from the scored
+    ones (``part=rejected`` / ``part=scored``) under the batch's number. A batch that runs again overwrites what it wrote."""
+    import os
+
+    def save(batch: DataFrame, number: int) -> None:
+        part = F.when(F.size("violations") > 0, F.lit("rejected")).otherwise(F.lit("scored"))
+        batch.withColumn("part", part).write.mode("overwrite").partitionBy("part").parquet(os.path.join(path, f"batch={number}"))
+
+    return save
+
+
+def run_scoring(stream: DataFrame, path: str, sink: Callable[[DataFrame, int], None] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Drive a :func:`score_stream` over everything available into :func:`scored_sink` tables at ``path`` (its checkpoint beside
+    them); returns the scored and the rejected rows, with their ``batch``."""
+    import os
+
+    from pyspark.sql import types as T
+    q = (stream.writeStream.foreachBatch(sink or scored_sink(os.path.join(path, "rows")))
+         .option("checkpointLocation", os.path.join(path, "checkpoint")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    schema = T.StructType([*stream.schema.fields, T.StructField("batch", T.LongType()), T.StructField("part", T.StringType())])
+    rows = stream.sparkSession.read.schema(schema).parquet(os.path.join(path, "rows"))
+    return tuple(rows.filter(F.col("part") == p).drop("part") for p in ("scored", "rejected"))
+
+
 def dedup_stream(events: DataFrame, id_col: str, ts_col: str, delay: str = "1 hour") -> DataFrame:
     """ST3: drop repeated ids seen within the watermark delay."""
     return events.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([id_col])
