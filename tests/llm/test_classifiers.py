@@ -80,3 +80,67 @@ def test_toxicity_awkward_rows(spark, clashing, empty):
     assert X.score(empty, model).count() == 0
     nothing = X.fit(empty, labels)
     assert nothing.score("any text at all") < 0.01
+
+
+def _trained():
+    r = np.random.default_rng(3)
+    word = lambda: "".join(r.choice(list("aeinorst"), r.integers(3, 8)))
+    data, texts = [], []
+    for k in range(300):
+        words = [word() for _ in range(40)]
+        if k % 2:
+            at = int(r.integers(38))
+            words[at:at + 3] = ["oaken", "grumble", "tin"]          # harmless words that count together
+        texts.append(" ".join(words))
+        data.append((*X.grouped(texts[-1]), k % 2))
+    return X.fit_windows(data), texts, word
+
+
+def test_toxicity_depends_on_windows_not_on_places():
+    m, texts, word = _trained()
+    for t in texts[:80]:
+        for prefix in ("one", "one two", word()):
+            words = (prefix + " " + t).split()
+            own = [m.score(" ".join(words[i:i + X.WINDOW_WORDS])) for i in range(len(prefix.split()))]
+            assert abs(m.score(prefix + " " + t) - max(m.score(t), *own)) < 1e-9
+    whole = texts[1] + " end"
+    assert abs(m.score(whole) - max(m.score(" ".join(whole.split()[i:i + 3])) for i in range(len(whole.split()) - 2))) < 1e-9
+
+
+def test_toxicity_windows_cross_the_parts_of_a_long_text(monkeypatch):
+    m, texts, _ = _trained()
+    text = " ".join(texts[:20])
+    whole = m.logit(text)
+    monkeypatch.setattr(X, "PART", 50)
+    assert abs(m.logit(text) - whole) < 1e-9
+
+
+def test_toxicity_gradient_equals_differences():
+    r = np.random.default_rng(4)
+    emb, soft, bias = r.normal(size=(12, 4)), r.normal(size=4), 0.3
+    own, row, n = np.array([3, 5, 5, 9, 1, 3]), np.array([0, 0, 0, 1, 1, 2]), np.array([3, 2, 1])
+    y, weight = np.array([1.0, 0.0, 1.0]), np.array([0.5, 2.0, 1.0])
+
+    def loss(e, s, b):
+        z = np.array([(e[own[row == k]] @ s).mean() + b for k in range(3)])
+        return float((weight * (np.log1p(np.exp(z)) - y * z)).sum())
+
+    touched, d_emb, d_soft, d_bias = X.gradient(emb, soft, bias, own, row, n, y, weight)
+    assert touched.tolist() == [1, 3, 5, 9]
+    for i, t in enumerate(touched):
+        for c in range(4):
+            e = emb.copy()
+            e[t, c] += 1e-6
+            assert abs((loss(e, soft, bias) - loss(emb, soft, bias)) / 1e-6 - d_emb[i, c]) < 1e-4
+    for c in range(4):
+        s = soft.copy()
+        s[c] += 1e-6
+        assert abs((loss(emb, s, bias) - loss(emb, soft, bias)) / 1e-6 - d_soft[c]) < 1e-4
+    assert abs((loss(emb, soft, bias + 1e-6) - loss(emb, soft, bias)) / 1e-6 - d_bias) < 1e-4
+
+
+def test_toxicity_repeated_rows(spark):
+    m, texts, _ = _trained()
+    df = spark.createDataFrame([(1, texts[1]), (1, texts[1]), (2, texts[0]), (1, texts[0])], "doc_id long, text string")
+    got = sorted(map(tuple, X.score(df, m).collect()))
+    assert len(got) == 4 and got == sorted((i, m.score(t), int(m.score(t) >= 0.5)) for i, t in [(1, texts[1]), (1, texts[1]), (2, texts[0]), (1, texts[0])])

@@ -1,15 +1,16 @@
 """Toxicity scores: bags of subword embeddings, averaged into a linear softmax.
 
-A text is cut into windows of a few words. The character n-grams of a window (with the
-marks of word starts and ends) index a table of hashed embeddings; their mean goes into a
+Every run of a few words of a text is a window. The character n-grams of a window (with the
+marks of its words' starts and ends) index a table of hashed embeddings; their mean goes into a
 linear softmax of two classes, and a text takes the highest score of its windows, so that
-a few words count in a long text as in a short one. Embeddings and the softmax are trained
+a few words count in a long text as in a short one, wherever they stand. Embeddings and the softmax are trained
 together by Adagrad in numpy. Labels belong to whole texts: in each round the best window
 of a toxic text counts as toxic, and the best and some other windows of a clean text as
 clean. An unseen misspelling shares most n-grams, and so their vectors, with its word.
 
 For two classes only the difference of the softmax rows matters, so the score of a window
-is the mean over its n-grams of one number for each bucket; scoring uses that table.
+is the mean over its n-grams of one number for each bucket; scoring uses that table, adds it
+up by word, and takes windows as sums of neighbouring words.
 
 Training rows are a bounded sample (``SAMPLE_TOXIC``, ``SAMPLE_CLEAN``, chosen by a hash of
 the id); their n-gram ids go to the driver, where the model is fitted.
@@ -49,10 +50,8 @@ def code_table() -> np.ndarray:
     return _tables["codes"]
 
 
-def window_ngrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each part of a text: n-gram buckets, and the window that each is in (from 0, in a part).
-
-    Parts end at the end of a word, so windows never share words; the last window of a part may be shorter."""
+def word_ngrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each part of a text: n-gram buckets, and the word that each is in (from 0, in a part). Parts end at the end of a word."""
     text = text.lower()
     at = 0
     while at < len(text):
@@ -82,12 +81,20 @@ def window_ngrams(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 x = g[inside]
                 x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
                 ids.append((x >> np.uint64(64 - 17)).astype(np.int32))
-                where.append((first[inside] - 1) // WINDOW_WORDS)
+                where.append(first[inside] - 1)
         ids, where = np.concatenate(ids), np.concatenate(where)
         if len(ids):
             yield ids, where
 
 
+def windows(words: np.ndarray) -> np.ndarray:
+    """Sums over every run of ``WINDOW_WORDS`` neighbours; over all of them where there are fewer."""
+    n = len(words) - WINDOW_WORDS + 1
+    if n < 1:
+        return words.sum(keepdims=True) if len(words) else words
+    return sum(words[k:k + n] for k in range(1, WINDOW_WORDS)) + words[:n]
+
+
 @dataclass
 class ToxicityModel:
     scores: np.ndarray  # for each bucket, the embedding times the difference of the softmax rows
@@ -95,13 +102,14 @@ class ToxicityModel:
 
     def logit(self, text: str | None) -> float | None:
         """Highest logit of the windows; None for a text without n-grams."""
-        best = None
-        for ids, where in window_ngrams(text or ""):
+        totals, counts = [], []
+        for ids, where in word_ngrams(text or ""):
             total, n = np.bincount(where, weights=self.scores[ids]), np.bincount(where)
-            some = n > 0
-            top = float((total[some] / n[some]).max()) + self.bias
-            best = top if best is None else max(best, top)
-        return best
+            totals.append(total[n > 0])
+            counts.append(n[n > 0])
+        if not totals:
+            return None
+        return float((windows(np.concatenate(totals)) / windows(np.concatenate(counts))).max()) + self.bias
 
     def score(self, text: str | None) -> float:
         z = self.logit(text)
@@ -109,17 +117,27 @@ class ToxicityModel:
 
 
 def grouped(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram buckets of a whole text by window, and how many each window has (windows without any are left out)."""
+    """The n-gram buckets of a whole text by word, and how many each word has (words without any are left out)."""
     ids, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
-    for i, w in window_ngrams(text or ""):
+    for i, w in word_ngrams(text or ""):
         ids.append(i[np.argsort(w, kind="stable")])
         n = np.bincount(w)
         sizes.append(n[n > 0].astype(np.int32))
     return np.concatenate(ids), np.concatenate(sizes)
 
 
+def gradient(emb: np.ndarray, soft: np.ndarray, bias: float, own: np.ndarray, row: np.ndarray, n: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """Gradient of the windows' weighted cross-entropy: buckets in them with the gradient of their embeddings, of the
+    softmax difference and of the bias. ``own`` are the buckets of all windows, ``row`` the window each is in, ``n`` their sizes."""
+    logit = np.bincount(row, weights=(emb[own] @ soft), minlength=len(n)) / n + bias
+    g = (1.0 / (1.0 + np.exp(-np.clip(logit, -50, 50))) - y) * weight
+    touched, inverse = np.unique(own, return_inverse=True)
+    coef = np.bincount(inverse, weights=(g / n)[row], minlength=len(touched))
+    return touched, coef[:, None] * soft, coef @ emb[touched], float(g.sum())
+
+
 def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | None = None, rate: float = 0.5, l2: float = 1e-6, others: int = 3, seed: int = 5) -> ToxicityModel:
-    """Train on (n-gram buckets by window, size of each window, label) of texts. By default there are as many rounds
+    """Train on (n-gram buckets by word, size of each word, label) of texts. By default there are as many rounds
     as make about 700 steps, 14 at least and 40 at most."""
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.1, (BUCKETS, DIM))
@@ -129,16 +147,21 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | N
     if not texts or len({t[2] for t in texts}) < 2:
         share = float(np.mean([t[2] for t in texts])) if texts else 0.0
         return ToxicityModel(np.zeros(BUCKETS, np.float32), 8.0 if share == 1.0 else -8.0)
-    starts = np.r_[0, np.cumsum([len(t[1]) for t in texts])]
     ids = np.concatenate([t[0] for t in texts])
-    per = np.concatenate([t[1] for t in texts]).astype(np.int64)
-    edge = np.r_[0, np.cumsum(per)]
+    # windows: a run of neighbouring words of one text, so a run of n-grams from ``begin`` on
+    wide = [max(1, len(t[1]) - WINDOW_WORDS + 1) for t in texts]
+    starts = np.r_[0, np.cumsum(wide)]
+    per = np.concatenate([windows(t[1].astype(np.int64)) for t in texts])
+    at_word = [np.cumsum(t[1], dtype=np.int64) - t[1] for t in texts]
+    at_text = np.cumsum([len(t[0]) for t in texts]) - [len(t[0]) for t in texts]
+    begin = np.concatenate([a + w[:n] for a, w, n in zip(at_text, at_word, wide, strict=True)])
     label = np.array([t[2] for t in texts])
     if rounds is None:
         steps = (label.sum() + (1 + others) * (1 - label).sum()) / 128
         rounds = int(np.clip(700 / steps, 14, 40))
     for r in range(rounds):
-        z = np.add.reduceat((emb @ soft).astype(np.float32)[ids], edge[:-1]) / per
+        run = np.r_[0.0, np.cumsum((emb @ soft)[ids])]
+        z = (run[begin + per] - run[begin]) / per
         pick, y = [], []
         for k in range(len(texts)):
             a, b = starts[k], starts[k + 1]
@@ -155,20 +178,16 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | N
         for part in np.array_split(rng.permutation(len(pick)), max(1, len(pick) // 128)):
             w = pick[part]
             n = per[w]
-            at = np.repeat(edge[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            at = np.repeat(begin[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             own, row = ids[at], np.repeat(np.arange(len(w)), n)
-            logit = np.bincount(row, weights=(emb[own] @ soft), minlength=len(w)) / n + bias
-            g = (1.0 / (1.0 + np.exp(-np.clip(logit, -50, 50))) - y[part]) * weight[part] / len(w)
-            touched, inverse = np.unique(own, return_inverse=True)
-            coef = np.bincount(inverse, weights=(g / n)[row], minlength=len(touched))
-            d_emb = coef[:, None] * soft + l2 * emb[touched]
-            d_soft = coef @ emb[touched]
+            touched, d_emb, d_soft, d_bias = gradient(emb, soft, bias, own, row, n, y[part], weight[part] / len(w))
+            d_emb += l2 * emb[touched]
             emb_sq[touched] += (d_emb * d_emb).mean(axis=1)
             emb[touched] -= rate * d_emb / np.sqrt(emb_sq[touched])[:, None] * 0.2
             soft_sq += float((d_soft * d_soft).mean())
             soft -= rate * 0.2 * d_soft / np.sqrt(soft_sq)
-            bias_sq += float(g.sum()) ** 2
-            bias -= rate * float(g.sum()) / np.sqrt(bias_sq)
+            bias_sq += d_bias ** 2
+            bias -= rate * d_bias / np.sqrt(bias_sq)
     return ToxicityModel((emb @ soft).astype(np.float32), float(bias))
 
 
