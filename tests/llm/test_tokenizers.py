@@ -38,6 +38,29 @@ def test_codec_fuzz_and_agendas_agree():
     assert all(ids is None or ids == c.encode_symbols(w) for w, ids in zip(words, c.encode_many(words)))
 
 
+def test_ids_come_from_the_agenda():
+    """Without the right pairs the agenda gives other ids, which only the check sees and mends."""
+    texts = ["the whole of the matter is a long story", "ünïcode strings, too"]
+    right = PieceCodec(PIECES)
+    assert [g[2] for g in right.encode_texts(texts)] == [0, 0]
+    broken = PieceCodec(PIECES)
+    broken.merged = broken.merged[::-1].copy()
+    got = broken.encode_texts(texts)
+    assert [g[2] for g in got] != [0, 0] and [g[0] for g in got] == [g[0] for g in right.encode_texts(texts)]
+    unchecked = PieceCodec(PIECES)
+    unchecked.merged = broken.merged
+
+    class Agreeing:
+        def encode(self, words, num_threads):
+            many = unchecked.encode_many(["▁" + w for w in words])
+            return [unchecked.encode_symbols("▁" + w) if ids is None else ids for w, ids in zip(words, many)]
+
+    unchecked.lib = Agreeing()
+    got = unchecked.encode_texts(texts)
+    assert [g[2] for g in got] == [0, 0] and [g[0] for g in got] != [g[0] for g in right.encode_texts(texts)]
+    assert [g[1] for g in got] != texts                        # the text is decoded from these ids
+
+
 def test_counts_equal_library(docs, clashing, empty, texts):
     lib = Tokenizer.from_file(BYTES)
     got = sorted((r.doc_id is None, r.doc_id or 0, r.n_bytes, r.n_tokens, r.over_limit) for r in count_tokens(clashing, BYTES, chunk_chars=5000, overlap_chars=64).collect())

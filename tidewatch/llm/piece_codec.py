@@ -10,9 +10,10 @@ model has none).
 
 If no piece holds the word mark after another character, merges never cross the start of
 a word, so a text is cut there and the ids of a word are remembered in a bounded memo.
-Every word that an Arrow batch adds to the memo is checked against the sentencepiece
-library in that batch; a difference would be counted in ``n_corrected`` and the library's
-ids kept.
+The ids of a text are those that the agenda gave its words, and its decoded text comes from
+these ids. Every word that an Arrow batch adds to the memo is checked against the
+sentencepiece library in that batch; a difference is counted in ``n_corrected``, and only
+then the library's ids are taken.
 """
 
 from __future__ import annotations
@@ -62,8 +63,6 @@ class PieceCodec:
         #: ids (int32 bytes) of words without their mark
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        #: words whose ids decode to another text, as with an unknown piece
-        self.odd: dict[str, str] = {}
         self.pair_table()
 
     def pair_table(self) -> None:
@@ -208,7 +207,10 @@ class PieceCodec:
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
-        text = self.decode_marked(ids)
+        if ids and min(ids) >= self.first_plain:
+            text = "".join(map(self.plain.__getitem__, ids))
+        else:
+            text = self.decode_marked(ids)
         return text[1:] if text.startswith(" ") else text
 
     def encode(self, text: str | None) -> list[int]:
@@ -240,23 +242,17 @@ class PieceCodec:
             fresh = [w for w in fresh if w not in young]
         wrong = self.learn(fresh, later := {})
         ids_of = {w: young[w] if w in young else later[w] for w in every} if later else young
-        odd = self.odd
         out = []
         for ws in cut:
-            # each word was found to decode to itself, but for those in odd
-            if odd and not odd.keys().isdisjoint(ws):
-                decoded = "".join([odd[w] if w in odd else " " + w.replace(MARK, " ") for w in ws])[1:]
-            else:
-                decoded = " ".join(ws).replace(MARK, " ")
-            out.append((b"".join([ids_of[w] for w in ws]), decoded, len(wrong.intersection(ws)) if wrong else 0))
+            ids = b"".join([ids_of[w] for w in ws])
+            out.append((ids, self.decode(np.frombuffer(ids, np.int32).tolist()), len(wrong.intersection(ws)) if wrong else 0))
         if len(young) > MEMO_WORDS:
             self.old, self.young = young, {}
-            self.odd = {w: t for w, t in odd.items() if w in young}
         return out
 
     def learn(self, fresh: list[str], later: dict[str, bytes]) -> set[str]:
-        """Encode new words, check them against the library, decode them, and remember their ids: short ones
-        in the memo, others in ``later``. Returns the words that the check corrected."""
+        """Encode new words by the agenda, check them against the library, and remember their ids: short ones in the
+        memo, others in ``later``. Returns the words that the check corrected."""
         if not fresh:
             return set()
         fresh.sort(key=len)
@@ -268,12 +264,8 @@ class PieceCodec:
         if not fresh[0]:
             want[0] = many[0]
         wrong = {w for w, a, b in zip(fresh, many, want, strict=True) if a != b} if many != want else set()
-        plain, first, young = self.plain, self.first_plain, self.young
-        for w, ids in zip(fresh, want, strict=True):
-            text = "".join([plain[i] for i in ids]) if min(ids) >= first else self.decode_marked(ids)
-            if text[1:] != w and text[1:] != w.replace(MARK, " "):
-                self.odd[w] = text
-            (young if len(w) < MEMO_CHARS else later)[w] = array("i", ids).tobytes()
+        for w, ids, checked in zip(fresh, many, want, strict=True):
+            (self.young if len(w) < MEMO_CHARS else later)[w] = array("i", checked if w in wrong else ids).tobytes()
         return wrong
 
 
