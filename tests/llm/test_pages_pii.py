@@ -67,10 +67,27 @@ def test_class_words_mark_no_article():
     assert text("<div class='content-sidebar-wrap'><main><p>a</p></main></div>") == "a"
     assert text("<main class='with-sidebar'><p>a</p></main><p>b</p>") == "a"
     assert text("<article class='post has-banner'><div class='post-header'><h1>t</h1></div><p>a</p></article><p>b</p>") == "t\n\na"
-    assert text("<div class='sidebar'><p>w</p><div id='banner'><article class='comment'><div class='header'>t</div>a<div class='ad'>x</div></article></div></div>") == "t\n\na"
+    assert text("<div class='sidebar'><p>w</p><div id='banner'><article class='post'><div class='header'>t</div>a<div class='ad'>x</div></article></div></div>") == "t\n\na"
     assert text("<div class='big sidebar'><p>x</p></div><div class='sidebar'><nav>m</nav></div><p>a</p><nav><article>n</article></nav>") == "a"
 
 
+def test_comments_teasers_and_adverts_are_no_article():
+    text = lambda s: T.Page(s).main_text(set())
+    story = "<article class='post comments-open'><h1>t</h1><p>a</p>{}<p>b</p></article>"
+    assert text(story.format("") + "<div id='comments' class='comments-area'><article class='comment-body'><p>reader</p></article></div>") == "t\n\na\n\nb"
+    assert text(story.format("") + "<section class='related'><article><p>teaser</p></article></section>") == "t\n\na\n\nb"
+    assert text("<main>" + story.format("") + "<article class='comment'><p>reader</p></article></main>") == "t\n\na\n\nb"
+    for name in ("related-posts", "social-share", "cookie-banner", "comment-list", "ad-slot", "relatedPosts", "post__comments", "newsletter_signup", "c-share-buttons", "notice", "left-sidebar"):
+        for tag in ("div", "section", "ul", "p", "span", "li", "h3", "a"):
+            assert text(story.format(f"<{tag} class='x {name}'>no <{tag if tag == 'span' else 'b'}>no</{tag if tag == 'span' else 'b'}> no</{tag}>")) == "t\n\na\n\nb", (name, tag)
+    for name in ("share-price", "has-sidebar", "with-comments", "article-body", "post-content", "header", "post-header", "comments-open", "ad-free", "menuet", "noticeable"):
+        assert text(story.format(f"<div class='{name}'>yes</div>")) == "t\n\na\n\nyes\n\nb", name
+    assert text("<ul><li class='related'>no<li>yes</ul><p class='ad'>no<p>yes<div class='ad'>no</div><p class='ad'>no<div>yes</div>") == "yes\n\nyes\n\nyes"
+    # an article is nowhere but in layout, or nowhere but among comments
+    assert text("<div id='sidebar'><p>x</p><article><p>a</p></article></div>") == "a"
+    assert text("<div><p>a</p></div><div id='comments'><article class='comment'><p>reader</p></article></div>") == "a"
+
+
 def test_long_attribute_values():
     text = lambda s: T.Page(s).main_text(set())
     for quote, other in ('"\'', "'\""):

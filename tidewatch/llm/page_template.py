@@ -21,6 +21,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,8 @@ MIN_PAGES = 10
 MIN_SHARE = 0.8
 #: tokens that a class must have
 MIN_CLASS = 3
-#: hosts (a row of the template tokens of each) that may be broadcast
-BROADCAST_HOSTS = 100_000
+#: template tokens of all hosts together (24 bytes each) that may be broadcast
+BROADCAST_TOKENS = 2_000_000
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object textarea xmp".split())
@@ -47,8 +48,14 @@ BLOCKS = frozenset("address article aside blockquote body center dd details dial
 SPACES = frozenset(("br", "td", "th"))
 #: containers that are no part of an article
 NOISE_TAGS = frozenset("head title nav aside footer form menu dialog select button fieldset".split())
-#: classes and ids that mark a container as no part of an article
-NOISE_WORDS = frozenset("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer header masthead menu modal nav navbar navigation newsletter notice notices paywall popup promo promoted promotion related replies reply respond share sharing sidebar social sponsor sponsored subscribe toolbar widget".split())
+#: names of classes and ids for layout around an article; an article may lie in such an element
+LAYOUT_WORDS = frozenset("banner breadcrumb breadcrumbs footer header masthead menu nav navbar navigation notice notices sidebar toolbar widget widgets".split())
+#: names for what is no article, wherever it lies and even if it is marked up as one
+OTHER_WORDS = frozenset("ad ads advert adverts advertisement advertisements advertising comment comments cookie cookies consent disqus modal newsletter paywall popup promo promoted promotion promotions recommendation recommendations recommended related replies reply respond share sharing social sponsor sponsored subscribe subscription teaser teasers".split())
+#: last words of a name that only say what the word before them names
+GENERIC_WORDS = frozenset("area articles bar block body box btn button buttons card cards container content feed form grid group holder icons inner item items layer link links list outer overlay panel placeholder posts row section signup slot slots stories thread unit wrap wrapper zone".split())
+#: a name with one of these tells about another element
+STATE_WORDS = frozenset("has is no not with without".split())
 MAIN = frozenset(("article", "main"))
 #: attributes that tell containers apart
 MARKS = frozenset(("class", "id", "role"))
@@ -56,6 +63,28 @@ MARKS = frozenset(("class", "id", "role"))
 _NEXT = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^=>]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+)(?:>|\Z)|[^<]+|<", re.DOTALL)
 _ATTR = re.compile(r"([^\s=\"'/]++)\s*+(?:=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]*+)))?")
 _SPACE = re.compile(r"\s+")
+_WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z0-9]+")
+#: elements that end where another one begins: a paragraph at any block, others at their like
+ENDS = {"p": BLOCKS, "li": frozenset(("li",)), "dt": frozenset(("dt", "dd")), "dd": frozenset(("dt", "dd")), "option": frozenset(("option",)), "tr": frozenset(("tr",)), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr"))}
+
+
+@lru_cache(1 << 16)
+def mark_of(names: str, in_main: bool) -> int:
+    """What the value of a class or id marks its element as: 2 no article, 1 layout, 0 neither. The head noun of a name
+    decides: ``related-posts`` and ``post-comments`` are no article, ``share-price`` and ``has-sidebar`` mark nothing. A
+    header in an article is its own."""
+    found = 0
+    for name in names.split():
+        words = [w.lower() for w in _WORD.findall(name)]
+        if not words or STATE_WORDS.intersection(words):
+            continue
+        while len(words) > 1 and words[-1] in GENERIC_WORDS:
+            words.pop()
+        if words[-1] in OTHER_WORDS:
+            return 2
+        if words[-1] in LAYOUT_WORDS and not (in_main and words[-1] == "header"):
+            found = 1
+    return found
 
 
 def host_of(url: str | None) -> str:
@@ -65,16 +94,18 @@ def host_of(url: str | None) -> str:
 
 class Page:
     """Tokens of a page, in order: hash, text (None for a tag), what a tag parts (2: blocks, 1: words, 0: nothing),
-    in an article, number of the container. ``noise`` says of each container whether it is no part of an article, by its
-    tag or a whole class or id, or lies in one that is; a class or id marks no article and no container that holds one."""
+    in an article, number of the container. ``noise`` says of each container whether it is no part of an article. It is
+    none if its tag, class or id says so, or if it lies in one that is none. Layout names mark no article itself, and where
+    all articles lie in elements with layout names, these count only if they hold none."""
 
     def __init__(self, source: str):
         self.tokens: list[tuple[int, str | None, int, bool, int]] = []
-        #: containers in the order that they open: the one around, marked by the tag, marked by a class or id, holds an article
-        around, by_tag, by_class, holds = [0], [False], [False], [False]
+        #: containers in the order that they open: the one around, marked by the tag, by a class or id, an article, holds one
+        around, by_tag, by_name, article, holds = [0], [False], [0], [False], [False]
         digest = xxhash.xxh64_intdigest
         #: open containers: name, hash of the path to it, number, articles on the path
         stack: list[tuple[str, int, int, int]] = [("", 0, 0, 0)]
+        #: how many of each name are open, and of the names that are no containers
         opened: Counter = Counter()
         at = 0
         while m := _NEXT.match(source, at):
@@ -95,15 +126,29 @@ class Page:
                 at = end.end()
                 self.tokens.append((digest(f"{path}<{name}>"), None, 0, main > 0, box))
                 continue
-            marks = [(a[1] or a[2] or a[3]).lower() for a in _ATTR.findall(attrs) if a[0].lower() in MARKS] if attrs and not closing else []
-            known = " ".join(sorted(x for a in marks for x in re.split(r"[\s_-]+", a)))
+            if not closing and name in ENDS.get(stack[-1][0], ()):
+                opened[stack.pop()[0]] -= 1        # a marked paragraph or item ends here
+                _, path, box, main = stack[-1]
+            marks = [a[1] or a[2] or a[3] for a in _ATTR.findall(attrs) if a[0].lower() in MARKS] if attrs and not closing else []
+            known = " ".join(sorted(x for a in marks for x in re.split(r"[\s_-]+", a.lower())))
             self.tokens.append((digest(f"{path}<{m[1]}{name} {known}>"), None, 2 if name in BLOCKS else int(name in SPACES), main > 0, box))
-            if name not in CONTAINERS or attrs.rstrip().endswith("/"):
+            if closing:
+                if opened[name]:
+                    while True:
+                        last = stack.pop()[0]
+                        opened[last] -= 1
+                        if last == name:
+                            break
+                continue
+            if name in VOID or attrs.rstrip().endswith("/"):
                 continue
-            if not closing:
+            mark = max((mark_of(a, main > 0) for a in marks), default=0) if name not in ("html", "body") else 0
+            # other elements are containers if they are marked, or lie in a marked one of their name
+            if name in CONTAINERS or mark or opened[name]:
                 around.append(box)
                 by_tag.append(name in NOISE_TAGS or (name == "header" and not main))
-                by_class.append(name not in ("html", "body") and any(x in NOISE_WORDS and not (main and x == "header") for a in marks for x in a.split()))
+                by_name.append(mark if mark == 2 or name not in MAIN else 0)
+                article.append(name in MAIN)
                 holds.append(False)
                 stack.append((name, digest(f"{path}/{name}"), len(around) - 1, main + (name in MAIN)))
                 if name in MAIN:
@@ -112,15 +157,16 @@ class Page:
                         holds[up] = True
                         up = around[up]
                 opened[name] += 1
-            elif opened[name]:
-                while True:
-                    last = stack.pop()[0]
-                    opened[last] -= 1
-                    if last == name:
-                        break
-        self.noise = [False]
-        for k in range(1, len(around)):
-            self.noise.append(self.noise[around[k]] or by_tag[k] or (by_class[k] and not holds[k]))
+
+        def spread(own: list[bool]) -> list[bool]:
+            out = [False]
+            for k in range(1, len(around)):
+                out.append(out[around[k]] or own[k])
+            return out
+
+        self.noise = spread([t or n > 0 for t, n in zip(by_tag, by_name, strict=True)])
+        if any(holds) and all(self.noise[k] for k in range(len(around)) if article[k]):
+            self.noise = spread([t or n == 2 or (n == 1 and not h) for t, n, h in zip(by_tag, by_name, holds, strict=True)])
 
     def counts(self) -> tuple[Counter, dict[int, int]]:
         """How often each token is there, and where first. Stretches of white space aren't tokens of a template."""
@@ -222,7 +268,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     src = pages.select(F.monotonically_increasing_id().alias("__row"), F.col(id_col).alias("__id"), F.col(url_col).cast("string").alias("__url"), F.col(html_col).cast("string").alias("__html"))
     src = src.withColumn("host", F.xxhash64(F.expr(_HOST)))
     found = stage_table(templates(src), "templates")
-    found = F.broadcast(found) if found.count() <= BROADCAST_HOSTS else found
+    size = found.agg(F.sum(F.size("template"))).first()[0] or 0
+    found = F.broadcast(found) if size <= BROADCAST_TOKENS else found
     joined = src.join(found, "host", "left").select("__id", "__url", "__html", "template.class", "template.token")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
