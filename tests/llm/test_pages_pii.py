@@ -181,3 +181,83 @@ def test_likelihood_gradient_fits_training_examples():
     crf = P.train(examples, epochs=20)
     for lat, true in examples:
         assert {(s, e): k for k, s, e in crf.decode(lat)} == {lat.spans[k]: P.KINDS[y - 1] for k, y in true.items()}
+
+
+def segmentations(lat, scores, moves, at=0, before=0):
+    """Every segmentation from a token on, as (score, segments with their kinds)."""
+    if at == lat.n:
+        yield 0.0, ()
+        return
+    for k, (a, e) in enumerate(lat.segments):
+        if a == at:
+            for y in range(len(P.KINDS) + 1):
+                if scores[k, y] > float("-inf"):
+                    for rest, path in segmentations(lat, scores, moves, e, y):
+                        yield scores[k, y] + moves[before, y] + rest, ((k, y), *path)
+
+
+def test_decoding_and_likelihood_equal_enumeration(spark):
+    import numpy as np
+
+    crf = P.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    r = np.random.default_rng(1)
+    for line in ("on 555 123 4567", "1.2.3.4", "a1 (at) b.c", "x 12-34 56", "a@b 7", "+1 23 4567"):
+        lat = P.lattice(line, 0, len(line))
+        for noise in (0.0, 2.0):
+            model = P.SemiCrf(crf.index, crf.weights + noise * r.normal(size=crf.weights.shape), crf.moves + noise * r.normal(size=crf.moves.shape))
+            s = model.scores(lat)
+            every = list(segmentations(lat, s, model.moves))
+            best = max(every, key=lambda x: x[0])
+            assert model.decode(lat) == [(P.KINDS[y - 1], *lat.spans[k]) for k, y in best[1] if y]
+            total = P._logsum(P.forward(lat, s, P.ends(lat), model.moves)[lat.n], 0)
+            assert abs(float(total) - np.logaddexp.reduce([x for x, _ in every])) < 1e-6
+
+
+def test_pieces_decode_as_the_whole(spark):
+    crf = P.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    r = random.Random(8)
+    for _ in range(60):
+        lines = [f"call {r.randint(200, 999)}-{r.randint(200, 999)}-{r.randint(1000, 9999)}", f"on {r.randint(1, 28)}.{r.randint(1, 12)}.2020", "joe (at) mail.example.com", "no number", P.counterexample(r)]
+        r.shuffle(lines)
+        text = r.choice(["\n", "   ", "\n\n"]).join(lines)
+        if not P.base_spans(text):
+            whole = [x for x in crf.decode(P.lattice(text, 0, len(text))) if P.holds(x[0], text[x[1]:x[2]])]
+            assert sorted(whole) == sorted(P.find(text, crf)[1])
+
+
+def test_added_spans_are_precise_and_complete(spark):
+    """Numbers and addresses that the training hasn't seen, in forms that the patterns don't know, and numbers that are no personal data."""
+    crf = P.fit(spark.read.parquet(f"{SF}/documents.parquet"))
+    r = random.Random(99)
+    right = wrong = missed = 0
+    for k in range(1200):
+        if k % 2:
+            kind = P.KINDS[k // 2 % 4]
+            line = P.made_up(kind, r)
+            a, e = next(x[1:] for x in P.base_spans(line) if x[0] == kind)
+            new = P.rewritten(kind, line[a:e], r)
+            if new is None:
+                continue
+            line, want = line[:a] + new + line[e:], {(kind, a, a + len(new))}
+        else:
+            line, want = f"see {P.counterexample(r)} for it", set()
+        base, every = P.find(line, crf)
+        if not base:
+            right, wrong, missed = right + len(set(every) & want), wrong + len(set(every) - want), missed + len(want - set(every))
+    assert right / (right + wrong) >= 0.9 and right / (right + missed) >= 0.9
+    found = lambda s: [(k, s[a:e]) for k, a, e in P.find(s, crf)[1]]
+    assert found("at 40.7128 74.0060 north") == found("host 192.168.1.300 down") == found("card 4111 1111 1111 1112 no") == []
+    assert found("call 1-800-555-1234 now") == [("phone", "1-800-555-1234")]
+
+
+def test_many_spans_take_linear_time(spark):
+    import time
+
+    crf = P.fit(spark.read.parquet(f"{SF}/documents.parquet").limit(200))
+    seconds = []
+    for n in (3000, 12000):
+        text = " ".join(f"user{i}.name@mail{i % 97}.example.com" for i in range(n))
+        t = time.time()
+        assert len(P.find(text, crf)[0]) == n
+        seconds.append(time.time() - t)
+    assert seconds[1] < 2 and seconds[1] < 12 * max(seconds[0], 0.02)

@@ -7,14 +7,16 @@ digits, at signs and written-out at signs. A region is cut into tokens; the mode
 whole segments of up to ``MAX_TOKENS`` tokens as one kind (by the segment's shape, digit
 groups, Luhn sum, separators and neighbours) and single tokens as none, with weights for
 the kinds of neighbouring segments. Dynamic programming over ends and kinds of segments picks
-boundaries and kinds together. Of its spans, those that overlap no base span are added.
+boundaries and kinds together. Base spans are given, so the field decides on what lies between
+them; a card that it adds passes the Luhn sum, an address of numbers has four octets, a
+phone number 7 to 15 digits.
 
 Training maximises the penalised likelihood by forward-backward sums over all
 segmentations. It learns from base matches in a bounded sample of documents, drawn for each
 kind from those with a base match of it (and from some without any), from some made-up lines
 of each kind, and from the same matches rewritten in forms that the patterns don't know (a phone number without its plus,
 a card in groups with dots, an address with "(at)"), and from numbers that are no personal
-data (dates, times, versions, prices).
+data (dates, times, versions, prices, coordinates, octets out of range, failing Luhn sums).
 """
 
 from __future__ import annotations
@@ -37,8 +39,10 @@ from tidewatch.llm.common import id_and_text, map_arrow, stage_table
 KINDS = ("email", "ip", "card", "phone")
 #: bound on the documents that the model is fitted on
 SAMPLE_ROWS = 200
+#: regions of a document in the sample that the model learns from (those with base matches first), and their longest
+SAMPLE_REGIONS, SAMPLE_REGION_CHARS = 20, 500
 #: made-up lines of each kind that the model learns from besides, since the table may have none
-MADE_UP = 20
+MADE_UP = 50
 #: an entity has at most so many tokens, if it is no whole address
 MAX_TOKENS = 24
 #: characters around a trigger that belong to its region
@@ -55,6 +59,9 @@ _TRIGGER = re.compile(r"[0-9@]+|[(\[] ?at ?[)\]]", re.IGNORECASE)
 _AT = re.compile(r" ?(?:@|[(\[] ?at[)\]]) ?", re.IGNORECASE)
 _WORD = re.compile(r"[\w.%+-]")
 _HOST = re.compile(r"[\w-]++(?:\.[\w-]++)*")
+_LINE = re.compile(r"(?:\S+|\s{1,2}(?=\S)(?<!\n)(?<!\n.))+")
+#: a word or number goes on across a mark
+_ON_LEFT, _ON_RIGHT = re.compile(r"\w[.@+-]$"), re.compile(r"[.@+-]\w")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.DOTALL)
 
 Span = tuple[str, int, int]
@@ -115,6 +122,27 @@ def regions(text: str) -> Iterator[tuple[int, int]]:
         yield start, end
 
 
+def gaps(text: str, base: list[Span]) -> Iterator[tuple[int, int]]:
+    """What lies between base spans in the regions, where it holds a trigger, cut at line breaks and wide space (no entity
+    holds these, so that a decision on one side doesn't depend on the other)."""
+    starts = sorted((s, e) for _, s, e in base)
+    k = 0
+    for a, b in regions(text):
+        at, pieces = a, []
+        while k < len(starts) and starts[k][0] < b:
+            s, e = starts[k]
+            if s > at:
+                pieces.append((at, s))
+            at = max(at, e)
+            k += 1
+        if at < b:
+            pieces.append((at, b))
+        for s, e in pieces:
+            for m in _LINE.finditer(text, s, e):
+                if _TRIGGER.search(text, m.start(), m.end()):
+                    yield m.start(), m.end()
+
+
 @dataclass
 class Lattice:
     """Candidate segments of a region: ends in tokens, kinds that may hold, feature ids."""
@@ -161,7 +189,7 @@ def lattice(text: str, start: int, end: int) -> Lattice:
                 break  # without an at sign, only digits and separators
             lat.segments.append((i, j + 1))
             lat.spans.append((a, b))
-            lat.features.append(segment_features(s, n, at, text[a - 1:a], text[b:b + 1]))
+            lat.features.append(segment_features(s, n, at, text[max(a - 2, 0):a], text[b:b + 2]))
     # addresses as wide as their characters go, however many tokens that is
     seen = set(lat.spans[lat.n:])
     first, last = {a: k for k, (a, _) in enumerate(tokens)}, {b: k + 1 for k, (_, b) in enumerate(tokens)}
@@ -179,17 +207,20 @@ def lattice(text: str, start: int, end: int) -> Lattice:
             s = text[a:b]
             lat.segments.append((first[a], last[b]))
             lat.spans.append((a, b))
-            lat.features.append(segment_features(s, sum(digits[first[a]:last[b]]), True, text[max(a - 1, 0):a], text[b:b + 1]))
+            lat.features.append(segment_features(s, sum(digits[first[a]:last[b]]), True, text[max(a - 2, 0):a], text[b:b + 2]))
     return lat
 
 
 def segment_features(s: str, n: int, at: bool, before: str, after: str) -> list[str]:
-    """Features of a whole segment."""
+    """Features of a whole segment, with two characters on each side of it."""
+    goes_on = f"{bool(_ON_LEFT.search(before))}{bool(_ON_RIGHT.match(after))}"
+    before, after = before[-1:], after[:1]
     sh = shape(s)
     groups = re.findall(r"[0-9]+", s)
     marks = "".join(sorted(set(re.sub(r"[\w]", "", s))))
     f = ["bias", "shape:" + sh if not at else "at-shape:" + re.sub(r"d[0-9]+", "d", re.sub(r"[a.]*a", "a", sh))[:24], f"digits:{n}", f"groups:{min(len(groups), 6)}", "marks:" + marks, f"first:{s[0] if not s[0].isalnum() else '0' if s[0].isdigit() else 'a'}"]
     f.append(f"around:{'s' if before.isspace() or not before else before if not before.isalnum() else 'x'}{'s' if after.isspace() or not after else after if not after.isalnum() else 'x'}")
+    f.append("goes on:" + goes_on)
     if at:
         local, _, host = re.sub(r" ?[(\[] ?at ?[)\]] ?", "@", s, count=1, flags=re.IGNORECASE).partition("@")
         f += [f"dot:{'.' in host}", f"clean:{bool(re.fullmatch(r'[A-Za-z0-9._%+-]+', local))}{bool(re.fullmatch(r'[A-Za-z0-9-]+([.][A-Za-z0-9-]+)*', host))}", f"spaces:{min(s.count(' '), 3)}"]
@@ -255,6 +286,16 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
         return np.log(np.exp(x - m).sum(axis=axis)) + m.squeeze(axis)
 
 
+def forward(lat: Lattice, s: np.ndarray, by_end: list[list[int]], moves: np.ndarray) -> np.ndarray:
+    """For each token edge and kind of the segment that ends there, the log sum over all segmentations up to it."""
+    ahead = np.full((lat.n + 1, len(KINDS) + 1), -np.inf)
+    ahead[0, 0] = 0.0
+    for e in range(1, lat.n + 1):
+        for k in by_end[e]:
+            ahead[e] = np.logaddexp(ahead[e], _logsum(ahead[lat.segments[k][0]][:, None] + moves, 0) + s[k])
+    return ahead
+
+
 def train(examples: list[tuple[Lattice, dict[int, int]]], epochs: int = 5, rate: float = 0.3, l2: float = 1e-3, seed: int = 3) -> SemiCrf:
     """Adagrad on the likelihood. An example is a lattice and the kinds of its true entity segments (by number)."""
     names = sorted({f for lat, _ in examples for fs in lat.features for f in fs})
@@ -269,14 +310,8 @@ def train(examples: list[tuple[Lattice, dict[int, int]]], epochs: int = 5, rate:
         for x in order:
             lat, true = examples[x]
             s, by_end = crf.scores(lat), tables[x]
-            ahead = np.full((lat.n + 1, len(KINDS) + 1), -np.inf)
+            ahead = forward(lat, s, by_end, crf.moves)
             behind = np.full_like(ahead, -np.inf)
-            ahead[0, 0] = 0.0
-            enter = np.empty_like(s)  # log sum of what comes before a segment, for each kind of it
-            for e in range(1, lat.n + 1):
-                for k in by_end[e]:
-                    enter[k] = _logsum(ahead[lat.segments[k][0]][:, None] + crf.moves, 0)
-                    ahead[e] = np.logaddexp(ahead[e], enter[k] + s[k])
             behind[lat.n] = 0.0
             total = float(_logsum(ahead[lat.n], 0))
             g_moves = np.zeros_like(crf.moves)
@@ -319,7 +354,8 @@ def rewritten(kind: str, text: str, rng: random.Random) -> str | None:
     d = digits_of(text)
     if kind == "phone" and len(d) >= 10:
         n = d[-10:]
-        return rng.choice([f"({n[:3]}) {n[3:6]}-{n[6:]}", f"{n[:3]}-{n[3:6]}-{n[6:]}", f"{n[:3]}.{n[3:6]}.{n[6:]}", f"{n[:3]} {n[3:6]}-{n[6:]}"])
+        plain = rng.choice([f"({n[:3]}) {n[3:6]}-{n[6:]}", f"{n[:3]}-{n[3:6]}-{n[6:]}", f"{n[:3]}.{n[3:6]}.{n[6:]}", f"{n[:3]} {n[3:6]}-{n[6:]}"])
+        return rng.choice(["", "", "", "1-" if plain[0] != "(" else "1 "]) + plain
     if kind == "card" and len(d) == 16:
         return rng.choice([".", "  "]).join(d[k:k + 4] for k in range(0, 16, 4))
     if kind == "email":
@@ -336,6 +372,9 @@ def counterexample(rng: random.Random) -> str:
         f"{r(0, 23):02}:{r(0, 59):02}:{r(0, 59):02}", f"{r(1, 20)}.{r(0, 40)}.{r(0, 99)}", f"{r(1, 999)},{r(0, 999):03}.{r(0, 99):02}", f"{r(10**6, 10**12)}",
         f"{r(1900, 2000)}-{r(2001, 2099)}", f"{r(1, 99)}.{r(0, 10**6)}", f"{r(300, 999)}.{r(300, 999)}.{r(0, 99)}.{r(0, 9)}", f"{r(10**12, 10**18)}", f"{r(1, 9)} {r(10, 99)} {r(100, 999)} {r(1000, 9999)}",
         f"{r(100, 999)} {r(100, 999)} {r(100, 999)}", f"{r(1, 200)}@{r(1, 99)}", f"{r(0, 9)}{r(0, 9)} @ {r(0, 9)}", f"{rng.choice('abcxyz')}@{rng.choice('abcxyz')}", unlucky(r(4 * 10**15, 5 * 10**15)),
+        f"{r(0, 89)}.{r(1000, 9999)} {r(0, 179)}.{r(1000, 9999)}", f"{r(0, 89)}.{r(10**4, 10**6)}, -{r(0, 179)}.{r(10**4, 10**6)}", f"{r(1, 255)}.{r(0, 255)}.{r(0, 255)}.{r(256, 999)}", f"{r(256, 999)}.{r(0, 255)}.{r(0, 255)}.{r(0, 255)}",
+        rng.choice("- .").join(re.findall("....", unlucky(r(4 * 10**15, 5 * 10**15)))), f"{r(1900, 2099)}-{r(1, 12):02}-{r(1, 28):02} {r(0, 23):02}:{r(0, 59):02}:{r(0, 59):02}", f"{r(1, 30)}.{r(0, 99)}.{r(0, 9999)}.{r(1000, 9999)}",
+        f"{r(100, 999)}-{r(10, 99)}-{r(1000, 9999)}", f"978-{r(0, 9)}-{r(100, 999)}-{r(10000, 99999)}-{r(0, 9)}",
     ])
 
 
@@ -374,7 +413,8 @@ def made_up(kind: str, rng: random.Random) -> str:
     r = rng.randint
     word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvwxyz") for _ in range(r(2, 9)))
     if kind == "email":
-        x = rng.choice([f"{word()}.{word()}", word(), f"{word()}{r(1, 99)}"]) + f"@{word()}.{rng.choice(['com', 'org', 'example.com', 'co.uk'])}"
+        host = ".".join(rng.choice([word(), f"{word()}-{word()}"]) for _ in range(r(1, 3)))
+        x = rng.choice([f"{word()}.{word()}", word(), f"{word()}{r(1, 99)}", f"{word()}-{word()}.{word()}"]) + f"@{host}.{rng.choice(['com', 'org', 'example.com', 'co.uk', 'de'])}"
     elif kind == "ip":
         x = ".".join(str(r(0, 255)) for _ in range(4))
     elif kind == "card":
@@ -383,7 +423,7 @@ def made_up(kind: str, rng: random.Random) -> str:
         x = rng.choice(["", " ", "-"]).join(x[k:k + 4] for k in range(0, 16, 4))
     else:
         x = rng.choice([f"+{r(1, 99)} ({r(100, 999)}) {r(100, 999)}-{r(1000, 9999)}", f"+{r(1, 99)} {r(100, 999)} {r(100, 999)} {r(1000, 9999)}", f"+{r(10**10, 10**12)}"])
-    return f"{word()} {word()} {x} {word()} {word()}"
+    return f"{word()} {word()} {x}{rng.choice(['', '', '.', ','])} {word()} {word()}"
 
 
 def sample_ids(src: DataFrame, rows: int) -> list[int]:
@@ -429,8 +469,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int
             for h, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 # first the regions with base matches, then the others
                 starts = sorted(x[1] for x in base_spans(t))
-                near = sorted((x for x in regions(t) if x[1] - x[0] < 500), key=lambda x: bisect_left(starts, x[0]) == bisect_left(starts, x[1]))
-                out += [(h, k, t[a:e]) for k, (a, e) in enumerate(near[:50])]
+                near = sorted((x for x in regions(t) if x[1] - x[0] < SAMPLE_REGION_CHARS), key=lambda x: bisect_left(starts, x[0]) == bisect_left(starts, x[1]))
+                out += [(h, k, t[a:e]) for k, (a, e) in enumerate(near[:SAMPLE_REGIONS])]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string())], names=["h", "k", "part"])
 
     got = sorted(map_arrow(sample, snippets, "h long, k long, part string").toArrow().to_pylist(), key=lambda r: (r["h"], r["k"], r["part"]))
@@ -446,14 +486,19 @@ def find(text: str | None, crf: SemiCrf | None) -> tuple[list[Span], list[Span]]
     base = base_spans(text)
     if crf is None:
         return base, base
-    taken = sorted((s, e) for _, s, e in base)
-    added = []
-    for a, b in regions(text):
-        for span in crf.decode(lattice(text, a, b)):
-            if not any(s < span[2] and span[1] < e for s, e in taken if s < b and a < e):
-                added.append(span)
-    every = sorted({*base, *added}, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
-    return base, every
+    added = [x for a, b in gaps(text, base) for x in crf.decode(lattice(text, a, b)) if holds(x[0], text[x[1]:x[2]])]
+    return base, sorted({*base, *added}, key=lambda x: (KINDS.index(x[0]), x[1], x[2]))
+
+
+def holds(kind: str, s: str) -> bool:
+    """What a span of a kind must have, whatever the model says."""
+    d = digits_of(s)
+    if kind == "card":
+        return 13 <= len(d) <= 19 and luhn(d)
+    if kind == "ip":
+        groups = re.findall("[0-9]+", s)
+        return len(groups) == 4 and all(len(g.lstrip("0")) <= 3 and int(g) <= 255 for g in groups)
+    return kind != "phone" or 7 <= len(d) <= 15
 
 
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
