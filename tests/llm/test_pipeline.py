@@ -38,6 +38,28 @@ def test_stages_and_result(spark, docs, tmp_path):
     assert all(r.ids == sp.encode(texts[r.doc_id]) and r.text == texts[r.doc_id] and r.n_tokens == len(r.ids) for r in rows)
 
 
+def test_stages_take_clashing_columns(spark, docs):
+    from pyspark.sql import functions as F
+
+    names = ["__gone", "__hit", "__id", "__k1", "__k2", "__text", "__lang", "__row", "id", "k1", "k2", "stays", "n", "c", "r", "h", "part", "ids", "decoded", "score", "is_first", "copies", "class_id", "n_hit", "items"]
+    at, plain = docs.select("*", *(F.lit("clash").alias(n) for n in names)), docs
+    for k, (_, stage) in enumerate(C.STAGES):
+        at, plain = C.stage_table(stage(spark, at, SF), "clash"), C.stage_table(stage(spark, plain, SF), "plain")
+        if k < 4:
+            assert at.columns == [*docs.columns, *names]
+        keep = plain.columns
+        assert sorted(map(str, at.select(*keep).collect())) == sorted(map(str, plain.collect()))
+
+
+def test_repeated_ids_lose_no_removal(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    other = " ".join(f"else{k}" for k in range(60))
+    df = spark.createDataFrame([(1, text, "a"), (2, text, "b"), (2, other, "c"), (2, other, "d"), (None, text, "e"), (3, None, "f"), (3, None, "g"), (4, "", "h")], "doc_id long, text string, source string")
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in probminhash.keep_first(df).select("doc_id", "text").collect() if r.text)
+    assert len(got) == 2 and {t for *_, t in got} == {text, other}        # one copy of each text
+    assert probminhash.keep_first(df).filter("text IS NULL OR text = ''").count() == 2
+
+
 def test_empty_input(spark, docs):
     at = docs.limit(0)
     for _, stage in C.STAGES:

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.session import checkpoint_dir
+from tidewatch.session import scratch_table
 
 #: rows of one Arrow batch sent to Python; keeps a batch of long texts small
 BATCH_ROWS = 256
@@ -35,8 +34,13 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 def stage_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back: cuts lineage, and
-    survives lost executors."""
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tidewatch-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    survives lost executors. :func:`tidewatch.session.drop_scratch` deletes these tables."""
+    return scratch_table(df, f"llm-{name}")
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until none of the frames has a column of it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -150,14 +150,14 @@ def fit_temperature(m: LanguageModel, rows: list[tuple[np.ndarray, np.ndarray, i
 
 
 def sampled(labelled: DataFrame, label_col: str, id_col: str, per_label: int) -> DataFrame:
-    """About ``per_label`` rows of each label (never over twice that), by a hash of the id. The labels and their
+    """About ``per_label`` rows of each label, by a hash of the id (more only where rows share an id). The labels and their
     counts, a row for each, go through the driver."""
     sizes = {r[0]: r[1] for r in labelled.groupBy(label_col).count().collect()}
     share: Column = F.lit(0.0)
     for label, size in sorted(sizes.items()):
         share = F.when(F.col(label_col) == label, F.lit(min(1.0, per_label / size))).otherwise(share)
     u = F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit("sample")), F.lit(1 << 30)) / float(1 << 30)
-    return labelled.filter(u < share).limit(2 * per_label * max(1, len(sizes)))
+    return labelled.filter(u < share)
 
 
 def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE) -> LanguageModel:
@@ -175,7 +175,9 @@ def fit(train: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_c
                     out.append((str(key), lang, index.astype(np.int32), np.minimum(counts[index], 2**31 - 1).astype(np.int32)))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.list_(pa.int32())), pa.array([x[3] for x in out], pa.list_(pa.int32()))], names=["key", "lang", "index", "n"])
 
-    got = sorted(map_arrow(rows, features, "key string, lang string, index array<int>, n array<int>").toArrow().to_pylist(), key=lambda r: (r["key"], r["lang"]))
+    # the bound for shared ids comes after the features, so that no task gathers texts
+    bound = 2 * per_language * max(1, labelled.select("__lang").distinct().count())
+    got = sorted(map_arrow(rows, features, "key string, lang string, index array<int>, n array<int>").limit(bound).toArrow().to_pylist(), key=lambda r: (r["key"], r["lang"]))
     languages = sorted({r["lang"] for r in got})
     data = [(np.array(r["index"], np.int64), np.array(r["n"], np.float64), languages.index(r["lang"])) for r in got]
     df = np.zeros(BUCKETS)
@@ -210,8 +212,8 @@ def predict(df: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_co
 
 
 def remainder(id_col: str, modulus: int) -> Column:
-    """crc32 of the id's text, modulo ``modulus``: fixes the folds."""
-    return F.crc32(F.col(id_col).cast("string")) % modulus
+    """crc32 of the id's text (of none for null), modulo ``modulus``: fixes the folds."""
+    return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % modulus
 
 
 def keep_identified(df: DataFrame, model: LanguageModel, min_score: float, text_col: str = "text") -> DataFrame:

@@ -461,7 +461,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int
     ids = sample_ids(src, rows)
     if not ids and df.isEmpty():
         return None
-    sample = src.filter(F.col("h").isin(ids)).limit(2 * rows)
+    sample = src.filter(F.col("h").isin(ids))
 
     def snippets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -473,7 +473,8 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int
                 out += [(h, k, t[a:e]) for k, (a, e) in enumerate(near[:SAMPLE_REGIONS])]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.string())], names=["h", "k", "part"])
 
-    got = sorted(map_arrow(sample, snippets, "h long, k long, part string").toArrow().to_pylist(), key=lambda r: (r["h"], r["k"], r["part"]))
+    # rows may share an id; the bound comes after the texts were cut
+    got = sorted(map_arrow(sample, snippets, "h long, k long, part string").limit(2 * rows * SAMPLE_REGIONS).toArrow().to_pylist(), key=lambda r: (r["h"], r["k"], r["part"]))
     rng = random.Random(1)
     examples = [x for r in got for x in examples_of(r["part"], rng)]
     return train(examples + [x for kind in KINDS for _ in range(MADE_UP) for x in examples_of(made_up(kind, rng), rng)])

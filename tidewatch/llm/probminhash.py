@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import id_and_text, map_arrow, stage_table
+from tidewatch.llm.common import fresh, id_and_text, map_arrow, stage_table
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -56,12 +56,17 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), "")
 
 
+def word_hashes(words: Column) -> tuple[Column, Column]:
+    """Two halves of the hash of the words."""
+    digest = F.md5(F.array_join(words, " "))
+    return tuple(F.conv(F.substring(digest, at, 15), 16, 10).cast("long") for at in (1, 16))
+
+
 def keyed(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``__id``, two halves of the hash of the words (``k1``, ``k2``), and the words' hashes ``h``."""
     src = id_and_text(df, id_col, text_col).select("__id", words_of(F.coalesce("__text", F.lit(""))).alias("__w"))
-    digest = F.md5(F.array_join("__w", " "))
-    part = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("long")
-    return src.select("__id", part(1).alias("k1"), part(16).alias("k2"), "__w").select("__id", "k1", "k2", F.transform("__w", lambda w: F.xxhash64(w)).alias("h"))
+    k1, k2 = word_hashes(F.col("__w"))
+    return src.select("__id", k1.alias("k1"), k2.alias("k2"), "__w").select("__id", "k1", "k2", F.transform("__w", lambda w: F.xxhash64(w)).alias("h"))
 
 
 def shingles(flat: np.ndarray, sizes: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -274,6 +279,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     of 0.8 or more. A text without words, or null, is a class of its own. Repeated rows are
     copies of each other; other columns are left out; an empty table gives an empty result.
     """
+    return classified(docs, id_col, text_col).drop("k1", "k2")
+
+
+def classified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """:func:`near_duplicates` with the two hashes of each row's words (null where it has none)."""
     sketched = map_arrow(keyed(docs, id_col, text_col), _sketch, f"__id {docs.schema[id_col].dataType.simpleString()}, k1 long, k2 long, bands array<long>")
     every = stage_table(sketched.withColumn("r", F.monotonically_increasing_id()), "sketches")
     some = every.filter(F.size("bands") > 0)
@@ -306,17 +316,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             classes = stage_table(classes.join(merged, "c", "left").select("r", F.coalesce("to", "c").alias("c")), "classes")
 
     of_text = texts.join(classes, "r", "left").select("k1", "k2", F.coalesce("c", "r").alias("c"))
-    of_row = stage_table(some.select("__id", "r", "k1", "k2").join(of_text, ["k1", "k2"]).select("__id", "r", "c"), "rows")
+    of_row = stage_table(some.select("__id", "r", "k1", "k2").join(of_text, ["k1", "k2"]).select("__id", "r", "k1", "k2", "c"), "rows")
     heads = of_row.groupBy("c").agg(F.min(F.struct("__id", "r")).alias("head"), F.count("*").alias("copies"))
-    out = of_row.join(heads, "c").select(F.col("__id").alias(id_col), F.col("head.__id").alias("class_id"), "copies", (F.col("r") == F.col("head.r")).alias("is_first"))
-    alone = every.filter(F.size("bands") == 0).select(F.col("__id").alias(id_col), F.col("__id").alias("class_id"), F.lit(1).cast("long").alias("copies"), F.lit(True).alias("is_first"))
+    out = of_row.join(heads, "c").select(F.col("__id").alias(id_col), F.col("head.__id").alias("class_id"), "copies", (F.col("r") == F.col("head.r")).alias("is_first"), "k1", "k2")
+    alone = every.filter(F.size("bands") == 0).select(F.col("__id").alias(id_col), F.col("__id").alias("class_id"), F.lit(1).cast("long").alias("copies"), F.lit(True).alias("is_first"), F.lit(None).cast("long").alias("k1"), F.lit(None).cast("long").alias("k2"))
     return out.unionByName(alone)
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each class, all columns. Ids name documents: rows with the same id and text are one."""
-    found = near_duplicates(docs, id_col, text_col).groupBy(F.col(id_col).alias("__gone")).agg(F.max("is_first").alias("stays"), F.count("*").alias("n"))
-    found = stage_table(found, "kept")
-    gone = _sized(found.filter(~F.col("stays")).select("__gone"))
-    left = docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
-    return left if found.filter("n > 1").isEmpty() else left.dropDuplicates([id_col, text_col])
+    """``docs`` with one document of each class, all columns. Rows with the same id and the same words are one document;
+    rows with the same id and other words are documents of their own."""
+    found = classified(docs, id_col, text_col).select(F.col(id_col).alias("id"), "k1", "k2", "is_first")
+    found = stage_table(found.groupBy("id", "k1", "k2").agg(F.max("is_first").alias("stays"), F.count("*").alias("n")), "kept")
+    name = {c: fresh(f"__{c}", docs) for c in ("id", "k1", "k2")}
+    once = found.filter("n > 1").isEmpty() and found.groupBy("id").count().filter("count > 1").isEmpty()
+    if once:        # ids name the rows
+        gone = _sized(found.filter(~F.col("stays")).select(F.col("id").alias(name["id"])))
+        return docs.join(gone, docs[id_col].eqNullSafe(F.col(name["id"])), "left_anti")
+    gone = _sized(found.filter(~F.col("stays")).select(*[F.col(c).alias(n) for c, n in name.items()]))
+    own = {c: fresh(n + "_own", docs) for c, n in name.items()}
+    k1, k2 = word_hashes(words_of(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    marked = docs.withColumn(own["k1"], k1).withColumn(own["k2"], k2)
+    same = F.col(id_col).eqNullSafe(F.col(name["id"]))
+    for c in ("k1", "k2"):
+        same = same & (F.col(own[c]) == F.col(name[c]))
+    return marked.join(gone, same, "left_anti").dropDuplicates([id_col, own["k1"], own["k2"]]).drop(own["k1"], own["k2"])
