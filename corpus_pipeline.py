@@ -11,15 +11,12 @@ All but the last return the columns of their input.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.llm import language_id, pii_crf, probminhash, winnow
-from tidewatch.llm.common import read_table
+from tidewatch.llm.common import fresh, read_table, stage_table
 from tidewatch.llm.piece_codec import encode_decode
-from tidewatch.session import checkpoint_dir
 
 #: a text with a lower score has no clear language
 MIN_LANGUAGE_SCORE = 0.4
@@ -38,8 +35,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any span of a benchmark item."""
-    hit = winnow.contamination(docs, read_table(spark, sf_dir, "benchmark")).filter("n_hit > 0").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(probminhash.stage_sized(hit, "contaminated"), docs["doc_id"].eqNullSafe(F.col("__hit")), "left_anti")
+    found = winnow.contamination(docs, read_table(spark, sf_dir, "benchmark")).filter("n_hit > 0")
+    name = fresh("__hit", docs)
+    hit = probminhash.stage_sized(found.select(F.col("doc_id").alias(name)).distinct(), "contaminated")
+    return docs.join(hit, docs["doc_id"].eqNullSafe(F.col(name)), "left_anti")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,9 +70,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
-    base = f"{checkpoint_dir(spark)}/tidewatch-llm/pipeline-{uuid.uuid4().hex}"
-    for k, (name, stage) in enumerate(STAGES):
-        path = f"{base}/{k}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for name, stage in STAGES:
+        docs = stage_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
