@@ -19,10 +19,12 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import regex
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import map_arrow, stage_table
@@ -129,41 +131,41 @@ def blocks(text: str) -> list[tuple[int, str]]:
     return list(out.values())
 
 
+_TERM = regex.compile(r"[\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*")
+
+
 def _terms(text: Column) -> Column:
     """Lower-case runs of letters, digits and inner dots, hyphens or plus signs."""
     return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:[.+-][\p{L}\p{N}]+)*)"), 1)
 
 
-def template_weights(spark: SparkSession, texts: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[DataFrame, float]:
-    """``tpl``, ``license``, ``term``, ``weight`` (scaled to length 1), ``idf``; and the idf of a term that no template has."""
-    base = spark.createDataFrame([(k, name, text) for k, (name, text) in enumerate(texts)], "tpl int, license string, text string")
-    tf = base.select("tpl", "license", F.explode(_terms(F.col("text"))).alias("term")).groupBy("tpl", "license", "term").agg(F.count("*").alias("tf"))
+def template_weights(texts: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[dict[str, tuple[float, list[float]]], list[int], float]:
+    """For each term of the templates its idf and its weight in each template (scaled to length 1); the number of terms of each
+    template; and the idf of a term that no template has."""
+    counts = [Counter(_TERM.findall(text.lower())) for _, text in texts]
     n = len(texts)
-    df = tf.groupBy("term").agg((F.log(F.lit(1.0 + n) / (1.0 + F.count("*"))) + 1.0).alias("idf"))
-    w = tf.join(F.broadcast(df), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norm = w.groupBy("tpl").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return w.join(F.broadcast(norm), "tpl").select("tpl", "license", "term", (F.col("w") / F.col("norm")).alias("weight"), "idf"), math.log(1.0 + n) + 1.0
+    idf = {t: math.log((1.0 + n) / (1.0 + sum(t in c for c in counts))) + 1.0 for c in counts for t in c}
+    norms = [math.sqrt(sum((tf * idf[t]) ** 2 for t, tf in c.items())) for c in counts]
+    return {t: (i, [c[t] * i / x if t in c else 0.0 for c, x in zip(counts, norms, strict=True)]) for t, i in idf.items()}, [len(c) for c in counts], math.log(1.0 + n) + 1.0
 
 
 def scores(units: DataFrame, texts: tuple[tuple[str, str], ...]) -> DataFrame:
     """``row``, ``line``, ``unit``, ``license``, ``score`` and ``size`` (of the template, in terms) of all units and templates that are
-    alike. ``units`` has ``row``, ``line``, ``unit`` (a number), ``text``."""
+    alike. ``units`` has ``row``, ``line``, ``unit`` (a number), ``text``. One aggregate gives a unit's norm and its products with all templates."""
     tf = units.select("row", "line", "unit", F.explode(_terms(F.col("text"))).alias("term")).groupBy("row", "line", "unit", "term").agg(F.count("*").alias("tf"))
-    templates, unseen = template_weights(units.sparkSession, texts)
-    idf = templates.select("term", "idf").distinct()
+    weights, sizes, unseen = template_weights(texts)
     # fixed and small: a row for each term of the templates
-    w = tf.join(F.broadcast(idf), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
-    norm = w.groupBy("row", "line", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    sizes = templates.groupBy("tpl").agg(F.count("*").alias("size"))
-    dot = w.join(F.broadcast(templates.drop("idf").join(F.broadcast(sizes), "tpl")), "term").groupBy("row", "line", "unit", "tpl", "license", "size").agg(F.sum(F.col("w") * F.col("weight")).alias("dot"))
-    score = dot.join(norm, ["row", "line", "unit"]).select("row", "line", "unit", "license", F.round(F.col("dot") / F.col("norm"), 9).alias("score"), "size")
-    return score.filter(F.col("score") >= THRESHOLD)
+    table = units.sparkSession.createDataFrame([(t, i, w) for t, (i, w) in sorted(weights.items())], "term string, idf double, weights array<double>")
+    w = tf.join(F.broadcast(table), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    dots = [F.sum(F.col("w") * F.col("weights")[k]).alias(f"dot{k}") for k in range(len(texts))]
+    each = w.groupBy("row", "line", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *dots)
+    alike = F.array(*[F.struct(F.lit(name).alias("license"), F.round(F.col(f"dot{k}") / F.col("norm"), 9).alias("score"), F.lit(sizes[k]).cast("long").alias("size")) for k, (name, _) in enumerate(texts)])
+    return each.select("row", "line", "unit", F.inline(F.filter(alike, lambda x: x["score"] >= THRESHOLD)))
 
 
-def own_licenses(files: DataFrame) -> DataFrame:
+def own_licenses(marked: DataFrame) -> DataFrame:
     """``row``, ``license``, ``score`` and ``line`` (from 0, of a block its first marked line; -1: the whole text) of the best unit of
-    each file that has one. ``files`` has ``row``, ``name``, ``text``."""
-    marked = files.filter(F.col("text").rlike(MARKERS))
+    each file that has one. ``marked`` has ``row``, ``name``, ``text`` of the files with a marker."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), lambda u: u["unit"].rlike(MARKERS))
     whole = F.when(F.col("name").rlike(LICENSE_FILE), F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
     units = marked.select("row", F.explode_outer(F.concat(lines, whole)).alias("u")).filter("u is not null").select("row", "u.line", F.lit(0).alias("unit"), F.col("u.unit").alias("text"))
@@ -213,13 +215,14 @@ def license_scan(files: DataFrame, id_col: str = "doc_id", path_col: str = "path
     """
     src = files.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("__id"), F.col(path_col).alias("__path"), F.coalesce(F.regexp_replace(F.col(path_col), r"^/+", ""), F.lit("")).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     src = src.withColumn("dir", _parent(F.col("path"))).withColumn("name", F.regexp_extract("path", r"([^/]*)$", 1))
-    own = stage_table(own_licenses(src.select("row", "name", "text")), "own-licenses")
-    names = stage_table(src.select("row", "__id", "__path", "dir", "name"), "files")
+    # rows are numbered once, and texts kept where they have a marker
+    names = stage_table(src.select("row", "__id", "__path", "dir", "name", F.when(F.col("text").rlike(MARKERS), F.col("text")).alias("text")), "files")
+    own = stage_table(own_licenses(names.filter("text is not null").select("row", "name", "text")), "own-licenses")
     licensed = names.filter(F.col("name").rlike(LICENSE_FILE)).join(own, "row").groupBy("dir").agg(F.max(F.struct("score", "license")).alias("b")).select("dir", "b.license")
     licensed = stage_table(licensed, "licensed")
     found = stage_table(nearest_licensed(names.select("dir").distinct(), licensed), "directories")
     inherited = found.select("dir", F.col("license").alias("above"), "from_dir")
-    out = names.join(_sized(own.select("row", F.col("license").alias("own_license"), F.col("line").alias("own_line"))), "row", "left").join(_sized(inherited), "dir", "left")
+    out = names.drop("text").join(_sized(own.select("row", F.col("license").alias("own_license"), F.col("line").alias("own_line"))), "row", "left").join(_sized(inherited), "dir", "left")
     return out.select(
         F.col("__id").alias(id_col), F.col("__path").alias(path_col), "own_license", "own_line",
         F.coalesce("own_license", "above").alias("license"),
