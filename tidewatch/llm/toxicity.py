@@ -148,20 +148,22 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | N
         share = float(np.mean([t[2] for t in texts])) if texts else 0.0
         return ToxicityModel(np.zeros(BUCKETS, np.float32), 8.0 if share == 1.0 else -8.0)
     ids = np.concatenate([t[0] for t in texts])
-    # windows: a run of neighbouring words of one text, so a run of n-grams from ``begin`` on
+    # a window is a run of neighbouring words of one text, so a run of n-grams; both are kept by their first place
+    sizes = np.concatenate([t[1] for t in texts])
+    word_at = np.r_[0, np.cumsum(sizes, dtype=np.int64)].astype(np.int32)
     wide = [max(1, len(t[1]) - WINDOW_WORDS + 1) for t in texts]
     starts = np.r_[0, np.cumsum(wide)]
-    per = np.concatenate([windows(t[1].astype(np.int64)) for t in texts])
-    at_word = [np.cumsum(t[1], dtype=np.int64) - t[1] for t in texts]
-    at_text = np.cumsum([len(t[0]) for t in texts]) - [len(t[0]) for t in texts]
-    begin = np.concatenate([a + w[:n] for a, w, n in zip(at_text, at_word, wide, strict=True)])
+    text_at = np.cumsum([len(t[1]) for t in texts]) - [len(t[1]) for t in texts]
+    first = np.concatenate([np.arange(a, a + n, dtype=np.int32) for a, n in zip(text_at, wide, strict=True)])
+    last = first + np.repeat([min(WINDOW_WORDS, len(t[1])) for t in texts], wide).astype(np.int32)
+    begin, per = word_at[first], word_at[last] - word_at[first]
     label = np.array([t[2] for t in texts])
     if rounds is None:
         steps = (label.sum() + (1 + others) * (1 - label).sum()) / 128
         rounds = int(np.clip(700 / steps, 14, 40))
     for r in range(rounds):
-        run = np.r_[0.0, np.cumsum((emb @ soft)[ids])]
-        z = (run[begin + per] - run[begin]) / per
+        run = np.r_[0.0, np.cumsum(np.add.reduceat((emb @ soft).astype(np.float32)[ids], word_at[:-1]), dtype=np.float64)]
+        z = (run[last] - run[first]) / per
         pick, y = [], []
         for k in range(len(texts)):
             a, b = starts[k], starts[k + 1]
@@ -177,7 +179,7 @@ def fit_windows(texts: list[tuple[np.ndarray, np.ndarray, int]], rounds: int | N
         weight = np.where(y > 0, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * len(y) if r == 0 else np.ones(len(y))
         for part in np.array_split(rng.permutation(len(pick)), max(1, len(pick) // 128)):
             w = pick[part]
-            n = per[w]
+            n = per[w].astype(np.int64)
             at = np.repeat(begin[w], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             own, row = ids[at], np.repeat(np.arange(len(w)), n)
             touched, d_emb, d_soft, d_bias = gradient(emb, soft, bias, own, row, n, y[part], weight[part] / len(w))
