@@ -1393,7 +1393,7 @@ _KS_EXACT_SQL = " UNION ALL ".join(f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE
 g AS (SELECT feature, value, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM v GROUP BY feature, value),
 e AS (SELECT feature, sum(r) OVER w AS rc, sum(c) OVER w AS cc, sum(r) OVER t AS rt, sum(c) OVER t AS ct FROM g WINDOW w AS (PARTITION BY feature ORDER BY value), t AS (PARTITION BY feature)),
 d AS (SELECT feature, max(abs(rc / rt - cc / ct)) AS d, CAST(max(rt) AS BIGINT) AS n_ref, CAST(max(ct) AS BIGINT) AS n_cur FROM e GROUP BY feature),
-s AS (SELECT *, greatest(n_ref, n_cur) AS n, least(n_ref, n_cur) AS m, d - 0.5 / (n_ref * n_cur) AS edge FROM d),
+s AS (SELECT *, greatest(n_ref, n_cur) AS n, least(n_ref, n_cur) AS m, d - 0.5 / (n_ref * n_cur) AS edge FROM d WHERE n_ref >= 10 AND n_cur >= 10),
 p(feature, i, n, m, edge, u) AS (
   SELECT feature, 0, n, m, edge, list_transform(range(0, m + 1), lambda j: CASE WHEN j / m < edge THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) FROM s
   UNION ALL
