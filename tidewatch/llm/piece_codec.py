@@ -32,7 +32,7 @@ from tidewatch.llm.common import id_and_text, map_arrow
 
 MARK = "▁"
 #: words remembered by a Python worker (two generations of this size at most)
-MEMO_WORDS = 250_000
+MEMO_WORDS = 200_000
 #: longer words are encoded each time, by the heap
 MEMO_CHARS = 48
 #: priority of a pair that isn't on the agenda
@@ -60,9 +60,9 @@ class PieceCodec:
         self.first_plain = 1 + max([-1, self.unknown, *self.byte_of, *self.control])
         self.cuts = not any(MARK in p.lstrip(MARK) for p in self.rank)
         self.plain = [p.replace(MARK, " ") for p in self.pieces]
-        #: ids (int32 bytes) of words without their mark
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        #: ids (int32 bytes) of words without their mark, and what these ids decode to
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
         self.pair_table()
 
     def pair_table(self) -> None:
@@ -188,6 +188,8 @@ class PieceCodec:
 
     def decode_marked(self, ids: list[int]) -> str:
         """Text of ids with the leading space of the first word still in place."""
+        if ids and min(ids) >= self.first_plain:
+            return "".join([self.plain[i] for i in ids])
         out: list[str] = []
         run = bytearray()
         for i in ids:
@@ -207,10 +209,7 @@ class PieceCodec:
         return "".join(out)
 
     def decode(self, ids: list[int]) -> str:
-        if ids and min(ids) >= self.first_plain:
-            text = "".join(map(self.plain.__getitem__, ids))
-        else:
-            text = self.decode_marked(ids)
+        text = self.decode_marked(ids)
         return text[1:] if text.startswith(" ") else text
 
     def encode(self, text: str | None) -> list[int]:
@@ -241,18 +240,20 @@ class PieceCodec:
                     young[w] = old[w]
             fresh = [w for w in fresh if w not in young]
         wrong = self.learn(fresh, later := {})
-        ids_of = {w: young[w] if w in young else later[w] for w in every} if later else young
+        found = {w: young[w] if w in young else later[w] for w in every} if later else young
         out = []
         for ws in cut:
-            ids = b"".join([ids_of[w] for w in ws])
-            out.append((ids, self.decode(np.frombuffer(ids, np.int32).tolist()), len(wrong.intersection(ws)) if wrong else 0))
+            known = [found[w] for w in ws]
+            # byte pieces never run across a word mark, so words decode one by one; the first mark goes
+            text = "".join([k[1] for k in known])
+            out.append((b"".join([k[0] for k in known]), text[1:] if text.startswith(" ") else text, len(wrong.intersection(ws)) if wrong else 0))
         if len(young) > MEMO_WORDS:
             self.old, self.young = young, {}
         return out
 
-    def learn(self, fresh: list[str], later: dict[str, bytes]) -> set[str]:
-        """Encode new words by the agenda, check them against the library, and remember their ids: short ones in the
-        memo, others in ``later``. Returns the words that the check corrected."""
+    def learn(self, fresh: list[str], later: dict[str, tuple[bytes, str]]) -> set[str]:
+        """Encode new words by the agenda, check them against the library, decode their ids, and remember both: short ones
+        in the memo, others in ``later``. Returns the words that the check corrected."""
         if not fresh:
             return set()
         fresh.sort(key=len)
@@ -265,7 +266,8 @@ class PieceCodec:
             want[0] = many[0]
         wrong = {w for w, a, b in zip(fresh, many, want, strict=True) if a != b} if many != want else set()
         for w, ids, checked in zip(fresh, many, want, strict=True):
-            (self.young if len(w) < MEMO_CHARS else later)[w] = array("i", checked if w in wrong else ids).tobytes()
+            ids = checked if w in wrong else ids
+            (self.young if len(w) < MEMO_CHARS else later)[w] = array("i", ids).tobytes(), self.decode_marked(ids)
         return wrong
 
 
