@@ -1,3 +1,4 @@
+import math
 import random
 import re
 from collections import Counter
@@ -159,6 +160,77 @@ def test_wrapped_headers_and_license_files(spark):
     assert {k: (got[k], v) for k, v in want.items() if got[k] != v} == {}
 
 
+def test_license_expressions_and_families(spark):
+    files = [(f"/* SPDX-License-Identifier: {x} */", y) for x, y in (
+        ("MIT OR Apache-2.0", "MIT OR Apache-2.0"), ("(MIT or apache-2.0) AND BSD-3-Clause", "(MIT OR Apache-2.0) AND BSD-3-Clause"), ("GPL-2.0-or-later WITH Classpath-exception-2.0", "GPL-2.0 WITH Classpath-exception-2.0"),
+        ("MIT OR LicenseRef-Own", "MIT OR LicenseRef-Own"), ("BSL-1.0", "BSL-1.0"), ("0BSD", "0BSD"), ("EPL-2.0 OR GPL-2.0-only OR MIT", "EPL-2.0 OR GPL-2.0 OR MIT"), ("LicenseRef-A OR LicenseRef-B", None), ("MIT OR", "MIT"))]
+    files += [("BSD 3-Clause License\n\nCopyright (c) 2021, X\n", "BSD-3-Clause"), ("// Distributed under the Boost Software License, Version 1.0.\nint x;", "BSL-1.0"),
+              ("// Distributed under the Boost Software License, Version 1.0.\n//    (See accompanying file LICENSE_1_0.txt or copy at\n//          http://www.boost.org/LICENSE_1_0.txt)\nint x;", "BSL-1.0"),
+              ("Licensed under the European Union Public Licence, version 1.2 (EUPL).", "EUPL-1.2"), ("Eclipse Public License - v 2.0\n\nTHE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE TERMS OF THIS ECLIPSE PUBLIC LICENSE", "EPL-2.0"),
+              ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0.", "EPL-2.0"), ("# Released under the PostgreSQL License.", "PostgreSQL"), ("the licence of the poet", None), ("a driving license or two", None)]
+    rows = [(k, f"{k}.txt", text) for k, (text, _) in enumerate(files)]
+    got = {r.doc_id: r.own_license for r in licenses.license_scan(spark.createDataFrame(rows, "doc_id int, path string, text string")).collect()}
+    assert {files[k][0]: (got[k], want) for k, (_, want) in enumerate(files) if got[k] != want} == {}
+
+
+@pytest.mark.parametrize("line, want", [("SPDX-License-Identifier: MIT", None), ("SPDX-License-Identifier: ", None), ("no identifier OR any", None), ("SPDX-License-Identifier: MIT  or\tISC", ["MIT", " OR ", "ISC"]),
+                                        ("spdx-license-identifier: ((A AND B))", ["(", "(", "A", " AND ", "B", ")", ")"]), ("SPDX-License-Identifier: MIT OR A, B", None), ("SPDX-License-Identifier: ORACLE", None)])
+def test_expression(line, want):
+    assert licenses.expression(line) == want
+
+
+def plain_license(name, text):
+    """Best unit of a file by comparing each unit with each template, term by term."""
+    found = []
+    lines = [(k, None, 1, x) for k, x in enumerate(text.split("\n"))]
+    is_license = bool(re.search(licenses.LICENSE_FILE, name))
+    lines += [(-1, None, 1, text)] * is_license
+    pools = [(licenses.TEMPLATES, [x for x in lines if re.search(licenses.MARKERS, x[3])]), (licenses.TEXTS, [(line, None, 0, x) for line, x in licenses.blocks(text)] + [(-1, None, 0, text)] * is_license)]
+    for texts, units in pools:
+        bags = [Counter(licenses._TERM.findall(t.lower())) for _, t in texts]
+        idf = lambda t: math.log((1 + len(bags)) / (1 + sum(t in b for b in bags))) + 1
+        size = lambda b: math.sqrt(sum((n * idf(t)) ** 2 for t, n in b.items()))
+        for line, _, short, unit in units:
+            bag = Counter(licenses._TERM.findall(unit.lower()))
+            alike = [(round(sum(n * b[t] * idf(t) ** 2 for t, n in bag.items()) / size(bag) / size(b), 9), len(b), license) for b, (license, _) in zip(bags, texts, strict=True)] if bag else []
+            alike = [x for x in alike if x[0] >= licenses.THRESHOLD]
+            if short:
+                found += [(score, -line, license, n) for score, n, license in alike]
+            elif alike:
+                score, n, license = max(alike)
+                found.append((n if score >= licenses.NEAR else 0, score, 0, -line, license))
+    lined = [x for x in found if len(x) == 4]
+    ranked = [x for x in found if len(x) == 5]
+    if lined:
+        score, at, license, n = max(lined)
+        ranked.append((n if score >= licenses.NEAR else 0, score, 1, at, license))
+    return (max(ranked)[4], -max(ranked)[3]) if ranked else (None, None)
+
+
+def test_units_against_plain(spark):
+    """Lines, blocks and whole texts in random order, comment styles and wrapping, with repeated rows."""
+    rng = random.Random(3)
+    parts = [GPL_3, LGPL_21, BSD, APACHE, " Copyright (c) 2020 X", " all rights reserved by the author, who holds the copyright", " a licence for driving", " Licensed under CC BY 4.0.", " Released under the MIT License.", " some words", "", " " + licenses._ISC]
+    files = []
+    for k in range(60):
+        text = ""
+        for part in rng.choices(parts, k=rng.randint(1, 4)):
+            words, wrapped = part.split(" "), ""
+            while rng.random() < 0.3 and len(words) > 3:
+                words.pop(rng.randrange(1, len(words)))
+            for w in words:
+                wrapped += w + ("\n " if rng.random() < 0.05 else " ")
+            lead = rng.choice(["", "// ", "# ", " * "])
+            text += "\n".join(lead + x for x in wrapped.split("\n")) + rng.choice(["\n", "\n\n", "\nint x;\n"])
+        files.append((k, f"d{k}/" + rng.choice(["LICENSE", "a.c"]), text))
+    rows = spark.createDataFrame([*files, files[0]], "doc_id int, path string, text string").repartition(5)
+    got = licenses.license_scan(rows).collect()
+    assert len(got) == len(files) + 1
+    want = {k: plain_license(path.split("/")[1], text) for k, path, text in files}
+    assert {r.doc_id: ((r.own_license, r.own_line), want[r.doc_id]) for r in got if (r.own_license, r.own_line) != want[r.doc_id]} == {}
+    assert len({w[0] for w in want.values()}) > 5
+
+
 def test_top_directory_license(spark):
     files = [(1, "LICENSE", "Licensed under CC BY-NC 4.0."), (2, "x/y/z.txt", ""), (3, "t.txt", "")]
     got = {r.doc_id: (r.license, r.from_dir) for r in licenses.license_scan(spark.createDataFrame(files, "doc_id int, path string, text string")).collect()}

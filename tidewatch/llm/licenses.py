@@ -64,6 +64,19 @@ TEMPLATES = (
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("CC0-1.0", "To the extent possible under law, the author has dedicated this work to the public domain under CC0 1.0."),
     ("Proprietary", "Copyright. All rights reserved."),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("BSD-2-Clause", "BSD 2-Clause License"),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0."),
+    ("EPL-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0."),
+    ("EUPL-1.2", "Licensed under the European Union Public Licence, version 1.2 (EUPL)."),
+    ("CDDL-1.0", "The contents of this file are subject to the terms of the Common Development and Distribution License, version 1.0 (CDDL)."),
+    ("Zlib", "Released under the zlib License."),
+    ("Artistic-2.0", "Licensed under the Artistic License 2.0."),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("WTFPL", "Do What The Fuck You Want To Public License"),
+    ("PostgreSQL", "Released under the PostgreSQL License."),
+    ("MS-PL", "Licensed under the Microsoft Public License (Ms-PL)."),
 )
 _MIT_GRANT = 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
 _MIT = _MIT_GRANT + ' The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'
@@ -83,9 +96,18 @@ def _gnu(name: str, what: str, license: str, version: str, heading: str) -> list
     return [(name, first), (name, first + rest), (name, f"GNU {license} Version {version}, {heading}"), *((name, f"SPDX-License-Identifier: {name}{x}") for x in ("", "-only", "-or-later"))]
 
 
+# fixed values: identifiers of further licences
+IDENTIFIERS = ("BSL-1.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "CDDL-1.0", "Zlib", "Artistic-2.0", "OFL-1.1", "WTFPL", "PostgreSQL", "MS-PL", "0BSD", "Unlicense", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "Python-2.0", "NCSA")
+_BOOST = "Boost Software License - Version 1.0 - August 17th, 2003"
+_BOOST_GRANT = " Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:"
+_ZLIB = "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"
 # headers and headings, for units of more lines
 TEXTS = (
     *TEMPLATES,
+    *((name, f"SPDX-License-Identifier: {name}") for name in IDENTIFIERS),
+    ("BSL-1.0", _BOOST), ("BSL-1.0", _BOOST + _BOOST_GRANT), ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)"), ("Zlib", _ZLIB),
+    ("EPL-2.0", "Eclipse Public License - v 2.0"), ("EPL-1.0", "Eclipse Public License - v 1.0"), ("EUPL-1.2", "European Union Public Licence v. 1.2 EUPL"), ("Artistic-2.0", "The Artistic License 2.0"),
+    ("OFL-1.1", "SIL Open Font License Version 1.1 - 26 February 2007"), ("CDDL-1.0", "Common Development and Distribution License (CDDL) Version 1.0"),
     ("MIT", _MIT_GRANT), ("MIT", _MIT), ("MIT", "MIT License Copyright " + _MIT),
     ("BSD-2-Clause", _BSD_2), ("BSD-2-Clause", _BSD_2 + _BSD_END), ("BSD-3-Clause", _BSD_2 + _BSD_3), ("BSD-3-Clause", _BSD_2 + _BSD_3 + _BSD_END), ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
     ("ISC", _ISC), ("ISC", _ISC + _ISC_END), ("ISC", "SPDX-License-Identifier: ISC"),
@@ -103,6 +125,45 @@ _LEADER = re.compile(r"\s*(?:(//+!?|/\*+!?|\*+/|\*+|#+|--+|;+|%+|<!--|-->|(?:dnl
 _TRAILER = re.compile(r"\s*(?:\*+/|-->|\*+|#+)?\s*\Z")
 
 
+_EXPRESSION = re.compile(r"(?i)spdx-license-identifier:\s*(.*)")
+_PIECE = re.compile(r"\s+(?:or|and|with)\s+|[()]|[A-Za-z0-9.+:-]+|\s+", re.IGNORECASE)
+_OPERATOR = re.compile(r"\s+(or|and|with)\s+\Z", re.IGNORECASE)
+
+
+def expression(line: str) -> list[str] | None:
+    """Names, operators and brackets of the SPDX expression of a line, operators between single spaces; None for a single name or
+    where what follows the identifier isn't an expression."""
+    found = _EXPRESSION.search(line)
+    if not found:
+        return None
+    pieces, at, text = [], 0, found[1].strip()
+    for m in _PIECE.finditer(text):
+        if m.start() != at:
+            return None
+        at = m.end()
+        operator = _OPERATOR.match(m[0])
+        pieces.append(f" {operator[1].upper()} " if operator else m[0])
+    pieces = [x for x in pieces if not x.isspace()]
+    return pieces if at == len(text) and any(is_operator(x) for x in pieces) else None
+
+
+def is_operator(piece: str) -> bool:
+    return piece in (" OR ", " AND ", " WITH ")
+
+
+def units_of(text: str, whole: bool) -> Iterator[tuple[int, int, int | None, list[str] | None, str]]:
+    """``line``, ``unit`` (a number), ``part``, ``pieces``, ``text`` of the blocks of a text and, if asked for, of the whole. A line
+    with an SPDX expression gives a unit for each name of it: its place in the expression is the ``part``."""
+    for k, (line, unit) in enumerate([*blocks(text), *([(-1, text)] if whole else [])]):
+        pieces = expression(unit) if "\n" not in unit else None
+        if not pieces:
+            yield line, k, None, None, unit
+            continue
+        for at, name in enumerate(pieces):
+            if name not in ("(", ")") and not is_operator(name) and (at == 0 or pieces[at - 1] != " WITH "):
+                yield line, k, at, pieces, f"SPDX-License-Identifier: {name}"
+
+
 def blocks(text: str) -> list[tuple[int, str]]:
     """Paragraphs and comment blocks of more than a line that have a marker, each with the line of its first marker, and lines with an
     SPDX identifier. A paragraph
@@ -149,40 +210,45 @@ def template_weights(texts: tuple[tuple[str, str], ...] = TEMPLATES) -> tuple[di
     return {t: (i, [c[t] * i / x if t in c else 0.0 for c, x in zip(counts, norms, strict=True)]) for t, i in idf.items()}, [len(c) for c in counts], math.log(1.0 + n) + 1.0
 
 
-def scores(units: DataFrame, texts: tuple[tuple[str, str], ...]) -> DataFrame:
-    """``row``, ``line``, ``unit``, ``license``, ``score`` and ``size`` (of the template, in terms) of all units and templates that are
-    alike. ``units`` has ``row``, ``line``, ``unit`` (a number), ``text``. One aggregate gives a unit's norm and its products with all templates."""
-    tf = units.select("row", "line", "unit", F.explode(_terms(F.col("text"))).alias("term")).groupBy("row", "line", "unit", "term").agg(F.count("*").alias("tf"))
+def scores(units: DataFrame, texts: tuple[tuple[str, str], ...], keys: tuple[str, ...]) -> DataFrame:
+    """``keys``, ``license``, ``score`` and ``size`` (of the template, in terms) of all units and templates that are
+    alike. ``units`` has ``text`` and the ``keys`` that name a unit. One aggregate gives a unit's norm and its products with all templates."""
+    tf = units.select(*keys, F.explode(_terms(F.col("text"))).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
     weights, sizes, unseen = template_weights(texts)
     # fixed and small: a row for each term of the templates
     table = units.sparkSession.createDataFrame([(t, i, w) for t, (i, w) in sorted(weights.items())], "term string, idf double, weights array<double>")
     w = tf.join(F.broadcast(table), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
     dots = [F.sum(F.col("w") * F.col("weights")[k]).alias(f"dot{k}") for k in range(len(texts))]
-    each = w.groupBy("row", "line", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *dots)
+    each = w.groupBy(*keys).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), *dots)
     alike = F.array(*[F.struct(F.lit(name).alias("license"), F.round(F.col(f"dot{k}") / F.col("norm"), 9).alias("score"), F.lit(sizes[k]).cast("long").alias("size")) for k, (name, _) in enumerate(texts)])
-    return each.select("row", "line", "unit", F.inline(F.filter(alike, lambda x: x["score"] >= THRESHOLD)))
+    return each.select(*keys, F.inline(F.filter(alike, lambda x: x["score"] >= THRESHOLD)))
 
 
 def own_licenses(marked: DataFrame) -> DataFrame:
     """``row``, ``license``, ``score`` and ``line`` (from 0, of a block its first marked line; -1: the whole text) of the best unit of
-    each file that has one. ``marked`` has ``row``, ``name``, ``text`` of the files with a marker."""
+    each file that has one; of an SPDX expression the whole, with known names in the form used here and others as written. ``marked`` has ``row``, ``name``, ``text`` of the files with a marker."""
     lines = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.struct(i.alias("line"), x.alias("unit"))), lambda u: u["unit"].rlike(MARKERS))
     whole = F.when(F.col("name").rlike(LICENSE_FILE), F.array(F.struct(F.lit(-1).alias("line"), F.col("text").alias("unit")))).otherwise(F.array().cast("array<struct<line:int,unit:string>>"))
     units = marked.select("row", F.explode_outer(F.concat(lines, whole)).alias("u")).filter("u is not null").select("row", "u.line", F.lit(0).alias("unit"), F.col("u.unit").alias("text"))
     at = (-F.col("line")).alias("at")
-    best = scores(units, TEMPLATES).groupBy("row").agg(F.max(F.struct("score", at, "license", "size")).alias("b")).select("row", F.lit(1).alias("short"), "b.*")
+    best = scores(units, TEMPLATES, ("row", "line", "unit")).groupBy("row").agg(F.max(F.struct("score", at, "license", "size")).alias("b")).select("row", F.lit(1).alias("short"), "b.*")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for row, is_license, text in zip(*(b.column(k).to_pylist() for k in range(3)), strict=True):
-                out += [(row, line, k, unit) for k, (line, unit) in enumerate([*blocks(text), *([(-1, text)] if is_license else [])])]
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.string()))], names=["row", "line", "unit", "text"])
-
-    more = map_arrow(marked.select("row", F.col("name").rlike(LICENSE_FILE).alias("is_license"), "text"), run, "row long, line int, unit int, text string")
-    # of a unit the most similar template
-    more = scores(more, TEXTS).groupBy("row", "line", "unit").agg(F.max(F.struct("score", "size", "license")).alias("b"))
-    more = more.select("row", F.lit(0).alias("short"), "b.score", at, "b.license", "b.size")
+                out += [(row, *unit) for unit in units_of(text, is_license)]
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()), pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=["row", "line", "unit", "part", "pieces", "text"])
+
+    more = map_arrow(marked.select("row", F.col("name").rlike(LICENSE_FILE).alias("is_license"), "text"), run, "row long, line int, unit int, part int, pieces array<string>, text string")
+    # of a unit the most similar template; the names of an expression are put together again
+    keys = ("row", "line", "unit", "part", "pieces")
+    more = scores(more, TEXTS, keys).groupBy(*keys).agg(F.max(F.struct("score", "size", "license")).alias("b"))
+    names = F.map_from_entries(F.collect_list(F.when(F.col("part").isNotNull(), F.struct("part", "b.license"))))
+    more = more.groupBy("row", "line", "unit", "pieces").agg(F.min("b.score").alias("score"), F.max("b.size").alias("size"), F.max("b.license").alias("single"), names.alias("names"))
+    joined = F.array_join(F.transform("pieces", lambda x, k: F.coalesce(F.try_element_at("names", k), x)), "")
+    more = more.select("row", F.lit(0).alias("short"), "score", at, F.coalesce(joined, "single").alias("license"), "size")
     rank = F.struct(F.when(F.col("score") >= NEAR, F.col("size")).otherwise(0).alias("near"), "score", "short", "at", "license")
     return best.unionByName(more).groupBy("row").agg(F.max(rank).alias("b")).select("row", "b.license", "b.score", (-F.col("b.at")).alias("line"))
 
