@@ -135,3 +135,26 @@ def test_network_artefact(spark, tmp_path):
     from pyspark.errors import AnalysisException
     with pytest.raises(AnalysisException):
         load_network(spark, str(tmp_path / "missing"))
+
+
+def test_tree_scores_are_the_models(spark):
+    """Boosted trees as a column expression: Spark ML's probability on rows at, below and above every threshold; a missing input goes the way of NaN."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 2)), 1)
+    rows = [(float(a), float(b), float(a * b + rng.normal() * 0.2 > 0)) for a, b in x]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    assemble = VectorAssembler(inputCols=["a", "b"], outputCol="features", handleInvalid="keep")
+    model = GBTClassifier(featuresCol="features", labelCol="y", maxIter=4, maxDepth=3, seed=1).fit(assemble.transform(df))
+    nan = float("nan")
+    more = df.unionByName(spark.createDataFrame([(nan, 0.3, 0.0), (0.1, nan, 0.0), (nan, nan, 0.0)], df.schema))
+    got = mdl.tree_scores(model.transform(assemble.transform(more)), model, ["a", "b"]).select(vector_to_array("probability")[1].alias("p"), "score").collect()
+    assert len(got) == 403 and max(abs(r.p - r.score) for r in got) < 1e-12
+    assert len({round(r.p, 6) for r in got}) > 5
+    pairs = spark.createDataFrame([(0, nan, 0.3), (0, None, 0.3), (1, nan, nan), (1, None, None)], "k int, a double, b double")
+    both = mdl.tree_scores(pairs, model, ["a", "b"]).groupBy("k").agg({"score": "min"}).collect()
+    assert sorted(r[1] for r in both) == sorted(r[1] for r in mdl.tree_scores(pairs, model, ["a", "b"]).groupBy("k").agg({"score": "max"}).collect())
+    assert mdl.tree_scores(pairs.limit(0), model, ["a", "b"]).count() == 0

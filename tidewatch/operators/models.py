@@ -147,6 +147,23 @@ def fit_nonlinear(train: DataFrame, valid: DataFrame, y: str, numeric: Sequence[
     return best
 
 
+def tree_scores(df: DataFrame, model, inputs: Sequence[str], out: str = "score") -> DataFrame:
+    """``df`` with ``out``, the probability that fitted boosted trees give, as one column expression over the ``inputs`` in the order of
+    the model's vector: nested cases, no vector column and no stage of the ML library. A missing input takes the branch above the
+    threshold, as NaN does. The expression grows with the trees, which the fit bounds."""
+    def cases(node) -> Column:
+        if node.getClass().getSimpleName() == "LeafNode":
+            return F.lit(float(node.prediction()))
+        split = node.split()
+        left = F.col(inputs[split.featureIndex()]).cast("double") <= F.lit(float(split.threshold()))
+        return F.when(left, cases(node.leftChild())).otherwise(cases(node.rightChild()))
+
+    margin = F.lit(0.0)
+    for tree, weight in zip(model.trees, model.treeWeights, strict=True):
+        margin = margin + F.lit(float(weight)) * cases(tree._call_java("rootNode"))
+    return df.withColumn(out, F.lit(1.0) / (F.lit(1.0) + F.exp(-2.0 * margin)))
+
+
 def embedding_lookup(df: DataFrame, key: str, table: DataFrame, buckets: int, out: str,
                      bucket_col: str = "bucket", vec_col: str = "vec") -> DataFrame:
     """Hashed key bucket -> embedding vector via an equi-join (missing bucket -> null).

@@ -1663,6 +1663,66 @@ def q_factors(spark, sf_dir):
     return checks.unionByName(gradient)
 
 
+_AGREE_SQL = "SELECT split, n, positives, n AS agree FROM n WHERE split <> 'train'"
+
+
+def _agreement(scored, one, other):
+    """Rows and positives of each part, and the rows on which the columns ``one`` and ``other`` are equal to 9 digits."""
+    return scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("y_ew_72h").cast("long")).alias("positives"),
+                                       F.count(F.when(F.abs(F.col(one) - F.col(other)) < 1e-9, 1)).alias("agree"))
+
+
+@register("boosted_trees_as_columns", f"WITH {_CHECK_COUNTS_SQL} {_AGREE_SQL}")
+def q_tree_columns(spark, sf_dir):
+    """M8 + B5: the trees of the boosted model as one column expression give its probability on every valid and test row."""
+    from pyspark.ml.functions import vector_to_array
+    ds = _dataset(spark, sf_dir)
+    num = _numeric(ds)
+    model, _, _, prepare = mdl.fit_nonlinear(ds.filter("split = 'train'"), ds.filter("split = 'valid'"), "y_ew_72h", num, grid=({"maxDepth": 3},))
+    d = model.transform(prepare(ds.filter("split <> 'train'"))).withColumn("p", vector_to_array("probability")[1])
+    return _agreement(mdl.tree_scores(d, model.stages[-1], num), "p", "score")
+
+
+@register("embedding_network_forward", f"WITH {_CHECK_COUNTS_SQL} {_AGREE_SQL}")
+def q_network_forward(spark, sf_dir):
+    """M7 + M8: the forward pass over the trained network's layers gives Spark ML's probability on every valid and test row."""
+    from pyspark.ml.functions import vector_to_array
+    ds = _dataset(spark, sf_dir)
+    num = _numeric(ds)
+    tr = ds.filter("split = 'train'")
+    emb = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("bucket"), F.col("embedding").alias("vec"))
+    n = int(emb.agg(F.max("bucket")).first()[0]) + 1
+    x = mdl.embedding_lookup(prep.transform_numeric(ds, prep.fit_standardizer(tr, num), num), "entity_key", emb, n, "emb")
+    _, weights, net = mdl.fit_embedding_mlp(x.filter("split = 'train'"), "y_ew_72h", num, "emb", 64)
+    d = net.transform(mdl.embedding_features(x.filter("split <> 'train'"), num, "emb", 64)).withColumn("p", vector_to_array("probability")[1])
+    d = mdl.mlp_logits(d, [*num, "emb"], weights, {"emb": 64}, activation="sigmoid", output="softmax2")
+    return _agreement(d.withColumn("again", F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("logit")))), "p", "again")
+
+
+@register("linear_attributions_trained", f"""WITH {_CHECK_COUNTS_SQL}
+SELECT feature, n, true AS holds FROM n, (VALUES {', '.join(f"('{c}')" for c in _COEFS)}, ('(sum)')) v(feature) WHERE split = 'test'""")
+def q_attr_trained(spark, sf_dir):
+    """E9 with the trained baseline: each feature's attribution equals the plain mean over rows in long form, and a row's attributions add up to its
+    logit less the mean training logit, so that their absolute sums agree, too."""
+    ds = _dataset(spark, sf_dir).select("TransactionID", "split", "y_ew_72h", *_COEFS)
+    tr, te = ds.filter("split = 'train'"), ds.filter("split = 'test'")
+    num = list(_COEFS)
+    m = mdl.fit_baseline(tr, "y_ew_72h", num, cfg=LogisticConfig())
+    beta = m.coefficients()
+    lib = met.linear_attributions(prep.apply_median_scaler(te, m.scaler, num), prep.apply_median_scaler(tr, m.scaler, num), beta)
+    scaled = prep.apply_median_scaler(ds.filter("split <> 'valid'"), m.scaler, num)
+    long = scaled.select("split", "TransactionID", F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("x"), F.lit(beta[c]).alias("b")) for c in num])))
+    mean = F.broadcast(long.filter("split = 'train'").groupBy("feature").agg(F.avg("x").alias("mean")))      # a row for each feature
+    each = long.filter("split = 'test'").join(mean, "feature").withColumn("phi", F.col("b") * (F.col("x") - F.col("mean")))
+    again = each.groupBy("feature").agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs("phi")).alias("again"))
+    checks = again.join(lib, "feature").select("feature", "n", (F.abs(F.col("again") - F.col("mean_abs_attribution")) < 1e-9).alias("holds"))
+    logits = m.transform(ds.filter("split <> 'valid'")).select("split", "TransactionID", "logit")
+    base = F.broadcast(logits.filter("split = 'train'").agg(F.avg("logit").alias("base")))
+    sums = each.groupBy("TransactionID").agg(F.sum("phi").alias("phi")).join(logits.filter("split = 'test'").crossJoin(base), "TransactionID")
+    total = sums.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(F.col("phi") - (F.col("logit") - F.col("base")))).alias("gap"))
+    return checks.unionByName(total.select(F.lit("(sum)").alias("feature"), "n", (F.col("gap") < 1e-9).alias("holds")))
+
+
 # ---------------------------------------------------------------------------
 # ST1 with quarantine, ST3 and ST4 in several micro-batches
 # ---------------------------------------------------------------------------
