@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -40,6 +41,82 @@ def test_ngram_counts_of_parts_are_those_of_the_whole(monkeypatch):
     assert L.ngram_counts("123 !?") is None
 
 
+def plain_bucket(gram):
+    """Hash of a run of characters (a run of non-letters is one zero), on Python's integers."""
+    mask = (1 << 64) - 1
+    steps = (0, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
+    h = [ord(c) * 0x9E3779B97F4A7C15 & mask if c else 0 for c in gram]
+    g = h[-1]
+    for j in range(1, len(h)):
+        g = (g + h[-1 - j] * steps[j]) & mask
+    return ((g ^ g >> 29) * 0xD6E8FEB86659FD93 & mask) >> 49
+
+
+def test_ngram_counts_against_plain(texts):
+    for text in [t for _, t in texts if t and len(t) < 3000][:60] + ["ÄÖ  ßx!", "a", " a", "a ", "ab", "日本 語!", "\U0001d4d0b", "x" * 7]:
+        c = [""]
+        for ch in text.lower():
+            if ch.isalpha():
+                c.append(ch)
+            elif c[-1]:
+                c.append("")
+        want = np.zeros(L.BUCKETS, np.int64)
+        # the space that opens the text is none of its own characters
+        for n in (1, 2, 3):
+            for at in range(n - 1, len(c)):
+                if at > 0:
+                    want[plain_bucket(c[at - n + 1:at + 1])] += 1
+        got = L.ngram_counts(text)
+        assert got is None and not any(ch.isalpha() for ch in text) or (got == want).all(), text[:40]
+
+
+def test_ftrl_against_plain():
+    """Every weight and step size by the published rule, one coordinate after the other."""
+    alpha, beta, l1, l2, classes, epochs = 0.5, 1.0, 0.5, 0.3, 3, 2
+    r = np.random.default_rng(1)
+    rows = [(np.sort(r.choice(30, 6, replace=False)), r.integers(1, 5, 6), int(y)) for y in r.integers(0, classes, 25)]
+    idf = r.uniform(0.5, 2.0, L.BUCKETS)
+    got = L.fit_ftrl(rows, classes, idf, list("abc"), alpha, beta, l1, l2, epochs, seed=4)
+    z, n = {}, {}
+
+    def weight(key):
+        zi, ni = z.get(key, 0.0), n.get(key, 0.0)
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((beta + math.sqrt(ni)) / alpha + l2)
+
+    order = np.random.default_rng(4)
+    for _ in range(epochs):
+        for k in order.permutation(len(rows)):
+            index, count, y = rows[k]
+            x = {int(i): (1 + math.log(c)) * idf[i] for i, c in zip(index, count, strict=True)}
+            length = math.sqrt(sum(v * v for v in x.values()))
+            x = {i: v / length for i, v in x.items()} | {"bias": 1.0}
+            logit = [sum(v * weight((i, c)) for i, v in x.items()) for c in range(classes)]
+            total = sum(math.exp(v) for v in logit)
+            now = {(i, c): weight((i, c)) for i in x for c in range(classes)}
+            for (i, c), w in now.items():
+                g = x[i] * (math.exp(logit[c]) / total - (c == y))
+                old = n.get((i, c), 0.0)
+                z[i, c] = z.get((i, c), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w
+                n[i, c] = old + g * g
+    want = np.array([[weight((i, c)) for c in range(classes)] for i in range(30)])
+    assert np.allclose(got.weights[:30], want, atol=1e-12) and np.allclose(got.bias, [weight(("bias", c)) for c in range(classes)], atol=1e-12)
+    assert (want == 0).any() and (want != 0).any() and not got.weights[30:].any()
+
+
+def test_temperature_is_the_least_loss():
+    r = np.random.default_rng(2)
+    rows = [(np.array([y]), np.array([1]), y if r.random() < 0.8 else 1 - y) for y in r.integers(0, 2, 200)]
+    m = L.LanguageModel(["a", "b"], np.ones(L.BUCKETS), np.zeros((L.BUCKETS, 2)), np.zeros(2))
+    m.weights[0, 0] = m.weights[1, 1] = 5.0
+    found = L.fit_temperature(m, rows)
+
+    def loss(t):
+        return -np.mean([np.log(L.softmax(m.logits(i, c) / t)[y]) for i, c, y in rows])
+
+    assert all(loss(found) <= loss(found * f) + 1e-12 for f in (0.5, 0.9, 0.99, 1.01, 1.1, 2.0)) and found > 1
+    assert L.fit_temperature(m, []) == 1.0
+
+
 def test_elastic_net_makes_zeros():
     r = np.random.default_rng(0)
     rows = [(np.sort(r.choice(200, 20, replace=False)) + 500 * y, np.ones(20), y) for y in r.integers(0, 2, 200)]

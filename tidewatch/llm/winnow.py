@@ -98,8 +98,9 @@ def benchmark_tables(benchmark: DataFrame, span: int = SPAN, k: int = K, id_col:
     return stage_table(fps, "benchmark-fps"), stage_table(windows, "benchmark-windows"), lengths
 
 
-def _sized(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
+def _sized(df: DataFrame, entries: Column, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Broadcast if the rows' ``entries`` (numbers of values) add up to no more than the limit."""
+    return F.broadcast(df) if (df.agg(F.sum(entries)).first()[0] or 0) <= limit else df
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: int = K, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
@@ -113,7 +114,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, k: in
     no hits.
     """
     fps, windows, short = benchmark_tables(benchmark, span, k, item_col, item_text_col)
-    fps, windows = _sized(fps.withColumn("__found", F.lit(True))), _sized(windows)
+    # a window that many items share has all their ids
+    fps, windows = _sized(fps.withColumn("__found", F.lit(True)), F.lit(1)), _sized(windows, 1 + F.size("items"))
     src = id_and_text(docs, id_col, text_col).select(F.monotonically_increasing_id().alias("__row"), "__id", words_of(F.col("__text")).alias("__words"))
     # each row also sends a run of its own that no fingerprint has, so that rows without hits stay
     own = F.array(F.struct(F.lit(0).alias("len"), F.lit(0).alias("j0"), F.xxhash64("__row").alias("fp"), F.array().cast("array<bigint>").alias("whs")))
