@@ -217,3 +217,52 @@ def test_campaign_stream_counts_ties_in_order(spark, tmp_path):
     out = st.run_to_latest(st.campaign_stream(_files(spark, tmp_path, batches, schema), "fp", "ts", "event_id", "entity", delay="2 days"), "t_camp", ["key", "id"])
     got = {(r.key, r.id): (r.fp_cnt_24h, r.fp_cnt_72h, r.late) for r in out.collect()}
     assert got == {("f", 2): (1, 2, False), ("f", 1): (2, 3, False), ("f", None): (2, 3, False), ("f", 3): (1, 1, False), (None, 4): (1, 1, False)}
+
+
+class _State:
+    """A processor's state and timers in memory, which counts the calls that change them."""
+
+    def __init__(self):
+        self.map, self.value, self.calls = {}, None, 0
+
+    getMapState = getValueState = lambda self, *a: _State()
+
+    def registerTimer(self, at):
+        self.calls += 1
+
+    def iterator(self):
+        return iter(list(self.map.items()))
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value
+
+    def exists(self):
+        return self.value is not None
+
+
+def test_a_group_of_keys_is_placed_in_a_few_calls():
+    """Series of many keys at once: the features of each key alone, and state calls that don't grow with keys or rows."""
+    import types
+
+    import pandas as pd
+
+    from tidewatch.streaming.velocity import SeriesProcessor, velocity_features
+    rng = np.random.default_rng(1)
+    rows = pd.DataFrame({"key": [f"k{i}" for i in rng.integers(0, 40, 2000)], "id": np.arange(2000), "t": 1_700_000_000 + rng.integers(0, 20 * 86400, 2000),
+                         "amount": np.where(rng.random(2000) < 0.1, np.nan, rng.random(2000) * 100), "tie": ""})
+    p = SeriesProcessor(False, FeatureConfig())
+    handle = _State()
+    p.init(handle)
+    now = types.SimpleNamespace(getCurrentWatermarkInMs=lambda: 0)
+    latest = {}
+    for part in (rows[:1200], rows[1200:]):
+        for out in p.handleInputRows((7,), iter([part]), now):
+            latest |= {r.id: r for r in out.itertuples(index=False)}
+    assert len(latest) == 2000 and p.blocks.calls + handle.calls <= 20
+    for _, s in rows.groupby("key"):
+        s = s.sort_values(["t", "id"])
+        plain = velocity_features(s["t"].to_numpy(), s["amount"].to_numpy())
+        for n, i in enumerate(s["id"]):
+            for c, x in plain.items():
+                assert getattr(latest[i], c) == pytest.approx(x[n], abs=1e-9, nan_ok=True), (i, c)
