@@ -102,3 +102,28 @@ def test_sketched_quantiles(spark):
     for r in approx_quantiles(d, "v", [0.5, 0.9], ["g"]).collect():
         assert abs(r.value / 10000 - r.q) < 0.002
     assert {r.value for r in approx_quantiles(d.filter("v IS NULL"), "v", [0.5]).collect()} <= {None}
+
+
+def test_lines_are_sorted_by_more_tasks_than_parts(spark, tmp_path):
+    """The files of one part of the lines are as many as the shuffle has partitions for it, and the first line of an event stays the first."""
+    import glob
+    import os
+
+    from tidewatch.plans.queries import REGISTRY
+    from tidewatch.session import checkpoint_dir
+    e = spark.range(400).select(F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.lit("x").alias("event_type"), F.col("id").cast("double").alias("value"))
+    e.write.parquet(str(tmp_path / "events.parquet"))
+    at = os.path.join(checkpoint_dir(spark), "tables", "lines-*").removeprefix("file:")
+    old = set(glob.glob(at))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = {r.event_id: r.value for r in REGISTRY["csv_first_in_file"][0](spark, str(tmp_path)).filter("part = 'kept'").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    (base,) = set(glob.glob(at)) - old
+    assert len(glob.glob(os.path.join(base, "part-*"))) > 4
+    first = {i: 1 if i % 50 == 0 or (i * 7 % 4, 3 * i + 1) < (i % 4, 3 * i) else 0 for i in range(400)}
+    assert got == {i: i + 1000.0 * first[i] for i in range(400)}
