@@ -206,3 +206,37 @@ def test_rows_without_a_time_come_out(spark):
     got = {r.TransactionID: r for r in feat.add_entity_time_features(df).collect()}
     assert len(got) == 3 and got[2].cnt_1h is None and got[2].z_amt_vs_7d is None and got[2].TransactionAmt == 6.0
     assert got[3].cnt_1h == 2 and got[3].mean_amt_7d_hist == 5.0
+
+
+def _midnights(spark, seconds, rows):
+    """One key with ``rows`` rows in each of ``seconds`` midnights."""
+    data = [(s * rows + i, s * 86400, float(s + i), "a") for s in range(seconds) for i in range(rows)]
+    return spark.createDataFrame(data, "TransactionID long, TransactionDT long, TransactionAmt double, entity_key string")
+
+
+def test_rows_carry_hot_seconds_of_their_own_chunk_only(spark):
+    df = _midnights(spark, 60, 5)
+    d, chunked = fr.with_order(df, "entity_key", "TransactionDT", ["TransactionID"], 2)
+    sizes = d.agg(F.max(F.size(fr.HOTS)), F.count(F.lit(1))).first()
+    assert chunked and sizes[0] <= fr.HOTS_IN_CHUNK and sizes[1] == 300
+    got, plain = ({r.TransactionID: r for r in feat.add_entity_time_features(df, cfg).collect()} for cfg in (FeatureConfig(hot_key_rows=2), FeatureConfig(strategy="frame")))
+    for i, r in plain.items():
+        assert (got[i].cnt_24h, got[i].sum_amt_1h, got[i].mean_amt_7d_hist) == (r.cnt_24h, r.sum_amt_1h, r.mean_amt_7d_hist)
+        assert got[i].std_amt_7d_hist == r.std_amt_7d_hist
+
+
+def test_plain_frames_grow_only(spark):
+    """Spark adds up a frame whose lower end moves anew for every row."""
+    for history in ("lagged", "strict"):
+        d = feat.add_entity_time_features(_midnights(spark, 2, 2), FeatureConfig(strategy="frame", history=history))
+        plan = d._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "rangeframe, unboundedpreceding" in plan and "rangeframe, -" not in plan
+
+
+def test_rows_of_a_second_expire_as_one_event(spark, monkeypatch):
+    d, chunked = fr.with_order(_midnights(spark, 3, 20), "entity_key", "TransactionDT", ["TransactionID"], 20)
+    dealt, repartition = [], type(d).repartition
+    monkeypatch.setattr(type(d), "repartition", lambda self, *a: (dealt.append(self), repartition(self, *a))[1])
+    out = fr.sliding_sums(d, "entity_key", "TransactionDT", [("n", 86400, F.lit(1).cast("bigint")), ("m", 259200, F.lit(1).cast("bigint"))], chunked=chunked)
+    assert {(r.TransactionID, r.n, r.m) for r in out.collect()} == {(s * 20 + i, i + 1, s * 20 + i + 1) for s in range(3) for i in range(20)}
+    assert chunked and [e.count() for e in dealt] == [60 + 2 * 3]
