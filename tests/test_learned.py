@@ -47,6 +47,20 @@ def test_murmur_and_signed_hashes(spark):
             assert [(x["index"], x.value) for x in r.e] == sorted(want.items())
 
 
+def test_hashes_are_computed_once_a_row(spark):
+    """The work of a row's hashes: whole words go to one built-in hash whatever the key's length, and summing them by index names each key's hash once."""
+    d = spark.createDataFrame([("x" * 200, "y")], "s string, t string")
+    plan = d.select(summed_hashes(signed_hashes(["s", "t"], 8)).alias("e"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("hash(") == 2 and "sequence(" not in plan
+
+
+def test_murmur_with_seeds(spark):
+    words = ["", "a", "abcd", "abcdefg", "é日", "z" * 64, None]
+    d = spark.createDataFrame([(w,) for w in words], "s string")
+    for seed in (1, 42, 2 ** 31 + 5):
+        assert [r.h for r in d.select(murmur3_32("s", seed).alias("h")).collect()] == [None if w is None else murmur(w.encode(), seed) for w in words]
+
+
 def _rows(spark, n=1500):
     rng = np.random.default_rng(2)
     rows = []
