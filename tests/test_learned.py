@@ -1,6 +1,7 @@
 """Learned factors, stored networks, signed hashes and the baseline's own scoring."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,6 +86,32 @@ def test_gradient_equals_differences():
         assert (fac.gradient(t, x, slots, y, w)[0] - loss) / 1e-6 == pytest.approx(g[r, c], rel=1e-3, abs=1e-4)
 
 
+def test_gradient_of_packed_blocks(spark):
+    """Packed rows give the sums of the rows themselves, with slots that repeat, are missing, or are all missing in a block; every row is packed once."""
+    rng = np.random.default_rng(3)
+    n = 2 * fac.BLOCK + 17
+    x, slots, y, w = rng.normal(size=(n, 2)), np.c_[rng.integers(-1, 4, n) + 3, rng.integers(7, 9, n)], rng.integers(0, 2, n).astype(float), rng.uniform(1, 2, n)
+    slots[slots[:, 0] == 2, 0] = -1
+    slots[:fac.BLOCK, 1] = -1
+    theta = rng.normal(0, 0.3, size=(9, 3))
+    theta[0, 1:] = 0
+    rows = pd.DataFrame({"x": [*x], "slots": [*slots], "y": y, "w": w})
+    d = spark.createDataFrame(rows, "x array<double>, slots array<int>, y double, w double").coalesce(1)
+    blocks = d.mapInArrow(fac._packed, fac._BLOCKS).cache()
+    assert [r.n for r in blocks.select("n").collect()] and blocks.agg(F.sum("n")).first()[0] == n and blocks.agg(F.max("n")).first()[0] <= fac.BLOCK
+    got = blocks.mapInArrow(fac._partial(theta), "slot int, g0 double, g1 double, g2 double").groupBy("slot").agg(*[F.sum(f"g{k}") for k in range(3)]).collect()
+    loss, g = fac.gradient(theta, x, slots, y, w)
+    plain = np.zeros_like(theta)
+    p = 1 / (1 + np.exp(-fac.forward(theta, x, slots)[0]))
+    for i in range(n):
+        for s in slots[i][slots[i] >= 0]:
+            plain[s, 0] += w[i] * (p[i] - y[i])
+    assert g[3:, 0] == pytest.approx(plain[3:, 0])
+    for r in got:
+        assert (r[1] == pytest.approx(loss)) if r.slot < 0 else ([*r[1:]] == pytest.approx(g[r.slot].tolist(), abs=1e-9))
+    assert {r.slot for r in got} == {-1, *range(9)} - set(range(3, 9)).difference(slots.ravel().tolist())
+
+
 def test_lbfgs_finds_the_minimum():
     a = np.diag([1.0, 10.0, 100.0])
     t, g, steps = fac.lbfgs(lambda v: (float(0.5 * (v.ravel() @ a @ v.ravel()) - v.sum()), (a @ v.ravel()).reshape(v.shape) - 1), np.zeros((3, 1)), fac.FactorConfig(max_iter=100))
