@@ -199,3 +199,23 @@ def test_tree_scores_are_the_models(spark):
     both = mdl.tree_scores(pairs, model, ["a", "b"]).groupBy("k").agg({"score": "min"}).collect()
     assert sorted(r[1] for r in both) == sorted(r[1] for r in mdl.tree_scores(pairs, model, ["a", "b"]).groupBy("k").agg({"score": "max"}).collect())
     assert mdl.tree_scores(pairs.limit(0), model, ["a", "b"]).count() == 0
+
+
+def test_valid_rows_are_scored_once_for_each_grid_point(spark, monkeypatch):
+    """Average precision reads the scores twice; they are written, so the trees run over the rows once."""
+    written = []
+    real = mdl.scratch_table
+    monkeypatch.setattr(mdl, "scratch_table", lambda df, name, *a: written.append((name, df.columns)) or real(df, name, *a))
+    d = _rows(spark, 300)
+    _, params, ap, _ = mdl.fit_nonlinear(d.filter("id < 200"), d.filter("id >= 200"), "y", ["x", "u"], grid=({"maxDepth": 2}, {"maxDepth": 3}), rounds=2)
+    assert written == [("valid-scores", ["_y", "p"])] * 2 and params and 0 < ap <= 1
+
+
+def test_median_scaler_of_missing_columns(spark):
+    """Deviations of the imputed columns in one pass; a column without any value has no row."""
+    from tidewatch.operators import prep
+
+    d = spark.createDataFrame([(1.0, None, 5.0), (3.0, None, 5.0), (None, None, 5.0), (float("nan"), None, None)], "a double, b double, c double")
+    got = {r.feature: (r["median"], r.scale) for r in prep.fit_median_scaler(d, ["a", "b", "c"]).collect()}
+    assert got == {"a": (2.0, pytest.approx(np.std([1, 3, 2, 2]))), "c": (5.0, 1.0)}
+    assert prep.fit_median_scaler(d, ["b"]).count() == 0
